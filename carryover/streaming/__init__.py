@@ -1,0 +1,5 @@
+"""Streaming: nothing here, on purpose.
+
+The reference moves and checks tables in batch; it has no stream source,
+sink, watermark or state, so there is no streaming operator to rebuild.
+"""
