@@ -65,6 +65,12 @@ def table_partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(quote_ref(table)) if c.isPartition]
 
 
+def table_provider(spark: SparkSession, table: str) -> str | None:
+    """The data source of a session-catalog table (``parquet``, ``orc`` …), if it has one."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").where("col_name = 'Provider'").take(1)
+    return rows[0]["data_type"].strip().lower() if rows else None
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K5: ``CREATE NAMESPACE IF NOT EXISTS``, every name part back-quoted."""
     loc = f" LOCATION {sql_string(location)}" if location else ""
@@ -125,11 +131,11 @@ def write_table(
     observed, obs = _observed(prepared, fingerprint)
 
     if is_v1_target(spark, table, fmt):
+        # V1 append must restate the table's own format and partitioning.
         writer = observed.write.options(**(options or {}))
-        if mode != "append":
-            writer = writer.format(fmt)
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
+        writer = writer.format(table_provider(spark, table) or fmt if mode == "append" else fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.mode({"create": "errorifexists", "replace": "overwrite", "append": "append"}[mode]).saveAsTable(ref)
     else:
         writer = observed.writeTo(ref).options(**(options or {}))
