@@ -106,3 +106,22 @@ def test_empty_table_copies(spark, db):
     df = spark.read.parquet(f"{SF001}/orders.parquet").where("false")
     w = write_table(df, f"{db}.empty", "create", fingerprint=True)
     assert w.rows == 0 and spark.table(f"{db}.empty").count() == 0
+
+
+def test_hot_partition_value_is_split_across_tasks(spark, db):
+    """One value holding most rows must not become one straggler task/file."""
+    df = (
+        spark.read.parquet(f"{SF001}/lineitem.parquet")
+        .repartition(8)  # many input splits, as any large table has
+        .withColumn("flag", F.when(F.col("l_orderkey") % 10 < 6, F.lit("HOT")).otherwise(F.col("l_returnflag")))
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        w = write_table(df, f"{db}.skew", "create", partition_by=["flag"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = _files(spark, f"{db}.skew")
+    hot = [f for f in files if "flag=HOT" in f]
+    assert len(hot) > 1
+    assert w.rows == df.count() == spark.table(f"{db}.skew").count()
