@@ -3,9 +3,10 @@
 Steps, all metadata work except the two counts:
 
 1. Infer the layout (S5): schema with partition columns from directory
-   names, and — by reading the same path once more with directory
-   discovery off — which of those columns are partition columns.  Both are
-   footer reads; file listing is distributed by Spark for big trees.
+   names (footer reads; file listing is distributed by Spark for big
+   trees), and which columns are partition columns: the ``key=value``
+   segments of one file's path (a one-row job), or else the columns the
+   files themselves do not hold.
 2. ``CREATE NAMESPACE IF NOT EXISTS`` (K5).
 3. ``CREATE TABLE IF NOT EXISTS … PARTITIONED BY (…)`` with the column
    list from ``StructType.toDDL()`` (K4a/K4b; it quotes nested field names,
@@ -26,8 +27,10 @@ Steps, all metadata work except the two counts:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, _parse_datatype_string
@@ -62,9 +65,15 @@ def infer_layout(
     ``ds=2024-01-15`` is inferred as ``date`` by Spark, ``ds=2024-01`` as
     ``string``; ``partition_types`` (e.g. ``{"ds": "string"}``) overrides.
     """
-    inferred = read_parquet(spark, path, merge_schema=merge_schema).schema
-    in_files = {f.name for f in file_schema(spark, path, merge_schema=merge_schema).fields}
-    partition_columns = tuple(f.name for f in inferred.fields if f.name not in in_files)
+    df = read_parquet(spark, path, merge_schema=merge_schema)
+    inferred = df.schema
+    # Directory keys of one file: Spark requires every leaf directory to carry
+    # the same keys, so one path is enough (a one-row job).  This also finds a
+    # partition column that is stored inside the files as well.
+    partition_columns = _path_partition_columns(df, path, {f.name for f in inferred.fields})
+    if not partition_columns:
+        in_files = {f.name for f in file_schema(spark, path, merge_schema=merge_schema).fields}
+        partition_columns = tuple(f.name for f in inferred.fields if f.name not in in_files)
     if partition_types:
         unknown = set(partition_types) - set(partition_columns)
         if unknown:
@@ -80,6 +89,20 @@ def infer_layout(
     return Layout(schema=inferred, partition_columns=partition_columns)
 
 
+def _path_partition_columns(df: DataFrame, root: str, columns: set[str]) -> tuple[str, ...]:
+    from pyspark.sql import functions as F
+
+    first = df.select(F.col("_metadata.file_path").alias("p")).limit(1).collect()
+    if not first:
+        return ()
+    file_path = unquote(first[0]["p"])
+    bare_root = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/", root.rstrip("/"))
+    bare_file = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/", file_path)
+    rel = bare_file[len(bare_root):] if bare_file.startswith(bare_root + "/") else bare_file
+    keys = [seg.split("=", 1)[0] for seg in rel.strip("/").split("/")[:-1] if "=" in seg]
+    return tuple(k for k in keys if k in columns)
+
+
 def layout_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     """K4a as data: one row per column ``(column_name, data_type, is_partition)``."""
     parts = set(layout.partition_columns)

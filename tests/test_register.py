@@ -88,3 +88,28 @@ def test_glob_below_root_keeps_partition_column(spark, scratch):
     df = read_parquet(spark, f"{path}/ds=2024-01-1*", base_path=path)
     assert "ds" in df.columns and df.select("ds").distinct().count() == 10
     assert os.path.isdir(path)
+
+
+def test_partition_column_also_stored_in_files(spark, db, scratch):
+    path = scratch("dup")
+    ev = _events(spark)
+    for d in ("2024-01-15", "2024-01-16"):
+        ev.where(F.col("ds") == d).write.parquet(f"{path}/ds={d}")  # ds inside the files too
+    reg = register_files(spark, path, f"{db}.dup")
+    assert reg.layout.partition_columns == ("ds",) and reg.status == "success"
+    t = spark.table(f"{db}.dup")
+    assert [c.name for c in spark.catalog.listColumns(f"{db}.dup") if c.isPartition] == ["ds"]
+    assert len(t.where("ds = '2024-01-15'").inputFiles()) == 1
+    assert t.where("ds = '2024-01-15'").count() == ev.where("ds = '2024-01-15'").count()
+
+
+def test_two_level_layout_with_inner_key_in_files(spark, db, scratch):
+    path = scratch("two")
+    ev = _events(spark).withColumn("kind", F.col("event_type"))
+    ev.write.partitionBy("ds").parquet(path + "/tmp_unused")  # unrelated sibling tree
+    for d in ("2024-01-15", "2024-01-16"):
+        part = ev.where(F.col("ds") == d)
+        for k in [r[0] for r in part.select("kind").distinct().collect()]:
+            part.where(F.col("kind") == k).drop("ds").write.parquet(f"{path}/main/ds={d}/kind={k}")
+    reg = register_files(spark, f"{path}/main", f"{db}.two")
+    assert reg.layout.partition_columns == ("ds", "kind") and reg.status == "success"
