@@ -27,6 +27,7 @@ from .operators import (
     write_table,
 )
 from .plans.batch import MigrationOptions, run_migration, select_tables, summarize
+from .plans.staging import stage_exports, stage_tables
 from .plans.checks import (
     count_equal_sql,
     distinct_partitions_sql,
@@ -398,6 +399,20 @@ def register_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_tables_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging load (K6 per table): whole tables overwritten into a database, rows per table."""
+    db, _ = scratch_database(spark, "stage")
+    report = stage_tables(spark, {n: _path(sf_dir, n) for n in ("orders", "lineitem")}, db, max_rows=0)
+    return report.select("name", "n_rows", "status")
+
+
+def stage_exports_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging export (T5+K7+A3 per table): each whole table once per ds value, rows per (table, ds)."""
+    root = scratch_path(spark, "stage_raw")
+    return stage_exports(spark, {n: _path(sf_dir, n) for n in ("orders", "customer")}, root, max_rows=0,
+                         ds_values=REPLICA_DS)
+
+
 KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_catalog_table": scan_catalog_table,
     "scan_parquet": scan_parquet,
@@ -430,6 +445,8 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "migrate_subset": migrate_subset,
     "migration_summary": migration_summary,
     "register_report": register_report,
+    "stage_tables": stage_tables_key,
+    "stage_exports": stage_exports_key,
 }
 
 _EVENTS_DS = "SELECT *, CAST(ts AS DATE) AS ds FROM events"
@@ -529,4 +546,14 @@ ORACLES: dict[str, str] = {
         f"SELECT 'events' AS tbl, count(*) AS source_rows, count(*) AS target_rows, {_COUNT_OK} FROM events "
         "UNION ALL SELECT 'orders', count(*), count(*), 'success' FROM orders"
     ),
+    "stage_tables": (
+        f"SELECT 'orders' AS name, count(*) AS n_rows, {_COUNT_OK} FROM orders "
+        "UNION ALL SELECT 'lineitem', count(*), 'success' FROM lineitem"
+    ),
+    "stage_exports": (
+        f"SELECT 'orders' AS name, '{REPLICA_DS[0]}' AS ds, count(*) AS n_rows FROM orders "
+        f"UNION ALL SELECT 'orders', '{REPLICA_DS[1]}', count(*) FROM orders "
+        f"UNION ALL SELECT 'customer', '{REPLICA_DS[0]}', count(*) FROM customer "
+        f"UNION ALL SELECT 'customer', '{REPLICA_DS[1]}', count(*) FROM customer"
+    ),
 }

@@ -17,6 +17,7 @@ from .checks import (
     run_checks,
 )
 from .profiles import build_session, can_register, catalog_settings, session_settings
+from .staging import stage_exports, stage_tables
 
 __all__ = [
     "Check",
@@ -41,5 +42,7 @@ __all__ = [
     "run_migration",
     "select_tables",
     "session_settings",
+    "stage_exports",
+    "stage_tables",
     "summarize",
 ]

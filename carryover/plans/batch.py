@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.names import quote_ident, quote_ref, split_ref
-from ..operators.register import register_files
+from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, subtract_fingerprint
 from ..operators.write import ensure_namespace, table_exists, write_table
 from ..sources.base import Source
 from ..sources.catalog import CatalogSource
-from ..sources.parquet import ParquetSource, file_schema, read_parquet
+from ..sources.parquet import ParquetSource, read_parquet
 
 WRITE_MODES = ("create", "replace", "append", "register")
 VERIFY = ("count", "content")
@@ -95,8 +95,7 @@ def _source_partition_columns(spark: SparkSession, source: Source, ref: str) ->
         if isinstance(source, CatalogSource):
             return [c.name for c in spark.catalog.listColumns(quote_ref(source.resolve(ref))) if c.isPartition]
         if isinstance(source, ParquetSource):
-            files = {f.name for f in file_schema(spark, ref, merge_schema=source.merge_schema).fields}
-            return [f.name for f in read_parquet(spark, ref).schema.fields if f.name not in files]
+            return list(infer_layout(spark, ref, merge_schema=source.merge_schema).partition_columns)
     except Exception:  # noqa: BLE001 - unknown layout: let prepare_for_write decide
         return None
     return None
