@@ -175,7 +175,7 @@ def load_overwrite(df: DataFrame, table: str, max_rows: int = 0, *, fmt: str = "
 class Exported:
     path: str
     rows: int
-    partitions: DataFrame  # partition columns + n_rows added by this export
+    partitions: DataFrame  # partition columns + n_rows written by this export
 
 
 def export_partitioned(
@@ -186,34 +186,28 @@ def export_partitioned(
     mode: str = "append",
     max_records_per_file: int | None = None,
     input_partition_columns: Sequence[str] | None = None,
+    verify: bool = False,
 ) -> Exported:
     """K7 + A3: write Hive-style ``col=value/`` Parquet directories.
 
     The partition columns live only in the directory names.  ``append`` is
     the reference's mode, so re-running an export adds the rows again.
 
-    Rows per partition (A3) are *what this export added*: a footer-only
-    count per partition of the directory after the write, minus the same
-    count taken before it (checkpointed to the shared checkpoint folder,
-    so it is a snapshot, not a lazy re-read).  Neither count decodes a data
-    page, and no second scan of the source is needed.
+    ``rows`` is counted by the write itself.  Rows per partition (A3) are a
+    ``groupBy(partition columns).count()`` over the exported DataFrame:
+    Parquet reads only the columns the partition values derive from (none
+    for a literal ``ds``), each task pre-aggregates to one row per value,
+    and the cost follows the size of this export, not the history already
+    in the target tree.  ``verify=True`` runs it at once and checks that it
+    sums to the written total (a source that changed between the two reads
+    is an error).
     """
     if not partition_by:
         raise ValueError("partition_by must name at least one column")
     if mode not in ("append", "overwrite", "errorifexists"):
         raise ValueError(f"unsupported export mode {mode!r}")
-    spark = df.sparkSession
     cols = list(partition_by)
 
-    before = None
-    if mode == "append" and _path_exists(spark, path):
-        before = (
-            spark.read.parquet(path)
-            .groupBy(*cols)
-            .agg(F.count(F.lit(1)).alias("_before"))
-            .checkpoint(eager=True)
-        )
-
     prepared = prepare_for_write(df, partition_by=cols, input_partition_columns=input_partition_columns)
     observed, obs = _observed(prepared, fingerprint=False)
     writer = observed.write.mode(mode).partitionBy(*cols)
@@ -222,31 +216,9 @@ def export_partitioned(
     writer.parquet(path)
     rows = int(obs.get.get("rows") or 0)
 
-    after = spark.read.parquet(path).groupBy(*cols).agg(F.count(F.lit(1)).alias("_after"))
-    if before is None:
-        per_part = after.withColumnRenamed("_after", "n_rows")
-    else:
-        cond = [after[c].eqNullSafe(before[c]) for c in cols]
-        per_part = (
-            after.join(before, cond, "left")
-            .select(*[after[c] for c in cols], (after["_after"] - F.coalesce(before["_before"], F.lit(0))).alias("n_rows"))
-            .where(F.col("n_rows") != 0)
-        )
+    per_part = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+    if verify:
+        total = per_part.agg(F.sum("n_rows")).first()[0] or 0
+        if int(total) != rows:
+            raise RuntimeError(f"export wrote {rows} rows but the input now has {total}")
     return Exported(path=path, rows=rows, partitions=per_part)
-
-
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` exists (one file-system call on the driver, no job)."""
-    try:
-        jvm = spark.sparkContext._jvm  # type: ignore[attr-defined]
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # type: ignore[attr-defined]
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): ask the reader
-        try:
-            spark.read.parquet(path).schema  # noqa: B018
-            return True
-        except Exception as exc:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return False
-            raise
