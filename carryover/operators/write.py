@@ -133,7 +133,7 @@ def write_table(
     if is_v1_target(spark, table, fmt):
         # V1 append must restate the table's own format and partitioning.
         writer = observed.write.options(**(options or {}))
-        writer = writer.format(table_provider(spark, table) or fmt if mode == "append" else fmt)
+        writer = writer.format((table_provider(spark, table) or fmt) if mode == "append" else fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.mode({"create": "errorifexists", "replace": "overwrite", "append": "append"}[mode]).saveAsTable(ref)

@@ -125,3 +125,22 @@ def test_hot_partition_value_is_split_across_tasks(spark, db):
     hot = [f for f in files if "flag=HOT" in f]
     assert len(hot) > 1
     assert w.rows == df.count() == spark.table(f"{db}.skew").count()
+
+
+def _jobs_in(spark, group, fn):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return sc.statusTracker().getJobIdsForGroup(group)
+
+
+def test_copy_reads_the_source_once(spark, db):
+    """The count comes from the write's own Observation: one job, no separate count scan."""
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    jobs = _jobs_in(spark, "copy-once", lambda: write_table(df, f"{db}.once", "create"))
+    assert len(jobs) == 1
+    stages = spark.sparkContext.statusTracker().getJobInfo(jobs[0]).stageIds
+    assert len(stages) == 1  # scan and write pipelined in one stage
