@@ -2,7 +2,8 @@
 
 Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default
 ``/root/testdata/sf0.1``) and prints ONE JSON line.  The JVM is warmed
-first with the same operations on sf0.001, then every query is timed once.
+first with the same operations on sf0.001, then every query is timed
+``$BENCH_REPEAT`` times (default 3) and its median is reported.
 Writes go to the shared scratch folder of the session
 (``spark.checkpoint.dir``).
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -34,6 +36,7 @@ from carryover.sources import ParquetSource  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARM_DIR = "/root/testdata/sf0.001"
+REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
 
 def _read(spark, sf, name):
@@ -131,9 +134,12 @@ def main() -> None:
         fn(spark, WARM_DIR)
     times: dict[str, float] = {}
     for name, fn in QUERIES.items():
-        t0 = time.perf_counter()
-        fn(spark, SF_DIR)
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(REPEAT):
+            t0 = time.perf_counter()
+            fn(spark, SF_DIR)
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)$", SF_DIR)
     sf = float(m.group(1)) if m else None
     print(
@@ -144,6 +150,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": sf,
+                "repeat": REPEAT,
             }
         )
     )
