@@ -112,7 +112,7 @@ def migrate_table(
     options.validate()
     name = target_name or source.target_name(ref)
     target = options.target(name)
-    ensure_namespace(spark, ".".join(quote_ident(p) for p in (options.catalog, options.database)))
+    namespace = ".".join(quote_ident(p) for p in (options.catalog, options.database))
 
     if options.mode == "register":
         if not isinstance(source, ParquetSource):
@@ -144,7 +144,8 @@ def migrate_table(
             "error": error,
         }
 
-    df = source.read(spark, ref)
+    df = source.read(spark, ref)  # resolves the source before anything is created
+    ensure_namespace(spark, namespace)
     content = options.verify == "content"
     rows_before = 0
     fp_before = None

@@ -102,3 +102,12 @@ def test_staging_load_and_export(spark, db, scratch):
     again = stage_exports(spark, {"orders": inputs["orders"]}, root, max_rows=50, order_by=["o_orderkey"])
     assert {r["n_rows"] for r in again.collect()} == {50}  # re-run appends, and says so
     assert spark.read.parquet(f"{root}/orders").count() == 200
+
+
+def test_missing_source_creates_nothing(spark):
+    from carryover.plans import MigrationOptions, run_migration
+
+    db = "never_created_ns"
+    row = run_migration(spark, ParquetSource(), [f"{SF001}/absent.parquet"], MigrationOptions(database=db)).first()
+    assert row["status"] == "failed"
+    assert not spark.catalog.databaseExists(db)
