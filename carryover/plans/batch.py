@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.names import quote_ident, quote_ref, split_ref
+from ..jobs import labelled
 from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, subtract_fingerprint
 from ..operators.write import ensure_namespace, table_exists, write_table
@@ -228,8 +229,13 @@ def run_migration(
     *,
     targets: Mapping[str, str] | None = None,
     parallelism: int = 1,
+    scheduler_pool: str | None = None,
 ) -> DataFrame:
-    """O2: migrate every ref; one row per ref in the report, in input order."""
+    """O2: migrate every ref; one row per ref in the report, in input order.
+
+    ``parallelism`` tables are in flight at once (driver threads submitting
+    jobs); ``scheduler_pool`` names the FAIR pool their jobs run in.
+    """
     options.validate()
     refs = [r for r in refs if r and r.strip()]
     planned = plan_targets(source, refs, options, targets)
@@ -239,7 +245,8 @@ def run_migration(
         if isinstance(t, BaseException):
             return _failed(ref, None, options.mode, t)
         try:
-            return migrate_table(spark, source, ref, options, target_name=split_ref(t)[-1])
+            with labelled(spark, f"carryover {options.mode} {ref} -> {t}", scheduler_pool):
+                return migrate_table(spark, source, ref, options, target_name=split_ref(t)[-1])
         except Exception as exc:  # noqa: BLE001 - isolate the failure, go on with the rest
             return _failed(ref, t, options.mode, exc)
 

@@ -104,43 +104,67 @@ def _error_text(exc: BaseException) -> str:
     return text[0][:500] if text else type(exc).__name__
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check], *, sample_rows: int = 20) -> CheckRun:
-    """V1: run each check with ``spark.sql``; one report row per check.
+def _run_one(spark: SparkSession, i: int, check: Check, sample_rows: int) -> tuple[tuple, DataFrame | None, list | None]:
+    label = check.assert_msg or f"Query #{i}"
+    kind = "assert" if check.is_assertion else "info"
+    info_df = sample = None
+    try:
+        df = spark.sql(check.sql)
+        if check.is_assertion:
+            head = df.take(2)
+            if not head:
+                ok, detail = False, "query returned no rows"
+            else:
+                ok, detail = judge(head[0][0])
+                if len(head) > 1:
+                    detail = (detail + "; " if detail else "") + "more than one row, first judged"
+            status = "passed" if ok else "failed"
+        else:
+            sample = [r.asDict() for r in df.take(sample_rows)]
+            info_df = df
+            status, detail = "passed", ""
+    except Exception as exc:  # noqa: BLE001 - a failing check must not stop the run
+        status, detail = "error", _error_text(exc)
+    return (i, label, kind, status, detail or None), info_df, sample
+
+
+def run_checks(
+    spark: SparkSession,
+    checks: Sequence[Check],
+    *,
+    sample_rows: int = 20,
+    parallelism: int = 1,
+    scheduler_pool: str | None = None,
+) -> CheckRun:
+    """V1: run each check with ``spark.sql``; one report row per check, in file order.
 
     Statuses: ``passed``, ``failed`` (assertion false / empty / not boolean)
     and ``error`` (the statement did not run).  Errors count as failures.
+    Checks are independent queries, so ``parallelism > 1`` runs that many
+    at once from driver threads (each a Spark job over its tables).
     """
-    rows: list[tuple] = []
-    info: dict[str, DataFrame] = {}
-    samples: dict[str, list] = {}
-    passed = failed = 0
-    for i, check in enumerate(checks, 1):
-        label = check.assert_msg or f"Query #{i}"
-        kind = "assert" if check.is_assertion else "info"
-        try:
-            df = spark.sql(check.sql)
-            if check.is_assertion:
-                head = df.take(2)
-                if not head:
-                    ok, detail = False, "query returned no rows"
-                else:
-                    ok, detail = judge(head[0][0])
-                    if len(head) > 1:
-                        detail = (detail + "; " if detail else "") + "more than one row, first judged"
-                status = "passed" if ok else "failed"
-            else:
-                samples[label] = [r.asDict() for r in df.take(sample_rows)]
-                info[label] = df
-                status, detail = "passed", ""
-        except Exception as exc:  # noqa: BLE001 - a failing check must not stop the run
-            status, detail = "error", _error_text(exc)
-        if status == "passed":
-            passed += 1
-        else:
-            failed += 1
-        rows.append((i, label, kind, status, detail or None))
+    from ..jobs import labelled
+
+    def one(item: tuple[int, Check]):
+        i, check = item
+        with labelled(spark, f"carryover check {i}: {check.assert_msg or 'information query'}", scheduler_pool):
+            return _run_one(spark, i, check, sample_rows)
+
+    items = list(enumerate(checks, 1))
+    if parallelism > 1 and len(items) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            results = list(pool.map(one, items))
+    else:
+        results = [one(item) for item in items]
+
+    rows = [r for r, _, _ in results]
+    info = {r[1]: df for r, df, _ in results if df is not None}
+    samples = {r[1]: s for r, _, s in results if s is not None}
+    passed = sum(1 for r in rows if r[3] == "passed")
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
-    return CheckRun(report=report, info=info, samples=samples, passed=passed, failed=failed)
+    return CheckRun(report=report, info=info, samples=samples, passed=passed, failed=len(rows) - passed)
 
 
 def run_check_file(spark: SparkSession, path: str | Path, **kwargs) -> CheckRun:

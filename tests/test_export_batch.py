@@ -111,3 +111,21 @@ def test_missing_source_creates_nothing(spark):
     row = run_migration(spark, ParquetSource(), [f"{SF001}/absent.parquet"], MigrationOptions(database=db)).first()
     assert row["status"] == "failed"
     assert not spark.catalog.databaseExists(db)
+
+
+def test_checks_in_parallel_keep_file_order_and_label_jobs(spark, db):
+    from carryover.plans import parse_checks, run_checks
+    from carryover.plans.checks import count_equal_sql, non_empty_sql
+
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    df.write.saveAsTable(f"{db}.a")
+    df.write.saveAsTable(f"{db}.b")
+    text = "\n\n".join(
+        [f"-- ASSERT: eq\n{count_equal_sql(f'{db}.a', f'{db}.b')}", f"-- ASSERT: ne\n{non_empty_sql(f'{db}.a')}",
+         f"-- ASSERT: bad\nSELECT count(*) > 0 FROM {db}.zzz", f"SELECT count(*) AS n FROM {db}.a"] * 3
+    )
+    serial = run_checks(spark, parse_checks(text))
+    parallel = run_checks(spark, parse_checks(text), parallelism=4)
+    assert serial.report.collect() == parallel.report.collect()
+    assert (parallel.passed, parallel.failed) == (9, 3)
+    assert spark.sparkContext.getLocalProperty("spark.job.description") is None
