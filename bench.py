@@ -24,6 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from carryover.operators import (  # noqa: E402
     export_partitioned,
     fingerprint,
+    fingerprint_pair,
     partition_stats,
     register_files,
     replicate_partitions,
@@ -70,6 +71,20 @@ def q_copy_verified(spark, sf):
     return w.rows
 
 
+def setup_content_compare(spark, sf):
+    db, _ = scratch_database(spark, "bench")
+    write_table(_read(spark, sf, "lineitem"), f"{db}.lineitem", "create")
+    return f"{db}.lineitem"
+
+
+def q_content_compare(spark, sf, copy):
+    """Content of the lineitem file vs an existing copy, both directions at once (vs exceptAll)."""
+    df = _read(spark, sf, "lineitem")
+    a, b = fingerprint_pair(df, spark.table(copy))
+    assert a == b, (a, b)
+    return True
+
+
 def q_migrate_batch(spark, sf):
     """O1/O2: batch of lineitem, orders, customer, part with count validation."""
     db, _ = scratch_database(spark, "bench")
@@ -115,11 +130,14 @@ def q_checks(spark, sf):
     return run.passed
 
 
+SETUP = {"content_compare": setup_content_compare}  # untimed preparation, its result is passed on
+
 QUERIES = {
     "count": q_count,
     "copy": q_copy,
     "copy_partitioned": q_copy_partitioned,
     "copy_verified": q_copy_verified,
+    "content_compare": q_content_compare,
     "migrate_batch": q_migrate_batch,
     "export_register": q_export_register,
     "replicate_export": q_replicate_export,
@@ -130,14 +148,16 @@ QUERIES = {
 
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
-    for fn in QUERIES.values():  # warm-up on the smallest scale
-        fn(spark, WARM_DIR)
+    for name, fn in QUERIES.items():  # warm-up on the smallest scale
+        extra = (SETUP[name](spark, WARM_DIR),) if name in SETUP else ()
+        fn(spark, WARM_DIR, *extra)
     times: dict[str, float] = {}
     for name, fn in QUERIES.items():
+        extra = (SETUP[name](spark, SF_DIR),) if name in SETUP else ()
         runs = []
         for _ in range(REPEAT):
             t0 = time.perf_counter()
-            fn(spark, SF_DIR)
+            fn(spark, SF_DIR, *extra)
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)$", SF_DIR)

@@ -3,7 +3,7 @@
 from .register import Layout, Registered, add_files_sql, create_table_sql, infer_layout, layout_rows, register_files
 from .stats import file_stats, partition_stats
 from .transforms import limit_rows, prepare_for_write, replicate_partitions, tag_partition
-from .validate import compare, count_rows, fingerprint, fingerprint_exprs, subtract_fingerprint
+from .validate import compare, count_rows, fingerprint, fingerprint_exprs, fingerprint_pair, subtract_fingerprint
 from .write import (
     MODES,
     Exported,
@@ -32,6 +32,7 @@ __all__ = [
     "file_stats",
     "fingerprint",
     "fingerprint_exprs",
+    "fingerprint_pair",
     "infer_layout",
     "is_v1_target",
     "layout_rows",

@@ -51,6 +51,33 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     return row.asDict() if row is not None else {"rows": 0, "hash_sum": 0}
 
 
+def fingerprint_pair(
+    left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None
+) -> tuple[dict[str, object], dict[str, object]]:
+    """Fingerprints of two DataFrames in ONE job: both scans run side by side.
+
+    Each side is reduced to its row hash and a side tag, the two are glued
+    with ``unionByName`` and grouped by the tag: partial sums per task, two
+    groups in the final merge.  Columns are matched by name.
+    """
+    cols = sorted(columns if columns is not None else left.columns)
+
+    def hashed(df: DataFrame, side: int) -> DataFrame:
+        row_hash = F.xxhash64(*[_hashable(df, c) for c in cols]) if cols else F.lit(0).cast("bigint")
+        return df.select(row_hash.alias("_h"), F.lit(side).alias("_side"))
+
+    rows = (
+        hashed(left, 0)
+        .unionByName(hashed(right, 1))
+        .groupBy("_side")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("_h").cast(HASH_SUM_TYPE)).alias("hash_sum"))
+        .collect()
+    )
+    found = {r["_side"]: {"rows": r["rows"], "hash_sum": r["hash_sum"] or 0} for r in rows}
+    empty = {"rows": 0, "hash_sum": 0}
+    return found.get(0, dict(empty)), found.get(1, dict(empty))
+
+
 def count_rows(df: DataFrame) -> int:
     """A1/A2: row count; on a file table this reads no column (``ReadSchema: struct<>``)."""
     return int(df.count())

@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..functions.names import quote_ident, quote_ref, split_ref
 from ..jobs import labelled
 from ..operators.register import infer_layout, register_files
-from ..operators.validate import compare, fingerprint, subtract_fingerprint
+from ..operators.validate import compare, fingerprint, fingerprint_pair, subtract_fingerprint
 from ..operators.write import ensure_namespace, table_exists, write_table
 from ..sources.base import Source
 from ..sources.catalog import CatalogSource
@@ -128,12 +128,9 @@ def migrate_table(
         )
         status, error = compare(reg.source_rows, reg.target_rows)
         if options.verify == "content" and status == "success":
-            status, error = compare(
-                reg.source_rows,
-                reg.target_rows,
-                fingerprint(read_parquet(spark, ref, merge_schema=source.merge_schema)),
-                fingerprint(spark.table(target)),
-            )
+            files = read_parquet(spark, ref, merge_schema=source.merge_schema)
+            fp_files, fp_table = fingerprint_pair(files, spark.table(target), files.columns)
+            status, error = compare(reg.source_rows, reg.target_rows, fp_files, fp_table)
         return {
             "source": ref,
             "target": target,

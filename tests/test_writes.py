@@ -144,3 +144,17 @@ def test_copy_reads_the_source_once(spark, db):
     assert len(jobs) == 1
     stages = spark.sparkContext.statusTracker().getJobInfo(jobs[0]).stageIds
     assert len(stages) == 1  # scan and write pipelined in one stage
+
+
+def test_fingerprint_pair_matches_single_fingerprints(spark, db):
+    from carryover.operators import fingerprint_pair
+
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    write_table(df, f"{db}.pair", "create", partition_by=["o_orderstatus"])
+    copy = spark.table(f"{db}.pair")  # partition column moved last: matched by name
+    a, b = fingerprint_pair(df, copy)
+    assert a == b == fingerprint(df)
+    c, d = fingerprint_pair(df, copy.where("o_orderkey % 7 <> 0"))
+    assert c["rows"] > d["rows"] and c["hash_sum"] != d["hash_sum"]
+    e, f = fingerprint_pair(df, df.where("false"))
+    assert f == {"rows": 0, "hash_sum": 0}

@@ -20,6 +20,12 @@ from carryover.plans.checks import count_equal_sql  # noqa: E402
 from carryover.session import local_session, scratch_database, scratch_path  # noqa: E402
 
 
+def _pair_frame(a, b):
+    cols = sorted(a.columns)
+    h = lambda df, side: df.select(F.xxhash64(*cols).alias("_h"), F.lit(side).alias("_side"))
+    return h(a, 0).unionByName(h(b, 1)).groupBy("_side").agg(F.count(F.lit(1)), F.sum(F.col("_h").cast("decimal(38,0)")))
+
+
 def plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -44,6 +50,8 @@ def main() -> None:
         ("Target count after a copy (no column read)", spark.table(f"{db}.lineitem").groupBy().count()),
         ("Content fingerprint (partial aggregate per task, one row per task shuffled)",
          spark.table(f"{db}.lineitem").agg(*fingerprint_exprs(li))),
+        ("Two-sided content comparison: both scans in one map stage (Union under one Exchange)",
+         _pair_frame(li, spark.table(f"{db}.lineitem"))),
         ("Registered table, one partition counted (directory pruning)",
          spark.table(f"{db}.events").where("ds = '2024-01-15'").groupBy().count()),
         ("Registered table, data filter pushed into the Parquet reader",
