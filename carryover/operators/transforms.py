@@ -47,7 +47,7 @@ def prepare_for_write(
     if input_partition_columns is not None and set(partition_by) <= set(input_partition_columns):
         return df
     if _aqe_enabled(df):
-        return df.hint("rebalance", *partition_by)
+        return df.hint("rebalance", *[F.col("`" + c.replace("`", "``") + "`") for c in partition_by])
     return df
 
 

@@ -216,7 +216,7 @@ def export_partitioned(
     writer.parquet(path)
     rows = int(obs.get.get("rows") or 0)
 
-    per_part = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+    per_part = df.groupBy(*[F.col(quote_ident(c)) for c in cols]).agg(F.count(F.lit(1)).alias("n_rows"))
     if verify:
         total = per_part.agg(F.sum("n_rows")).first()[0] or 0
         if int(total) != rows:

@@ -129,3 +129,16 @@ def test_checks_in_parallel_keep_file_order_and_label_jobs(spark, db):
     assert serial.report.collect() == parallel.report.collect()
     assert (parallel.passed, parallel.failed) == (9, 3)
     assert spark.sparkContext.getLocalProperty("spark.job.description") is None
+
+
+def test_odd_column_names_survive_export_and_register(spark, db, scratch):
+    from carryover.operators import fingerprint, register_files
+
+    path = scratch("odd")
+    df = spark.sql("SELECT id, CAST(id % 3 AS STRING) AS `part.key`, id * 2 AS `a b` FROM range(30)")
+    ex = export_partitioned(df, path, ["part.key"], verify=True)
+    assert sorted(r["n_rows"] for r in ex.partitions.collect()) == [10, 10, 10]
+    reg = register_files(spark, path, f"{db}.odd")
+    assert reg.status == "success" and reg.layout.partition_columns == ("part.key",)
+    got = spark.table(f"{db}.odd")
+    assert fingerprint(got, ["id", "a b"]) == fingerprint(df, ["id", "a b"])
