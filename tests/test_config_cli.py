@@ -75,3 +75,35 @@ def test_cli_verify_missing_file_fails(tmp_path):
     out = _run("verify", "-c", _config_with_own_warehouse(tmp_path), "-q", os.path.join(FIX, "nope.sql"))
     assert out.returncode == 1
     assert "not found" in out.stdout
+
+
+def test_cli_register_flow(spark, tmp_path, scratch):
+    """Stage raw ds= trees, then register them through the CLI and run the register checks."""
+    import yaml
+
+    from carryover.plans import stage_exports
+
+    root = scratch("raw")
+    per_ds = stage_exports(
+        spark,
+        {"events": "/root/testdata/sf0.001/events.parquet", "orders": "/root/testdata/sf0.001/orders.parquet"},
+        root,
+        max_rows=0,
+    ).collect()
+    assert len(per_ds) == 4
+    raw = {
+        "source": {"type": "parquet"},
+        "target": {"catalog_type": "session", "database": "raw_reg"},
+        "spark": {
+            "master": "local[2]",
+            "extra_config": {"spark.ui.enabled": "false", "spark.sql.warehouse.dir": str(tmp_path / "wh")},
+        },
+        "tables": [f"{root}/events", f"{root}/orders"],
+        "migration": {"write_mode": "register", "register_partition_columns": ["ds"]},
+    }
+    cfg = tmp_path / "register.yaml"
+    cfg.write_text(yaml.safe_dump(raw))
+    out = _run("migrate", "-c", str(cfg), "-q", os.path.join(FIX, "checks-register.sql"))
+    assert out.returncode == 0, out.stdout + out.stderr[-2000:]
+    assert "2 succeeded, 0 failed" in out.stdout
+    assert "Verification: 7 passed, 0 failed" in out.stdout
