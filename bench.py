@@ -147,7 +147,10 @@ QUERIES = {
 
 
 def main() -> None:
-    spark = local_session(CPUS, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage and task times, read with tools/stage_times.py
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(CPUS, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), **extra)
     for name, fn in QUERIES.items():  # warm-up on the smallest scale
         extra = (SETUP[name](spark, WARM_DIR),) if name in SETUP else ()
         fn(spark, WARM_DIR, *extra)
