@@ -18,7 +18,6 @@ from .operators import (
     export_partitioned,
     infer_layout,
     layout_rows,
-    limit_rows,
     load_overwrite,
     partition_stats,
     register_files,
