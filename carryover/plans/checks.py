@@ -116,6 +116,8 @@ def _run_one(spark: SparkSession, i: int, check: Check, sample_rows: int) -> tup
                 ok, detail = False, "query returned no rows"
             else:
                 ok, detail = judge(head[0][0])
+                if not ok:
+                    detail = f"{detail}; first row {head[0].asDict()!r}"[:500]
                 if len(head) > 1:
                     detail = (detail + "; " if detail else "") + "more than one row, first judged"
             status = "passed" if ok else "failed"

@@ -142,3 +142,12 @@ def test_odd_column_names_survive_export_and_register(spark, db, scratch):
     assert reg.status == "success" and reg.layout.partition_columns == ("part.key",)
     got = spark.table(f"{db}.odd")
     assert fingerprint(got, ["id", "a b"]) == fingerprint(df, ["id", "a b"])
+
+
+def test_failed_assertion_reports_its_row(spark):
+    from carryover.plans import parse_checks, run_checks
+
+    run = run_checks(spark, parse_checks("-- ASSERT: zero\nSELECT 0 AS ok, 'why' AS note\n"))
+    row = run.report.first()
+    assert row["status"] == "failed" and "'note': 'why'" in row["detail"]
+    assert run.exit_code == 1
