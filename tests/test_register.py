@@ -113,3 +113,13 @@ def test_two_level_layout_with_inner_key_in_files(spark, db, scratch):
             part.where(F.col("kind") == k).drop("ds").write.parquet(f"{path}/main/ds={d}/kind={k}")
     reg = register_files(spark, f"{path}/main", f"{db}.two")
     assert reg.layout.partition_columns == ("ds", "kind") and reg.status == "success"
+
+
+def test_path_with_quote_and_space_registers(spark, db, scratch):
+    from carryover.sources import scan_path_sql
+
+    path = scratch("it's a dir") + "/raw data"
+    export_partitioned(_events(spark), path, ["ds"])
+    reg = register_files(spark, path, f"{db}.quoted")
+    assert reg.status == "success" and reg.target_rows == 1000
+    assert scan_path_sql(spark, path).count() == 1000
