@@ -467,8 +467,8 @@ ORACLES: dict[str, str] = {
     ),
     "tag_partition": f"SELECT *, DATE '{PRUNE_DS}' AS ds FROM orders",
     "replicate_partitions": (
-        f"SELECT o.*, d.ds FROM orders o CROSS JOIN (SELECT DATE '{REPLICA_DS[0]}' AS ds "
-        f"UNION ALL SELECT DATE '{REPLICA_DS[1]}' AS ds) d"
+        f"SELECT *, DATE '{REPLICA_DS[0]}' AS ds FROM orders "
+        f"UNION ALL SELECT *, DATE '{REPLICA_DS[1]}' AS ds FROM orders"
     ),
     "repartition_write": "SELECT * FROM orders",
     "write_create": "SELECT * FROM part",
