@@ -89,7 +89,7 @@ def q_migrate_batch(spark, sf):
     """O1/O2: batch of lineitem, orders, customer, part with count validation."""
     db, _ = scratch_database(spark, "bench")
     refs = [f"{sf}/{n}.parquet" for n in ("lineitem", "orders", "customer", "part")]
-    rows = run_migration(spark, ParquetSource(), refs, MigrationOptions(database=db), parallelism=2).collect()
+    rows = run_migration(spark, ParquetSource(), refs, MigrationOptions(database=db), parallelism=4).collect()
     assert all(r["status"] == "success" for r in rows), rows
     return sum(r["source_rows"] for r in rows)
 
@@ -125,7 +125,7 @@ def q_checks(spark, sf):
     export_partitioned(ev, path, ["ds"])
     db, _ = scratch_database(spark, "bench")
     register_files(spark, path, f"{db}.events", count=False)
-    run = run_checks(spark, parse_checks(register_check_text([f"{db}.events"], "ds", "2024-01-15")))
+    run = run_checks(spark, parse_checks(register_check_text([f"{db}.events"], "ds", "2024-01-15")), parallelism=4)
     assert run.failed == 0
     return run.passed
 

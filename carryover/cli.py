@@ -35,7 +35,7 @@ def cmd_migrate(args: argparse.Namespace) -> int:
     try:
         rows = run_migration(spark, cfg.source, tables, cfg.options, parallelism=args.parallelism).collect()
         if args.checks:
-            run = run_check_file(spark, args.checks)
+            run = run_check_file(spark, args.checks, parallelism=args.parallelism)
             checks = run.report.collect()
     finally:
         spark.stop()
@@ -60,7 +60,7 @@ def cmd_verify(args: argparse.Namespace) -> int:
     spark = _session(cfg)
     try:
         try:
-            run = run_check_file(spark, args.checks)
+            run = run_check_file(spark, args.checks, parallelism=args.parallelism)
         except FileNotFoundError as exc:
             print(exc)
             return 1
@@ -83,12 +83,13 @@ def main(argv: list[str] | None = None) -> int:
     m = sub.add_parser("migrate", help="copy or register the configured tables")
     m.add_argument("-c", "--config", default="config.yaml")
     m.add_argument("-t", "--tables", default=None, help="comma-separated subset of tables")
-    m.add_argument("--parallelism", type=int, default=1)
+    m.add_argument("--parallelism", type=int, default=4, help="tables (and checks) in flight at once")
     m.add_argument("-q", "--checks", default=None, help="check file to run afterwards in the same session")
     m.set_defaults(func=cmd_migrate)
     v = sub.add_parser("verify", help="run a file of SQL checks")
     v.add_argument("-c", "--config", default="config.yaml")
     v.add_argument("-q", "--checks", required=True)
+    v.add_argument("--parallelism", type=int, default=4, help="checks in flight at once")
     v.set_defaults(func=cmd_verify)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
