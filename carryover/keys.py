@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .operators import (
     export_partitioned,
+    fingerprint_pair,
     infer_layout,
     layout_rows,
     load_overwrite,
@@ -37,7 +38,7 @@ from .plans.checks import (
     run_checks,
 )
 from .session import scratch_database, scratch_path
-from .sources import CatalogSource, ParquetSource, scan_path_sql
+from .sources import CatalogSource, ParquetSource, read_parquet, scan_path_sql
 
 # Fixed values of the reference's staging and check files.
 PRUNE_DS = "2024-01-15"
@@ -112,6 +113,20 @@ def scan_path_sql_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_path_sql(spark, _path(sf_dir, "supplier"))
 
 
+def scan_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S5 option: files with different columns under one root, read with ``mergeSchema``.
+
+    ``orders`` is written in two parts: status ``F`` with every column, the
+    rest without ``o_orderpriority``; the merged read has the column, NULL
+    where a file lacks it.
+    """
+    orders = _read(spark, sf_dir, "orders")
+    root = scratch_path(spark, "merge")
+    orders.where(F.col("o_orderstatus") == "F").write.parquet(f"{root}/part=full")
+    orders.where(F.col("o_orderstatus") != "F").drop("o_orderpriority").write.parquet(f"{root}/part=narrow")
+    return read_parquet(spark, root, merge_schema=True).select(*orders.columns)
+
+
 # --- transforms ------------------------------------------------------------
 
 
@@ -348,6 +363,17 @@ def content_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def content_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 content, two existing sides: each file vs its partitioned copy, in one pass per pair."""
+    rows = []
+    for name, part in (("lineitem", "l_returnflag"), ("orders", "o_orderstatus")):
+        src = _read(spark, sf_dir, name)
+        table, _ = _copy(spark, src, name, partition_by=[part])
+        a, b = fingerprint_pair(src, spark.table(table))
+        rows.append((name, int(a["rows"]), int(b["rows"]), a == b))
+    return spark.createDataFrame(rows, "tbl string, source_rows bigint, target_rows bigint, same_content boolean")
+
+
 def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three refs, one missing; the missing one fails alone."""
     db, _ = scratch_database(spark, "batch")
@@ -418,6 +444,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_partitioned": scan_partitioned,
     "infer_schema": infer_schema,
     "scan_path_sql": scan_path_sql_key,
+    "scan_merge_schema": scan_merge_schema,
     "limit_rows": limit_rows_key,
     "tag_partition": tag_partition_key,
     "replicate_partitions": replicate_partitions_key,
@@ -440,6 +467,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_checks": run_checks_key,
     "row_count_validation": row_count_validation,
     "content_validation": content_validation,
+    "content_compare": content_compare,
     "migration_report": migration_report,
     "migrate_subset": migrate_subset,
     "migration_summary": migration_summary,
@@ -461,6 +489,10 @@ ORACLES: dict[str, str] = {
         "('props', 'string', false), ('ds', 'date', true)) AS t(column_name, data_type, is_partition)"
     ),
     "scan_path_sql": "SELECT * FROM supplier",
+    "scan_merge_schema": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+        "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority FROM orders"
+    ),
     "limit_rows": (
         f"SELECT CAST(CASE WHEN count(*) < {SAMPLE_ROWS} THEN count(*) ELSE {SAMPLE_ROWS} END AS BIGINT) "
         "AS n_rows FROM lineitem"
@@ -526,6 +558,10 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT 'lineitem', 'append', count(*), 2 * count(*), count(*), 'success' FROM lineitem "
         "UNION ALL SELECT 'orders', 'append', count(*), 2 * count(*), count(*), 'success' FROM orders"
     ),
+    "content_compare": (
+        "SELECT 'lineitem' AS tbl, count(*) AS source_rows, count(*) AS target_rows, true AS same_content "
+        "FROM lineitem UNION ALL SELECT 'orders', count(*), count(*), true FROM orders"
+    ),
     "migration_report": (
         "SELECT 'orders.parquet' AS src, 'orders' AS tbl, count(*) AS source_rows, count(*) AS target_rows, "
         f"{_COUNT_OK}, false AS has_error FROM orders "
