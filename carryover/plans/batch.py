@@ -2,7 +2,9 @@
 
 Per table (O1): validate the options first, resolve names, read lazily,
 write (one scan of the source, counted by an ``Observation`` on the
-write), recount the target, compare (V6).  Registration takes the
+write), recount the target, compare (V6).  For an append to a
+partitioned table the recount covers only the partitions the append
+touches (``target_rows`` then means rows in those partitions).  Registration takes the
 metadata path of :mod:`carryover.operators.register`.
 
 Across tables (O2): target names are derived for all tables first and a
@@ -29,12 +31,15 @@ from ..functions.names import quote_ident, quote_ref, split_ref
 from ..jobs import labelled
 from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, fingerprint_pair, subtract_fingerprint
-from ..operators.write import ensure_namespace, table_exists, write_table
+from ..operators.write import ensure_namespace, table_exists, table_partition_columns, write_table
 from ..sources.base import Source
 from ..sources.catalog import CatalogSource
 from ..sources.parquet import ParquetSource, read_parquet
 
 WRITE_MODES = ("create", "replace", "append", "register")
+# An append touching more values of the outermost partition column than this
+# is validated over the whole table.
+MAX_SCOPED_PARTITIONS = 10_000
 VERIFY = ("count", "content")
 
 REPORT_SCHEMA = StructType(
@@ -102,6 +107,35 @@ def _source_partition_columns(spark: SparkSession, source: Source, ref: str) ->
     return None
 
 
+def _append_scope(spark: SparkSession, df: DataFrame, target: str):
+    """For an append to a partitioned table: restrict reads of the target to touched partitions.
+
+    Validation compares ``rows after - rows before`` over the SAME part of the
+    target, so any superset of the touched partitions gives the exact delta.
+    The scope is the set of values the incoming rows have in the outermost
+    partition column: a column-pruned distinct over the source, taken once
+    with a hard cap (``limit(MAX_SCOPED_PARTITIONS + 1)``, so at most that
+    many small values ever reach the driver).  As an ``IN`` filter on a
+    partition column it prunes directories when the query is planned: a
+    daily append into years of history lists and counts one day.  More
+    values than the cap: ``None``, i.e. count the whole table (still exact).
+    """
+    if not table_exists(spark, target):
+        return None
+    cols = table_partition_columns(spark, target)
+    if not cols or cols[0] not in df.columns:
+        return None
+    first = F.col(quote_ident(cols[0]))
+    found = [r[0] for r in df.select(first).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()]
+    if len(found) > MAX_SCOPED_PARTITIONS:
+        return None
+    values = [v for v in found if v is not None]
+    cond = first.isin(values) if values else F.lit(False)
+    if len(values) < len(found):  # a NULL partition value is stored as the default partition
+        cond = cond | first.isNull()
+    return lambda t: t.where(cond)
+
+
 def migrate_table(
     spark: SparkSession,
     source: Source,
@@ -145,14 +179,21 @@ def migrate_table(
     df = source.read(spark, ref)  # resolves the source before anything is created
     ensure_namespace(spark, namespace)
     content = options.verify == "content"
+    # What the validation reads of the target: the whole table, or for an append
+    # to a partitioned table only the partitions this append touches.
+    scope = _append_scope(spark, df, target) if options.mode == "append" else None
+
+    def target_view() -> DataFrame:
+        return scope(spark.table(target)) if scope else spark.table(target)
+
     rows_before = 0
     fp_before = None
     if options.mode == "append" and table_exists(spark, target):
         if content:
-            fp_before = fingerprint(spark.table(target), df.columns)
+            fp_before = fingerprint(target_view(), df.columns)
             rows_before = int(fp_before["rows"])  # type: ignore[arg-type]
         else:
-            rows_before = int(spark.table(target).count())
+            rows_before = int(target_view().count())
 
     written = write_table(
         df,
@@ -165,14 +206,13 @@ def migrate_table(
         fingerprint=content,
         options=dict(options.writer_options),
     )
-    target_df = spark.table(target)
     if content:
-        fp_after = fingerprint(target_df, df.columns)
+        fp_after = fingerprint(target_view(), df.columns)
         target_rows = int(fp_after["rows"])  # type: ignore[arg-type]
         added = subtract_fingerprint(fp_after, fp_before)
         status, error = compare(written.rows, int(added["rows"]), written.fingerprint, added)  # type: ignore[arg-type]
     else:
-        target_rows = int(target_df.count())
+        target_rows = int(target_view().count())
         status, error = compare(written.rows, target_rows - rows_before)
     return {
         "source": ref,

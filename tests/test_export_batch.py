@@ -151,3 +151,37 @@ def test_failed_assertion_reports_its_row(spark):
     row = run.report.first()
     assert row["status"] == "failed" and "'note': 'why'" in row["detail"]
     assert run.exit_code == 1
+
+
+def test_append_to_partitioned_table_reads_only_touched_partitions(spark, db, scratch):
+    from carryover.plans.batch import _append_scope
+
+    events = spark.read.parquet(f"{SF001}/events.parquet").withColumn("ds", F.to_date("ts"))
+    hist, day = scratch("hist"), scratch("day")
+    events.where("ds < DATE '2024-01-20'").write.parquet(hist)
+    events.where("ds = DATE '2024-01-25'").write.parquet(day)
+    opts = MigrationOptions(database=db, partition_by=("ds",))
+    first = run_migration(spark, ParquetSource(), [hist], opts, targets={hist: "ev"}).first()
+    assert first["status"] == "success"
+    rep = run_migration(
+        spark, ParquetSource(), [day], MigrationOptions(database=db, mode="append", verify="content"), targets={day: "ev"}
+    ).first()
+    n_day = events.where("ds = DATE '2024-01-25'").count()
+    assert (rep["status"], rep["source_rows"], rep["added_rows"], rep["target_rows"]) == ("success", n_day, n_day, n_day)
+    # the scoped read of the target is pruned to the touched directory when planned
+    scope = _append_scope(spark, spark.read.parquet(day), f"{db}.ev")
+    scoped = scope(spark.table(f"{db}.ev"))
+    assert len(scoped.inputFiles()) == 1
+    assert "PartitionFilters: [isnotnull(ds" in scoped._jdf.queryExecution().executedPlan().toString()
+    assert spark.table(f"{db}.ev").count() == first["source_rows"] + n_day
+
+
+def test_append_with_null_partition_value_counts_whole_table(spark, db, scratch):
+    base, extra = scratch("base"), scratch("extra")
+    spark.sql("SELECT id, CAST(id % 2 AS STRING) AS p FROM range(10)").write.parquet(base)
+    spark.sql("SELECT id, CAST(NULL AS STRING) AS p FROM range(3)").write.parquet(extra)
+    run_migration(spark, ParquetSource(), [base], MigrationOptions(database=db, partition_by=("p",)), targets={base: "nul"}).collect()
+    rep = run_migration(spark, ParquetSource(), [extra], MigrationOptions(database=db, mode="append"), targets={extra: "nul"}).first()
+    # only the default (NULL) partition is in scope: 3 rows added, 3 rows there now
+    assert (rep["status"], rep["added_rows"], rep["target_rows"]) == ("success", 3, 3)
+    assert spark.table(f"{db}.nul").count() == 13
