@@ -202,7 +202,11 @@ def migrate_table(
         fmt=options.fmt,
         partition_by=options.partition_by,
         repartition=options.repartition,
-        input_partition_columns=_source_partition_columns(spark, source, ref) if options.partition_by else None,
+        input_partition_columns=(
+            _source_partition_columns(spark, source, ref)
+            if options.partition_by or options.mode == "append"
+            else None
+        ),
         fingerprint=content,
         options=dict(options.writer_options),
     )
