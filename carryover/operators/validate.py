@@ -16,18 +16,22 @@ overflow.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import DataType, MapType, StructField
 
 HASH_SUM_TYPE = "decimal(38,0)"
 
 
-def _hashable(df: DataFrame, name: str) -> Column:
+def _hashable(df: DataFrame, name: str, as_type: DataType | None = None) -> Column:
     field = df.schema[name]
     col = F.col(f"`{name.replace('`', '``')}`")
+    if as_type is not None and as_type != field.dataType:
+        # hash the value as the table stores it (an append may widen int -> bigint)
+        col = col.cast(as_type)
+        field = StructField(name, as_type)
     if isinstance(field.dataType, MapType):
         # hash() refuses maps; their JSON text keeps entry order, which a
         # Parquet round trip preserves.
@@ -35,12 +39,19 @@ def _hashable(df: DataFrame, name: str) -> Column:
     return col
 
 
-def fingerprint_exprs(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
-    """Aggregate expressions ``rows`` and ``hash_sum`` over ``columns`` (default: all, by name)."""
+def fingerprint_exprs(
+    df: DataFrame, columns: Sequence[str] | None = None, as_types: Mapping[str, DataType] | None = None
+) -> list[Column]:
+    """Aggregate expressions ``rows`` and ``hash_sum`` over ``columns`` (default: all, by name).
+
+    ``as_types`` hashes the named columns as those types (the target's), so a
+    value widened on the way into the table hashes the same on both sides.
+    """
     cols = list(columns) if columns is not None else list(df.columns)
+    types = dict(as_types or {})
     exprs = [F.count(F.lit(1)).alias("rows")]
     if cols:
-        row_hash = F.xxhash64(*[_hashable(df, c) for c in sorted(cols)])
+        row_hash = F.xxhash64(*[_hashable(df, c, types.get(c)) for c in sorted(cols)])
         exprs.append(F.coalesce(F.sum(row_hash.cast(HASH_SUM_TYPE)), F.lit(0).cast(HASH_SUM_TYPE)).alias("hash_sum"))
     return exprs
 

@@ -82,9 +82,9 @@ def namespace_of(table: str) -> str | None:
     return ".".join(quote_ident(p) for p in parts[:-1]) if len(parts) > 1 else None
 
 
-def _observed(df: DataFrame, fingerprint: bool) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, fingerprint: bool, as_types=None) -> tuple[DataFrame, Observation]:
     obs = Observation(f"carryover_write_{uuid.uuid4().hex[:12]}")
-    exprs = fingerprint_exprs(df) if fingerprint else [F.count(F.lit(1)).alias("rows")]
+    exprs = fingerprint_exprs(df, as_types=as_types) if fingerprint else [F.count(F.lit(1)).alias("rows")]
     return df.observe(obs, *exprs), obs
 
 
@@ -128,7 +128,10 @@ def write_table(
         partition_by=partition_by,
         input_partition_columns=input_partition_columns,
     )
-    observed, obs = _observed(prepared, fingerprint)
+    as_types = None
+    if fingerprint and mode == "append":
+        as_types = {f.name: f.dataType for f in spark.table(ref).schema.fields}
+    observed, obs = _observed(prepared, fingerprint, as_types)
 
     if is_v1_target(spark, table, fmt):
         # V1 append must restate the table's own format and partitioning.

@@ -158,3 +158,16 @@ def test_fingerprint_pair_matches_single_fingerprints(spark, db):
     assert c["rows"] > d["rows"] and c["hash_sum"] != d["hash_sum"]
     e, f = fingerprint_pair(df, df.where("false"))
     assert f == {"rows": 0, "hash_sum": 0}
+
+
+def test_content_check_survives_type_widening_on_append(spark, db):
+    from carryover.plans import MigrationOptions, migrate_table
+    from carryover.sources import CatalogSource
+
+    spark.sql("SELECT CAST(id AS BIGINT) AS id, CAST(id AS DOUBLE) AS v FROM range(5)").write.saveAsTable(f"{db}.wide")
+    spark.sql("SELECT CAST(id AS INT) AS id, CAST(id AS FLOAT) AS v FROM range(5, 8)").write.saveAsTable(f"{db}.narrow")
+    row = migrate_table(
+        spark, CatalogSource(database=db), "narrow", MigrationOptions(database=db, mode="append", verify="content"),
+        target_name="wide",
+    )
+    assert (row["status"], row["added_rows"]) == ("success", 3), row
