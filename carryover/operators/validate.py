@@ -20,16 +20,41 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructField
+from pyspark.sql.types import DataType, DecimalType, MapType, StructField
 
 HASH_SUM_TYPE = "decimal(38,0)"
 
 
+_INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+_INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
+
+
+def widens(src: DataType, dst: DataType) -> bool:
+    """True if every ``src`` value converts to ``dst`` without change (a lossless promotion)."""
+    a, b = src.simpleString(), dst.simpleString()
+    if a == b:
+        return False
+    if a in _INTEGRAL_ORDER and b in _INTEGRAL_ORDER:
+        return _INTEGRAL_ORDER.index(a) < _INTEGRAL_ORDER.index(b)
+    if a == "float" and b == "double":
+        return True
+    if a in ("tinyint", "smallint", "int") and b == "double":
+        return True  # at most 31 bits, exact in a double's 53-bit mantissa
+    if isinstance(dst, DecimalType):
+        if isinstance(src, DecimalType):
+            return dst.scale >= src.scale and dst.precision - dst.scale >= src.precision - src.scale
+        if a in _INTEGRAL_DIGITS:
+            return dst.precision - dst.scale >= _INTEGRAL_DIGITS[a]
+    return False
+
+
 def _hashable(df: DataFrame, name: str, as_type: DataType | None = None) -> Column:
     field = df.schema[name]
     col = F.col(f"`{name.replace('`', '``')}`")
-    if as_type is not None and as_type != field.dataType:
-        # hash the value as the table stores it (an append may widen int -> bigint)
+    if as_type is not None and widens(field.dataType, as_type):
+        # hash the value as the table stores it: a lossless widening on append
+        # (int -> bigint, float -> double, …) keeps the value, so both sides agree.
+        # Any other type change is hashed as is and shows up as a mismatch.
         col = col.cast(as_type)
         field = StructField(name, as_type)
     if isinstance(field.dataType, MapType):

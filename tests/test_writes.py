@@ -171,3 +171,28 @@ def test_content_check_survives_type_widening_on_append(spark, db):
         target_name="wide",
     )
     assert (row["status"], row["added_rows"]) == ("success", 3), row
+
+
+def test_lossy_append_is_a_content_mismatch(spark, db):
+    from carryover.plans import MigrationOptions, migrate_table
+    from carryover.sources import CatalogSource
+
+    spark.sql("SELECT CAST(id AS FLOAT) AS v FROM range(3)").write.saveAsTable(f"{db}.f32")
+    spark.sql("SELECT CAST(id AS DOUBLE) + 0.1D AS v FROM range(3)").write.saveAsTable(f"{db}.f64")
+    row = migrate_table(
+        spark, CatalogSource(database=db), "f64", MigrationOptions(database=db, mode="append", verify="content"),
+        target_name="f32",
+    )
+    assert row["status"] == "mismatch" and row["added_rows"] == 3
+
+
+def test_widening_rules():
+    from pyspark.sql.types import ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType
+
+    from carryover.operators.validate import widens
+
+    assert widens(IntegerType(), LongType()) and widens(FloatType(), DoubleType()) and widens(ByteType(), IntegerType())
+    assert widens(DecimalType(10, 2), DecimalType(12, 4)) and widens(IntegerType(), DecimalType(12, 2))
+    assert not widens(LongType(), IntegerType()) and not widens(DoubleType(), FloatType())
+    assert not widens(DecimalType(12, 4), DecimalType(10, 2)) and not widens(LongType(), DoubleType())
+    assert not widens(IntegerType(), DecimalType(10, 2))
