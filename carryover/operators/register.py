@@ -37,7 +37,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_string
 from ..sources.parquet import file_schema, read_parquet
-from .write import catalog_of, ensure_namespace, namespace_of, table_exists
+from .write import catalog_of, ensure_namespace, namespace_of, same_location, table_exists, table_location
 
 
 @dataclass(frozen=True)
@@ -194,6 +194,10 @@ def register_files(
         wanted = {(f.name, f.dataType.simpleString()) for f in layout.schema.fields}
         if existing != wanted:
             raise ValueError(f"{table} exists with different columns; drop it or register elsewhere")
+        if v1:
+            loc = table_location(spark, table)
+            if loc is None or not same_location(loc, path):
+                raise ValueError(f"{table} exists over {loc}, not {path}; drop it or register elsewhere")
         if count:
             rows_before = int(spark.table(quote_ref(table)).count())
 

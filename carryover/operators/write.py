@@ -20,8 +20,10 @@ tasks without being counted twice.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -61,8 +63,15 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(quote_ref(table))
 
 
-def table_partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(quote_ref(table)) if c.isPartition]
+def table_partition_columns(spark: SparkSession, table: str) -> list[str] | None:
+    """Identity partition columns of a table; ``None`` if its partitioning is not plain
+    columns (a V2 table partitioned by ``days(ts)``, ``bucket(…)``, … cannot be listed)."""
+    try:
+        return [c.name for c in spark.catalog.listColumns(quote_ref(table)) if c.isPartition]
+    except Exception:  # noqa: BLE001
+        if is_v1_target(spark, table, table_provider(spark, table) or "parquet"):
+            raise
+        return None
 
 
 def table_provider(spark: SparkSession, table: str) -> str | None:
@@ -71,6 +80,22 @@ def table_provider(spark: SparkSession, table: str) -> str | None:
     return rows[0]["data_type"].strip().lower() if rows else None
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Where a session-catalog table keeps its files, if the catalog says."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").where("col_name = 'Location'").take(1)
+    return rows[0]["data_type"].strip() if rows else None
+
+
+def same_location(a: str, b: str) -> bool:
+    """Compare two folder names, ignoring a ``file:`` scheme and trailing slashes."""
+
+    def norm(p: str) -> str:
+        p = unquote(p).rstrip("/")
+        return re.sub(r"^file:/*", "/", p)
+
+    return norm(a) == norm(b)
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K5: ``CREATE NAMESPACE IF NOT EXISTS``, every name part back-quoted."""
     loc = f" LOCATION {sql_string(location)}" if location else ""
@@ -116,11 +141,16 @@ def write_table(
         if not table_exists(spark, table):
             raise ValueError(f"append target {table} does not exist")
         existing = table_partition_columns(spark, table)
-        if partition_by and list(partition_by) != existing:
-            raise ValueError(
-                f"append with partition_by {list(partition_by)} but {table} is partitioned by {existing}"
-            )
-        partition_by = tuple(existing)
+        if existing is None:
+            # transform-partitioned V2 table: the table's own spec places the rows
+            if partition_by:
+                raise ValueError(f"{table} is partitioned by transforms; append without partition_by")
+        else:
+            if partition_by and list(partition_by) != existing:
+                raise ValueError(
+                    f"append with partition_by {list(partition_by)} but {table} is partitioned by {existing}"
+                )
+            partition_by = tuple(existing)
 
     prepared = prepare_for_write(
         df,

@@ -18,7 +18,6 @@ The report is one row per table.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -123,15 +122,15 @@ def _append_scope(spark: SparkSession, df: DataFrame, target: str):
     if not table_exists(spark, target):
         return None
     cols = table_partition_columns(spark, target)
-    if not cols or cols[0] not in df.columns:
+    if not cols or cols[0] not in df.columns:  # None: partitioning not expressible as columns
         return None
     first = F.col(quote_ident(cols[0]))
     found = [r[0] for r in df.select(first).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()]
     if len(found) > MAX_SCOPED_PARTITIONS:
         return None
-    values = [v for v in found if v is not None]
+    values = [v for v in found if v is not None and v != ""]
     cond = first.isin(values) if values else F.lit(False)
-    if len(values) < len(found):  # a NULL partition value is stored as the default partition
+    if len(values) < len(found):  # NULL and '' are both stored as the default partition, read as NULL
         cond = cond | first.isNull()
     return lambda t: t.where(cond)
 
@@ -246,20 +245,35 @@ def _failed(ref: str, target: str | None, mode: str, exc: BaseException | str) -
 
 def plan_targets(
     source: Source, refs: Sequence[str], options: MigrationOptions, targets: Mapping[str, str] | None = None
-) -> dict[str, str | BaseException]:
-    """Target table per ref, or the error that stops that ref (bad name, collision)."""
-    planned: dict[str, str | BaseException] = {}
+) -> list[tuple[str, str | BaseException]]:
+    """Target table per ref, in input order, or the error that stops that ref.
+
+    Errors: a name that cannot be a table, a ref listed more than once (its
+    repeats fail, the first runs), and two different refs sharing a target
+    (all of them fail) — all found before anything is written.
+    """
+    planned: list[tuple[str, str | BaseException]] = []
+    seen: set[str] = set()
     for ref in refs:
+        if ref in seen:
+            planned.append((ref, ValueError(f"{ref} is listed more than once")))
+            continue
+        seen.add(ref)
         try:
-            planned[ref] = options.target((targets or {}).get(ref) or source.target_name(ref))
+            planned.append((ref, options.target((targets or {}).get(ref) or source.target_name(ref))))
         except Exception as exc:  # noqa: BLE001
-            planned[ref] = exc
-    counts = Counter(split_ref(t)[-1].lower() for t in planned.values() if isinstance(t, str))
-    for ref, t in list(planned.items()):
-        if isinstance(t, str) and counts[split_ref(t)[-1].lower()] > 1:
-            others = [r for r, o in planned.items() if r != ref and isinstance(o, str) and o.lower() == t.lower()]
-            planned[ref] = ValueError(f"target {t} is shared with {', '.join(others)}")
-    return planned
+            planned.append((ref, exc))
+    by_target: dict[str, list[str]] = {}
+    for ref, t in planned:
+        if isinstance(t, str):
+            by_target.setdefault(split_ref(t)[-1].lower(), []).append(ref)
+    out: list[tuple[str, str | BaseException]] = []
+    for ref, t in planned:
+        if isinstance(t, str) and len(by_target[split_ref(t)[-1].lower()]) > 1:
+            others = [r for r in by_target[split_ref(t)[-1].lower()] if r != ref]
+            t = ValueError(f"target {t} is shared with {', '.join(others)}")
+        out.append((ref, t))
+    return out
 
 
 def run_migration(
@@ -281,8 +295,8 @@ def run_migration(
     refs = [r for r in refs if r and r.strip()]
     planned = plan_targets(source, refs, options, targets)
 
-    def one(ref: str) -> dict[str, object]:
-        t = planned[ref]
+    def one(item: tuple[str, str | BaseException]) -> dict[str, object]:
+        ref, t = item
         if isinstance(t, BaseException):
             return _failed(ref, None, options.mode, t)
         try:
@@ -291,11 +305,11 @@ def run_migration(
         except Exception as exc:  # noqa: BLE001 - isolate the failure, go on with the rest
             return _failed(ref, t, options.mode, exc)
 
-    if parallelism > 1 and len(refs) > 1:
+    if parallelism > 1 and len(planned) > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(one, refs))
+            rows = list(pool.map(one, planned))
     else:
-        rows = [one(r) for r in refs]
+        rows = [one(item) for item in planned]
     return spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields) for r in rows], REPORT_SCHEMA)
 
 

@@ -79,7 +79,7 @@ def test_subset_selection():
 
 
 def test_plan_targets_names(spark):
-    planned = plan_targets(ParquetSource(), ["/x/a.b.parquet", "/x/ok.parquet"], MigrationOptions(database="d"))
+    planned = dict(plan_targets(ParquetSource(), ["/x/a.b.parquet", "/x/ok.parquet"], MigrationOptions(database="d")))
     assert isinstance(planned["/x/a.b.parquet"], ValueError)
     assert planned["/x/ok.parquet"] == "`spark_catalog`.`d`.`ok`"
 
@@ -185,3 +185,21 @@ def test_append_with_null_partition_value_counts_whole_table(spark, db, scratch)
     # only the default (NULL) partition is in scope: 3 rows added, 3 rows there now
     assert (rep["status"], rep["added_rows"], rep["target_rows"]) == ("success", 3, 3)
     assert spark.table(f"{db}.nul").count() == 13
+
+
+def test_ref_listed_twice_runs_once(spark, db):
+    ref = f"{SF001}/region.parquet"
+    rows = run_migration(spark, ParquetSource(), [ref, ref], MigrationOptions(database=db), parallelism=2).collect()
+    assert [r["status"] for r in rows] == ["success", "failed"]
+    assert "more than once" in rows[1]["error"]
+    assert spark.table(f"{db}.region").count() == 5
+
+
+def test_append_with_empty_string_partition_value(spark, db, scratch):
+    base, extra = scratch("base"), scratch("extra")
+    spark.sql("SELECT id, CAST(id % 2 AS STRING) AS p FROM range(10)").write.parquet(base)
+    spark.sql("SELECT id, '' AS p FROM range(4)").write.parquet(extra)
+    opts = MigrationOptions(database=db, partition_by=("p",))
+    run_migration(spark, ParquetSource(), [base], opts, targets={base: "es"}).collect()
+    rep = run_migration(spark, ParquetSource(), [extra], MigrationOptions(database=db, mode="append"), targets={extra: "es"}).first()
+    assert (rep["status"], rep["added_rows"]) == ("success", 4), rep

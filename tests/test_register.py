@@ -123,3 +123,13 @@ def test_path_with_quote_and_space_registers(spark, db, scratch):
     reg = register_files(spark, path, f"{db}.quoted")
     assert reg.status == "success" and reg.target_rows == 1000
     assert scan_path_sql(spark, path).count() == 1000
+
+
+def test_existing_table_elsewhere_is_refused(spark, db, scratch):
+    first, second = scratch("one"), scratch("two")
+    export_partitioned(_events(spark), first, ["ds"])
+    export_partitioned(_events(spark), second, ["ds"])
+    assert register_files(spark, first, f"{db}.moved").status == "success"
+    assert register_files(spark, first, f"{db}.moved").status == "success"  # same folder again: fine
+    with pytest.raises(ValueError, match="exists over"):
+        register_files(spark, second, f"{db}.moved")
