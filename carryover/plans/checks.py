@@ -21,6 +21,7 @@ assertion and ``sample_rows`` rows of an information query.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -55,25 +56,29 @@ class Check:
 
 
 def parse_checks(text: str) -> list[Check]:
-    """V4: split check text into statements and attach ``-- ASSERT:`` labels."""
+    """V4: split check text into statements and attach ``-- ASSERT:`` labels.
+
+    The text is cut into segments of consecutive non-blank lines.  Inside a
+    segment, ``-- ASSERT:`` lines set the pending label (the last one wins),
+    other ``--`` lines are dropped, and the rest is the statement.  A segment
+    with a statement emits one check and clears the label; a segment of only
+    comments leaves the label pending for the next statement.
+    """
     checks: list[Check] = []
-    lines: list[str] = []
-    pending: str | None = None
-    for raw in text.splitlines():
-        stripped = raw.strip()
-        if not stripped:
-            if lines:
-                checks.append(Check("\n".join(lines), pending))
-                lines, pending = [], None
-            continue
-        if stripped.startswith(ASSERT_PREFIX):
-            pending = stripped[len(ASSERT_PREFIX):].strip()
-            continue
-        if stripped.startswith("--"):
+    label: str | None = None
+    for non_blank, group in itertools.groupby(text.splitlines(), key=lambda line: bool(line.strip())):
+        if not non_blank:
             continue
-        lines.append(raw)
-    if lines:
-        checks.append(Check("\n".join(lines), pending))
+        statement: list[str] = []
+        for line in group:
+            head = line.strip()
+            if head.startswith(ASSERT_PREFIX):
+                label = head[len(ASSERT_PREFIX):].strip()
+            elif not head.startswith("--"):
+                statement.append(line)
+        if statement:
+            checks.append(Check("\n".join(statement), label))
+            label = None
     return checks
 
 
