@@ -39,22 +39,36 @@ def cmd_migrate(args: argparse.Namespace) -> int:
             checks = run.report.collect()
     finally:
         spark.stop()
-    ok = 0
-    print("\nMigration summary\n" + "=" * 60)
-    for r in rows:
-        if r["status"] == "success":
-            ok += 1
-            print(f"  OK   {r['source']} -> {r['target']}  ({r['source_rows']} rows)")
-        else:
-            print(f"  {r['status'].upper():4s} {r['source']}: {r['error']}")
-    print("=" * 60 + f"\n  {ok} succeeded, {len(rows) - ok} failed")
+    ok = sum(1 for r in rows if r["status"] == "success")
+    _print_table(
+        ["status", "source", "target", "source_rows", "target_rows", "error"],
+        [[r["status"], r["source"], r["target"] or "", r["source_rows"], r["target_rows"], r["error"] or ""] for r in rows],
+    )
+    print(f"tables: {ok} ok, {len(rows) - ok} not ok")
     if run is not None:
-        for r in checks:
-            print(f"  {r['status']:6s}  {r['label']}" + (f": {r['detail']}" if r["detail"] else ""))
-        print(f"\nVerification: {run.passed} passed, {run.failed} failed")
+        _print_checks(run, checks)
     return 0 if ok == len(rows) and (run is None or run.exit_code == 0) else 1
 
 
+def _print_table(header: list[str], body: list[list[object]]) -> None:
+    cells = [header] + [["" if v is None else str(v) for v in row] for row in body]
+    widths = [max(len(row[i]) for row in cells) for i in range(len(header))]
+    for row in cells:
+        print("  ".join(v.ljust(w) for v, w in zip(row, widths)).rstrip())
+
+
+def _print_checks(run, report_rows) -> None:
+    _print_table(
+        ["#", "kind", "status", "label", "detail"],
+        [[r["position"], r["kind"], r["status"], r["label"], r["detail"] or ""] for r in report_rows],
+    )
+    for label, sample in run.samples.items():
+        print(f"-- {label}")
+        for row in sample:
+            print(f"   {row}")
+    print(f"checks: {run.passed} passed, {run.failed} failed")
+
+
 def cmd_verify(args: argparse.Namespace) -> int:
     cfg = load_config(args.config)
     spark = _session(cfg)
@@ -64,13 +78,7 @@ def cmd_verify(args: argparse.Namespace) -> int:
         except FileNotFoundError as exc:
             print(exc)
             return 1
-        for r in run.report.collect():
-            mark = {"passed": "OK  " if r["kind"] == "assert" else "--- "}.get(r["status"], "FAIL")
-            print(f"  {mark}  {r['label']}" + (f": {r['detail']}" if r["detail"] else ""))
-            if r["kind"] == "info" and r["label"] in run.samples:
-                for row in run.samples[r["label"]]:
-                    print(f"        {row}")
-        print(f"\nVerification: {run.passed} passed, {run.failed} failed")
+        _print_checks(run, run.report.collect())
         return run.exit_code
     finally:
         spark.stop()

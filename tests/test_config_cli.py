@@ -67,8 +67,8 @@ def _config_with_own_warehouse(tmp_path):
 def test_cli_migrate_then_checks_in_one_session(tmp_path):
     out = _run("migrate", "-c", _config_with_own_warehouse(tmp_path), "-t", "/root/testdata/sf0.001/orders.parquet,,/root/testdata/sf0.001/customer.parquet", "-q", os.path.join(FIX, "checks-copy.sql"))
     assert out.returncode == 0, out.stdout + out.stderr[-2000:]
-    assert "2 succeeded, 0 failed" in out.stdout
-    assert "Verification: 4 passed, 0 failed" in out.stdout
+    assert "tables: 2 ok, 0 not ok" in out.stdout
+    assert "checks: 4 passed, 0 failed" in out.stdout
 
 
 def test_cli_verify_missing_file_fails(tmp_path):
@@ -105,5 +105,5 @@ def test_cli_register_flow(spark, tmp_path, scratch):
     cfg.write_text(yaml.safe_dump(raw))
     out = _run("migrate", "-c", str(cfg), "-q", os.path.join(FIX, "checks-register.sql"))
     assert out.returncode == 0, out.stdout + out.stderr[-2000:]
-    assert "2 succeeded, 0 failed" in out.stdout
-    assert "Verification: 7 passed, 0 failed" in out.stdout
+    assert "tables: 2 ok, 0 not ok" in out.stdout
+    assert "checks: 7 passed, 0 failed" in out.stdout
