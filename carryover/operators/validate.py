@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, MapType, StructField
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructField, StructType
 
 HASH_SUM_TYPE = "decimal(38,0)"
 
@@ -57,13 +57,23 @@ def _hashable(df: DataFrame, name: str, as_type: DataType | None = None) -> Colu
         # Any other type change is hashed as is and shows up as a mismatch.
         col = col.cast(as_type)
         field = StructField(name, as_type)
-    if isinstance(field.dataType, MapType):
-        # hash() refuses maps; their JSON text keeps entry order, which a
-        # Parquet round trip preserves.
+    if _unhashable(field.dataType):
+        # hash() refuses maps and variants, also nested ones; their JSON text
+        # keeps entry order, which a Parquet round trip preserves.
         return F.to_json(col)
     return col
 
 
+def _unhashable(dt: DataType) -> bool:
+    if isinstance(dt, MapType) or type(dt).__name__ == "VariantType":
+        return True
+    if isinstance(dt, ArrayType):
+        return _unhashable(dt.elementType)
+    if isinstance(dt, StructType):
+        return any(_unhashable(f.dataType) for f in dt.fields)
+    return False
+
+
 def fingerprint_exprs(
     df: DataFrame, columns: Sequence[str] | None = None, as_types: Mapping[str, DataType] | None = None
 ) -> list[Column]:

@@ -196,3 +196,25 @@ def test_widening_rules():
     assert not widens(LongType(), IntegerType()) and not widens(DoubleType(), FloatType())
     assert not widens(DecimalType(12, 4), DecimalType(10, 2)) and not widens(LongType(), DoubleType())
     assert not widens(IntegerType(), DecimalType(10, 2))
+
+
+@pytest.mark.parametrize(
+    "expr",
+    [
+        "INTERVAL '1 02:03:04' DAY TO SECOND",
+        "INTERVAL '1-2' YEAR TO MONTH",
+        "CAST('ab' AS BINARY)",
+        "array(named_struct('x', 1, 'y', 'z'))",
+        "map('k', array(1, 2))",
+        "named_struct('m', map('a', 1))",
+        "parse_json('{\"a\": 1}')",
+        "TIMESTAMP '2024-01-01 00:00:00'",
+    ],
+)
+def test_every_column_type_fingerprints(spark, db, expr):
+    import re
+
+    df = spark.sql(f"SELECT id, {expr} AS c FROM range(3)")
+    name = "ty_" + re.sub(r"\W", "", expr)[:20].lower()
+    w = write_table(df, f"{db}.{name}", "create", fingerprint=True)
+    assert fingerprint(spark.table(f"{db}.{name}"), df.columns) == w.fingerprint
