@@ -224,7 +224,10 @@ def export_partitioned(
     """K7 + A3: write Hive-style ``col=value/`` Parquet directories.
 
     The partition columns live only in the directory names.  ``append`` is
-    the reference's mode, so re-running an export adds the rows again.
+    the reference's mode, so re-running an export adds the rows again;
+    ``overwrite`` replaces just the partitions present in ``df`` (dynamic
+    partition overwrite), so a re-run is idempotent and leaves the other
+    partitions of the tree alone.
 
     ``rows`` is counted by the write itself.  Rows per partition (A3) are a
     ``groupBy(partition columns).count()`` over the exported DataFrame:
@@ -244,6 +247,9 @@ def export_partitioned(
     prepared = prepare_for_write(df, partition_by=cols, input_partition_columns=input_partition_columns)
     observed, obs = _observed(prepared, fingerprint=False)
     writer = observed.write.mode(mode).partitionBy(*cols)
+    if mode == "overwrite":
+        # replace only the partitions this export writes; the rest of the tree stays
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
     writer.parquet(path)

@@ -203,3 +203,14 @@ def test_append_with_empty_string_partition_value(spark, db, scratch):
     run_migration(spark, ParquetSource(), [base], opts, targets={base: "es"}).collect()
     rep = run_migration(spark, ParquetSource(), [extra], MigrationOptions(database=db, mode="append"), targets={extra: "es"}).first()
     assert (rep["status"], rep["added_rows"]) == ("success", 4), rep
+
+
+def test_export_overwrite_replaces_only_its_partitions(spark, scratch):
+    path = scratch("ow")
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    export_partitioned(replicate_partitions(orders, "ds", ["2024-01-15", "2024-01-16"]), path, ["ds"])
+    again = export_partitioned(tag_partition(orders, "ds", "2024-01-16"), path, ["ds"], mode="overwrite")
+    assert {str(r["ds"]): r["n_rows"] for r in again.partitions.collect()} == {"2024-01-16": orders.count()}
+    tree = spark.read.parquet(path)
+    assert tree.count() == 2 * orders.count()  # not tripled, and 2024-01-15 still there
+    assert tree.where("ds = '2024-01-15'").count() == orders.count()
