@@ -133,3 +133,13 @@ def test_existing_table_elsewhere_is_refused(spark, db, scratch):
     assert register_files(spark, first, f"{db}.moved").status == "success"  # same folder again: fine
     with pytest.raises(ValueError, match="exists over"):
         register_files(spark, second, f"{db}.moved")
+
+
+def test_single_file_registers(spark, db, scratch):
+    import glob
+
+    d = scratch("single")
+    spark.read.parquet(f"{SF001}/customer.parquet").coalesce(1).write.parquet(d)
+    f = glob.glob(d + "/*.parquet")[0]
+    reg = register_files(spark, f, f"{db}.one")
+    assert reg.status == "success" and reg.target_rows == 150
