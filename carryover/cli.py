@@ -16,7 +16,7 @@ import sys
 
 from .config import load_config
 from .plans.batch import run_migration, select_tables
-from .plans.checks import run_check_file
+from .plans.checks import load_checks, run_check_file, run_checks
 from .plans.profiles import build_session
 
 
@@ -30,12 +30,19 @@ def cmd_migrate(args: argparse.Namespace) -> int:
     if not tables:
         logging.warning("no tables to migrate")
         return 0
+    parsed = None
+    if args.checks:  # read the check file first: a wrong path must not cost a migration
+        try:
+            parsed = load_checks(args.checks)
+        except FileNotFoundError as exc:
+            print(exc)
+            return 1
     spark = _session(cfg)
     run = None
     try:
         rows = run_migration(spark, cfg.source, tables, cfg.options, parallelism=args.parallelism).collect()
-        if args.checks:
-            run = run_check_file(spark, args.checks, parallelism=args.parallelism)
+        if parsed is not None:
+            run = run_checks(spark, parsed, parallelism=args.parallelism)
             checks = run.report.collect()
     finally:
         spark.stop()

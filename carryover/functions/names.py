@@ -59,12 +59,20 @@ def quote_ref(ref: str | list[str] | tuple[str, ...]) -> str:
 
 
 def sql_string(value: str) -> str:
-    """A Spark SQL string literal in double quotes (paths, values).
+    """A Spark SQL string literal in single quotes (paths, values).
 
-    Backslashes and double quotes are escaped, so a path holding ``'`` or
-    ``"`` survives (reference fault: paths were pasted in raw).
+    Backslashes and single quotes are escaped, so a path holding ``'``
+    survives (reference fault: paths were pasted in raw).  Single quotes
+    stay a string literal even with ``spark.sql.ansi.doubleQuotedIdentifiers``.
     """
-    return '"' + value.replace("\\", "\\\\").replace('"', '\\"') + '"'
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_col(name: str):
+    """A DataFrame column for a plain column name, dots and spaces included."""
+    from pyspark.sql import functions as F
+
+    return F.col(quote_ident(name))
 
 
 def qualify(ref: str, default_database: str) -> str:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, _parse_datatype_string
 
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_string
-from ..sources.parquet import file_schema, read_parquet
+from ..sources.parquet import file_schema, qualified_path, read_parquet
 from .write import catalog_of, ensure_namespace, namespace_of, same_location, table_exists, table_location
 
 
@@ -155,6 +155,8 @@ class Registered:
 
     @property
     def status(self) -> str:
+        if self.source_rows < 0 or self.target_rows < 0:
+            return "unverified"  # registered with count=False
         return "success" if self.source_rows == self.target_rows else "mismatch"
 
 
@@ -176,6 +178,7 @@ def register_files(
     discovered layout is used.  An existing table must have the same
     columns, otherwise the call fails instead of silently keeping it.
     """
+    path = qualified_path(spark, path)
     layout = infer_layout(spark, path, partition_types=partition_types, merge_schema=merge_schema)
     if partition_columns is not None and tuple(partition_columns) != layout.partition_columns:
         raise ValueError(

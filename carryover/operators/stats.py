@@ -17,9 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _q(name: str):
-    return F.col(f"`{name.replace('`', '``')}`")
+from ..functions.names import sql_col
 
 
 def file_stats(df: DataFrame, columns: Sequence[str], partition_columns: Sequence[str] = ()) -> DataFrame:
@@ -32,11 +30,11 @@ def file_stats(df: DataFrame, columns: Sequence[str], partition_columns: Sequenc
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in columns:
         aggs += [
-            F.min(_q(c)).alias(f"min_{c}"),
-            F.max(_q(c)).alias(f"max_{c}"),
-            F.count_if(_q(c).isNull()).alias(f"nulls_{c}"),
+            F.min(sql_col(c)).alias(f"min_{c}"),
+            F.max(sql_col(c)).alias(f"max_{c}"),
+            F.count_if(sql_col(c).isNull()).alias(f"nulls_{c}"),
         ]
-    keys = [F.col("_metadata.file_path").alias("file_path")] + [_q(p) for p in partition_columns]
+    keys = [F.col("_metadata.file_path").alias("file_path")] + [sql_col(p) for p in partition_columns]
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -50,4 +48,4 @@ def partition_stats(df: DataFrame, columns: Sequence[str], partition_columns: Se
             F.max(f"max_{c}").alias(f"max_{c}"),
             F.sum(f"nulls_{c}").alias(f"nulls_{c}"),
         ]
-    return per_file.groupBy(*[_q(p) for p in partition_columns]).agg(*aggs)
+    return per_file.groupBy(*[sql_col(p) for p in partition_columns]).agg(*aggs)

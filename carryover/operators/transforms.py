@@ -10,6 +10,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import sql_col
+
 
 def _aqe_enabled(df: DataFrame) -> bool:
     return str(df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
@@ -47,7 +49,7 @@ def prepare_for_write(
     if input_partition_columns is not None and set(partition_by) <= set(input_partition_columns):
         return df
     if _aqe_enabled(df):
-        return df.hint("rebalance", *[F.col("`" + c.replace("`", "``") + "`") for c in partition_by])
+        return df.hint("rebalance", *[sql_col(c) for c in partition_by])
     return df
 
 

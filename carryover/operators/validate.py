@@ -20,7 +20,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructField, StructType
+
+from ..functions.names import sql_col
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StringType, StructField, StructType
 
 HASH_SUM_TYPE = "decimal(38,0)"
 
@@ -48,9 +50,13 @@ def widens(src: DataType, dst: DataType) -> bool:
     return False
 
 
-def _hashable(df: DataFrame, name: str, as_type: DataType | None = None) -> Column:
+def _hashable(df: DataFrame, name: str, as_type: DataType | None = None, empty_as_null: bool = False) -> Column:
     field = df.schema[name]
-    col = F.col(f"`{name.replace('`', '``')}`")
+    col = sql_col(name)
+    if empty_as_null and isinstance(field.dataType, StringType):
+        # a file table stores '' and NULL partition values in one default
+        # partition and reads both back as NULL
+        col = F.nullif(col, F.lit(""))
     if as_type is not None and widens(field.dataType, as_type):
         # hash the value as the table stores it: a lossless widening on append
         # (int -> bigint, float -> double, …) keeps the value, so both sides agree.
@@ -75,18 +81,24 @@ def _unhashable(dt: DataType) -> bool:
 
 
 def fingerprint_exprs(
-    df: DataFrame, columns: Sequence[str] | None = None, as_types: Mapping[str, DataType] | None = None
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    as_types: Mapping[str, DataType] | None = None,
+    empty_as_null: Sequence[str] = (),
 ) -> list[Column]:
     """Aggregate expressions ``rows`` and ``hash_sum`` over ``columns`` (default: all, by name).
 
     ``as_types`` hashes the named columns as those types (the target's), so a
     value widened on the way into the table hashes the same on both sides.
+    ``empty_as_null`` names string partition columns of a file table, where
+    ``''`` is stored as NULL.
     """
     cols = list(columns) if columns is not None else list(df.columns)
     types = dict(as_types or {})
+    blank = set(empty_as_null)
     exprs = [F.count(F.lit(1)).alias("rows")]
     if cols:
-        row_hash = F.xxhash64(*[_hashable(df, c, types.get(c)) for c in sorted(cols)])
+        row_hash = F.xxhash64(*[_hashable(df, c, types.get(c), c in blank) for c in sorted(cols)])
         exprs.append(F.coalesce(F.sum(row_hash.cast(HASH_SUM_TYPE)), F.lit(0).cast(HASH_SUM_TYPE)).alias("hash_sum"))
     return exprs
 

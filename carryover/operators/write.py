@@ -107,9 +107,12 @@ def namespace_of(table: str) -> str | None:
     return ".".join(quote_ident(p) for p in parts[:-1]) if len(parts) > 1 else None
 
 
-def _observed(df: DataFrame, fingerprint: bool, as_types=None) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, fingerprint: bool, as_types=None, empty_as_null=()) -> tuple[DataFrame, Observation]:
     obs = Observation(f"carryover_write_{uuid.uuid4().hex[:12]}")
-    exprs = fingerprint_exprs(df, as_types=as_types) if fingerprint else [F.count(F.lit(1)).alias("rows")]
+    if fingerprint:
+        exprs = fingerprint_exprs(df, as_types=as_types, empty_as_null=empty_as_null)
+    else:
+        exprs = [F.count(F.lit(1)).alias("rows")]
     return df.observe(obs, *exprs), obs
 
 
@@ -161,9 +164,10 @@ def write_table(
     as_types = None
     if fingerprint and mode == "append":
         as_types = {f.name: f.dataType for f in spark.table(ref).schema.fields}
-    observed, obs = _observed(prepared, fingerprint, as_types)
+    v1 = is_v1_target(spark, table, fmt)
+    observed, obs = _observed(prepared, fingerprint, as_types, partition_by if v1 else ())
 
-    if is_v1_target(spark, table, fmt):
+    if v1:
         # V1 append must restate the table's own format and partitioning.
         writer = observed.write.options(**(options or {}))
         writer = writer.format((table_provider(spark, table) or fmt) if mode == "append" else fmt)

@@ -181,6 +181,11 @@ def migrate_table(
     # What the validation reads of the target: the whole table, or for an append
     # to a partitioned table only the partitions this append touches.
     scope = _append_scope(spark, df, target) if options.mode == "append" else None
+    # Only a partitioned write needs to know how the source is split.
+    if options.mode == "append":
+        target_partitioned = table_exists(spark, target) and bool(table_partition_columns(spark, target))
+    else:
+        target_partitioned = bool(options.partition_by)
 
     def target_view() -> DataFrame:
         return scope(spark.table(target)) if scope else spark.table(target)
@@ -202,9 +207,7 @@ def migrate_table(
         partition_by=options.partition_by,
         repartition=options.repartition,
         input_partition_columns=(
-            _source_partition_columns(spark, source, ref)
-            if options.partition_by or options.mode == "append"
-            else None
+            _source_partition_columns(spark, source, ref) if target_partitioned else None
         ),
         fingerprint=content,
         options=dict(options.writer_options),

@@ -29,7 +29,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..functions.names import quote_ref
+from ..functions.names import quote_ref, split_ref, sql_string
 from ..functions.truth import judge
 
 ASSERT_PREFIX = "-- ASSERT:"
@@ -202,8 +202,7 @@ def distinct_partitions_sql(table: str, column: str) -> str:
 
 def partition_has_rows_sql(table: str, column: str, value: str) -> str:
     """One named partition has rows (a pruned read)."""
-    literal = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"SELECT count(*) > 0 AS ok FROM {quote_ref(table)} WHERE {quote_ref([column])} = {literal}"
+    return f"SELECT count(*) > 0 AS ok FROM {quote_ref(table)} WHERE {quote_ref([column])} = {sql_string(value)}"
 
 
 def info_sql(
@@ -221,7 +220,7 @@ def info_sql(
     for item in tables:
         label, table = item[0], item[1]
         column = item[2] if len(item) > 2 else partition_column  # type: ignore[misc]
-        lit = "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        lit = sql_string(label)
         extra = f", count(DISTINCT {quote_ref([column])}) AS partitions" if column else ""
         parts.append(f"SELECT {lit} AS tbl, count(*) AS {quote_ref([count_alias])}{extra} FROM {quote_ref(table)}")
     if not parts:
@@ -237,7 +236,7 @@ def copy_check_text(pairs: Iterable[tuple[str, str]]) -> str:
         blocks.append(f"-- ASSERT: {target} row count matches {source}\n{count_equal_sql(source, target)}")
     for _, target in pairs:
         blocks.append(f"-- ASSERT: {target} is not empty\n{non_empty_sql(target)}")
-    blocks.append(info_sql([(t.rsplit('.', 1)[-1], t) for _, t in pairs]))
+    blocks.append(info_sql([(split_ref(t)[-1], t) for _, t in pairs]))
     return "\n\n".join(blocks) + "\n"
 
 
@@ -251,5 +250,5 @@ def register_check_text(tables: Iterable[str], column: str, value: str) -> str:
         blocks.append(f"-- ASSERT: {t} has {column} values\n{distinct_partitions_sql(t, column)}")
     for t in tables:
         blocks.append(f"-- ASSERT: {t} partition {column}={value} has rows\n{partition_has_rows_sql(t, column, value)}")
-    blocks.append(info_sql([(t.rsplit('.', 1)[-1], t) for t in tables], partition_column=column))
+    blocks.append(info_sql([(split_ref(t)[-1], t) for t in tables], partition_column=column))
     return "\n\n".join(blocks) + "\n"

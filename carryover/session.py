@@ -37,7 +37,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = _conf(spark, "spark.checkpoint.dir")
     if root is None:
         try:
-            root = spark.sparkContext.getCheckpointDir()
+            root = spark.sparkContext.getCheckpointDir()  # type: ignore[assignment]
         except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
             root = None
     if root is None:
@@ -46,10 +46,9 @@ def scratch_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; set it to a folder every executor can reach"
             )
         root = tempfile.mkdtemp(prefix="carryover-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
+        try:  # later calls find it through the context's checkpoint folder
             spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
+        except Exception:  # noqa: BLE001 - Spark Connect: a fresh folder per call is still correct
             pass
     return root.rstrip("/")
 

@@ -2,7 +2,7 @@
 
 from .base import Source
 from .catalog import CatalogSource
-from .parquet import ParquetSource, file_schema, path_relation, read_parquet, scan_path_sql
+from .parquet import ParquetSource, file_schema, path_relation, qualified_path, read_parquet, scan_path_sql
 from .registry import get_source
 from .storage import s3a_settings
 
@@ -13,6 +13,7 @@ __all__ = [
     "file_schema",
     "get_source",
     "path_relation",
+    "qualified_path",
     "read_parquet",
     "s3a_settings",
     "scan_path_sql",

@@ -9,6 +9,7 @@ columns prune whole directories at planning time.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,22 @@ def read_parquet(
     return reader.parquet(path)
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority of the file system it lives on.
+
+    A relative path is resolved the way readers resolve it (against the file
+    system's working folder), not against a database folder as ``LOCATION``
+    would; two spellings of one folder compare equal once qualified.
+    """
+    try:
+        jvm = spark.sparkContext._jvm  # type: ignore[attr-defined]
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # type: ignore[attr-defined]
+        return str(fs.makeQualified(hpath).toString())
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
+        return path if "://" in path or path.startswith("/") else os.path.abspath(path)
+
+
 def file_schema(spark: SparkSession, path: str, *, merge_schema: bool = False) -> StructType:
     """Schema of the data files alone, without directory partition columns."""
     reader = spark.read.option("recursiveFileLookup", "true")

@@ -107,3 +107,28 @@ def test_cli_register_flow(spark, tmp_path, scratch):
     assert out.returncode == 0, out.stdout + out.stderr[-2000:]
     assert "tables: 2 ok, 0 not ok" in out.stdout
     assert "checks: 7 passed, 0 failed" in out.stdout
+
+
+def test_cli_migrate_with_missing_check_file_writes_nothing(tmp_path):
+    out = _run("migrate", "-c", _config_with_own_warehouse(tmp_path), "-q", os.path.join(FIX, "nope.sql"))
+    assert out.returncode == 1 and "not found" in out.stdout
+    assert not (tmp_path / "warehouse").exists()
+
+
+def test_scratch_folder_fallback_without_checkpoint_dir(tmp_path):
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from carryover.session import local_session, scratch_root\n"
+        "s = local_session(1)\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "a = scratch_root(s); b = scratch_root(s)\n"
+        "print('ROOTS', a, b)\n"
+    ) % ROOT
+    conf_dir = tmp_path / "no-defaults"  # no spark-defaults.conf, so no checkpoint folder is configured
+    conf_dir.mkdir()
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, env=env)
+    assert out.returncode == 0, out.stderr[-2000:]
+    line = [ln for ln in out.stdout.splitlines() if ln.startswith("ROOTS")][0]
+    a, b = line.split()[1:]
+    assert "carryover-" in a and b.replace("file:", "").startswith(a.replace("file:", ""))

@@ -214,3 +214,31 @@ def test_export_overwrite_replaces_only_its_partitions(spark, scratch):
     tree = spark.read.parquet(path)
     assert tree.count() == 2 * orders.count()  # not tripled, and 2024-01-15 still there
     assert tree.where("ds = '2024-01-15'").count() == orders.count()
+
+
+def test_content_check_with_empty_string_partition_values(spark, db, scratch):
+    src = scratch("blank")
+    spark.sql("SELECT id, CASE WHEN id % 3 = 0 THEN '' ELSE CAST(id % 2 AS STRING) END AS p FROM range(12)").write.parquet(src)
+    opts = MigrationOptions(database=db, partition_by=("p",), verify="content")
+    rep = run_migration(spark, ParquetSource(), [src], opts, targets={src: "blank"}).first()
+    assert rep["status"] == "success", rep
+    again = run_migration(
+        spark, ParquetSource(), [src], MigrationOptions(database=db, mode="append", verify="content"), targets={src: "blank"}
+    ).first()
+    assert (again["status"], again["added_rows"]) == ("success", 12), again
+
+
+def test_unverified_registration_says_so(spark, db, scratch):
+    from carryover.operators import register_files
+
+    path = scratch("uv")
+    spark.read.parquet(f"{SF001}/region.parquet").write.parquet(path)
+    assert register_files(spark, path, f"{db}.uv", count=False).status == "unverified"
+
+
+def test_relative_paths_are_qualified_like_readers_do(spark):
+    from carryover.sources import qualified_path
+
+    here = qualified_path(spark, ".")
+    assert qualified_path(spark, "rel/tree") == here.rstrip("/") + "/rel/tree"
+    assert qualified_path(spark, "/abs/x").endswith(":/abs/x")

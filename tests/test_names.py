@@ -44,9 +44,9 @@ def test_target_names_rejected_when_not_identifiers():
 
 
 def test_sql_string_escapes_quotes():
-    assert sql_string("/p/it's") == '"/p/it\'s"'
-    assert sql_string('/p/"x"') == '"/p/\\"x\\""'
-    assert sql_string("a\\b") == '"a\\\\b"'
+    assert sql_string("/p/it's") == "'/p/it\\'s'"
+    assert sql_string('/p/"x"') == "'/p/\"x\"'"
+    assert sql_string("a\\b") == "'a\\\\b'"
 
 
 @pytest.mark.parametrize(

@@ -29,7 +29,7 @@ def test_create_table_sql_puts_partition_columns_last_and_quotes_nested_names(sp
 
 def test_session_catalog_ddl_parses(spark, db):
     sql = create_table_sql(f"{db}.ddl", _layout(), fmt="parquet", location="/tmp/x it's")
-    assert sql.endswith('LOCATION "/tmp/x it\'s"')
+    assert sql.endswith("LOCATION '/tmp/x it\\'s'")
     spark.sql(sql)
     cols = {c.name: c.isPartition for c in spark.catalog.listColumns(f"{db}.ddl")}
     assert cols == {"id": False, "s": False, "note": False, "ds": True}
@@ -38,6 +38,6 @@ def test_session_catalog_ddl_parses(spark, db):
 def test_add_files_call():
     sql = add_files_sql("iceberg", "iceberg.nyctaxi.yellow", "s3a://raw-parquet/yellow_tripdata")
     assert sql == (
-        'CALL `iceberg`.system.add_files(table => "nyctaxi.yellow", '
-        'source_table => "`parquet`.`s3a://raw-parquet/yellow_tripdata`")'
+        "CALL `iceberg`.system.add_files(table => 'nyctaxi.yellow', "
+        "source_table => '`parquet`.`s3a://raw-parquet/yellow_tripdata`')"
     )
