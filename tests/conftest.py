@@ -14,7 +14,11 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from carryover.session import local_session
 
-    session = local_session("*", shuffle_partitions=8)
+    import tempfile
+
+    # managed tables outside a scratch database must not land in the repository
+    warehouse = tempfile.mkdtemp(prefix="carryover-test-warehouse-")
+    session = local_session("*", shuffle_partitions=8, **{"spark.sql.warehouse.dir": warehouse})
     yield session
 
 
