@@ -30,7 +30,14 @@ from carryover.operators import (  # noqa: E402
     replicate_partitions,
     write_table,
 )
-from carryover.plans import MigrationOptions, parse_checks, register_check_text, run_checks, run_migration  # noqa: E402
+from carryover.plans import (  # noqa: E402
+    MigrationOptions,
+    migrate_table,
+    parse_checks,
+    register_check_text,
+    run_checks,
+    run_migration,
+)
 from carryover.session import local_session, scratch_database, scratch_path  # noqa: E402
 from carryover.sources import ParquetSource  # noqa: E402
 
@@ -85,6 +92,23 @@ def q_content_compare(spark, sf, copy):
     return True
 
 
+def setup_append_day(spark, sf):
+    db, _ = scratch_database(spark, "bench")
+    ev = _read(spark, sf, "events").withColumn("ds", F.to_date("ts"))
+    write_table(ev.where("ds <> DATE '2024-01-15'"), f"{db}.events", "create", partition_by=["ds"])
+    day = scratch_path(spark, "bench_day")
+    ev.where("ds = DATE '2024-01-15'").write.parquet(day)
+    return db, day
+
+
+def q_append_day(spark, sf, prepared):
+    """K3 + V6: one day appended to a partitioned table; validation reads only that day."""
+    db, day = prepared
+    row = migrate_table(spark, ParquetSource(), day, MigrationOptions(database=db, mode="append"), target_name="events")
+    assert row["status"] == "success", row
+    return row["added_rows"]
+
+
 def q_migrate_batch(spark, sf):
     """O1/O2: batch of lineitem, orders, customer, part with count validation."""
     db, _ = scratch_database(spark, "bench")
@@ -130,7 +154,7 @@ def q_checks(spark, sf):
     return run.passed
 
 
-SETUP = {"content_compare": setup_content_compare}  # untimed preparation, its result is passed on
+SETUP = {"content_compare": setup_content_compare, "append_day": setup_append_day}  # untimed preparation, its result is passed on
 
 QUERIES = {
     "count": q_count,
@@ -138,6 +162,7 @@ QUERIES = {
     "copy_partitioned": q_copy_partitioned,
     "copy_verified": q_copy_verified,
     "content_compare": q_content_compare,
+    "append_day": q_append_day,
     "migrate_batch": q_migrate_batch,
     "export_register": q_export_register,
     "replicate_export": q_replicate_export,

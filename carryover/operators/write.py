@@ -63,27 +63,61 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(quote_ref(table))
 
 
+@dataclass(frozen=True)
+class TableInfo:
+    """What the catalog says about a table, from one ``DESCRIBE TABLE EXTENDED``."""
+
+    provider: str | None
+    location: str | None
+    partition_columns: tuple[str, ...] | None  # None: partitioned by transforms, not columns
+
+
+def describe_table(spark: SparkSession, table: str) -> TableInfo:
+    """Provider, location and partition columns of a table (one metadata command, no job)."""
+    rows = [(r[0] or "", r[1] or "") for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").collect()]
+    details = {name.strip(): value.strip() for name, value in rows}
+    parts: list[str] = []
+    transforms = False
+    section = None
+    for name, value in rows:
+        name = name.strip()
+        if name.startswith("# col_name"):  # column header inside a section
+            continue
+        if name.startswith("#"):
+            section = name
+            continue
+        if not name:
+            section = None
+            continue
+        if section == "# Partition Information":  # session catalog: one row per column
+            parts.append(name)
+        elif section == "# Partitioning":  # V2 catalogs: "Part n" -> column or transform
+            if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", value.strip("`")):
+                parts.append(value.strip("`"))
+            else:
+                transforms = True
+    return TableInfo(
+        provider=(details.get("Provider") or "").lower() or None,
+        location=details.get("Location") or None,
+        partition_columns=None if transforms else tuple(parts),
+    )
+
+
 def table_partition_columns(spark: SparkSession, table: str) -> list[str] | None:
     """Identity partition columns of a table; ``None`` if its partitioning is not plain
-    columns (a V2 table partitioned by ``days(ts)``, ``bucket(…)``, … cannot be listed)."""
-    try:
-        return [c.name for c in spark.catalog.listColumns(quote_ref(table)) if c.isPartition]
-    except Exception:  # noqa: BLE001
-        if is_v1_target(spark, table, table_provider(spark, table) or "parquet"):
-            raise
-        return None
+    columns (a V2 table partitioned by ``days(ts)``, ``bucket(…)``, …)."""
+    cols = describe_table(spark, table).partition_columns
+    return None if cols is None else list(cols)
 
 
 def table_provider(spark: SparkSession, table: str) -> str | None:
-    """The data source of a session-catalog table (``parquet``, ``orc`` …), if it has one."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").where("col_name = 'Provider'").take(1)
-    return rows[0]["data_type"].strip().lower() if rows else None
+    """The data source of a table (``parquet``, ``orc``, ``iceberg`` …), if it has one."""
+    return describe_table(spark, table).provider
 
 
 def table_location(spark: SparkSession, table: str) -> str | None:
-    """Where a session-catalog table keeps its files, if the catalog says."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").where("col_name = 'Location'").take(1)
-    return rows[0]["data_type"].strip() if rows else None
+    """Where a table keeps its files, if the catalog says."""
+    return describe_table(spark, table).location
 
 
 def same_location(a: str, b: str) -> bool:
@@ -140,10 +174,13 @@ def write_table(
     spark = df.sparkSession
     partition_by = tuple(partition_by)
     ref = quote_ref(table)
+    provider = None
     if mode == "append":
         if not table_exists(spark, table):
             raise ValueError(f"append target {table} does not exist")
-        existing = table_partition_columns(spark, table)
+        info = describe_table(spark, table)
+        provider = info.provider
+        existing = None if info.partition_columns is None else list(info.partition_columns)
         if existing is None:
             # transform-partitioned V2 table: the table's own spec places the rows
             if partition_by:
@@ -170,7 +207,7 @@ def write_table(
     if v1:
         # V1 append must restate the table's own format and partitioning.
         writer = observed.write.options(**(options or {}))
-        writer = writer.format((table_provider(spark, table) or fmt) if mode == "append" else fmt)
+        writer = writer.format((provider or fmt) if mode == "append" else fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.mode({"create": "errorifexists", "replace": "overwrite", "append": "append"}[mode]).saveAsTable(ref)

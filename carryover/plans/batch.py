@@ -98,7 +98,7 @@ def select_tables(configured: Sequence[str], requested: str | Sequence[str] | No
 def _source_partition_columns(spark: SparkSession, source: Source, ref: str) -> list[str] | None:
     try:
         if isinstance(source, CatalogSource):
-            return [c.name for c in spark.catalog.listColumns(quote_ref(source.resolve(ref))) if c.isPartition]
+            return table_partition_columns(spark, source.resolve(ref))
         if isinstance(source, ParquetSource):
             return list(infer_layout(spark, ref, merge_schema=source.merge_schema).partition_columns)
     except Exception:  # noqa: BLE001 - unknown layout: let prepare_for_write decide
@@ -106,7 +106,7 @@ def _source_partition_columns(spark: SparkSession, source: Source, ref: str) ->
     return None
 
 
-def _append_scope(spark: SparkSession, df: DataFrame, target: str):
+def _append_scope(spark: SparkSession, df: DataFrame, target: str, cols: Sequence[str] | None = None):
     """For an append to a partitioned table: restrict reads of the target to touched partitions.
 
     Validation compares ``rows after - rows before`` over the SAME part of the
@@ -119,9 +119,10 @@ def _append_scope(spark: SparkSession, df: DataFrame, target: str):
     daily append into years of history lists and counts one day.  More
     values than the cap: ``None``, i.e. count the whole table (still exact).
     """
-    if not table_exists(spark, target):
-        return None
-    cols = table_partition_columns(spark, target)
+    if cols is None:
+        if not table_exists(spark, target):
+            return None
+        cols = table_partition_columns(spark, target)
     if not cols or cols[0] not in df.columns:  # None: partitioning not expressible as columns
         return None
     first = F.col(quote_ident(cols[0]))
@@ -180,19 +181,18 @@ def migrate_table(
     content = options.verify == "content"
     # What the validation reads of the target: the whole table, or for an append
     # to a partitioned table only the partitions this append touches.
-    scope = _append_scope(spark, df, target) if options.mode == "append" else None
+    exists = options.mode == "append" and table_exists(spark, target)
+    target_parts = (table_partition_columns(spark, target) or []) if exists else []
+    scope = _append_scope(spark, df, target, target_parts) if exists and target_parts else None
     # Only a partitioned write needs to know how the source is split.
-    if options.mode == "append":
-        target_partitioned = table_exists(spark, target) and bool(table_partition_columns(spark, target))
-    else:
-        target_partitioned = bool(options.partition_by)
+    target_partitioned = bool(target_parts) if options.mode == "append" else bool(options.partition_by)
 
     def target_view() -> DataFrame:
         return scope(spark.table(target)) if scope else spark.table(target)
 
     rows_before = 0
     fp_before = None
-    if options.mode == "append" and table_exists(spark, target):
+    if exists:
         if content:
             fp_before = fingerprint(target_view(), df.columns)
             rows_before = int(fp_before["rows"])  # type: ignore[arg-type]

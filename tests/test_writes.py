@@ -218,3 +218,15 @@ def test_every_column_type_fingerprints(spark, db, expr):
     name = "ty_" + re.sub(r"\W", "", expr)[:20].lower()
     w = write_table(df, f"{db}.{name}", "create", fingerprint=True)
     assert fingerprint(spark.table(f"{db}.{name}"), df.columns) == w.fingerprint
+
+
+def test_describe_table_reads_partitioning(spark, db):
+    from carryover.operators.write import describe_table
+
+    df = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    write_table(df, f"{db}.two", "create", partition_by=["l_returnflag", "l_linestatus"])
+    info = describe_table(spark, f"{db}.two")
+    assert info.partition_columns == ("l_returnflag", "l_linestatus")
+    assert info.provider == "parquet" and info.location.endswith("/two")
+    write_table(df, f"{db}.flat", "create")
+    assert describe_table(spark, f"{db}.flat").partition_columns == ()
