@@ -21,8 +21,9 @@ Steps, all metadata work except the two counts:
    * a V2 catalog (Iceberg): the catalog's ``add_files`` procedure, as in
      the reference; the table then holds a fixed file list.
 
-5. Count the files through a plain read and the table through the catalog
-   and compare (the reference reported the table count as both).
+5. Count the files through a plain read (reusing the listing of step 1) and
+   the table through the catalog, both in one job, and compare (the
+   reference reported the table count as both).
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_string
 from ..sources.parquet import file_schema, qualified_path, read_parquet
+from .validate import count_pair
 from .write import catalog_of, ensure_namespace, namespace_of, same_location, table_exists, table_location
 
 
@@ -65,6 +67,13 @@ def infer_layout(
     ``ds=2024-01-15`` is inferred as ``date`` by Spark, ``ds=2024-01`` as
     ``string``; ``partition_types`` (e.g. ``{"ds": "string"}``) overrides.
     """
+    return _infer(spark, path, partition_types, merge_schema)[0]
+
+
+def _infer(
+    spark: SparkSession, path: str, partition_types: Mapping[str, str] | None, merge_schema: bool
+) -> tuple[Layout, DataFrame]:
+    """The layout, and the DataFrame it was read from (its file listing is reused)."""
     df = read_parquet(spark, path, merge_schema=merge_schema)
     inferred = df.schema
     # Directory keys of one file: Spark requires every leaf directory to carry
@@ -86,7 +95,7 @@ def infer_layout(
                 for f in inferred.fields
             ]
         )
-    return Layout(schema=inferred, partition_columns=partition_columns)
+    return Layout(schema=inferred, partition_columns=partition_columns), df
 
 
 def _path_partition_columns(df: DataFrame, root: str, columns: set[str]) -> tuple[str, ...]:
@@ -179,7 +188,7 @@ def register_files(
     columns, otherwise the call fails instead of silently keeping it.
     """
     path = qualified_path(spark, path)
-    layout = infer_layout(spark, path, partition_types=partition_types, merge_schema=merge_schema)
+    layout, files = _infer(spark, path, partition_types, merge_schema)
     if partition_columns is not None and tuple(partition_columns) != layout.partition_columns:
         raise ValueError(
             f"partition columns {list(partition_columns)} do not match the directory layout "
@@ -216,8 +225,8 @@ def register_files(
 
     source_rows = target_rows = -1
     if count:
-        source_rows = int(read_parquet(spark, path, merge_schema=merge_schema).count())
-        target_rows = int(spark.table(quote_ref(table)).count())
+        # files (through the listing made for the layout) and table, in one job
+        source_rows, target_rows = count_pair(files, spark.table(quote_ref(table)))
     return Registered(
         table=table,
         path=path,
