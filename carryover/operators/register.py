@@ -161,6 +161,7 @@ class Registered:
     source_rows: int
     target_rows: int
     rows_before: int
+    files: DataFrame | None = None  # the registered files, read through the layout's listing
 
     @property
     def status(self) -> str:
@@ -234,4 +235,5 @@ def register_files(
         source_rows=source_rows,
         target_rows=target_rows,
         rows_before=rows_before,
+        files=files,
     )

@@ -162,7 +162,7 @@ def migrate_table(
         )
         status, error = compare(reg.source_rows, reg.target_rows)
         if options.verify == "content" and status == "success":
-            files = read_parquet(spark, ref, merge_schema=source.merge_schema)
+            files = reg.files if reg.files is not None else read_parquet(spark, ref, merge_schema=source.merge_schema)
             fp_files, fp_table = fingerprint_pair(files, spark.table(target), files.columns)
             status, error = compare(reg.source_rows, reg.target_rows, fp_files, fp_table)
         return {

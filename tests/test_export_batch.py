@@ -242,3 +242,14 @@ def test_relative_paths_are_qualified_like_readers_do(spark):
     here = qualified_path(spark, ".")
     assert qualified_path(spark, "rel/tree") == here.rstrip("/") + "/rel/tree"
     assert qualified_path(spark, "/abs/x").endswith(":/abs/x")
+
+
+def test_register_batch_with_content_verification(spark, db, scratch):
+    path = scratch("regc")
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    export_partitioned(orders, path, ["o_orderstatus"])
+    rep = run_migration(
+        spark, ParquetSource(), [path], MigrationOptions(database=db, mode="register", verify="content"),
+        targets={path: "regc"},
+    ).first()
+    assert (rep["status"], rep["source_rows"], rep["target_rows"]) == ("success", orders.count(), orders.count()), rep
