@@ -34,8 +34,8 @@ def cmd_migrate(args: argparse.Namespace) -> int:
     if args.checks:  # read the check file first: a wrong path must not cost a migration
         try:
             parsed = load_checks(args.checks)
-        except FileNotFoundError as exc:
-            print(exc)
+        except (OSError, UnicodeDecodeError) as exc:  # missing, a folder, unreadable, not text
+            print(f"cannot read check file {args.checks}: {exc}")
             return 1
     spark = _session(cfg)
     run = None
@@ -82,8 +82,8 @@ def cmd_verify(args: argparse.Namespace) -> int:
     try:
         try:
             run = run_check_file(spark, args.checks, parallelism=args.parallelism)
-        except FileNotFoundError as exc:
-            print(exc)
+        except (OSError, UnicodeDecodeError) as exc:
+            print(f"cannot read check file {args.checks}: {exc}")
             return 1
         _print_checks(run, run.report.collect())
         return run.exit_code

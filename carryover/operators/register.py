@@ -95,6 +95,8 @@ def _infer(
                 for f in inferred.fields
             ]
         )
+    if partition_types:  # read again with the chosen types (Spark honours a given partition type)
+        df = read_parquet(spark, path, merge_schema=merge_schema, schema=inferred)
     return Layout(schema=inferred, partition_columns=partition_columns), df
 
 

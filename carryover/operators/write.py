@@ -75,12 +75,12 @@ class TableInfo:
 def describe_table(spark: SparkSession, table: str) -> TableInfo:
     """Provider, location and partition columns of a table (one metadata command, no job)."""
     rows = [(r[0] or "", r[1] or "") for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ref(table)}").collect()]
-    details = {name.strip(): value.strip() for name, value in rows}
+    details: dict[str, str] = {}
     parts: list[str] = []
     transforms = False
     section = None
     for name, value in rows:
-        name = name.strip()
+        name, value = name.strip(), value.strip()
         if name.startswith("# col_name"):  # column header inside a section
             continue
         if name.startswith("#"):
@@ -89,13 +89,15 @@ def describe_table(spark: SparkSession, table: str) -> TableInfo:
         if not name:
             section = None
             continue
-        if section == "# Partition Information":  # session catalog: one row per column
-            parts.append(name)
+        if section == "# Partition Information":  # one row per partition column
+            parts.append(_unquote(name))
         elif section == "# Partitioning":  # V2 catalogs: "Part n" -> column or transform
-            if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", value.strip("`")):
-                parts.append(value.strip("`"))
-            else:
+            if re.fullmatch(r"`(?:[^`]|``)*`|[A-Za-z_]\w*", value):
+                parts.append(_unquote(value))
+            else:  # days(ts), bucket(16, id), …
                 transforms = True
+        elif section == "# Detailed Table Information":
+            details[name] = value
     return TableInfo(
         provider=(details.get("Provider") or "").lower() or None,
         location=details.get("Location") or None,
@@ -103,6 +105,13 @@ def describe_table(spark: SparkSession, table: str) -> TableInfo:
     )
 
 
+def _unquote(name: str) -> str:
+    """Drop the back-quotes around a quoted name (doubled ones inside become one)."""
+    if len(name) >= 2 and name.startswith("`") and name.endswith("`"):
+        return name[1:-1].replace("``", "`")
+    return name
+
+
 def table_partition_columns(spark: SparkSession, table: str) -> list[str] | None:
     """Identity partition columns of a table; ``None`` if its partitioning is not plain
     columns (a V2 table partitioned by ``days(ts)``, ``bucket(…)``, …)."""
@@ -201,7 +210,7 @@ def write_table(
     as_types = None
     if fingerprint and mode == "append":
         as_types = {f.name: f.dataType for f in spark.table(ref).schema.fields}
-    v1 = is_v1_target(spark, table, fmt)
+    v1 = is_v1_target(spark, table, (provider or fmt) if mode == "append" else fmt)
     observed, obs = _observed(prepared, fingerprint, as_types, partition_by if v1 else ())
 
     if v1:

@@ -30,7 +30,14 @@ from ..functions.names import quote_ident, quote_ref, split_ref
 from ..jobs import labelled
 from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, fingerprint_pair, subtract_fingerprint
-from ..operators.write import ensure_namespace, table_exists, table_partition_columns, write_table
+from ..operators.write import (
+    describe_table,
+    ensure_namespace,
+    is_v1_target,
+    table_exists,
+    table_partition_columns,
+    write_table,
+)
 from ..sources.base import Source
 from ..sources.catalog import CatalogSource
 from ..sources.parquet import ParquetSource, read_parquet
@@ -106,7 +113,9 @@ def _source_partition_columns(spark: SparkSession, source: Source, ref: str) ->
     return None
 
 
-def _append_scope(spark: SparkSession, df: DataFrame, target: str, cols: Sequence[str] | None = None):
+def _append_scope(
+    spark: SparkSession, df: DataFrame, target: str, cols: Sequence[str] | None = None, blank_is_null: bool = True
+):
     """For an append to a partitioned table: restrict reads of the target to touched partitions.
 
     Validation compares ``rows after - rows before`` over the SAME part of the
@@ -129,9 +138,11 @@ def _append_scope(spark: SparkSession, df: DataFrame, target: str, cols: Sequenc
     found = [r[0] for r in df.select(first).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()]
     if len(found) > MAX_SCOPED_PARTITIONS:
         return None
-    values = [v for v in found if v is not None and v != ""]
+    # A file table stores NULL and '' in one default partition and reads both as NULL;
+    # other tables (V2) keep '' as a value of its own.
+    values = [v for v in found if v is not None and not (blank_is_null and v == "")]
     cond = first.isin(values) if values else F.lit(False)
-    if len(values) < len(found):  # NULL and '' are both stored as the default partition, read as NULL
+    if len(values) < len(found):
         cond = cond | first.isNull()
     return lambda t: t.where(cond)
 
@@ -182,8 +193,10 @@ def migrate_table(
     # What the validation reads of the target: the whole table, or for an append
     # to a partitioned table only the partitions this append touches.
     exists = options.mode == "append" and table_exists(spark, target)
-    target_parts = (table_partition_columns(spark, target) or []) if exists else []
-    scope = _append_scope(spark, df, target, target_parts) if exists and target_parts else None
+    info = describe_table(spark, target) if exists else None
+    target_parts = list(info.partition_columns or ()) if info else []
+    file_table = bool(info) and is_v1_target(spark, target, info.provider or options.fmt)
+    scope = _append_scope(spark, df, target, target_parts, blank_is_null=file_table) if target_parts else None
     # Only a partitioned write needs to know how the source is split.
     target_partitioned = bool(target_parts) if options.mode == "append" else bool(options.partition_by)
 

@@ -19,6 +19,9 @@ from pyspark.sql import SparkSession
 from .functions.names import quote_ident, sql_string
 
 
+_LOCAL_ROOTS: dict[int, str] = {}  # local sessions without a configured checkpoint folder
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     try:
         value = spark.conf.get(key, None)
@@ -45,11 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; set it to a folder every executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="carryover-")
-        try:  # later calls find it through the context's checkpoint folder
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001 - Spark Connect: a fresh folder per call is still correct
-            pass
+        root = _LOCAL_ROOTS.get(id(spark))
+        if root is None:
+            root = tempfile.mkdtemp(prefix="carryover-")
+            try:  # the context adds a folder of its own below; use that one from now on
+                spark.sparkContext.setCheckpointDir(root)
+                root = spark.sparkContext.getCheckpointDir() or root
+            except Exception:  # noqa: BLE001 - Spark Connect: keep the folder for this session
+                pass
+            _LOCAL_ROOTS[id(spark)] = root
     return root.rstrip("/")
 
 

@@ -10,6 +10,7 @@ columns prune whole directories at planning time.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,16 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     """
     try:
         jvm = spark.sparkContext._jvm  # type: ignore[attr-defined]
+        try:  # the readers' configuration: session-level spark.hadoop.* settings included
+            conf = spark._jsparkSession.sessionState().newHadoopConf()  # type: ignore[attr-defined]
+        except Exception:  # noqa: BLE001
+            conf = spark.sparkContext._jsc.hadoopConfiguration()  # type: ignore[attr-defined]
         hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # type: ignore[attr-defined]
-        return str(fs.makeQualified(hpath).toString())
+        return str(hpath.getFileSystem(conf).makeQualified(hpath).toString())
     except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
-        return path if "://" in path or path.startswith("/") else os.path.abspath(path)
+        if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path) or path.startswith("/"):
+            return path  # already has a scheme (s3a://…, file:/…) or is absolute
+        return os.path.abspath(path)
 
 
 def file_schema(spark: SparkSession, path: str, *, merge_schema: bool = False) -> StructType:

@@ -143,3 +143,14 @@ def test_single_file_registers(spark, db, scratch):
     f = glob.glob(d + "/*.parquet")[0]
     reg = register_files(spark, f, f"{db}.one")
     assert reg.status == "success" and reg.target_rows == 150
+
+
+def test_partition_types_survive_content_verification(spark, db, scratch):
+    from carryover.operators import fingerprint_pair
+
+    path = scratch("pt")
+    export_partitioned(_events(spark), path, ["ds"])
+    reg = register_files(spark, path, f"{db}.pt", partition_types={"ds": "string"})
+    assert dict(reg.files.dtypes)["ds"] == "string"
+    a, b = fingerprint_pair(reg.files, spark.table(f"{db}.pt"))
+    assert a == b

@@ -230,3 +230,13 @@ def test_describe_table_reads_partitioning(spark, db):
     assert info.provider == "parquet" and info.location.endswith("/two")
     write_table(df, f"{db}.flat", "create")
     assert describe_table(spark, f"{db}.flat").partition_columns == ()
+
+
+def test_describe_table_with_spaced_partition_column(spark, db):
+    from carryover.operators.write import describe_table
+
+    df = spark.sql("SELECT id, CAST(id % 2 AS STRING) AS `event kind` FROM range(6)")
+    write_table(df, f"{db}.spaced", "create", partition_by=["event kind"])
+    assert describe_table(spark, f"{db}.spaced").partition_columns == ("event kind",)
+    w = write_table(df, f"{db}.spaced", "append")
+    assert w.rows == 6 and spark.table(f"{db}.spaced").count() == 12
