@@ -170,9 +170,13 @@ def write_table(
     input_partition_columns: Sequence[str] | None = None,
     fingerprint: bool = False,
     options: dict[str, str] | None = None,
+    target_info: TableInfo | None = None,
 ) -> Written:
     """K1 create, K2 replace, K3 append (T1, T2 applied on the way).
 
+    ``target_info``: the append target's :func:`describe_table`, if the
+    caller already has it (saves a catalog round trip per table).
+
     ``partition_by`` on append must match the table's partitioning (the V2
     writer would ignore it silently; a mismatch here is an error).
     ``options`` go to the writer, e.g. ``{"maxRecordsPerFile": "5000000"}``
@@ -185,9 +189,9 @@ def write_table(
     ref = quote_ref(table)
     provider = None
     if mode == "append":
-        if not table_exists(spark, table):
+        if target_info is None and not table_exists(spark, table):
             raise ValueError(f"append target {table} does not exist")
-        info = describe_table(spark, table)
+        info = target_info or describe_table(spark, table)
         provider = info.provider
         existing = None if info.partition_columns is None else list(info.partition_columns)
         if existing is None:

@@ -224,6 +224,7 @@ def migrate_table(
         ),
         fingerprint=content,
         options=dict(options.writer_options),
+        target_info=info,
     )
     if content:
         fp_after = fingerprint(target_view(), df.columns)
