@@ -1,4 +1,4 @@
-"""Command line: ``python -m carryover migrate|verify``.
+"""Command line: ``python -m carryover migrate|verify|validate|stage-tables|stage-export``.
 
 ``migrate -c config.yaml [-t a,b] [--parallelism n] [-q checks.sql]`` runs
 the batch, prints the report and optionally runs a check file in the same
@@ -6,6 +6,9 @@ session; exit code 1 if any table failed or mismatched, or a check failed.
 ``verify -c config.yaml -q checks.sql`` runs a check file; exit code 1 if
 any check failed, also when the file is missing.
 Both start a session from the config and stop it at the end.
+``validate -c config.yaml`` checks a config without Spark.  ``stage-tables``
+and ``stage-export`` load sample tables into a catalog, or export them as
+``ds=`` trees, from ``name=path`` arguments.
 """
 
 from __future__ import annotations
@@ -91,6 +94,57 @@ def cmd_verify(args: argparse.Namespace) -> int:
         spark.stop()
 
 
+def cmd_validate(args: argparse.Namespace) -> int:
+    """Check a config file without starting Spark."""
+    try:
+        cfg = load_config(args.config)
+    except (OSError, ValueError, TypeError) as exc:
+        print(f"invalid: {exc}")
+        return 1
+    o = cfg.options
+    print(
+        f"valid: source={cfg.source.kind} catalog={cfg.catalog_kind}:{o.catalog} database={o.database} "
+        f"mode={o.mode} tables={len(cfg.tables)}"
+    )
+    return 0
+
+
+def _named_inputs(items: list[str]) -> dict[str, str]:
+    inputs = {}
+    for item in items:
+        name, sep, path = item.partition("=")
+        if not sep or not name or not path:
+            raise SystemExit(f"expected name=path, got {item!r}")
+        inputs[name] = path
+    return inputs
+
+
+def cmd_stage_tables(args: argparse.Namespace) -> int:
+    from .plans.staging import stage_tables
+
+    spark = build_session({"spark.ui.enabled": "false"}, master=args.master, app_name="carryover-stage")
+    try:
+        rows = stage_tables(spark, _named_inputs(args.inputs), args.database, max_rows=args.rows).collect()
+    finally:
+        spark.stop()
+    _print_table(["name", "target", "n_rows", "status", "error"], [[r[c] for c in ("name", "target", "n_rows", "status", "error")] for r in rows])
+    return 0 if all(r["status"] == "success" for r in rows) else 1
+
+
+def cmd_stage_export(args: argparse.Namespace) -> int:
+    from .plans.staging import stage_exports
+
+    spark = build_session({"spark.ui.enabled": "false"}, master=args.master, app_name="carryover-stage")
+    try:
+        rows = stage_exports(
+            spark, _named_inputs(args.inputs), args.root, max_rows=args.rows, ds_values=args.ds.split(",")
+        ).collect()
+    finally:
+        spark.stop()
+    _print_table(["name", "ds", "n_rows"], [[r["name"], r["ds"], r["n_rows"]] for r in rows])
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="carryover")
     parser.add_argument("-v", "--verbose", action="store_true")
@@ -106,6 +160,22 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("-q", "--checks", required=True)
     v.add_argument("--parallelism", type=int, default=4, help="checks in flight at once")
     v.set_defaults(func=cmd_verify)
+    c = sub.add_parser("validate", help="check a config file (no Spark)")
+    c.add_argument("-c", "--config", default="config.yaml")
+    c.set_defaults(func=cmd_validate)
+    t = sub.add_parser("stage-tables", help="load Parquet files into catalog tables (overwrite)")
+    t.add_argument("inputs", nargs="+", help="name=path")
+    t.add_argument("--database", required=True)
+    t.add_argument("--rows", type=int, default=10_000, help="rows per table, 0 = all")
+    t.add_argument("--master", default="local[*]")
+    t.set_defaults(func=cmd_stage_tables)
+    e = sub.add_parser("stage-export", help="export Parquet files as ds= partitioned trees (append)")
+    e.add_argument("inputs", nargs="+", help="name=path")
+    e.add_argument("--root", required=True, help="output folder; one tree per name below it")
+    e.add_argument("--rows", type=int, default=10_000, help="rows per table, 0 = all")
+    e.add_argument("--ds", default="2024-01-15,2024-01-16", help="comma-separated ds values")
+    e.add_argument("--master", default="local[*]")
+    e.set_defaults(func=cmd_stage_export)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
     return int(args.func(args))

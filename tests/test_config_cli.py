@@ -132,3 +132,20 @@ def test_scratch_folder_fallback_without_checkpoint_dir(tmp_path):
     line = [ln for ln in out.stdout.splitlines() if ln.startswith("ROOTS")][0]
     a, b = line.split()[1:]
     assert "carryover-" in a and b.replace("file:", "").startswith(a.replace("file:", ""))
+
+
+def test_cli_validate(tmp_path):
+    ok = _run("validate", "-c", os.path.join(FIX, "session.yaml"))
+    assert ok.returncode == 0 and "valid: source=parquet catalog=session" in ok.stdout
+    bad = tmp_path / "bad.yaml"
+    bad.write_text("source: {type: hive}\ntarget: {catalog_type: hadoop}\n")
+    out = _run("validate", "-c", str(bad))
+    assert out.returncode == 1 and "invalid:" in out.stdout
+
+
+def test_cli_stage_export(tmp_path, scratch):
+    root = scratch("cli-stage")
+    out = _run("stage-export", "--root", root, "--rows", "100", "--master", "local[2]",
+               "orders=/root/testdata/sf0.001/orders.parquet")
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.count("100") >= 2
