@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import quote_ident, quote_ref, split_ref, sql_string
+from ..functions.names import quote_ident, quote_ref, split_ref, sql_col, sql_string
 from .transforms import prepare_for_write
 from .validate import fingerprint_exprs
 
@@ -229,7 +229,7 @@ def write_table(
         if mode != "append":
             writer = writer.using(fmt)
             if partition_by:
-                writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+                writer = writer.partitionedBy(*[sql_col(c) for c in partition_by])
         if mode == "create":
             writer.create()
         elif mode == "replace":
