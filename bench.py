@@ -129,6 +129,25 @@ def q_export_register(spark, sf):
     return reg.target_rows
 
 
+def setup_register(spark, sf):
+    paths = []
+    ev = _read(spark, sf, "events").withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
+    for _ in range(REPEAT):  # one fresh tree per timed run
+        path = scratch_path(spark, "bench_reg")
+        export_partitioned(ev, path, ["ds"])
+        paths.append(path)
+    return paths
+
+
+def q_register(spark, sf, paths):
+    """K4 alone: an existing ds= tree made a table (no data rewritten), counts compared."""
+    path = paths.pop() if len(paths) > 1 else paths[0]
+    db, _ = scratch_database(spark, "bench")
+    reg = register_files(spark, path, f"{db}.events", partition_columns=["ds"])
+    assert reg.status == "success"
+    return reg.target_rows
+
+
 def q_replicate_export(spark, sf):
     """T5+K7: orders written once per ds value, one scan, partition counts returned."""
     path = scratch_path(spark, "bench_rep")
@@ -154,7 +173,7 @@ def q_checks(spark, sf):
     return run.passed
 
 
-SETUP = {"content_compare": setup_content_compare, "append_day": setup_append_day}  # untimed preparation, its result is passed on
+SETUP = {"content_compare": setup_content_compare, "append_day": setup_append_day, "register": setup_register}  # untimed preparation, its result is passed on
 
 QUERIES = {
     "count": q_count,
@@ -165,6 +184,7 @@ QUERIES = {
     "append_day": q_append_day,
     "migrate_batch": q_migrate_batch,
     "export_register": q_export_register,
+    "register": q_register,
     "replicate_export": q_replicate_export,
     "file_stats": q_file_stats,
     "checks": q_checks,
