@@ -57,6 +57,10 @@ def main() -> None:
          spark.table(f"{db}.lineitem").agg(*fingerprint_exprs(li))),
         ("Two-sided content comparison: both scans in one map stage (Union under one Exchange)",
          _pair_frame(li, spark.table(f"{db}.lineitem"))),
+        ("Register validation: files and table counted in one job, no column read",
+         spark.read.parquet(path).select(F.lit(0).alias("_side"))
+         .unionByName(spark.table(f"{db}.events").select(F.lit(1).alias("_side")))
+         .groupBy("_side").count()),
         ("Registered table, one partition counted (directory pruning)",
          spark.table(f"{db}.events").where("ds = '2024-01-15'").groupBy().count()),
         ("Registered table, data filter pushed into the Parquet reader",
