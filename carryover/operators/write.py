@@ -171,12 +171,21 @@ def write_table(
     fingerprint: bool = False,
     options: dict[str, str] | None = None,
     target_info: TableInfo | None = None,
+    staged: bool = False,
 ) -> Written:
     """K1 create, K2 replace, K3 append (T1, T2 applied on the way).
 
     ``target_info``: the append target's :func:`describe_table`, if the
     caller already has it (saves a catalog round trip per table).
 
+    ``staged=True`` (session-catalog replace only): write the new rows to a
+    staging table next to the target first, then drop the target and rename
+    the staging table into place.  A failure while writing leaves the old
+    table untouched (and may read from it); only two catalog operations
+    remain unprotected.  Renaming moves the table folder, which is cheap on
+    HDFS and local disks but a copy on object stores; V2 catalogs replace
+    atomically without it.
+
     ``partition_by`` on append must match the table's partitioning (the V2
     writer would ignore it silently; a mismatch here is an error).
     ``options`` go to the writer, e.g. ``{"maxRecordsPerFile": "5000000"}``
@@ -185,6 +194,10 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; one of {', '.join(MODES)}")
     spark = df.sparkSession
+    if staged and mode == "replace" and is_v1_target(spark, table, fmt) and table_exists(spark, table):
+        return _staged_replace(df, table, fmt=fmt, partition_by=partition_by, repartition=repartition,
+                               input_partition_columns=input_partition_columns, fingerprint=fingerprint,
+                               options=options)
     partition_by = tuple(partition_by)
     ref = quote_ref(table)
     provider = None
@@ -243,6 +256,22 @@ def write_table(
     return Written(table=table, mode=mode, rows=rows, fingerprint=fp, partition_by=partition_by)
 
 
+def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
+    spark = df.sparkSession
+    parts = split_ref(table)
+    staging_parts = parts[:-1] + [f"{parts[-1]}__staging_{uuid.uuid4().hex[:8]}"]
+    staging = ".".join(quote_ident(p) for p in staging_parts)
+    try:
+        written = write_table(df, staging, "create", **kwargs)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    spark.sql(f"DROP TABLE {quote_ref(table)}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {quote_ref(table)}")
+    written.table, written.mode = table, "replace"
+    return written
+
+
 def load_overwrite(df: DataFrame, table: str, max_rows: int = 0, *, fmt: str = "parquet") -> int:
     """K6: (re)load a table with overwrite, creating its database first; returns the table's rows.
 

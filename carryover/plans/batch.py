@@ -75,6 +75,7 @@ class MigrationOptions:
     register_partition_columns: tuple[str, ...] | None = None
     verify: str = "count"
     writer_options: Mapping[str, str] = field(default_factory=dict)
+    staged_replace: bool = False  # session-catalog replace through a staging table (see write_table)
 
     def validate(self) -> None:
         """Reject bad options before any read or write (reference fault: found after the count)."""
@@ -225,6 +226,7 @@ def migrate_table(
         fingerprint=content,
         options=dict(options.writer_options),
         target_info=info,
+        staged=options.staged_replace,
     )
     if content:
         fp_after = fingerprint(target_view(), df.columns)

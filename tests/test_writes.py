@@ -253,3 +253,16 @@ def test_v2_writer_branch_create(spark, db, monkeypatch):
     got = spark.table(f"{db}.v2")
     assert got.columns[-1] == "o_orderstatus"
     assert fingerprint(got, df.columns) == res.fingerprint
+
+
+def test_staged_replace_keeps_the_old_table_on_failure_and_can_read_itself(spark, db):
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    write_table(nation, f"{db}.st", "create")
+    bad = nation.withColumn("n_nationkey", F.expr("assert_true(n_nationkey < 0)"))  # fails at run time
+    with pytest.raises(Exception):
+        write_table(bad, f"{db}.st", "replace", staged=True)
+    assert spark.table(f"{db}.st").count() == 25  # untouched
+    assert [t.name for t in spark.catalog.listTables(db) if "staging" in t.name] == []
+    # replace a table from its own rows, which plain V1 overwrite refuses
+    w = write_table(spark.table(f"{db}.st").where("n_regionkey = 1"), f"{db}.st", "replace", staged=True)
+    assert w.rows == spark.table(f"{db}.st").count() == 5
