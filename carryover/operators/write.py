@@ -34,7 +34,7 @@ from .transforms import prepare_for_write
 from .validate import fingerprint_exprs
 
 MODES = ("create", "replace", "append")
-V1_FORMATS = frozenset({"parquet", "orc", "csv", "json", "avro", "text"})
+V1_FORMATS = frozenset({"parquet", "orc", "csv", "json", "avro", "text", "hive"})
 
 
 @dataclass
@@ -179,10 +179,10 @@ def write_table(
     caller already has it (saves a catalog round trip per table).
 
     ``staged=True`` (session-catalog replace only): write the new rows to a
-    staging table next to the target first, then drop the target and rename
-    the staging table into place.  A failure while writing leaves the old
-    table untouched (and may read from it); only two catalog operations
-    remain unprotected.  Renaming moves the table folder, which is cheap on
+    staging table next to the target first, then rename the target aside,
+    the staging table into its place, and drop the old one.  A failure while
+    writing leaves the old table untouched (and the new rows may come from
+    it); a failed rename puts the old table back.  Renaming moves the table folder, which is cheap on
     HDFS and local disks but a copy on object stores; V2 catalogs replace
     atomically without it.
 
@@ -257,17 +257,30 @@ def write_table(
 
 
 def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
+    """Write beside the target, then swap by renames; no step leaves the name without a table."""
     spark = df.sparkSession
     parts = split_ref(table)
-    staging_parts = parts[:-1] + [f"{parts[-1]}__staging_{uuid.uuid4().hex[:8]}"]
-    staging = ".".join(quote_ident(p) for p in staging_parts)
+    if len(parts) == 3 and parts[0] == "spark_catalog":
+        parts = parts[1:]  # the session catalog renames two-part names only
+    tag = uuid.uuid4().hex[:8]
+
+    def name(suffix: str) -> str:
+        return ".".join(quote_ident(p) for p in parts[:-1] + [parts[-1] + suffix])
+
+    target, staging, backup = name(""), name(f"__staging_{tag}"), name(f"__replaced_{tag}")
     try:
         written = write_table(df, staging, "create", **kwargs)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
-    spark.sql(f"DROP TABLE {quote_ref(table)}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {quote_ref(table)}")
+    spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {target}")  # put the old table back
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    spark.sql(f"DROP TABLE {backup}")
     written.table, written.mode = table, "replace"
     return written
 

@@ -149,3 +149,10 @@ def test_cli_stage_export(tmp_path, scratch):
                "orders=/root/testdata/sf0.001/orders.parquet")
     assert out.returncode == 0, out.stderr[-2000:]
     assert out.stdout.count("100") >= 2
+
+
+def test_cli_validate_reports_broken_yaml(tmp_path):
+    bad = tmp_path / "broken.yaml"
+    bad.write_text("source: [unclosed\n")
+    out = _run("validate", "-c", str(bad))
+    assert out.returncode == 1 and "invalid:" in out.stdout

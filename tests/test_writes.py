@@ -266,3 +266,19 @@ def test_staged_replace_keeps_the_old_table_on_failure_and_can_read_itself(spark
     # replace a table from its own rows, which plain V1 overwrite refuses
     w = write_table(spark.table(f"{db}.st").where("n_regionkey = 1"), f"{db}.st", "replace", staged=True)
     assert w.rows == spark.table(f"{db}.st").count() == 5
+
+
+def test_staged_replace_through_a_batch_with_three_part_names(spark, db):
+    from carryover.plans import MigrationOptions, migrate_table
+    from carryover.sources import ParquetSource
+
+    ref = f"{SF001}/region.parquet"
+    opts = MigrationOptions(database=db)
+    migrate_table(spark, ParquetSource(), ref, opts, target_name="reg3")
+    row = migrate_table(
+        spark, ParquetSource(), f"{SF001}/nation.parquet", MigrationOptions(database=db, mode="replace", staged_replace=True),
+        target_name="reg3",
+    )
+    assert (row["status"], row["target_rows"]) == ("success", 25), row
+    names = [t.name for t in spark.catalog.listTables(db)]
+    assert "reg3" in names and not [n for n in names if "__" in n]
