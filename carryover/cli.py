@@ -141,8 +141,8 @@ def cmd_stage_export(args: argparse.Namespace) -> int:
         ).collect()
     finally:
         spark.stop()
-    _print_table(["name", "ds", "n_rows"], [[r["name"], r["ds"], r["n_rows"]] for r in rows])
-    return 0
+    _print_table(["name", "ds", "n_rows", "error"], [[r["name"], r["ds"], r["n_rows"], r["error"]] for r in rows])
+    return 0 if all(r["error"] is None for r in rows) else 1
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -18,6 +18,7 @@ from typing import Any
 from .plans.batch import MigrationOptions
 from .plans.profiles import KINDS, can_register, session_settings
 from .sources import get_source, s3a_settings
+from .sources.registry import flag
 from .sources.base import Source
 
 
@@ -51,10 +52,10 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         if not hive.get("metastore_uri"):
             raise ValueError("source.hive.metastore_uri is required when source.type is 'hive'")
         source = get_source(
-            "hive", metastore_uri=hive["metastore_uri"], database=hive.get("database", src.get("database", "default"))
+            "hive", metastore_uri=hive["metastore_uri"], database=hive.get("database") or src.get("database") or "default"
         )
     else:
-        source = get_source(kind, database=src.get("database", "default"), merge_schema=src.get("merge_schema", False))
+        source = get_source(kind, database=src.get("database") or "default", merge_schema=src.get("merge_schema", False))
 
     tgt = _block(raw, "target")
     catalog_kind = tgt.get("catalog_type")
@@ -73,10 +74,11 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         storage.get("endpoint"),
         storage.get("access_key"),
         storage.get("secret_key"),
-        path_style_access=bool(storage.get("path_style_access", True)),
+        path_style_access=flag(storage.get("path_style_access", True)),
         bucket=storage.get("bucket"),
     )
     spark_block = _block(raw, "spark")
+    extra_config = _block(spark_block, "extra_config")
     settings = session_settings(
         source=source,
         catalog_kind=catalog_kind,
@@ -84,7 +86,7 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         catalog_options=catalog_options,
         storage=store,
         extra_packages=list(spark_block.get("extra_packages") or []),
-        extra_config={str(k): str(v) for k, v in (spark_block.get("extra_config") or {}).items()},
+        extra_config={str(k): str(v) for k, v in extra_config.items()},
         driver_memory=spark_block.get("driver_memory"),
     )
 
@@ -96,7 +98,7 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
     options = MigrationOptions(
         mode=mode,
         catalog=catalog_name,
-        database=tgt.get("database", "default"),
+        database=tgt.get("database") or "default",
         fmt="parquet" if catalog_kind == "session" else "iceberg",
         repartition=mig.get("repartition") or None,
         partition_by=tuple(mig.get("partition_by") or ()),
@@ -104,11 +106,14 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         verify=mig.get("verify", "count"),
     )
     options.validate()
+    tables = raw.get("tables") or []
+    if not isinstance(tables, (list, tuple)):
+        raise ValueError("'tables' must be a list")
     return RunConfig(
         source=source,
         options=options,
         settings=settings,
-        tables=tuple(t for t in (raw.get("tables") or []) if t),
+        tables=tuple(str(t) for t in tables if t),
         master=spark_block.get("master"),
         app_name=spark_block.get("app_name", "carryover"),
         catalog_kind=catalog_kind,

@@ -3,6 +3,7 @@
 from .names import (
     is_plain_identifier,
     path_stem,
+    path_table_name,
     qualify,
     quote_ident,
     quote_ref,
@@ -16,6 +17,7 @@ __all__ = [
     "is_plain_identifier",
     "judge",
     "path_stem",
+    "path_table_name",
     "qualify",
     "quote_ident",
     "quote_ref",

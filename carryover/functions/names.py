@@ -24,12 +24,23 @@ def quote_ident(name: str) -> str:
 def split_ref(ref: str) -> list[str]:
     """Split a multi-part reference on dots outside back-quotes.
 
-    ``a.b`` -> ``["a", "b"]``; ```my.db`.t`` -> ``["my.db", "t"]``.
+    ``a.b`` -> ``["a", "b"]``; ```my.db`.t`` -> ``["my.db", "t"]``.  Spaces
+    around an unquoted part are dropped; a quoted part is kept as written.
     """
     parts: list[str] = []
     buf: list[str] = []
+    quoted_part = False
     quoted = False
     i = 0
+
+    def close() -> None:
+        text = "".join(buf)
+        if not quoted_part:
+            text = text.strip()
+        if not text:
+            raise ValueError(f"empty name part in {ref!r}")
+        parts.append(text)
+
     while i < len(ref):
         ch = ref[i]
         if ch == "`":
@@ -37,19 +48,22 @@ def split_ref(ref: str) -> list[str]:
                 buf.append("`")
                 i += 2
                 continue
+            if not quoted:
+                buf.clear()  # spaces before an opening quote are not part of the name
             quoted = not quoted
+            quoted_part = True
         elif ch == "." and not quoted:
-            parts.append("".join(buf))
-            buf = []
-        else:
+            close()
+            buf, quoted_part = [], False
+        elif quoted or not quoted_part:
             buf.append(ch)
+        elif not ch.isspace():
+            raise ValueError(f"text after a quoted name part in {ref!r}")
         i += 1
     if quoted:
         raise ValueError(f"unbalanced back-quote in {ref!r}")
-    parts.append("".join(buf))
-    if any(not p.strip() for p in parts):
-        raise ValueError(f"empty name part in {ref!r}")
-    return [p.strip() for p in parts]
+    close()
+    return parts
 
 
 def quote_ref(ref: str | list[str] | tuple[str, ...]) -> str:
@@ -77,7 +91,10 @@ def sql_col(name: str):
 
 def qualify(ref: str, default_database: str) -> str:
     """Keep a reference that names its database, else prefix the default."""
-    return ref if len(split_ref(ref)) > 1 else f"{default_database}.{ref}"
+    parts = split_ref(ref)
+    if len(parts) > 1:
+        return ref
+    return f"{quote_ident(default_database)}.{quote_ident(parts[0])}"
 
 
 def path_stem(path: str) -> str:
@@ -88,6 +105,20 @@ def path_stem(path: str) -> str:
     return stem
 
 
+def path_table_name(path: str) -> str:
+    """Table name for a path: its last part, minus a ``.parquet`` suffix only.
+
+    Unlike the display stem, ``sales.2024`` stays ``sales.2024`` (and is then
+    refused as a table name) instead of being cut to ``sales``.
+    """
+    last = PurePosixPath(path.rstrip("/")).name
+    if last.lower().endswith(".parquet"):
+        last = last[: -len(".parquet")]
+    if not last:
+        raise ValueError(f"no name in path {path!r}")
+    return last
+
+
 def is_plain_identifier(name: str) -> bool:
     return bool(_IDENT.match(name))
 

@@ -434,8 +434,9 @@ def stage_tables_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_exports_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging export (T5+K7+A3 per table): each whole table once per ds value, rows per (table, ds)."""
     root = scratch_path(spark, "stage_raw")
-    return stage_exports(spark, {n: _path(sf_dir, n) for n in ("orders", "customer")}, root, max_rows=0,
-                         ds_values=REPLICA_DS)
+    out = stage_exports(spark, {n: _path(sf_dir, n) for n in ("orders", "customer")}, root, max_rows=0,
+                        ds_values=REPLICA_DS)
+    return out.select("name", "ds", "n_rows")
 
 
 KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

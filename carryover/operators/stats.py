@@ -44,8 +44,8 @@ def partition_stats(df: DataFrame, columns: Sequence[str], partition_columns: Se
     aggs = [F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows")]
     for c in columns:
         aggs += [
-            F.min(f"min_{c}").alias(f"min_{c}"),
-            F.max(f"max_{c}").alias(f"max_{c}"),
-            F.sum(f"nulls_{c}").alias(f"nulls_{c}"),
+            F.min(sql_col(f"min_{c}")).alias(f"min_{c}"),
+            F.max(sql_col(f"max_{c}")).alias(f"max_{c}"),
+            F.sum(sql_col(f"nulls_{c}")).alias(f"nulls_{c}"),
         ]
     return per_file.groupBy(*[sql_col(p) for p in partition_columns]).agg(*aggs)

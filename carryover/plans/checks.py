@@ -216,13 +216,18 @@ def info_sql(
     With a partition column (per table, or ``partition_column`` for all),
     each row also carries ``count(DISTINCT column) AS partitions``.
     """
+    items = [(i[0], i[1], i[2] if len(i) > 2 else partition_column) for i in tables]  # type: ignore[misc]
+    any_partitions = any(column for _, _, column in items)
     parts = []
-    for item in tables:
-        label, table = item[0], item[1]
-        column = item[2] if len(item) > 2 else partition_column  # type: ignore[misc]
-        lit = sql_string(label)
-        extra = f", count(DISTINCT {quote_ref([column])}) AS partitions" if column else ""
-        parts.append(f"SELECT {lit} AS tbl, count(*) AS {quote_ref([count_alias])}{extra} FROM {quote_ref(table)}")
+    for label, table, column in items:
+        extra = ""
+        if column:
+            extra = f", count(DISTINCT {quote_ref([column])}) AS partitions"
+        elif any_partitions:  # keep every UNION ALL branch the same width
+            extra = ", CAST(NULL AS BIGINT) AS partitions"
+        parts.append(
+            f"SELECT {sql_string(label)} AS tbl, count(*) AS {quote_ref([count_alias])}{extra} FROM {quote_ref(table)}"
+        )
     if not parts:
         raise ValueError("no tables")
     return " UNION ALL ".join(parts)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.names import quote_ident
+from ..functions.names import quote_ident, sql_col
 from ..operators.transforms import limit_rows, replicate_partitions
 from ..operators.write import export_partitioned, load_overwrite
 
@@ -78,20 +78,30 @@ def stage_exports(
     """Export each ``name -> path`` to ``root/name/ds=…/``; rows added per (name, ds).
 
     Re-running appends again (the reference's mode), and the counts say so.
+    An input that fails gets one row with its ``error`` (``ds``/``n_rows`` NULL).
     """
     read = read or _reader(spark)
+    if not inputs:
+        raise ValueError("no inputs")
     parts: list[DataFrame] = []
+    failed: list[tuple[str, str]] = []
     for name, path in inputs.items():
-        df = replicate_partitions(limit_rows(read(path), max_rows, order_by), column, ds_values)
-        exported = export_partitioned(df, f"{root.rstrip('/')}/{name}", [column])
+        try:  # one bad input does not stop the rest
+            df = replicate_partitions(limit_rows(read(path), max_rows, order_by), column, ds_values)
+            exported = export_partitioned(df, f"{root.rstrip('/')}/{name}", [column])
+        except Exception as exc:  # noqa: BLE001
+            failed.append((name, (str(exc).strip().splitlines() or ["error"])[0][:1000]))
+            continue
         parts.append(
             exported.partitions.select(
-                F.lit(name).alias("name"), F.col(column).cast("string").alias(column), F.col("n_rows")
+                F.lit(name).alias("name"),
+                sql_col(column).cast("string").alias(column),
+                F.col("n_rows"),
+                F.lit(None).cast("string").alias("error"),
             )
         )
-    if not parts:
-        raise ValueError("no inputs")
-    out = parts[0]
-    for p in parts[1:]:
+    schema = f"name string, {quote_ident(column)} string, n_rows bigint, error string"
+    out = spark.createDataFrame([(n, None, None, e) for n, e in failed], schema)
+    for p in parts:
         out = out.unionByName(p)
     return out

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..functions.names import path_stem, quote_ident, target_table_name
+from ..functions.names import path_stem, path_table_name, quote_ident, target_table_name
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class ParquetSource:
         return path_stem(ref)
 
     def target_name(self, ref: str) -> str:
-        return target_table_name(path_stem(ref))
+        return target_table_name(path_table_name(ref))
 
     def read(self, spark: SparkSession, ref: str) -> DataFrame:  # S3
         return read_parquet(spark, ref, merge_schema=self.merge_schema)

@@ -156,3 +156,21 @@ def test_cli_validate_reports_broken_yaml(tmp_path):
     bad.write_text("source: [unclosed\n")
     out = _run("validate", "-c", str(bad))
     assert out.returncode == 1 and "invalid:" in out.stdout
+
+
+def test_config_flags_tables_and_nulls():
+    raw = {
+        "source": {"type": "parquet", "merge_schema": "false"},
+        "target": {"catalog_type": "session", "database": None},
+        "storage": {"endpoint": "http://m:9000", "path_style_access": "false"},
+        "tables": ["a"],
+    }
+    cfg = parse_config(raw)
+    assert cfg.source.merge_schema is False and cfg.options.database == "default"
+    assert cfg.settings["spark.hadoop.fs.s3a.path.style.access"] == "false"
+    with pytest.raises(ValueError, match="must be a list"):
+        parse_config({**raw, "tables": "orders"})
+    with pytest.raises(ValueError, match="yes/no"):
+        parse_config({**raw, "storage": {"endpoint": "x", "path_style_access": "maybe"}})
+    with pytest.raises(ValueError, match="extra_config"):
+        parse_config({**raw, "spark": {"extra_config": ["a"]}})

@@ -253,3 +253,29 @@ def test_register_batch_with_content_verification(spark, db, scratch):
         targets={path: "regc"},
     ).first()
     assert (rep["status"], rep["source_rows"], rep["target_rows"]) == ("success", orders.count(), orders.count()), rep
+
+
+def test_info_sql_with_and_without_partition_columns(spark, db):
+    from carryover.plans.checks import info_sql
+
+    spark.read.parquet(f"{SF001}/region.parquet").write.saveAsTable(f"{db}.ra")
+    rows = spark.sql(info_sql([("a", f"{db}.ra", "r_name"), ("b", f"{db}.ra", None)])).collect()
+    assert [(r["tbl"], r["n_rows"], r["partitions"]) for r in rows] == [("a", 5, 5), ("b", 5, None)]
+
+
+def test_partition_stats_with_dotted_column(spark, scratch):
+    path = scratch("dot")
+    spark.sql("SELECT id AS `a.b`, CAST(id % 2 AS STRING) AS p FROM range(10)").write.partitionBy("p").parquet(path)
+    got = {r["p"]: (r["n_rows"], r["min_a.b"]) for r in partition_stats(spark.read.parquet(path), ["a.b"], ["p"]).collect()}
+    assert got == {0: (5, 0), 1: (5, 1)}  # p=0 / p=1 folders are read back as integers
+
+
+def test_stage_exports_isolates_a_bad_input(spark, scratch):
+    from carryover.plans import stage_exports
+
+    root = scratch("iso")
+    rows = stage_exports(
+        spark, {"bad": f"{SF001}/nope.parquet", "region": f"{SF001}/region.parquet"}, root, max_rows=0
+    ).collect()
+    by = {(r["name"], r["ds"]): r for r in rows}
+    assert by[("bad", None)]["error"] and by[("region", "2024-01-15")]["n_rows"] == 5

@@ -17,6 +17,8 @@ def test_quote_and_split_roundtrip():
     assert split_ref("a.b.c") == ["a", "b", "c"]
     assert split_ref("`my.db`.t") == ["my.db", "t"]
     assert split_ref("`a``b`.c") == ["a`b", "c"]
+    assert split_ref("` a `.t") == [" a ", "t"]  # quoted parts kept as written
+    assert split_ref(" a . b ") == ["a", "b"]
     assert quote_ref("`my.db`.t") == "`my.db`.`t`"
     with pytest.raises(ValueError):
         split_ref("a..b")
@@ -25,7 +27,8 @@ def test_quote_and_split_roundtrip():
 
 
 def test_qualify_keeps_database():
-    assert qualify("t", "nyctaxi") == "nyctaxi.t"
+    assert qualify("t", "nyctaxi") == "`nyctaxi`.`t`"
+    assert split_ref(qualify("t", "my.db")) == ["my.db", "t"]
     assert qualify("other.t", "nyctaxi") == "other.t"
 
 
@@ -36,6 +39,16 @@ def test_path_stems():
     assert path_stem("/x/a.b.parquet") == "a.b"
 
 
+def test_table_names_from_paths_keep_dotted_folder_names():
+    from carryover.functions import path_table_name
+
+    assert path_table_name("/x/orders.parquet") == "orders"
+    assert path_table_name("s3a://raw/yellow_tripdata/") == "yellow_tripdata"
+    assert path_table_name("/data/sales.2024") == "sales.2024"  # refused later as a table name
+    with pytest.raises(ValueError):
+        target_table_name(path_table_name("/data/sales.2024"))
+
+
 def test_target_names_rejected_when_not_identifiers():
     assert target_table_name("orders") == "orders"
     for bad in ("a.b", "*", "my-table", "1abc"):

@@ -58,6 +58,6 @@ def test_source_registry():
     with pytest.raises(ValueError):
         get_source("jdbc")
     src = CatalogSource(database="nyctaxi")
-    assert src.resolve("yellow") == "nyctaxi.yellow"
+    assert src.resolve("yellow") == "`nyctaxi`.`yellow`"
     assert src.target_name("other.green") == "green"
     assert ParquetSource().target_name("s3a://raw/yellow_tripdata") == "yellow_tripdata"
