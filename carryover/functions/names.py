@@ -49,6 +49,8 @@ def split_ref(ref: str) -> list[str]:
                 i += 2
                 continue
             if not quoted:
+                if quoted_part or "".join(buf).strip():
+                    raise ValueError(f"text before a quoted name part in {ref!r}")
                 buf.clear()  # spaces before an opening quote are not part of the name
             quoted = not quoted
             quoted_part = True
@@ -94,7 +96,7 @@ def qualify(ref: str, default_database: str) -> str:
     parts = split_ref(ref)
     if len(parts) > 1:
         return ref
-    return f"{quote_ident(default_database)}.{quote_ident(parts[0])}"
+    return quote_ref(split_ref(default_database) + parts)  # the default may name a catalog too
 
 
 def path_stem(path: str) -> str:

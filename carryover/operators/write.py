@@ -20,6 +20,7 @@ tasks without being counted twice.
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 from collections.abc import Sequence
@@ -260,8 +261,11 @@ def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
     """Write beside the target, then swap by renames; no step leaves the name without a table."""
     spark = df.sparkSession
     parts = split_ref(table)
-    if len(parts) == 3 and parts[0] == "spark_catalog":
-        parts = parts[1:]  # the session catalog renames two-part names only
+    if len(parts) == 3 and parts[0].lower() == "spark_catalog":
+        # the session catalog renames two-part names only, and those resolve in the current catalog
+        if spark.catalog.currentCatalog().lower() != "spark_catalog":
+            raise ValueError("staged replace needs spark_catalog as the current catalog")
+        parts = parts[1:]
     tag = uuid.uuid4().hex[:8]
 
     def name(suffix: str) -> str:
@@ -280,7 +284,10 @@ def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
         spark.sql(f"ALTER TABLE {backup} RENAME TO {target}")  # put the old table back
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
-    spark.sql(f"DROP TABLE {backup}")
+    try:
+        spark.sql(f"DROP TABLE {backup}")
+    except Exception as exc:  # noqa: BLE001 - the replace itself succeeded
+        logging.getLogger(__name__).warning("replaced %s, but could not drop %s: %s", table, backup, exc)
     written.table, written.mode = table, "replace"
     return written
 

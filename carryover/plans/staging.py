@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.names import quote_ident, sql_col
@@ -83,25 +82,16 @@ def stage_exports(
     read = read or _reader(spark)
     if not inputs:
         raise ValueError("no inputs")
-    parts: list[DataFrame] = []
-    failed: list[tuple[str, str]] = []
+    rows: list[tuple] = []
     for name, path in inputs.items():
         try:  # one bad input does not stop the rest
             df = replicate_partitions(limit_rows(read(path), max_rows, order_by), column, ds_values)
             exported = export_partitioned(df, f"{root.rstrip('/')}/{name}", [column])
+            # one row per ds value given: a short list, counted now while errors can be isolated
+            counts = exported.partitions.select(sql_col(column).cast("string"), "n_rows").collect()
         except Exception as exc:  # noqa: BLE001
-            failed.append((name, (str(exc).strip().splitlines() or ["error"])[0][:1000]))
+            rows.append((name, None, None, (str(exc).strip().splitlines() or ["error"])[0][:1000]))
             continue
-        parts.append(
-            exported.partitions.select(
-                F.lit(name).alias("name"),
-                sql_col(column).cast("string").alias(column),
-                F.col("n_rows"),
-                F.lit(None).cast("string").alias("error"),
-            )
-        )
+        rows += [(name, ds, int(n), None) for ds, n in counts]
     schema = f"name string, {quote_ident(column)} string, n_rows bigint, error string"
-    out = spark.createDataFrame([(n, None, None, e) for n, e in failed], schema)
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    return spark.createDataFrame(rows, schema)
