@@ -137,7 +137,8 @@ def cmd_stage_export(args: argparse.Namespace) -> int:
     spark = build_session({"spark.ui.enabled": "false"}, master=args.master, app_name="carryover-stage")
     try:
         rows = stage_exports(
-            spark, _named_inputs(args.inputs), args.root, max_rows=args.rows, ds_values=args.ds.split(",")
+            spark, _named_inputs(args.inputs), args.root, max_rows=args.rows,
+            ds_values=[d.strip() for d in args.ds.split(",") if d.strip()],
         ).collect()
     finally:
         spark.stop()

@@ -122,8 +122,8 @@ def scan_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = _read(spark, sf_dir, "orders")
     root = scratch_path(spark, "merge")
-    orders.where(F.col("o_orderstatus") == "F").write.parquet(f"{root}/part=full")
-    orders.where(F.col("o_orderstatus") != "F").drop("o_orderpriority").write.parquet(f"{root}/part=narrow")
+    orders.where(F.col("o_orderstatus").eqNullSafe("F")).write.parquet(f"{root}/part=full")
+    orders.where(~F.col("o_orderstatus").eqNullSafe("F")).drop("o_orderpriority").write.parquet(f"{root}/part=narrow")
     return read_parquet(spark, root, merge_schema=True).select(*orders.columns)
 
 

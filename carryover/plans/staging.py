@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.names import quote_ident, sql_col
+from ..functions.names import quote_ident, quote_ref, split_ref, sql_col
 from ..operators.transforms import limit_rows, replicate_partitions
 from ..operators.write import export_partitioned, load_overwrite
 
@@ -54,7 +54,7 @@ def stage_tables(
     read = read or _reader(spark)
     rows = []
     for name, path in inputs.items():
-        target = f"{quote_ident(database)}.{quote_ident(name)}"
+        target = quote_ref(split_ref(database) + [name])  # the database may name its catalog too
         try:
             n = load_overwrite(limit_rows(read(path), max_rows, order_by), target)
             rows.append((name, target, n, "success", None))

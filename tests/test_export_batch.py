@@ -279,3 +279,11 @@ def test_stage_exports_isolates_a_bad_input(spark, scratch):
     ).collect()
     by = {(r["name"], r["ds"]): r for r in rows}
     assert by[("bad", None)]["error"] and by[("region", "2024-01-15")]["n_rows"] == 5
+
+
+def test_stage_tables_into_a_catalog_qualified_database(spark, db):
+    from carryover.plans import stage_tables
+
+    rows = stage_tables(spark, {"reg": f"{SF001}/region.parquet"}, f"spark_catalog.{db}", max_rows=0).collect()
+    assert rows[0]["status"] == "success", rows[0]["error"]
+    assert spark.table(f"{db}.reg").count() == 5
