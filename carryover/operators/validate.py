@@ -9,9 +9,13 @@ per side, partial per task then a single-row merge, no shuffle of rows
 (``exceptAll`` would shuffle both tables whole).  Because it is a sum it
 is additive: ``fp(after) - fp(before) == fp(appended)``, which lets an
 append be checked too.  Duplicated rows count twice, so a lost or doubled
-row changes it.  The sum is kept as ``decimal(38,0)``: 2^63 per row times
-10^12 rows stays far below 10^38, and ANSI mode would fail a ``bigint``
-overflow.
+row changes it.  The sum is computed exactly with ``bigint`` arithmetic
+only: each hash is cut into three slices (high 22 bits signed, then two
+21-bit slices), each slice is summed, and the driver recombines
+``hi * 2^42 + mid * 2^21 + lo`` as a Python integer.  No slice sum can
+overflow below 2^42 (4.4e12) rows per side; beyond that ANSI mode raises
+rather than wrap.  (A ``decimal(38,0)`` sum gives the same number but runs
+through ``BigDecimal`` per row, measurably slower.)
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.names import sql_col
 from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StringType, StructField, StructType
 
-HASH_SUM_TYPE = "decimal(38,0)"
+_SLICE = (1 << 21) - 1
 
 
 _INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
@@ -96,17 +100,30 @@ def fingerprint_exprs(
     cols = list(columns) if columns is not None else list(df.columns)
     types = dict(as_types or {})
     blank = set(empty_as_null)
-    exprs = [F.count(F.lit(1)).alias("rows")]
-    if cols:
-        row_hash = F.xxhash64(*[_hashable(df, c, types.get(c), c in blank) for c in sorted(cols)])
-        exprs.append(F.coalesce(F.sum(row_hash.cast(HASH_SUM_TYPE)), F.lit(0).cast(HASH_SUM_TYPE)).alias("hash_sum"))
-    return exprs
+    row_hash = (
+        F.xxhash64(*[_hashable(df, c, types.get(c), c in blank) for c in sorted(cols)]) if cols else F.lit(0).cast("bigint")
+    )
+    return [F.count(F.lit(1)).alias("rows"), *_slice_sums(row_hash)]
+
+
+def _slice_sums(row_hash: Column) -> list[Column]:
+    return [
+        F.coalesce(F.sum(F.shiftright(row_hash, 42)), F.lit(0).cast("bigint")).alias("_h_hi"),
+        F.coalesce(F.sum(F.shiftright(row_hash, 21).bitwiseAND(_SLICE)), F.lit(0).cast("bigint")).alias("_h_mid"),
+        F.coalesce(F.sum(row_hash.bitwiseAND(_SLICE)), F.lit(0).cast("bigint")).alias("_h_lo"),
+    ]
+
+
+def combine(metrics: Mapping[str, object]) -> dict[str, object]:
+    """``{"rows", "hash_sum"}`` from the aggregated slice sums (exact Python integers)."""
+    hi, mid, lo = (int(metrics.get(k) or 0) for k in ("_h_hi", "_h_mid", "_h_lo"))  # type: ignore[call-overload]
+    return {"rows": int(metrics.get("rows") or 0), "hash_sum": (hi << 42) + (mid << 21) + lo}  # type: ignore[call-overload]
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, object]:
     """Run one aggregation job and return ``{"rows": n, "hash_sum": h}``."""
     row = df.agg(*fingerprint_exprs(df, columns)).first()
-    return row.asDict() if row is not None else {"rows": 0, "hash_sum": 0}
+    return combine(row.asDict()) if row is not None else {"rows": 0, "hash_sum": 0}
 
 
 def fingerprint_pair(
@@ -128,10 +145,10 @@ def fingerprint_pair(
         hashed(left, 0)
         .unionByName(hashed(right, 1))
         .groupBy("_side")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("_h").cast(HASH_SUM_TYPE)).alias("hash_sum"))
+        .agg(F.count(F.lit(1)).alias("rows"), *_slice_sums(F.col("_h")))
         .collect()
     )
-    found = {r["_side"]: {"rows": r["rows"], "hash_sum": r["hash_sum"] or 0} for r in rows}
+    found = {r["_side"]: combine(r.asDict()) for r in rows}
     empty = {"rows": 0, "hash_sum": 0}
     return found.get(0, dict(empty)), found.get(1, dict(empty))
 

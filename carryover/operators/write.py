@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_col, sql_string
 from .transforms import prepare_for_write
-from .validate import fingerprint_exprs
+from .validate import combine, fingerprint_exprs
 
 MODES = ("create", "replace", "append")
 V1_FORMATS = frozenset({"parquet", "orc", "csv", "json", "avro", "text", "hive"})
@@ -253,7 +253,7 @@ def write_table(
 
     metrics = obs.get
     rows = int(metrics.get("rows") or 0)
-    fp = {"rows": rows, "hash_sum": metrics.get("hash_sum") or 0} if fingerprint else None
+    fp = combine(metrics) if fingerprint else None
     return Written(table=table, mode=mode, rows=rows, fingerprint=fp, partition_by=partition_by)
 
 

@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from carryover.operators import export_partitioned, fingerprint_exprs, file_stats, prepare_for_write, register_files  # noqa: E402
+from carryover.operators.validate import _slice_sums  # noqa: E402
 from carryover.operators.write import _observed  # noqa: E402
 from carryover.plans.checks import count_equal_sql  # noqa: E402
 from carryover.session import local_session, scratch_database, scratch_path  # noqa: E402
@@ -23,7 +24,7 @@ from carryover.session import local_session, scratch_database, scratch_path  # n
 def _pair_frame(a, b):
     cols = sorted(a.columns)
     h = lambda df, side: df.select(F.xxhash64(*cols).alias("_h"), F.lit(side).alias("_side"))
-    return h(a, 0).unionByName(h(b, 1)).groupBy("_side").agg(F.count(F.lit(1)), F.sum(F.col("_h").cast("decimal(38,0)")))
+    return h(a, 0).unionByName(h(b, 1)).groupBy("_side").agg(F.count(F.lit(1)), *_slice_sums(F.col("_h")))
 
 
 def plan(df) -> str:
