@@ -34,3 +34,18 @@ def test_blocks_become_checks(blocks):
         assert check.sql == "\n".join(lines)
         expected = label.strip() if label is not None else None
         assert check.assert_msg == expected
+
+
+@given(st.lists(st.integers(min_value=-(2**63), max_value=2**63 - 1), max_size=50))
+def test_hash_slices_recombine_to_the_exact_sum(hashes):
+    from carryover.operators.validate import combine
+
+    # the three Spark expressions: h >> 42 (arithmetic), (h >> 21) & mask, h & mask
+    mask = (1 << 21) - 1
+    metrics = {
+        "rows": len(hashes),
+        "_h_hi": sum(h >> 42 for h in hashes),
+        "_h_mid": sum((h >> 21) & mask for h in hashes),
+        "_h_lo": sum(h & mask for h in hashes),
+    }
+    assert combine(metrics) == {"rows": len(hashes), "hash_sum": sum(hashes)}
