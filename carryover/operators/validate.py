@@ -24,13 +24,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ..functions.names import sql_col
 from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StringType, StructField, StructType
 
-_SLICE = (1 << 21) - 1
-
+from ..functions.names import sql_col
 
+_SLICE = (1 << 21) - 1  # low 21 bits
 _INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 _INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
 
@@ -90,7 +88,8 @@ def fingerprint_exprs(
     as_types: Mapping[str, DataType] | None = None,
     empty_as_null: Sequence[str] = (),
 ) -> list[Column]:
-    """Aggregate expressions ``rows`` and ``hash_sum`` over ``columns`` (default: all, by name).
+    """Aggregate expressions over ``columns`` (default: all, by name): ``rows``
+    and the three hash slice sums, which :func:`combine` turns into ``hash_sum``.
 
     ``as_types`` hashes the named columns as those types (the target's), so a
     value widened on the way into the table hashes the same on both sides.
