@@ -20,7 +20,7 @@ def _aqe_enabled(df: DataFrame) -> bool:
 def prepare_for_write(
     df: DataFrame,
     *,
-    repartition: int | None = None,
+    repartition: int | str | None = None,
     partition_by: Sequence[str] = (),
     input_partition_columns: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -29,6 +29,10 @@ def prepare_for_write(
     * ``repartition=n`` (n > 0): exactly what was asked, round-robin into
       ``n`` tasks, hence ``n`` files per partition value at most.  0 or
       ``None`` means "leave it to Spark", as in the reference.
+    * ``repartition="auto"``: compaction without choosing ``n`` — a
+      ``REBALANCE`` (on the partition columns, if any) whose output
+      partitions AQE sizes to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``;
+      many small input files become few files of that size.
     * partitioned write whose input is already split along the same
       columns (every input file lies inside one target partition, i.e. the
       target's columns are a subset of the input's): no shuffle at all.
@@ -40,8 +44,13 @@ def prepare_for_write(
       straggler task.  With AQE off the hint would be a plain hash
       exchange, skew included, so it is not used then.
     """
+    if repartition == "auto":
+        # compaction without guessing n: AQE sizes the output partitions (and so the files)
+        if partition_by:
+            return df.hint("rebalance", *[sql_col(c) for c in partition_by])
+        return df.hint("rebalance")
     if repartition:
-        if repartition < 0:
+        if int(repartition) < 0:
             raise ValueError("repartition must be positive")
         return df.repartition(int(repartition))
     if not partition_by:

@@ -167,7 +167,7 @@ def write_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    repartition: int | None = None,
+    repartition: int | str | None = None,
     input_partition_columns: Sequence[str] | None = None,
     fingerprint: bool = False,
     options: dict[str, str] | None = None,

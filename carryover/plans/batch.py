@@ -70,7 +70,7 @@ class MigrationOptions:
     catalog: str = "spark_catalog"
     database: str = "default"
     fmt: str = "parquet"
-    repartition: int | None = None
+    repartition: int | str | None = None  # n, or "auto" (AQE-sized rebalance)
     partition_by: tuple[str, ...] = ()
     register_partition_columns: tuple[str, ...] | None = None
     verify: str = "count"
@@ -83,8 +83,9 @@ class MigrationOptions:
             raise ValueError(f"unknown write mode {self.mode!r}; one of {', '.join(WRITE_MODES)}")
         if self.verify not in VERIFY:
             raise ValueError(f"unknown verify {self.verify!r}; one of {', '.join(VERIFY)}")
-        if self.repartition is not None and self.repartition < 0:
-            raise ValueError("repartition must be >= 0")
+        if self.repartition is not None and self.repartition != "auto":
+            if not isinstance(self.repartition, int) or self.repartition < 0:
+                raise ValueError("repartition must be a number >= 0 or 'auto'")
         if self.mode == "register" and (self.repartition or self.partition_by):
             raise ValueError("register rewrites nothing: repartition / partition_by do not apply")
 

@@ -282,3 +282,14 @@ def test_staged_replace_through_a_batch_with_three_part_names(spark, db):
     assert (row["status"], row["target_rows"]) == ("success", 25), row
     names = [t.name for t in spark.catalog.listTables(db)]
     assert "reg3" in names and not [n for n in names if "__" in n]
+
+
+def test_auto_repartition_compacts_small_files(spark, db, scratch):
+    path = scratch("small")
+    spark.read.parquet(f"{SF001}/orders.parquet").repartition(12).write.parquet(path)  # 12 small files
+    df = spark.read.parquet(path)
+    w = write_table(df, f"{db}.compact", "create", repartition="auto")
+    assert w.rows == df.count()
+    assert len(_files(spark, f"{db}.compact")) < 12
+    plan = df.hint("rebalance")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
