@@ -46,6 +46,8 @@ def prepare_for_write(
     """
     if repartition == "auto":
         # compaction without guessing n: AQE sizes the output partitions (and so the files)
+        if not _aqe_enabled(df):
+            raise ValueError("repartition='auto' needs spark.sql.adaptive.enabled=true; give a number instead")
         if partition_by:
             return df.hint("rebalance", *[sql_col(c) for c in partition_by])
         return df.hint("rebalance")

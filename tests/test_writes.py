@@ -293,3 +293,15 @@ def test_auto_repartition_compacts_small_files(spark, db, scratch):
     assert len(_files(spark, f"{db}.compact")) < 12
     plan = df.hint("rebalance")._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
+
+
+def test_auto_repartition_refuses_without_aqe(spark, db):
+    from carryover.operators import prepare_for_write
+
+    df = spark.read.parquet(f"{SF001}/region.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            prepare_for_write(df, repartition="auto")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
