@@ -61,3 +61,11 @@ def test_source_registry():
     assert src.resolve("yellow") == "`nyctaxi`.`yellow`"
     assert src.target_name("other.green") == "green"
     assert ParquetSource().target_name("s3a://raw/yellow_tripdata") == "yellow_tripdata"
+
+
+def test_sources_satisfy_the_pluggable_interface():
+    from carryover.sources import Source
+
+    assert isinstance(CatalogSource(), Source) and isinstance(ParquetSource(), Source)
+    assert get_source("hive", metastore_uri="thrift://m:9083").session_settings()["spark.hadoop.hive.metastore.uris"] == "thrift://m:9083"
+    assert ParquetSource().session_settings() == {}
