@@ -68,6 +68,25 @@ def q_copy_partitioned(spark, sf):
     return write_table(_read(spark, sf, "lineitem"), f"{db}.lineitem", "create", partition_by=["l_returnflag"]).rows
 
 
+def setup_multifile(spark, sf):
+    """lineitem as 32 files, the shape of a real table (the test files are one row group each)."""
+    path = scratch_path(spark, "bench_multi")
+    _read(spark, sf, "lineitem").repartition(32).write.parquet(path)
+    return path
+
+
+def q_copy_multifile(spark, sf, path):
+    """K1 over a 32-file input: one task per file, all cores busy, no shuffle."""
+    db, _ = scratch_database(spark, "bench")
+    return write_table(spark.read.parquet(path), f"{db}.lineitem", "create").rows
+
+
+def q_copy_partitioned_multifile(spark, sf, path):
+    """T2 over a 32-file input: rebalanced on l_returnflag: 3 files, where a plain partitioned write makes 24."""
+    db, _ = scratch_database(spark, "bench")
+    return write_table(spark.read.parquet(path), f"{db}.lineitem", "create", partition_by=["l_returnflag"]).rows
+
+
 def q_copy_verified(spark, sf):
     """V6 content: copy lineitem with a fingerprint on the write, then fingerprint the target once."""
     db, _ = scratch_database(spark, "bench")
@@ -173,12 +192,20 @@ def q_checks(spark, sf):
     return run.passed
 
 
-SETUP = {"content_compare": setup_content_compare, "append_day": setup_append_day, "register": setup_register}  # untimed preparation, its result is passed on
+SETUP = {
+    "content_compare": setup_content_compare,
+    "append_day": setup_append_day,
+    "register": setup_register,
+    "copy_multifile": setup_multifile,
+    "copy_partitioned_multifile": setup_multifile,
+}  # untimed preparation, its result is passed on
 
 QUERIES = {
     "count": q_count,
     "copy": q_copy,
     "copy_partitioned": q_copy_partitioned,
+    "copy_multifile": q_copy_multifile,
+    "copy_partitioned_multifile": q_copy_partitioned_multifile,
     "copy_verified": q_copy_verified,
     "content_compare": q_content_compare,
     "append_day": q_append_day,
