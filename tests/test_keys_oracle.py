@@ -15,6 +15,19 @@ TABLES = (
 ).split()
 
 
+# DuckDB result types and the Spark types they correspond to (the gate also compares schemas).
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "DOUBLE": "double",
+    "FLOAT": "float",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 6)
@@ -49,6 +62,9 @@ def test_key_matches_oracle(spark, duck, key):
     rel = duck.sql(entry_module.oracle_sql()[key])
     ocols = rel.columns
     assert sorted(ocols) == cols
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {c: DUCK_TO_SPARK.get(str(t).split("(")[0], str(t)) for c, t in zip(ocols, rel.types)}
+    assert spark_types == duck_types
     order = sorted(range(len(ocols)), key=lambda i: ocols[i])
     want = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rel.fetchall())
     assert got == want
