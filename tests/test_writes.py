@@ -305,3 +305,12 @@ def test_auto_repartition_refuses_without_aqe(spark, db):
             prepare_for_write(df, repartition="auto")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_failed_create_leaves_nothing_and_can_be_rerun(spark, db):
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    bad = nation.withColumn("n_nationkey", F.expr("assert_true(n_nationkey < 0)"))
+    with pytest.raises(Exception):
+        write_table(bad, f"{db}.retry", "create")
+    assert not spark.catalog.tableExists(f"{db}.retry")
+    assert write_table(nation, f"{db}.retry", "create").rows == 25
