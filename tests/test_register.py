@@ -154,3 +154,26 @@ def test_partition_types_survive_content_verification(spark, db, scratch):
     assert dict(reg.files.dtypes)["ds"] == "string"
     a, b = fingerprint_pair(reg.files, spark.table(f"{db}.pt"))
     assert a == b
+
+
+def test_failed_export_leaves_no_data_files(spark, scratch):
+    import glob
+
+    path = scratch("failexp")
+    bad = _events(spark).withColumn("event_id", F.expr("assert_true(event_id < 0)"))
+    with pytest.raises(Exception):
+        export_partitioned(bad, path, ["ds"])
+    assert glob.glob(f"{path}/**/*.parquet", recursive=True) == []
+
+
+def test_registration_interrupted_after_create_finishes_on_rerun(spark, db, scratch):
+    from carryover.operators import create_table_sql, infer_layout
+    from carryover.sources import qualified_path
+
+    path = scratch("half")
+    export_partitioned(_events(spark), path, ["ds"])
+    qpath = qualified_path(spark, path)
+    spark.sql(create_table_sql(f"{db}.half", infer_layout(spark, qpath), fmt="parquet", location=qpath))
+    assert spark.table(f"{db}.half").count() == 0  # table made, partitions not yet registered
+    reg = register_files(spark, path, f"{db}.half")
+    assert reg.status == "success" and reg.target_rows == 1000
