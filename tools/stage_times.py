@@ -52,6 +52,14 @@ def main(folder: str, slow_ms: int = 100) -> None:
                 ms = ti["Finish Time"] - ti["Launch Time"]
                 if ms >= slow_ms:
                     slow.append((e["Stage ID"], ti["Task ID"], ms))
+    per_label: dict[str, list[int]] = {}
+    for j in jobs.values():
+        if j["desc"]:
+            per_label.setdefault(j["desc"], []).append(j.get("end", j["start"]) - j["start"])
+    if per_label:
+        print("per label (jobs, total ms):")
+        for label, times in sorted(per_label.items(), key=lambda kv: -sum(kv[1])):
+            print(f"  {len(times):3d} {sum(times):7d}  {label[:100]}")
     for jid, j in sorted(jobs.items()):
         print(f"job {jid:4d} {j.get('end', j['start']) - j['start']:6d} ms  stages {j['stages']}  {j['desc'][:80]}")
     for sid, s in sorted(stages.items()):
