@@ -158,6 +158,14 @@ def repartition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copy(spark, _read(spark, sf_dir, "orders"), "orders", repartition=3)[1]
 
 
+def compact_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 ``repartition="auto"``: ``orders`` spread over many small files, copied as AQE-sized files."""
+    orders = _read(spark, sf_dir, "orders")
+    small = scratch_path(spark, "small_files")
+    orders.repartition(24).write.parquet(small)
+    return _copy(spark, spark.read.parquet(small).select(*orders.columns), "orders", repartition="auto")[1]
+
+
 # --- write modes -----------------------------------------------------------
 
 
@@ -181,6 +189,16 @@ def write_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select(*customer.columns)
 
 
+def write_replace_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 staged: ``nation`` replaced by ``customer`` through a staging table and renames."""
+    db, _ = scratch_database(spark, "staged")
+    table = f"{db}.t"
+    write_table(_read(spark, sf_dir, "nation"), table, "create")
+    customer = _read(spark, sf_dir, "customer")
+    write_table(customer, table, "replace", staged=True)
+    return spark.table(table).select(*customer.columns)
+
+
 def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: create ``nation``, append ``nation`` again."""
     db, _ = scratch_database(spark, "append")
@@ -374,6 +392,19 @@ def content_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "tbl string, source_rows bigint, target_rows bigint, same_content boolean")
 
 
+def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + V6 scoped: events by day without 2024-01-15, then that day appended; validation reads that day."""
+    db, _ = scratch_database(spark, "apday")
+    events = _read(spark, sf_dir, "events").withColumn("ds", F.to_date("ts"))
+    write_table(events.where(F.col("ds") != F.lit(PRUNE_DS).cast("date")), f"{db}.events", "create", partition_by=["ds"])
+    day = scratch_path(spark, "day")
+    events.where(F.col("ds") == F.lit(PRUNE_DS).cast("date")).write.parquet(day)
+    report = run_migration(
+        spark, ParquetSource(), [day], MigrationOptions(database=db, mode="append"), targets={day: "events"}
+    )
+    return report.select("mode", "source_rows", "added_rows", "target_rows", "status")
+
+
 def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three refs, one missing; the missing one fails alone."""
     db, _ = scratch_database(spark, "batch")
@@ -450,9 +481,11 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_partition": tag_partition_key,
     "replicate_partitions": replicate_partitions_key,
     "repartition_write": repartition_write,
+    "compact_write": compact_write,
     "write_create": write_create,
     "write_partitioned": write_partitioned,
     "write_replace": write_replace,
+    "write_replace_staged": write_replace_staged,
     "write_append": write_append,
     "load_overwrite": load_overwrite_key,
     "export_partitioned": export_partitioned_key,
@@ -469,6 +502,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count_validation": row_count_validation,
     "content_validation": content_validation,
     "content_compare": content_compare,
+    "append_partitioned": append_partitioned,
     "migration_report": migration_report,
     "migrate_subset": migrate_subset,
     "migration_summary": migration_summary,
@@ -505,6 +539,8 @@ ORACLES: dict[str, str] = {
     ),
     "repartition_write": "SELECT * FROM orders",
     "write_create": "SELECT * FROM part",
+    "compact_write": "SELECT * FROM orders",
+    "write_replace_staged": "SELECT * FROM customer",
     "write_partitioned": "SELECT * FROM lineitem",
     "write_replace": "SELECT * FROM customer",
     "write_append": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
@@ -563,6 +599,10 @@ ORACLES: dict[str, str] = {
         "SELECT 'lineitem' AS tbl, count(*) AS source_rows, count(*) AS target_rows, true AS same_content "
         "FROM lineitem UNION ALL SELECT 'orders', count(*), count(*), true FROM orders"
     ),
+    "append_partitioned": (
+        "SELECT 'append' AS mode, count(*) AS source_rows, count(*) AS added_rows, count(*) AS target_rows, "
+        f"{_COUNT_OK} FROM events WHERE CAST(ts AS DATE) = DATE '{PRUNE_DS}'"
+    ),
     "migration_report": (
         "SELECT 'orders.parquet' AS src, 'orders' AS tbl, count(*) AS source_rows, count(*) AS target_rows, "
         f"{_COUNT_OK}, false AS has_error FROM orders "
