@@ -218,6 +218,16 @@ def load_overwrite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.part").select(*part.columns)
 
 
+def export_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 ``overwrite``: orders exported for two days, then one day exported again with overwrite;
+    only that day is replaced, so the tree holds each day once."""
+    orders = _read(spark, sf_dir, "orders")
+    path = scratch_path(spark, "overwrite")
+    export_partitioned(replicate_partitions(orders, "ds", REPLICA_DS), path, ["ds"])
+    export_partitioned(tag_partition(orders, "ds", REPLICA_DS[1]), path, ["ds"], mode="overwrite")
+    return spark.read.parquet(path).select(*orders.columns, "ds")
+
+
 def export_partitioned_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7+A3: export ``events`` by day; rows written per ``ds``."""
     exported = _export_events(spark, sf_dir)
@@ -232,6 +242,14 @@ def register_files_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_registered_events(spark, sf_dir))
 
 
+def register_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4a option: register with the partition type chosen (``ds`` kept as text, not inferred as date)."""
+    exported = _export_events(spark, sf_dir)
+    db, _ = scratch_database(spark, "regtyped")
+    register_files(spark, exported.path, f"{db}.events", partition_types={"ds": "string"})
+    return spark.table(f"{db}.events")
+
+
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count one ``ds`` of the registered table (one directory read)."""
     table = _registered_events(spark, sf_dir)
@@ -489,7 +507,9 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_append": write_append,
     "load_overwrite": load_overwrite_key,
     "export_partitioned": export_partitioned_key,
+    "export_overwrite": export_overwrite,
     "register_files": register_files_key,
+    "register_typed": register_typed,
     "partition_prune": partition_prune,
     "file_stats": file_stats_key,
     "check_count_equal": check_count_equal,
@@ -549,6 +569,11 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ds, count(*) AS n_rows FROM events GROUP BY 1"
     ),
     "register_files": _EVENTS_DS,
+    "register_typed": "SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS ds FROM events",
+    "export_overwrite": (
+        f"SELECT *, DATE '{REPLICA_DS[0]}' AS ds FROM orders "
+        f"UNION ALL SELECT *, DATE '{REPLICA_DS[1]}' AS ds FROM orders"
+    ),
     "partition_prune": (
         f"SELECT count(*) AS n_rows FROM events WHERE CAST(ts AS DATE) = DATE '{PRUNE_DS}'"
     ),
