@@ -76,3 +76,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["tbl", "source_rows", "target_rows", "status"]
     assert {r["status"] for r in rows} == {"success"}
     assert SF001  # entry reads the smoke scale
+
+
+@pytest.mark.parametrize("key", ["export_partitioned", "partition_prune", "register_typed", "append_partitioned"])
+def test_date_keys_do_not_depend_on_the_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_key_matches_oracle(spark, duck, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
