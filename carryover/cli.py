@@ -14,6 +14,7 @@ and ``stage-export`` load sample tables into a catalog, or export them as
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import sys
 
@@ -50,6 +51,12 @@ def cmd_migrate(args: argparse.Namespace) -> int:
     finally:
         spark.stop()
     ok = sum(1 for r in rows if r["status"] == "success")
+    if args.json:
+        for r in rows:
+            print(json.dumps({"kind": "table", **r.asDict()}, default=str))
+        for r in checks if run is not None else []:
+            print(json.dumps({"kind": "check", **r.asDict()}, default=str))
+        return 0 if ok == len(rows) and (run is None or run.exit_code == 0) else 1
     _print_table(
         ["status", "source", "target", "source_rows", "target_rows", "error"],
         [[r["status"], r["source"], r["target"] or "", r["source_rows"], r["target_rows"], r["error"] or ""] for r in rows],
@@ -88,7 +95,11 @@ def cmd_verify(args: argparse.Namespace) -> int:
         except (OSError, UnicodeDecodeError) as exc:
             print(f"cannot read check file {args.checks}: {exc}")
             return 1
-        _print_checks(run, run.report.collect())
+        if args.json:
+            for r in run.report.collect():
+                print(json.dumps({"kind": "check", **r.asDict()}, default=str))
+        else:
+            _print_checks(run, run.report.collect())
         return run.exit_code
     finally:
         spark.stop()
@@ -155,11 +166,13 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("-t", "--tables", default=None, help="comma-separated subset of tables")
     m.add_argument("--parallelism", type=int, default=4, help="tables (and checks) in flight at once")
     m.add_argument("-q", "--checks", default=None, help="check file to run afterwards in the same session")
+    m.add_argument("--json", action="store_true", help="one JSON object per report row")
     m.set_defaults(func=cmd_migrate)
     v = sub.add_parser("verify", help="run a file of SQL checks")
     v.add_argument("-c", "--config", default="config.yaml")
     v.add_argument("-q", "--checks", required=True)
     v.add_argument("--parallelism", type=int, default=4, help="checks in flight at once")
+    v.add_argument("--json", action="store_true", help="one JSON object per check")
     v.set_defaults(func=cmd_verify)
     c = sub.add_parser("validate", help="check a config file (no Spark)")
     c.add_argument("-c", "--config", default="config.yaml")

@@ -174,3 +174,24 @@ def test_config_flags_tables_and_nulls():
         parse_config({**raw, "storage": {"endpoint": "x", "path_style_access": "maybe"}})
     with pytest.raises(ValueError, match="extra_config"):
         parse_config({**raw, "spark": {"extra_config": ["a"]}})
+
+
+def test_cli_migrate_json_report(tmp_path):
+    import json
+
+    out = _run("migrate", "-c", _config_with_own_warehouse(tmp_path), "-t", "/root/testdata/sf0.001/region.parquet", "--json")
+    assert out.returncode == 0, out.stderr[-2000:]
+    rows = [json.loads(line) for line in out.stdout.splitlines() if line.startswith("{")]
+    assert rows == [
+        {
+            "kind": "table",
+            "source": "/root/testdata/sf0.001/region.parquet",
+            "target": "`spark_catalog`.`taxi_copy`.`region`",
+            "mode": "create",
+            "source_rows": 5,
+            "target_rows": 5,
+            "added_rows": 5,
+            "status": "success",
+            "error": None,
+        }
+    ]
