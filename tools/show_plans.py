@@ -53,6 +53,8 @@ def main() -> None:
         ("Copy: the DataFrame handed to the writer (count observed in the same stage)", _observed(li, False)[0]),
         ("Partitioned copy: rebalanced on the partition column, count observed after the exchange",
          _observed(prepare_for_write(li, partition_by=["l_returnflag"]), False)[0]),
+        ("Compaction (repartition='auto'): one rebalance exchange, AQE sizes the output",
+         prepare_for_write(li, repartition="auto")),
         ("Target count after a copy (no column read)", spark.table(f"{db}.lineitem").groupBy().count()),
         ("Content fingerprint (partial aggregate per task, one row per task shuffled)",
          spark.table(f"{db}.lineitem").agg(*fingerprint_exprs(li))),
