@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .dedup import near_duplicates
 from .language import identify
 from .packing import pack_documents
 
@@ -17,6 +18,10 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizer())
 
@@ -26,8 +31,40 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_near_dedup": op6_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words of every document, as lists; RE2 reads the class as the operators do.
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_OP6 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce({_WORDS.format(text=_FOLDED)}, []) AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4
+    THEN [array_to_string(ws[i:i+3], ' ') FOR i IN range(1, len(ws) - 2)]
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), near AS (
+  SELECT a, b FROM links JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * same >= 80 * (p.n + q.n - same)
+), reach(a, b) AS (
+  SELECT a, b FROM near UNION SELECT r.a, l.b FROM reach r JOIN near l ON r.b = l.a
+), best AS (
+  SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(b, w.doc_id)) AS component_id,
+  w.doc_id = least(w.doc_id, coalesce(b, w.doc_id)) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_near_dedup": ORACLE_OP6,
+}
