@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .dedup import near_duplicates
 from .language import identify
 from .packing import pack_documents
+from .substrings import remove_repeats
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -18,6 +20,11 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"), k=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -31,6 +38,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_language_id": op10_language_id,
@@ -65,6 +73,25 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(b, w.d
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
+ORACLE_OP4 = f"""
+WITH w AS (
+  SELECT doc_id, coalesce({_WORDS.format(text='text')}, []) AS ws FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i,
+    unnest([array_to_string(ws[j:j+12], ' ') FOR j IN range(1, len(ws) - 11)]) AS win FROM w WHERE len(ws) >= 13
+), least AS (
+  SELECT win, min(doc_id) AS first_doc FROM g GROUP BY win
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM g JOIN least USING (win) WHERE first_doc < doc_id
+), lost AS (
+  SELECT doc_id, list(pos) AS pos FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(pos), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string([ws[i] FOR i IN range(1, len(ws) + 1) IF pos IS NULL OR NOT list_contains(pos, i)], ' '), '')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": ORACLE_OP4,
     "op6_near_dedup": ORACLE_OP6,
 }
