@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .dedup import near_duplicates
+from .fingerprint import edited_fingerprints
 from .language import identify
 from .packing import pack_documents
 from .substrings import remove_repeats
@@ -33,6 +34,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return marks.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_document_fingerprints": op9_document_fingerprints,
     "op10_language_id": op10_language_id,
 }
 
