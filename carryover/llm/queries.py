@@ -13,6 +13,7 @@ from .fingerprint import edited_fingerprints
 from .language import identify
 from .packing import pack_documents
 from .substrings import remove_repeats
+from .surrogates import replace_personal_data
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -21,6 +22,10 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), k=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -44,6 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
