@@ -11,6 +11,7 @@ from .common import table
 from .dedup import near_duplicates
 from .fingerprint import edited_fingerprints
 from .language import identify
+from .multi_index import neighbours
 from .packing import pack_documents
 from .substrings import remove_repeats
 from .surrogates import replace_personal_data
@@ -26,6 +27,10 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_personal_data(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
 
 
+def op2_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, top=10)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), k=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -50,6 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
+    "op2_inverted_multi_index": op2_inverted_multi_index,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
