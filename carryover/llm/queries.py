@@ -15,6 +15,7 @@ from .multi_index import neighbours
 from .packing import pack_documents
 from .substrings import remove_repeats
 from .surrogates import replace_personal_data
+from .url_filter import judge
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -40,6 +41,13 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizer())
 
@@ -58,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_inverted_multi_index": op2_inverted_multi_index,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
+    "op7_url_filter": op7_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_language_id": op10_language_id,
