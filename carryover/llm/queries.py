@@ -11,6 +11,8 @@ from .common import table
 from .dedup import near_duplicates
 from .fingerprint import edited_fingerprints
 from .language import identify
+from .licenses import scan
+from .mixing import mix_sources
 from .multi_index import neighbours
 from .packing import pack_documents
 from .substrings import remove_repeats
@@ -32,11 +34,20 @@ def op2_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, top=10)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), k=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"), max_repeat=2.0)
+    return mixed.select("doc_id", "source", "tokens", "epoch", "block", "slot")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -64,7 +75,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_inverted_multi_index": op2_inverted_multi_index,
+    "op3_license_scan": op3_license_scan,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_temperature_mixing": op5_temperature_mixing,
     "op6_near_dedup": op6_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
