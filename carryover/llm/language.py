@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .textcore import join_texts, slices
 
@@ -144,14 +145,9 @@ def infer(likelihood: np.ndarray, weight: np.ndarray) -> dict[int, float]:
 
 
 def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, with ``lang_pred, score, lang_shares``.
-
-    ``score`` is the share of the predicted language in the document; ``lang_shares``
-    maps every chosen language to its share."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(np.ascontiguousarray(model.T))
-    kept = [c for c in docs.columns if c != text]
-    kind = "map<string,double>"
+    """``row, lang_pred, score, lang_shares``: the input row as a struct (so no name can
+    clash), the language, its share of the document, and every chosen language's share."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         likelihood = shared.value
@@ -165,7 +161,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
                 if b - a > 4096:
                     seen = np.bincount(cells[a:b], minlength=BUCKETS)
                     at = np.flatnonzero(seen)
-                    weight = seen[at].astype(float)
+                    weight = seen[at]
                 else:
                     at, weight = np.unique(cells[a:b], return_counts=True)
                 found = infer(likelihood[at], weight.astype(float))
@@ -173,14 +169,15 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
                 pred.append(langs[best])
                 score.append(min(1.0, max(0.0, found[best])))
                 shares.append([(langs[i], s) for i, s in sorted(found.items())])
-            columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))],
-                names=[*kept, "lang_pred", "score", "lang_shares"],
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))],
+                names=["row", "lang_pred", "score", "lang_shares"],
             )
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text)).mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double", f"lang_shares {kind}"]))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(f"`{text}`"))
+    schema = T.StructType(rows.schema.fields[:1])
+    schema = schema.add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("lang_shares", T.MapType(T.StringType(), T.DoubleType()))
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -192,5 +189,13 @@ def identify(docs: DataFrame) -> DataFrame:
     """Learn from the labelled two thirds of ``docs`` and predict every row:
     ``doc_id, held_out, lang_pred, score, lang_shares``."""
     langs, model = fit(learn(docs.where(~held_out(F.col("doc_id")))))
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return predict(rows, langs, model)
+    found = predict(docs.select("doc_id", "text"), langs, model)
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "lang_shares")
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a language; a null ``lang`` takes the prediction."""
+    langs, model = fit(learn(docs.where(~held_out(F.col("doc_id")))))
+    found = predict(docs, langs, model).where(F.col("lang_pred") != UNDETERMINED)
+    own = [F.coalesce("row.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns]
+    return found.select(*own)
