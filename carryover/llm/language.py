@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textcore import join_texts, slices
+from .textcore import join_texts, parts
 
 BUCKETS = 1 << 15
-BATCH_CHARS = 2 << 20
+BATCH_BYTES = 2 << 20
 SMOOTHING = 0.5
 EM_STEPS = 12
 UNDETERMINED = "und"
@@ -75,11 +75,10 @@ def _cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Record batches cut to a bounded number of characters, with their texts (the last column)."""
+    """Record batches cut to a bounded number of bytes, with their texts (the last column)."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        for part in slices([len(t or "") for t in texts], BATCH_CHARS):
-            yield batch.slice(part.start, part.stop - part.start), texts[part]
+        for part, texts in parts(batch.column(batch.num_columns - 1), BATCH_BYTES):
+            yield batch.slice(part.start, part.stop - part.start), [None if t is None else t.decode() for t in texts]
 
 
 def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:

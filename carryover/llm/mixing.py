@@ -23,7 +23,8 @@ Cases: a null source is a source of its own; a document without tokens costs
 nothing and appears once, in epoch 0; equal shares get equal weights; rows
 that repeat an id and text stay together (all in or all out of an epoch);
 null ids are kept; a mixture of one source is that source; an empty table
-gives no rows; all columns of the input are kept.
+gives no rows; all columns of the input are kept (one of them named like a
+new column stands, and the new one is left out).
 """
 
 from __future__ import annotations
@@ -102,7 +103,9 @@ def mix_sources(
     """``docs`` repeated or thinned to the weights, with ``tokens, epoch, block, slot``."""
     spark = docs.sparkSession
     skey = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source).cast("string")))
-    rows = docs.withColumn("tokens", words_in()).withColumn("__source", skey).withColumn("__row", F.xxhash64("doc_id", "text", "__source"))
+    # the input row as a struct, so that no column of it can clash
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), words_in().alias("tokens"), skey.alias("__source"))
+    rows = rows.withColumn("__row", F.xxhash64("row.doc_id", "row.text", "__source"))
     narrow = stored(rows.select("__source", "__row", "tokens"), "tokens")
     totals = [(r[0], r[1]) for r in narrow.groupBy("__source").agg(F.sum("tokens")).orderBy("__source").collect()]
     weighed = [(s, n) for s, n in totals if n > 0]
@@ -114,7 +117,7 @@ def mix_sources(
         t = exponent_for(shares, budget, target_entropy, max_repeat)
         times = repeats(shares, weights_at(shares, t), budget)
         # without a budget no rounding may push a source below one full epoch
-        quota = {s: max(n if budget is None else 0, math.floor(n * r + 1e-6)) for (s, n), r in zip(weighed, times)}
+        quota = {s: max(n if budget is None else 0, math.floor(n * r + 1e-3)) for (s, n), r in zip(weighed, times)}
     schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("blocks", T.LongType()), T.StructField("full", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("all", T.LongType()), T.StructField("quota", T.LongType())])
     plan = spark.createDataFrame(
         [(s, min(MOST_BLOCKS, 1 + n // BLOCK_TOKENS), quota.get(s, 0) // n if n else 0, quota.get(s, 0) % n if n else 0, n, quota.get(s, 0)) for s, n in totals], schema
@@ -146,4 +149,5 @@ def mix_sources(
 
     out = rows.join(plan.select("__source", "blocks"), "__source").withColumn("block", block).join(steps, ["__source", "block"])
     chosen = F.when(F.col("tokens") == 0, F.col("epoch") == 0).otherwise(turn <= F.col("upto"))
-    return out.where(chosen).select(*docs.columns, "tokens", "epoch", "block", "slot")
+    new = [c for c in ("tokens", "epoch", "block", "slot") if c not in docs.columns]
+    return out.where(chosen).select("row.*", *new)

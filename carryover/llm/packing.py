@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pieces_of, stored
-from .textcore import bytes_of, hash_spans, join_texts, slices
+from .textcore import hash_spans, join_texts, parts
 
 CAPACITY = 2048
 END_ID = 0
@@ -179,10 +179,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in bytes_of(batch.column(1))]
             doc_ids = batch.column(0).to_pylist()
-            for part in slices([len(t) for t in texts], BATCH_BYTES):
-                ids, offsets = encode_texts(texts[part], tokenizer)
+            for part, texts in parts(batch.column(1), BATCH_BYTES):
+                ids, offsets = encode_texts(texts, tokenizer)
                 rows: list[tuple] = []
                 for doc_id, a, b in zip(doc_ids[part], offsets[:-1].tolist(), offsets[1:].tolist()):
                     raw = ids[a:b].astype("<u4").tobytes() + end

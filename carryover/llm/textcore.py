@@ -9,13 +9,13 @@ time, cut between spans, so memory does not follow the text length.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_GROUP_BYTES = 2 << 20
+_GROUP_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
@@ -142,3 +142,19 @@ def slices(sizes: list[int], most: int) -> Iterable[slice]:
         total += size
     if at < len(sizes):
         yield slice(at, len(sizes))
+
+
+def parts(column, most: int) -> Iterator[tuple[slice, list[bytes | None]]]:
+    """An Arrow text column a few megabytes at a time: the rows' slice and their texts as bytes."""
+    import pyarrow.compute as pc
+
+    for part in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most):
+        yield part, bytes_of(column.slice(part.start, part.stop - part.start))
+    pa_release()
+
+
+def pa_release() -> None:
+    """Hand memory that Arrow keeps for later back to the system: workers live on, idle, beside the JVM."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
