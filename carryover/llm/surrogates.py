@@ -59,6 +59,7 @@ ENDINGS = {
 }
 
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
+_INITIALS = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Kinds in the order in which they are tried at a place of the text.
 PATTERNS = {
@@ -66,8 +67,9 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "secret": (
-        r"(?<![\p{L}0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|sk-[A-Za-z0-9]{20,80})(?![\p{L}0-9])"
-        r"|(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[A-Za-z0-9_\-+/]{0,200}\d)[A-Za-z0-9_\-+/]{8,200}={0,2}"
+        r"(?<![\p{L}0-9])(?=[A-Za-z_\-]{0,128}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|sk-[A-Za-z0-9]{20,80})(?![\p{L}0-9])"
+        r"|(?<=[=:\s\"'])(?=[A-Za-z_\-+/]{0,200}\d)"
+        r"(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-+/]{8,200}={0,2}"
     ),
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": (
@@ -75,9 +77,11 @@ PATTERNS = {
         r"|(?<![\p{L}\d.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\p{L}\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
     ),
     "card": r"(?<![\p{L}\d.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?![\p{L}\d])",
-    "name": rf"(?<![\p{{L}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+){{0,3}}",
+    "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+){{0,3}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: All kinds but names hold a digit or an at sign, which is quicker to look for.
+_TOKENS = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "name")
 _DIGIT_KINDS = ("phone", "card", "ssn")
 
 
@@ -85,11 +89,17 @@ def mentions_of(text: str) -> Column:
     return F.regexp_extract_all(F.col(text), F.lit(f"({ANY})"), F.lit(1))
 
 
+def has_mention(text: str) -> Column:
+    """Whether ``mentions_of`` finds any."""
+    t = F.col(text)
+    return F.coalesce((t.rlike("[0-9@]") & t.rlike(_TOKENS)) | t.rlike(PATTERNS["name"]), F.lit(False))
+
+
 def kind_of(mention: Column) -> Column:
     """The kind of a whole mention; a value known by its context alone is a secret."""
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     tried = [k for k in PATTERNS if k != "secret"]
-    first = F.when(whole(PATTERNS["secret"].split("|(?<=")[0]), "secret")
+    first = F.when(whole(PATTERNS["secret"].split("|(?<=[=")[0]), "secret")
     return reduce(lambda w, k: w.when(whole(PATTERNS[k]), k), tried, first).otherwise("secret")
 
 
@@ -201,7 +211,7 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
 
 def replace_personal_data(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with surrogates in its text and ``n_replaced``, the mentions replaced."""
-    has = F.coalesce(F.col(text).rlike(ANY), F.lit(False))
+    has = has_mention(text)
     clean = docs.where(~has).withColumn("n_replaced", F.lit(0))
     hit = docs.where(has).withColumn("__pii_hits", mentions_of(text)).withColumn("__pii_text", F.xxhash64(text))
     hit = stored(hit, "mentions")
