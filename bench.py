@@ -192,6 +192,41 @@ def q_checks(spark, sf):
     return run.passed
 
 
+# --- the plain Spark calls beside ours, timed in the same process
+
+
+def p_copy(spark, sf):
+    db, _ = scratch_database(spark, "bench")
+    _read(spark, sf, "lineitem").write.saveAsTable(f"{db}.lineitem")
+    return spark.table(f"{db}.lineitem").count()
+
+
+def p_copy_partitioned(spark, sf):
+    db, _ = scratch_database(spark, "bench")
+    _read(spark, sf, "lineitem").write.partitionBy("l_returnflag").saveAsTable(f"{db}.lineitem")
+    return spark.table(f"{db}.lineitem").count()
+
+
+def p_content_compare(spark, sf, copy):
+    a, b = _read(spark, sf, "lineitem"), spark.table(copy)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def p_replicate_export(spark, sf):
+    path = scratch_path(spark, "bench_rep")
+    both = _read(spark, sf, "orders").withColumn("ds", F.explode(F.array(F.lit("2024-01-15"), F.lit("2024-01-16"))))
+    both.write.mode("append").partitionBy("ds").parquet(path)
+    return spark.read.parquet(path).groupBy("ds").count().collect()
+
+
+PLAIN = {
+    "count": q_count,
+    "copy": p_copy,
+    "copy_partitioned": p_copy_partitioned,
+    "content_compare": p_content_compare,
+    "replicate_export": p_replicate_export,
+}
+
 SETUP = {
     "content_compare": setup_content_compare,
     "append_day": setup_append_day,
@@ -227,6 +262,7 @@ def main() -> None:
         extra = (SETUP[name](spark, WARM_DIR),) if name in SETUP else ()
         fn(spark, WARM_DIR, *extra)
     times: dict[str, float] = {}
+    plain: dict[str, float] = {}  # the same work by bare Spark calls
     for name, fn in QUERIES.items():
         extra = (SETUP[name](spark, SF_DIR),) if name in SETUP else ()
         runs = []
@@ -235,6 +271,13 @@ def main() -> None:
             fn(spark, SF_DIR, *extra)
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
+        if name in PLAIN:
+            runs = []
+            for _ in range(REPEAT):
+                t0 = time.perf_counter()
+                PLAIN[name](spark, SF_DIR, *extra)
+                runs.append(time.perf_counter() - t0)
+            plain[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)$", SF_DIR)
     sf = float(m.group(1)) if m else None
     print(
@@ -246,6 +289,7 @@ def main() -> None:
                 "queries": times,
                 "sf": sf,
                 "repeat": REPEAT,
+                "plain_spark": plain,
             }
         )
     )

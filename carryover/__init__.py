@@ -6,7 +6,6 @@ Sub-packages:
 * ``operators`` — write modes, registration, export, counts, fingerprints, file statistics
 * ``plans``     — check runner, batch migration, staging, catalog profiles
 * ``functions`` — driver-side helpers over names and check values
-* ``streaming`` — intentionally empty (the reference has no streaming)
 
 Modules: ``session`` (scratch location, local session), ``jobs`` (job labels
 and scheduler pools), ``config`` / ``cli`` (YAML runs, ``python -m carryover``),

@@ -44,9 +44,12 @@ def cmd_migrate(args: argparse.Namespace) -> int:
     spark = _session(cfg)
     run = None
     try:
-        rows = run_migration(spark, cfg.source, tables, cfg.options, parallelism=args.parallelism).collect()
+        rows = run_migration(
+            spark, cfg.source, tables, cfg.options,
+            targets=cfg.targets, parallelism=args.parallelism, scheduler_pool=cfg.pool,
+        ).collect()
         if parsed is not None:
-            run = run_checks(spark, parsed, parallelism=args.parallelism)
+            run = run_checks(spark, parsed, parallelism=args.parallelism, scheduler_pool=cfg.pool)
             checks = run.report.collect()
     finally:
         spark.stop()
@@ -130,10 +133,23 @@ def _named_inputs(items: list[str]) -> dict[str, str]:
     return inputs
 
 
+def _stage_settings(args: argparse.Namespace) -> dict[str, str]:
+    """Session settings of the staging commands: a run configuration's, or those given one by one."""
+    from .sources import CatalogSource, s3a_settings
+
+    settings = {"spark.ui.enabled": "false"}
+    if args.config:
+        settings |= load_config(args.config).settings
+    if args.metastore_uri:
+        settings |= CatalogSource(metastore_uri=args.metastore_uri).session_settings()
+    settings |= s3a_settings(args.endpoint, args.access_key, args.secret_key)
+    return settings
+
+
 def cmd_stage_tables(args: argparse.Namespace) -> int:
     from .plans.staging import stage_tables
 
-    spark = build_session({"spark.ui.enabled": "false"}, master=args.master, app_name="carryover-stage")
+    spark = build_session(_stage_settings(args), master=args.master, app_name="carryover-stage")
     try:
         rows = stage_tables(spark, _named_inputs(args.inputs), args.database, max_rows=args.rows).collect()
     finally:
@@ -145,7 +161,7 @@ def cmd_stage_tables(args: argparse.Namespace) -> int:
 def cmd_stage_export(args: argparse.Namespace) -> int:
     from .plans.staging import stage_exports
 
-    spark = build_session({"spark.ui.enabled": "false"}, master=args.master, app_name="carryover-stage")
+    spark = build_session(_stage_settings(args), master=args.master, app_name="carryover-stage")
     try:
         rows = stage_exports(
             spark, _named_inputs(args.inputs), args.root, max_rows=args.rows,
@@ -190,6 +206,12 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--ds", default="2024-01-15,2024-01-16", help="comma-separated ds values")
     e.add_argument("--master", default="local[*]")
     e.set_defaults(func=cmd_stage_export)
+    for p in (t, e):  # tables that outlive the command need a metastore; s3a:// paths need an endpoint
+        p.add_argument("-c", "--config", default=None, help="take session settings from a run configuration")
+        p.add_argument("--metastore-uri", default=None)
+        p.add_argument("--endpoint", default=None, help="S3A endpoint")
+        p.add_argument("--access-key", default=None)
+        p.add_argument("--secret-key", default=None)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
     return int(args.func(args))

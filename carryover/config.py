@@ -32,6 +32,14 @@ class RunConfig:
     app_name: str = "carryover"
     catalog_kind: str = "session"
     extra: Mapping[str, Any] = field(default_factory=dict)
+    targets: Mapping[str, str] = field(default_factory=dict)  # table -> explicit target name
+    pool: str | None = None  # FAIR scheduler pool of the batch's jobs
+
+
+MIGRATION_KEYS = frozenset({
+    "write_mode", "repartition", "partition_by", "register_partition_columns", "verify",
+    "staged_replace", "cluster", "writer_options", "targets", "scheduler_pool",
+})
 
 
 def _block(raw: Mapping[str, Any], key: str) -> dict[str, Any]:
@@ -49,6 +57,8 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
     kind = src.get("type", "hive")
     if kind == "hive":
         hive = _block(src, "hive")
+        if src.get("metastore_uri") and not hive.get("metastore_uri"):  # the flat layout
+            hive["metastore_uri"] = src["metastore_uri"]
         if not hive.get("metastore_uri"):
             raise ValueError("source.hive.metastore_uri is required when source.type is 'hive'")
         source = get_source(
@@ -91,6 +101,9 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
     )
 
     mig = _block(raw, "migration")
+    unknown = sorted(set(mig) - MIGRATION_KEYS)
+    if unknown:
+        raise ValueError(f"unknown migration keys {', '.join(unknown)}; known are {', '.join(sorted(MIGRATION_KEYS))}")
     mode = mig.get("write_mode", "create")
     if mode == "register" and not can_register(catalog_kind):
         raise ValueError(f"catalog_type {catalog_kind!r} cannot register existing files")
@@ -104,6 +117,9 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         partition_by=tuple(mig.get("partition_by") or ()),
         register_partition_columns=tuple(reg_cols) if reg_cols else None,
         verify=mig.get("verify", "count"),
+        staged_replace=flag(mig.get("staged_replace", True)),
+        cluster=mig.get("cluster") or "rebalance",
+        writer_options={str(k): str(v) for k, v in _block(mig, "writer_options").items()},
     )
     options.validate()
     tables = raw.get("tables") or []
@@ -117,6 +133,8 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         master=spark_block.get("master"),
         app_name=spark_block.get("app_name", "carryover"),
         catalog_kind=catalog_kind,
+        targets={str(k): str(v) for k, v in _block(mig, "targets").items()},
+        pool=mig.get("scheduler_pool"),
     )
 
 

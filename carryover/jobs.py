@@ -23,7 +23,7 @@ def labelled(spark: SparkSession, description: str, pool: str | None = None) ->
         return
     old_desc = sc.getLocalProperty("spark.job.description")
     old_pool = sc.getLocalProperty("spark.scheduler.pool")
-    sc.setLocalProperty("spark.job.description", description[:500])
+    sc.setLocalProperty("spark.job.description", description)
     if pool:
         sc.setLocalProperty("spark.scheduler.pool", pool)
     try:

@@ -314,7 +314,7 @@ def info_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copy summary query over two copied tables."""
     orders, _ = _copy(spark, _read(spark, sf_dir, "orders"), "orders")
     lineitem, _ = _copy(spark, _read(spark, sf_dir, "lineitem"), "lineitem")
-    return spark.sql(info_sql([("orders", orders), ("lineitem", lineitem)], count_alias="iceberg_rows"))
+    return spark.sql(info_sql([("orders", orders), ("lineitem", lineitem)], count_alias="table_rows"))
 
 
 def info_partition_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,36 +325,36 @@ def info_partition_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECK_TEXT = """\
--- ============================================================
--- Checks over a registered table and a copy
--- ============================================================
+-- every outcome a check can have, over a registered tree and a copied table
 
--- ASSERT: events is not empty
-SELECT count(*) > 0 AS ok FROM {events}
+-- ASSERT: rows of the tree
+SELECT count(*) > 0 FROM {events}
 
--- ASSERT: events has ds values
-SELECT count(DISTINCT ds) > 0 AS ok FROM {events}
+-- ASSERT: more than one day in the tree
+SELECT count(DISTINCT ds) > 1 FROM {events}
 
--- ASSERT: events partition ds=2024-01-15 has rows
-SELECT count(*) > 0 AS ok FROM {events} WHERE ds = '2024-01-15'
+-- ASSERT: mid-January is there
+SELECT max(ds = DATE '2024-01-15') FROM {events}
 
--- ASSERT: orders copy row count matches
-SELECT (SELECT count(*) FROM {orders_src}) = (SELECT count(*) FROM {orders}) AS ok;
+-- ASSERT: the copy is as long as its file
+SELECT (SELECT count(*) FROM {orders_src}) = (SELECT count(*) FROM {orders});
 
--- ASSERT: events has no rows for a day outside the data
+-- ASSERT: a day nobody recorded (must fail)
 
-SELECT count(*) > 0 AS ok FROM {events} WHERE ds = '1999-01-01'
+SELECT count(*) > 0 FROM {events} WHERE ds = '1999-01-01'
 
--- ASSERT: a table that does not exist
-SELECT count(*) > 0 AS ok FROM {missing}
+-- ASSERT: a missing table (must err)
+SELECT true FROM {missing}
 
--- ASSERT: the first row of several decides
-SELECT ds = DATE '2024-01-01' AS ok FROM {events} WHERE ds <= '2024-01-02' ORDER BY ds
+-- ASSERT: only the first row is judged
+SELECT ds = DATE '2024-01-01' FROM {events} WHERE ds <= '2024-01-02' ORDER BY ds
 
--- ASSERT: empty result
-SELECT true AS ok FROM {orders} WHERE false
+-- ASSERT: nothing to judge (must fail)
+SELECT true FROM {orders} WHERE false
 
-SELECT 'events' AS tbl, count(*) AS n_rows, count(DISTINCT ds) AS partitions FROM {events}
+SELECT ds, count(*) AS n FROM {events} GROUP BY ds
+
+SELECT o_orderkey, 1 DIV (o_orderkey - (SELECT max(o_orderkey) FROM {orders})) AS late FROM {orders}
 """
 
 
@@ -416,7 +416,7 @@ def content_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3 + V6 scoped: events by day without 2024-01-15, then that day appended; validation reads that day."""
+    """K3 + V6: events by day without 2024-01-15, then that day appended; ``target_rows`` is the whole table."""
     db, _ = scratch_database(spark, "apday")
     events = _read(spark, sf_dir, "events").withColumn("ds", F.to_date("ts"))
     write_table(events.where(F.col("ds") != F.lit(PRUNE_DS).cast("date")), f"{db}.events", "create", partition_by=["ds"])
@@ -593,7 +593,7 @@ ORACLES: dict[str, str] = {
         f"SELECT count(*) > 0 AS ok FROM events WHERE CAST(ts AS DATE) = DATE '{PRUNE_DS}'"
     ),
     "info_sample": (
-        "SELECT 'orders' AS tbl, count(*) AS iceberg_rows FROM orders "
+        "SELECT 'orders' AS tbl, count(*) AS table_rows FROM orders "
         "UNION ALL SELECT 'lineitem', count(*) FROM lineitem"
     ),
     "info_partition_sample": (
@@ -602,15 +602,16 @@ ORACLES: dict[str, str] = {
     ),
     "run_checks": (
         "SELECT * FROM (VALUES "
-        "(1, 'events is not empty', 'assert', 'passed'), "
-        "(2, 'events has ds values', 'assert', 'passed'), "
-        "(3, 'events partition ds=2024-01-15 has rows', 'assert', 'passed'), "
-        "(4, 'orders copy row count matches', 'assert', 'passed'), "
-        "(5, 'events has no rows for a day outside the data', 'assert', 'failed'), "
-        "(6, 'a table that does not exist', 'assert', 'error'), "
-        "(7, 'the first row of several decides', 'assert', 'passed'), "
-        "(8, 'empty result', 'assert', 'failed'), "
-        "(9, 'Query #9', 'info', 'passed')"
+        "(1, 'rows of the tree', 'assert', 'passed'), "
+        "(2, 'more than one day in the tree', 'assert', 'passed'), "
+        "(3, 'mid-January is there', 'assert', 'passed'), "
+        "(4, 'the copy is as long as its file', 'assert', 'passed'), "
+        "(5, 'a day nobody recorded (must fail)', 'assert', 'failed'), "
+        "(6, 'a missing table (must err)', 'assert', 'error'), "
+        "(7, 'only the first row is judged', 'assert', 'passed'), "
+        "(8, 'nothing to judge (must fail)', 'assert', 'failed'), "
+        "(9, 'Query #9', 'info', 'passed'), "
+        "(10, 'Query #10', 'info', 'error')"
         ") AS t(position, label, kind, status)"
     ),
     "row_count_validation": (
@@ -630,8 +631,8 @@ ORACLES: dict[str, str] = {
         "FROM lineitem UNION ALL SELECT 'orders', count(*), count(*), true FROM orders"
     ),
     "append_partitioned": (
-        "SELECT 'append' AS mode, count(*) AS source_rows, count(*) AS added_rows, count(*) AS target_rows, "
-        f"{_COUNT_OK} FROM events WHERE CAST(ts AS DATE) = DATE '{PRUNE_DS}'"
+        "SELECT 'append' AS mode, count(*) AS source_rows, count(*) AS added_rows, "
+        f"(SELECT count(*) FROM events) AS target_rows, {_COUNT_OK} FROM events WHERE CAST(ts AS DATE) = DATE '{PRUNE_DS}'"
     ),
     "migration_report": (
         "SELECT 'orders.parquet' AS src, 'orders' AS tbl, count(*) AS source_rows, count(*) AS target_rows, "

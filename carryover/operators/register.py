@@ -163,13 +163,19 @@ class Registered:
     source_rows: int
     target_rows: int
     rows_before: int
+    adds: bool = False  # a V2 table: registering adds to the rows it had
     files: DataFrame | None = None  # the registered files, read through the layout's listing
 
     @property
     def status(self) -> str:
         if self.source_rows < 0 or self.target_rows < 0:
             return "unverified"  # registered with count=False
-        return "success" if self.source_rows == self.target_rows else "mismatch"
+        return "success" if self.source_rows == self.compared_rows else "mismatch"
+
+    @property
+    def compared_rows(self) -> int:
+        """What the files' rows are held against: the table, or what a V2 table gained."""
+        return self.target_rows - self.rows_before if self.adds else self.target_rows
 
 
 def register_files(
@@ -189,6 +195,9 @@ def register_files(
     partitioned by anything else would misread the files).  Not given: the
     discovered layout is used.  An existing table must have the same
     columns, otherwise the call fails instead of silently keeping it.
+
+    The same tree again: a session table keeps its rows (the repair is
+    idempotent), a V2 catalog's procedure rejects files it already holds.
     """
     path = qualified_path(spark, path)
     layout, files = _infer(spark, path, partition_types, merge_schema)
@@ -237,5 +246,6 @@ def register_files(
         source_rows=source_rows,
         target_rows=target_rows,
         rows_before=rows_before,
+        adds=not v1,
         files=files,
     )

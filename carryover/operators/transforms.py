@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from ..functions.names import sql_col
 
 
+CLUSTER = ("rebalance", "none")
+# Marks a column whose few values the caller named (tag_partition, replicate_partitions).
+KNOWN_VALUES = "carryover.known_values"
+
+
+def _known_values(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether every column can hold only values the caller named."""
+    fields = {f.name.lower(): f for f in df.schema.fields}
+    return all(c.lower() in fields and KNOWN_VALUES in (fields[c.lower()].metadata or {}) for c in columns)
+
+
 def _aqe_enabled(df: DataFrame) -> bool:
     return str(df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
 
@@ -23,11 +34,12 @@ def prepare_for_write(
     repartition: int | str | None = None,
     partition_by: Sequence[str] = (),
     input_partition_columns: Sequence[str] | None = None,
+    cluster: str = "rebalance",
 ) -> DataFrame:
     """T1 plus clustering of a partitioned write.
 
     * ``repartition=n`` (n > 0): exactly what was asked, round-robin into
-      ``n`` tasks, hence ``n`` files per partition value at most.  0 or
+      ``n`` tasks, hence up to ``n`` files per partition value.  0 or
       ``None`` means "leave it to Spark", as in the reference.
     * ``repartition="auto"``: compaction without choosing ``n`` — a
       ``REBALANCE`` (on the partition columns, if any) whose output
@@ -36,6 +48,10 @@ def prepare_for_write(
     * partitioned write whose input is already split along the same
       columns (every input file lies inside one target partition, i.e. the
       target's columns are a subset of the input's): no shuffle at all.
+    * ``cluster="none"``, or columns whose few values the caller named
+      (:func:`tag_partition`, :func:`replicate_partitions`): no shuffle; a task
+      writes one file per value it meets.  For a column of few values over
+      large files that beats moving every row.
     * other partitioned writes: a ``REBALANCE`` on the partition columns.
       Without it every task writes one file per value it meets (tasks ×
       values small files).  With AQE on, rebalance both merges small
@@ -57,6 +73,10 @@ def prepare_for_write(
         return df.repartition(int(repartition))
     if not partition_by:
         return df
+    if cluster not in CLUSTER:
+        raise ValueError(f"unknown cluster {cluster!r}; one of {', '.join(CLUSTER)}")
+    if cluster == "none" or _known_values(df, partition_by):
+        return df
     if input_partition_columns is not None and set(partition_by) <= set(input_partition_columns):
         return df
     if _aqe_enabled(df):
@@ -83,7 +103,7 @@ def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str | Column] |
 
 def tag_partition(df: DataFrame, column: str, value: object) -> DataFrame:
     """T4: add (or replace) a constant column, e.g. ``ds = '2024-01-15'``."""
-    return df.withColumn(column, F.lit(value))
+    return df.withColumn(column, F.lit(value)).withMetadata(column, {KNOWN_VALUES: 1})
 
 
 def replicate_partitions(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
@@ -97,4 +117,4 @@ def replicate_partitions(df: DataFrame, column: str, values: Iterable[object]) -
     vals = list(values)
     if not vals:
         raise ValueError("values must not be empty")
-    return df.withColumn(column, F.explode(F.array(*[F.lit(v) for v in vals])))
+    return df.withColumn(column, F.explode(F.array(*[F.lit(v) for v in vals]))).withMetadata(column, {KNOWN_VALUES: len(vals)})

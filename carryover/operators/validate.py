@@ -42,6 +42,8 @@ def widens(src: DataType, dst: DataType) -> bool:
         return _INTEGRAL_ORDER.index(a) < _INTEGRAL_ORDER.index(b)
     if a == "float" and b == "double":
         return True
+    if a in _INTEGRAL_ORDER and b == "string":
+        return True  # an integer's text is unique
     if a in ("tinyint", "smallint", "int") and b == "double":
         return True  # at most 31 bits, exact in a double's 53-bit mantissa
     if isinstance(dst, DecimalType):
@@ -53,7 +55,9 @@ def widens(src: DataType, dst: DataType) -> bool:
 
 
 def _hashable(df: DataFrame, name: str, as_type: DataType | None = None, empty_as_null: bool = False) -> Column:
-    field = df.schema[name]
+    field = next((f for f in df.schema.fields if f.name == name), None)
+    if field is None:  # Spark's own names match whatever their case
+        field = next(f for f in df.schema.fields if f.name.lower() == name.lower())
     col = sql_col(name)
     if empty_as_null and isinstance(field.dataType, StringType):
         # a file table stores '' and NULL partition values in one default
@@ -97,10 +101,10 @@ def fingerprint_exprs(
     ``''`` is stored as NULL.
     """
     cols = list(columns) if columns is not None else list(df.columns)
-    types = dict(as_types or {})
-    blank = set(empty_as_null)
+    types = {n.lower(): t for n, t in (as_types or {}).items()}
+    blank = {n.lower() for n in empty_as_null}
     row_hash = (
-        F.xxhash64(*[_hashable(df, c, types.get(c), c in blank) for c in sorted(cols)]) if cols else F.lit(0).cast("bigint")
+        F.xxhash64(*[_hashable(df, c, types.get(c.lower()), c.lower() in blank) for c in sorted(cols)]) if cols else F.lit(0).cast("bigint")
     )
     return [F.count(F.lit(1)).alias("rows"), *_slice_sums(row_hash)]
 

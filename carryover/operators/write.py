@@ -9,13 +9,16 @@ One contract for both kinds of catalog:
   the offline ``session`` profile): ``DataFrameWriterV2`` cannot replace or
   append there, so the V1 writer is used with the same contract: create
   fails if the table exists, append fails if it does not (V1 ``append``
-  would silently create it), replace swaps schema and contents.  V1
-  replace is drop-and-write, not atomic, and cannot read its own target.
-
-Every write carries an ``Observation`` placed directly above the write, in
-its final stage: Spark applies a task's metric update once per successful
-task of a result stage, so the count survives lost executors and retried
-tasks without being counted twice.
+  would silently create it), replace swaps schema and contents.  Replace
+  goes through a staging table by default (``staged=True``); Spark's own V1
+  replace is drop-and-write and cannot read its own target.
+
+Every write carries an ``Observation``.  With the V1 writer it sits directly
+above the write, in its final stage, where Spark applies a task's metric
+update once per successful task, so the count survives lost executors and
+retried tasks.  A V2 table may add a shuffle of its own above it (its
+distribution and ordering); then the count is that of a map stage, where a
+retried task can count again, and the recount of the target decides.
 """
 
 from __future__ import annotations
@@ -172,20 +175,27 @@ def write_table(
     fingerprint: bool = False,
     options: dict[str, str] | None = None,
     target_info: TableInfo | None = None,
-    staged: bool = False,
+    staged: bool = True,
+    cluster: str = "rebalance",
 ) -> Written:
     """K1 create, K2 replace, K3 append (T1, T2 applied on the way).
 
     ``target_info``: the append target's :func:`describe_table`, if the
     caller already has it (saves a catalog round trip per table).
 
-    ``staged=True`` (session-catalog replace only): write the new rows to a
-    staging table next to the target first, then rename the target aside,
-    the staging table into its place, and drop the old one.  A failure while
-    writing leaves the old table untouched (and the new rows may come from
-    it); a failed rename puts the old table back.  Renaming moves the table folder, which is cheap on
-    HDFS and local disks but a copy on object stores; V2 catalogs replace
-    atomically without it.
+    ``staged=True``, the default (session-catalog replace only): write the new
+    rows to a staging table next to the target first, then rename the target
+    aside, the staging table into its place, and drop the old one.  A failure
+    while writing leaves the old table untouched (and the new rows may come
+    from it); a failed rename puts the old table back.  Between the two renames
+    the name has no table: a driver that dies there leaves it as
+    ``name__replaced_*``, and the next write to the name restores it first
+    (:func:`restore_replaced`).  Renaming moves the table folder, which is cheap
+    on HDFS and local disks but a copy on object stores (``staged=False`` there,
+    if a lost table can be had again); V2 catalogs replace atomically without it.
+
+    ``cluster``: see :func:`prepare_for_write`; a V2 table clusters its own
+    writes, so none is added for it.
 
     ``partition_by`` on append must match the table's partitioning (the V2
     writer would ignore it silently; a mismatch here is an error).
@@ -195,10 +205,12 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; one of {', '.join(MODES)}")
     spark = df.sparkSession
+    if staged and mode != "create":
+        restore_replaced(spark, table)
     if staged and mode == "replace" and is_v1_target(spark, table, fmt) and table_exists(spark, table):
         return _staged_replace(df, table, fmt=fmt, partition_by=partition_by, repartition=repartition,
                                input_partition_columns=input_partition_columns, fingerprint=fingerprint,
-                               options=options)
+                               options=options, cluster=cluster)
     partition_by = tuple(partition_by)
     ref = quote_ref(table)
     provider = None
@@ -219,16 +231,17 @@ def write_table(
                 )
             partition_by = tuple(existing)
 
+    v1 = is_v1_target(spark, table, (provider or fmt) if mode == "append" else fmt)
     prepared = prepare_for_write(
         df,
         repartition=repartition,
         partition_by=partition_by,
         input_partition_columns=input_partition_columns,
+        cluster=cluster if v1 else "none",
     )
     as_types = None
     if fingerprint and mode == "append":
         as_types = {f.name: f.dataType for f in spark.table(ref).schema.fields}
-    v1 = is_v1_target(spark, table, (provider or fmt) if mode == "append" else fmt)
     observed, obs = _observed(prepared, fingerprint, as_types, partition_by if v1 else ())
 
     if v1:
@@ -257,8 +270,27 @@ def write_table(
     return Written(table=table, mode=mode, rows=rows, fingerprint=fp, partition_by=partition_by)
 
 
+def restore_replaced(spark: SparkSession, table: str) -> bool:
+    """Put back the old table of a staged replace that died between its two renames.
+
+    Only if the name has no table and there is exactly one ``name__replaced_*`` beside it."""
+    parts = split_ref(table)
+    if catalog_of(spark, table) != "spark_catalog" or table_exists(spark, table):
+        return False
+    parts = parts[1:] if len(parts) == 3 else parts
+    space = f" IN {quote_ident(parts[-2])}" if len(parts) > 1 else ""
+    if space and not spark.catalog.databaseExists(quote_ident(parts[-2])):
+        return False
+    left = spark.sql(f"SHOW TABLES{space} LIKE {sql_string(parts[-1].lower() + '__replaced_*')}").collect()
+    if len(left) != 1:
+        return False
+    backup = ".".join(quote_ident(p) for p in [*parts[:-1], left[0]["tableName"]])
+    spark.sql(f"ALTER TABLE {backup} RENAME TO {'.'.join(quote_ident(p) for p in parts)}")
+    return True
+
+
 def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
-    """Write beside the target, then swap by renames; no step leaves the name without a table."""
+    """Write beside the target, then swap by renames."""
     spark = df.sparkSession
     parts = split_ref(table)
     if len(parts) == 3 and parts[0].lower() == "spark_catalog":
@@ -323,6 +355,7 @@ def export_partitioned(
     max_records_per_file: int | None = None,
     input_partition_columns: Sequence[str] | None = None,
     verify: bool = False,
+    cluster: str = "rebalance",
 ) -> Exported:
     """K7 + A3: write Hive-style ``col=value/`` Parquet directories.
 
@@ -347,7 +380,7 @@ def export_partitioned(
         raise ValueError(f"unsupported export mode {mode!r}")
     cols = list(partition_by)
 
-    prepared = prepare_for_write(df, partition_by=cols, input_partition_columns=input_partition_columns)
+    prepared = prepare_for_write(df, partition_by=cols, input_partition_columns=input_partition_columns, cluster=cluster)
     observed, obs = _observed(prepared, fingerprint=False)
     writer = observed.write.mode(mode).partitionBy(*cols)
     if mode == "overwrite":

@@ -2,9 +2,9 @@
 
 Per table (O1): validate the options first, resolve names, read lazily,
 write (one scan of the source, counted by an ``Observation`` on the
-write), recount the target, compare (V6).  For an append to a
-partitioned table the recount covers only the partitions the append
-touches (``target_rows`` then means rows in those partitions).  Registration takes the
+write), recount the target, compare (V6).  ``target_rows`` is always the
+whole table (footers).  A content check of an append reads only the
+partitions the append touches.  Registration takes the
 metadata path of :mod:`carryover.operators.register`.
 
 Across tables (O2): target names are derived for all tables first and a
@@ -30,6 +30,7 @@ from ..functions.names import quote_ident, quote_ref, split_ref
 from ..jobs import labelled
 from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, fingerprint_pair, subtract_fingerprint
+from ..operators.transforms import CLUSTER
 from ..operators.write import (
     describe_table,
     ensure_namespace,
@@ -43,9 +44,6 @@ from ..sources.catalog import CatalogSource
 from ..sources.parquet import ParquetSource, read_parquet
 
 WRITE_MODES = ("create", "replace", "append", "register")
-# An append touching more values of the outermost partition column than this
-# is validated over the whole table.
-MAX_SCOPED_PARTITIONS = 10_000
 VERIFY = ("count", "content")
 
 REPORT_SCHEMA = StructType(
@@ -75,7 +73,8 @@ class MigrationOptions:
     register_partition_columns: tuple[str, ...] | None = None
     verify: str = "count"
     writer_options: Mapping[str, str] = field(default_factory=dict)
-    staged_replace: bool = False  # session-catalog replace through a staging table (see write_table)
+    staged_replace: bool = True  # session-catalog replace through a staging table (see write_table)
+    cluster: str = "rebalance"  # partitioned writes: "rebalance" (few files) or "none" (no shuffle)
 
     def validate(self) -> None:
         """Reject bad options before any read or write (reference fault: found after the count)."""
@@ -86,6 +85,8 @@ class MigrationOptions:
         if self.repartition is not None and self.repartition != "auto":
             if not isinstance(self.repartition, int) or self.repartition < 0:
                 raise ValueError("repartition must be a number >= 0 or 'auto'")
+        if self.cluster not in CLUSTER:
+            raise ValueError(f"unknown cluster {self.cluster!r}; one of {', '.join(CLUSTER)}")
         if self.mode == "register" and (self.repartition or self.partition_by):
             raise ValueError("register rewrites nothing: repartition / partition_by do not apply")
 
@@ -105,48 +106,32 @@ def select_tables(configured: Sequence[str], requested: str | Sequence[str] | No
 
 
 def _source_partition_columns(spark: SparkSession, source: Source, ref: str) -> list[str] | None:
-    try:
-        if isinstance(source, CatalogSource):
-            return table_partition_columns(spark, source.resolve(ref))
-        if isinstance(source, ParquetSource):
-            return list(infer_layout(spark, ref, merge_schema=source.merge_schema).partition_columns)
-    except Exception:  # noqa: BLE001 - unknown layout: let prepare_for_write decide
-        return None
+    if isinstance(source, CatalogSource):
+        return table_partition_columns(spark, source.resolve(ref))
+    if isinstance(source, ParquetSource):
+        return list(infer_layout(spark, ref, merge_schema=source.merge_schema).partition_columns)
     return None
 
 
-def _append_scope(
-    spark: SparkSession, df: DataFrame, target: str, cols: Sequence[str] | None = None, blank_is_null: bool = True
-):
-    """For an append to a partitioned table: restrict reads of the target to touched partitions.
-
-    Validation compares ``rows after - rows before`` over the SAME part of the
-    target, so any superset of the touched partitions gives the exact delta.
-    The scope is the set of values the incoming rows have in the outermost
-    partition column: a column-pruned distinct over the source, taken once
-    with a hard cap (``limit(MAX_SCOPED_PARTITIONS + 1)``, so at most that
-    many small values ever reach the driver).  As an ``IN`` filter on a
-    partition column it prunes directories when the query is planned: a
-    daily append into years of history lists and counts one day.  More
-    values than the cap: ``None``, i.e. count the whole table (still exact).
+def touched_rows(df: DataFrame, table: DataFrame, partition_columns: Sequence[str], blank_is_null: bool = True) -> DataFrame:
+    """The rows of ``table`` in the partitions (by its outermost column) that ``df`` has values for.
+
+    A left-semi join on the distinct incoming values, cast to the table's type
+    (never the reverse), so Spark picks the join by size and prunes the
+    table's directories at run time; nothing is collected.  Names match as
+    Spark matches them, whatever their case.  ``df`` without the column, or a
+    table without plain partition columns: all rows.
     """
-    if cols is None:
-        if not table_exists(spark, target):
-            return None
-        cols = table_partition_columns(spark, target)
-    if not cols or cols[0] not in df.columns:  # None: partitioning not expressible as columns
-        return None
-    first = F.col(quote_ident(cols[0]))
-    found = [r[0] for r in df.select(first).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()]
-    if len(found) > MAX_SCOPED_PARTITIONS:
-        return None
-    # A file table stores NULL and '' in one default partition and reads both as NULL;
-    # other tables (V2) keep '' as a value of its own.
-    values = [v for v in found if v is not None and not (blank_is_null and v == "")]
-    cond = first.isin(values) if values else F.lit(False)
-    if len(values) < len(found):
-        cond = cond | first.isNull()
-    return lambda t: t.where(cond)
+    names = {c.lower(): c for c in df.columns}
+    if not partition_columns or partition_columns[0].lower() not in names:
+        return table
+    column = partition_columns[0]
+    kind = next(f.dataType for f in table.schema.fields if f.name.lower() == column.lower())
+    value = F.col(quote_ident(names[column.lower()])).cast(kind)
+    if blank_is_null:  # a file table keeps NULL and '' in one default partition and reads both as NULL
+        value = F.when(value.cast("string") == "", None).otherwise(value)
+    values = df.select(value.alias("__touched")).distinct()
+    return table.join(values, table[quote_ident(column)].eqNullSafe(values["__touched"]), "left_semi")
 
 
 def migrate_table(
@@ -173,8 +158,8 @@ def migrate_table(
             merge_schema=source.merge_schema,
             fmt=None if options.catalog == "spark_catalog" else options.fmt,
         )
-        status, error = compare(reg.source_rows, reg.target_rows)
-        if options.verify == "content" and status == "success":
+        status, error = compare(reg.source_rows, reg.compared_rows)
+        if options.verify == "content" and status == "success" and not (reg.adds and reg.rows_before):
             files = reg.files if reg.files is not None else read_parquet(spark, ref, merge_schema=source.merge_schema)
             fp_files, fp_table = fingerprint_pair(files, spark.table(target), files.columns)
             status, error = compare(reg.source_rows, reg.target_rows, fp_files, fp_table)
@@ -192,27 +177,22 @@ def migrate_table(
     df = source.read(spark, ref)  # resolves the source before anything is created
     ensure_namespace(spark, namespace)
     content = options.verify == "content"
-    # What the validation reads of the target: the whole table, or for an append
-    # to a partitioned table only the partitions this append touches.
     exists = options.mode == "append" and table_exists(spark, target)
     info = describe_table(spark, target) if exists else None
     target_parts = list(info.partition_columns or ()) if info else []
     file_table = bool(info) and is_v1_target(spark, target, info.provider or options.fmt)
-    scope = _append_scope(spark, df, target, target_parts, blank_is_null=file_table) if target_parts else None
     # Only a partitioned write needs to know how the source is split.
     target_partitioned = bool(target_parts) if options.mode == "append" else bool(options.partition_by)
 
-    def target_view() -> DataFrame:
-        return scope(spark.table(target)) if scope else spark.table(target)
+    def touched() -> DataFrame:
+        return touched_rows(df, spark.table(target), target_parts, blank_is_null=file_table)
 
     rows_before = 0
     fp_before = None
     if exists:
+        rows_before = int(spark.table(target).count())
         if content:
-            fp_before = fingerprint(target_view(), df.columns)
-            rows_before = int(fp_before["rows"])  # type: ignore[arg-type]
-        else:
-            rows_before = int(target_view().count())
+            fp_before = fingerprint(touched(), df.columns)
 
     written = write_table(
         df,
@@ -228,14 +208,14 @@ def migrate_table(
         options=dict(options.writer_options),
         target_info=info,
         staged=options.staged_replace,
+        cluster=options.cluster,
     )
     if content:
-        fp_after = fingerprint(target_view(), df.columns)
-        target_rows = int(fp_after["rows"])  # type: ignore[arg-type]
+        fp_after = fingerprint(touched() if exists else spark.table(target), df.columns)
         added = subtract_fingerprint(fp_after, fp_before)
         status, error = compare(written.rows, int(added["rows"]), written.fingerprint, added)  # type: ignore[arg-type]
-    else:
-        target_rows = int(target_view().count())
+    target_rows = int(spark.table(target).count())
+    if not content or status == "success":
         status, error = compare(written.rows, target_rows - rows_before)
     return {
         "source": ref,
@@ -250,7 +230,7 @@ def migrate_table(
 
 
 def _failed(ref: str, target: str | None, mode: str, exc: BaseException | str) -> dict[str, object]:
-    text = exc if isinstance(exc, str) else (str(exc).strip().splitlines() or [type(exc).__name__])[0]
+    text = exc if isinstance(exc, str) else str(exc).strip() or type(exc).__name__
     return {
         "source": ref,
         "target": target,
@@ -259,7 +239,7 @@ def _failed(ref: str, target: str | None, mode: str, exc: BaseException | str) -
         "target_rows": None,
         "added_rows": None,
         "status": "failed",
-        "error": text[:1000],
+        "error": text,
     }
 
 

@@ -32,8 +32,9 @@ STAGE_SCHEMA = StructType(
     ]
 )
 
-# The staging defaults (rows per table, synthetic ds values).
-DEFAULT_MAX_ROWS = 10_000
+# All rows, unless the caller asks for a cap (the command line does by default).
+DEFAULT_MAX_ROWS = 0
+# The synthetic ds values.
 DEFAULT_DS_VALUES = ("2024-01-15", "2024-01-16")
 
 
@@ -59,7 +60,7 @@ def stage_tables(
             n = load_overwrite(limit_rows(read(path), max_rows, order_by), target)
             rows.append((name, target, n, "success", None))
         except Exception as exc:  # noqa: BLE001 - one bad input does not stop the rest
-            rows.append((name, target, None, "failed", (str(exc).strip().splitlines() or ["error"])[0][:1000]))
+            rows.append((name, target, None, "failed", str(exc).strip() or type(exc).__name__))
     return spark.createDataFrame(rows, STAGE_SCHEMA)
 
 
@@ -78,6 +79,8 @@ def stage_exports(
 
     Re-running appends again (the reference's mode), and the counts say so.
     An input that fails gets one row with its ``error`` (``ds``/``n_rows`` NULL).
+    Rows per ``ds`` that do not add up to what the write counted (an input that
+    changed in between) carry a ``mismatch`` in ``error``.
     """
     read = read or _reader(spark)
     if not inputs:
@@ -86,12 +89,14 @@ def stage_exports(
     for name, path in inputs.items():
         try:  # one bad input does not stop the rest
             df = replicate_partitions(limit_rows(read(path), max_rows, order_by), column, ds_values)
-            exported = export_partitioned(df, f"{root.rstrip('/')}/{name}", [column])
+            exported = export_partitioned(df, f"{root.rstrip('/')}/{name}", [column])  # known values: no shuffle
             # one row per ds value given: a short list, counted now while errors can be isolated
             counts = exported.partitions.select(sql_col(column).cast("string"), "n_rows").collect()
+            total = sum(int(n) for _, n in counts)
+            wrong = None if total == exported.rows else f"mismatch: wrote {exported.rows} rows, the input now has {total}"
         except Exception as exc:  # noqa: BLE001
-            rows.append((name, None, None, (str(exc).strip().splitlines() or ["error"])[0][:1000]))
+            rows.append((name, None, None, str(exc).strip() or type(exc).__name__))
             continue
-        rows += [(name, ds, int(n), None) for ds, n in counts]
+        rows += [(name, ds, int(n), wrong) for ds, n in counts]
     schema = f"name string, {quote_ident(column)} string, n_rows bigint, error string"
     return spark.createDataFrame(rows, schema)

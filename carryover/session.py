@@ -32,7 +32,7 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 
 def _is_local(spark: SparkSession) -> bool:
     master = _conf(spark, "spark.master") or ""
-    return master.startswith("local")
+    return master == "local" or master.startswith("local[")  # local-cluster has executors of its own
 
 
 def scratch_root(spark: SparkSession) -> str:

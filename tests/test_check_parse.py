@@ -47,5 +47,5 @@ def test_generated_check_text_parses():
 
 
 def test_info_sql_quotes_and_aliases():
-    sql = info_sql([("o'x", "db.t", "ds")], count_alias="iceberg_rows")
-    assert "`iceberg_rows`" in sql and "`db`.`t`" in sql and "o\\'x" in sql
+    sql = info_sql([("o'x", "db.t", "ds")], count_alias="table_rows")
+    assert "`table_rows`" in sql and "`db`.`t`" in sql and "o\\'x" in sql

@@ -153,8 +153,8 @@ def test_failed_assertion_reports_its_row(spark):
     assert run.exit_code == 1
 
 
-def test_append_to_partitioned_table_reads_only_touched_partitions(spark, db, scratch):
-    from carryover.plans.batch import _append_scope
+def test_append_reports_the_whole_table_and_checks_content_where_it_touches(spark, db, scratch):
+    from carryover.plans.batch import touched_rows
 
     events = spark.read.parquet(f"{SF001}/events.parquet").withColumn("ds", F.to_date("ts"))
     hist, day = scratch("hist"), scratch("day")
@@ -163,28 +163,106 @@ def test_append_to_partitioned_table_reads_only_touched_partitions(spark, db, sc
     opts = MigrationOptions(database=db, partition_by=("ds",))
     first = run_migration(spark, ParquetSource(), [hist], opts, targets={hist: "ev"}).first()
     assert first["status"] == "success"
-    rep = run_migration(
-        spark, ParquetSource(), [day], MigrationOptions(database=db, mode="append", verify="content"), targets={day: "ev"}
-    ).first()
     n_day = events.where("ds = DATE '2024-01-25'").count()
-    assert (rep["status"], rep["source_rows"], rep["added_rows"], rep["target_rows"]) == ("success", n_day, n_day, n_day)
-    # the scoped read of the target is pruned to the touched directory when planned
-    scope = _append_scope(spark, spark.read.parquet(day), f"{db}.ev")
-    scoped = scope(spark.table(f"{db}.ev"))
-    assert len(scoped.inputFiles()) == 1
-    assert "PartitionFilters: [isnotnull(ds" in scoped._jdf.queryExecution().executedPlan().toString()
-    assert spark.table(f"{db}.ev").count() == first["source_rows"] + n_day
+    whole = first["source_rows"]
+    for verify in ("content", "count"):
+        options = MigrationOptions(database=db, mode="append", verify=verify)
+        rep = run_migration(spark, ParquetSource(), [day], options, targets={day: "ev"}).first()
+        whole += n_day
+        assert (rep["status"], rep["source_rows"], rep["added_rows"], rep["target_rows"]) == ("success", n_day, n_day, whole)
+    # what a content check reads of the target: the touched days, pruned by a semi-join
+    touched = touched_rows(spark.read.parquet(day), spark.table(f"{db}.ev"), ["ds"])
+    assert touched.count() == 2 * n_day
+    assert "LeftSemi" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("verify", ["count", "content"])
+def test_append_spanning_many_partitions(spark, db, scratch, verify):
+    base, extra = scratch("base"), scratch("extra")
+    spark.sql("SELECT id, CAST(id % 200 AS INT) AS p FROM range(400)").write.parquet(base)
+    spark.sql("SELECT id, CAST(id % 300 AS INT) AS p FROM range(900)").write.parquet(extra)
+    opts = MigrationOptions(database=db, partition_by=("p",))
+    run_migration(spark, ParquetSource(), [base], opts, targets={base: "many"}).collect()
+    options = MigrationOptions(database=db, mode="append", verify=verify)
+    rep = run_migration(spark, ParquetSource(), [extra], options, targets={extra: "many"}).first()
+    assert (rep["status"], rep["source_rows"], rep["added_rows"], rep["target_rows"]) == ("success", 900, 900, 1300)
+
+
+@pytest.mark.parametrize("verify", ["count", "content"])
+def test_append_of_another_type_and_letter_case(spark, db, scratch, verify):
+    base, extra = scratch("base"), scratch("extra")
+    spark.sql("SELECT id, IF(id = 0, 'abc', CAST(id % 2 AS STRING)) AS p FROM range(10)").write.parquet(base)
+    spark.sql("SELECT id, CAST(id % 2 AS INT) AS P FROM range(3)").write.parquet(extra)
+    opts = MigrationOptions(database=db, partition_by=("p",))
+    run_migration(spark, ParquetSource(), [base], opts, targets={base: "kinds"}).collect()
+    options = MigrationOptions(database=db, mode="append", verify=verify)
+    rep = run_migration(spark, ParquetSource(), [extra], options, targets={extra: "kinds"}).first()
+    assert (rep["status"], rep["added_rows"], rep["target_rows"]) == ("success", 3, 13), rep["error"]
 
 
-def test_append_with_null_partition_value_counts_whole_table(spark, db, scratch):
+@pytest.mark.parametrize("verify", ["count", "content"])
+def test_append_of_a_null_partition_value(spark, db, scratch, verify):
     base, extra = scratch("base"), scratch("extra")
     spark.sql("SELECT id, CAST(id % 2 AS STRING) AS p FROM range(10)").write.parquet(base)
     spark.sql("SELECT id, CAST(NULL AS STRING) AS p FROM range(3)").write.parquet(extra)
     run_migration(spark, ParquetSource(), [base], MigrationOptions(database=db, partition_by=("p",)), targets={base: "nul"}).collect()
-    rep = run_migration(spark, ParquetSource(), [extra], MigrationOptions(database=db, mode="append"), targets={extra: "nul"}).first()
-    # only the default (NULL) partition is in scope: 3 rows added, 3 rows there now
-    assert (rep["status"], rep["added_rows"], rep["target_rows"]) == ("success", 3, 3)
-    assert spark.table(f"{db}.nul").count() == 13
+    options = MigrationOptions(database=db, mode="append", verify=verify)
+    rep = run_migration(spark, ParquetSource(), [extra], options, targets={extra: "nul"}).first()
+    assert (rep["status"], rep["added_rows"], rep["target_rows"]) == ("success", 3, 13)
+
+
+def test_errors_are_reported_whole(spark, db):
+    rep = run_migration(spark, ParquetSource(), [f"{SF001}/nope.parquet"], MigrationOptions(database=db)).first()
+    assert rep["status"] == "failed" and "nope.parquet" in rep["error"]
+    from carryover.plans.batch import _failed
+
+    assert _failed("a", None, "create", ValueError("first line\n" + "x" * 5000))["error"].endswith("x" * 5000)
+
+
+def test_information_queries_run_to_their_end(spark):
+    from carryover.plans import parse_checks, run_checks
+
+    run = run_checks(spark, parse_checks("SELECT id, 1 DIV (id - 99999) AS q FROM range(100000)\n\nSELECT id FROM range(50)\n"))
+    assert [r["status"] for r in run.report.orderBy("position").collect()] == ["error", "passed"]
+    assert len(run.samples["Query #2"]) == 20
+
+
+def test_exports_of_named_values_are_not_shuffled(spark, scratch):
+    from carryover.operators import prepare_for_write
+
+    def shuffled(df, **kw):
+        return "Exchange" in prepare_for_write(df, partition_by=["ds"], **kw)._jdf.queryExecution().executedPlan().toString()
+
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    assert not shuffled(tag_partition(orders, "ds", "2024-01-15"))
+    assert not shuffled(replicate_partitions(orders, "ds", ["2024-01-15", "2024-01-16"]))
+    by_status = orders.withColumnRenamed("o_orderstatus", "ds")
+    assert shuffled(by_status) and not shuffled(by_status, cluster="none")
+
+
+def test_stage_exports_notes_an_input_that_changes(spark, scratch):
+    from carryover.plans import stage_exports
+
+    changing = spark.range(10).where("rand() < 2").selectExpr("id")
+    calls = []
+
+    def read(path):
+        calls.append(path)
+        return changing.where("rand() < 0.5") if path == "moving" else changing
+
+    rows = stage_exports(spark, {"still": "still"}, scratch("st"), read=read).collect()
+    assert [(r["n_rows"], r["error"]) for r in rows] == [(10, None), (10, None)]
+    from unittest import mock
+
+    from carryover.operators.write import Exported
+    from carryover.plans import staging
+
+    def other_total(df, path, cols):
+        return Exported(path=path, rows=99, partitions=df.groupBy(*cols).count().withColumnRenamed("count", "n_rows"))
+
+    with mock.patch.object(staging, "export_partitioned", other_total):
+        rows = stage_exports(spark, {"x": "still"}, scratch("st"), read=read).collect()
+    assert all(r["error"].startswith("mismatch: wrote 99") for r in rows)
 
 
 def test_ref_listed_twice_runs_once(spark, db):

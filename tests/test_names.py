@@ -27,13 +27,13 @@ def test_quote_and_split_roundtrip():
 
 
 def test_qualify_keeps_database():
-    assert qualify("t", "nyctaxi") == "`nyctaxi`.`t`"
+    assert qualify("t", "shop") == "`shop`.`t`"
     assert split_ref(qualify("t", "iceberg.sales")) == ["iceberg", "sales", "t"]  # catalog.database
     assert split_ref(qualify("t", "`my.db`")) == ["my.db", "t"]  # a dotted database name, quoted
     for bad in ("ab`c`", "`a` `b`", "db.x`t`"):
         with pytest.raises(ValueError):
             split_ref(bad)
-    assert qualify("other.t", "nyctaxi") == "other.t"
+    assert qualify("other.t", "shop") == "other.t"
 
 
 def test_path_stems():

@@ -37,7 +37,7 @@ def test_storage_settings_global_and_bucket():
 
 
 def test_session_settings_order_and_overrides():
-    src = get_source("hive", metastore_uri="thrift://h:9083", database="nyctaxi")
+    src = get_source("hive", metastore_uri="thrift://h:9083", database="shop")
     st = session_settings(
         source=src,
         catalog_kind="hadoop",
@@ -57,8 +57,8 @@ def test_source_registry():
         get_source("hive")
     with pytest.raises(ValueError):
         get_source("jdbc")
-    src = CatalogSource(database="nyctaxi")
-    assert src.resolve("yellow") == "`nyctaxi`.`yellow`"
+    src = CatalogSource(database="shop")
+    assert src.resolve("yellow") == "`shop`.`yellow`"
     assert src.target_name("other.green") == "green"
     assert ParquetSource().target_name("s3a://raw/yellow_tripdata") == "yellow_tripdata"
 

@@ -36,8 +36,8 @@ def test_session_catalog_ddl_parses(spark, db):
 
 
 def test_add_files_call():
-    sql = add_files_sql("iceberg", "iceberg.nyctaxi.yellow", "s3a://raw-parquet/yellow_tripdata")
+    sql = add_files_sql("iceberg", "iceberg.shop.yellow", "s3a://raw-parquet/yellow_tripdata")
     assert sql == (
-        "CALL `iceberg`.system.add_files(table => 'nyctaxi.yellow', "
+        "CALL `iceberg`.system.add_files(table => 'shop.yellow', "
         "source_table => '`parquet`.`s3a://raw-parquet/yellow_tripdata`')"
     )

@@ -268,6 +268,42 @@ def test_staged_replace_keeps_the_old_table_on_failure_and_can_read_itself(spark
     assert w.rows == spark.table(f"{db}.st").count() == 5
 
 
+def test_replace_is_staged_by_default_and_a_lost_table_comes_back(spark, db):
+    from carryover.operators.write import restore_replaced
+
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    write_table(nation, f"{db}.safe", "create")
+    bad = nation.withColumn("n_nationkey", F.expr("assert_true(n_nationkey < 0)"))
+    with pytest.raises(Exception):
+        write_table(bad, f"{db}.safe", "replace")
+    assert spark.table(f"{db}.safe").count() == 25
+    # a driver that died between the renames: the name has no table, the old one lies beside it
+    spark.sql(f"ALTER TABLE {db}.safe RENAME TO {db}.safe__replaced_0a0b0c0d")
+    with pytest.raises(Exception):
+        write_table(bad, f"{db}.safe", "replace")
+    assert spark.table(f"{db}.safe").count() == 25
+    assert not restore_replaced(spark, f"{db}.safe") and not restore_replaced(spark, f"{db}.never_there")
+
+
+def test_v2_targets_get_no_clustering_of_ours(spark, monkeypatch):
+    from carryover.operators import write
+
+    seen = {}
+    monkeypatch.setattr(write, "is_v1_target", lambda *a: False)
+    monkeypatch.setattr(write, "prepare_for_write", lambda df, **kw: seen.update(kw) or df)
+    with pytest.raises(Exception):
+        write_table(spark.range(3), "no_such_catalog.db.t", "create", partition_by=["id"])
+    assert seen["cluster"] == "none"
+
+
+def test_v2_registration_is_held_against_what_was_added():
+    from carryover.operators.register import Registered
+
+    row = dict(table="t", path="p", layout=None, source_rows=3, target_rows=10, rows_before=7)
+    assert Registered(**row, adds=True).status == "success"
+    assert Registered(**row).status == "mismatch"
+
+
 def test_staged_replace_through_a_batch_with_three_part_names(spark, db):
     from carryover.plans import MigrationOptions, migrate_table
     from carryover.sources import ParquetSource
