@@ -16,9 +16,13 @@ No pairs within a group are emitted for its own sake:
 1. Equal sets are one class; its least id stands for it from here on.
 2. Each representative is compared with one other: the least id that shares
    a band with it.  Confirmed links join components.
-3. Buckets that still hold several components are compared across
-   components only, once for each pair, with exact size and sketch bounds
-   first; confirmed links join components again.
+3. Documents of buckets that still hold several components are compared
+   across components only, and only pairs that can reach the threshold: shingles
+   are put in one order, rare ones first (by a count of ``CELLS`` hashed cells, so
+   its size is fixed; any order is exact), and a pair at the threshold must
+   share a shingle so early in both that enough are left behind it.  Members
+   of one large group with many edits of their own share none.  Confirmed
+   links join components again.
 
 Buckets are found with ``groupBy`` + join, never by gathering one; texts
 travel only for representatives that share a band with another.
@@ -26,8 +30,8 @@ travel only for representatives that share a band with another.
 Cases: a null or wordless text has an empty set, is linked with nothing and
 kept; a text with fewer words than a shingle has its whole sequence as its
 only element; ties go to the least id; rows that repeat an id and text share
-one class (each is returned); rows with a null id link to nothing of their
-own (component null, kept); an empty table gives no rows; other columns are
+one class (each is returned); a row with a null id gets the component of its
+class, if others have its set, joins nothing else and is kept; an empty table gives no rows; other columns are
 not read.
 """
 
@@ -43,22 +47,20 @@ from pyspark.sql import functions as F
 from .common import stored
 from .textcore import (
     FOLDED_VALUES,
-    bytes_of,
     find_words,
     hash_ngrams,
     hash_spans,
     join_texts,
     mix,
-    slices,
+    parts,
 )
 
 COORDINATES = 128
 ROWS = 4
 BANDS = COORDINATES // ROWS
-BATCH_BYTES = 4 << 20
-#: Equal coordinates below which a pair at the threshold is out of reach: 0.25 under
-#: it, seven standard deviations of 128 coordinates at 0.8 (chance below 1e-11).
-SLACK = 0.25
+BATCH_BYTES = 2 << 20
+#: Cells that count shingles for their order, in parts of ``CELLS_EACH``.
+CELLS, CELLS_EACH = 1 << 20, 1 << 14
 
 
 def shingle_sets(texts: list[bytes | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,34 +117,29 @@ def bands(sketch: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, tkey, n, h1, h2, sketch, bands`` per row: set size, 128-bit set hash,
-    one byte of each coordinate, band hashes."""
+    """``doc_id, tkey, n, h1, h2, bands`` per row: set size, 128-bit set hash, band hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = bytes_of(batch.column(2))
-            for part in slices([len(t or b"") for t in texts], BATCH_BYTES):
-                flat, offsets = shingle_sets(texts[part], k)
-                sketch = sketches(flat, offsets)
-                band = bands(sketch)
+            for part, texts in parts(batch.column(2), BATCH_BYTES):
+                flat, offsets = shingle_sets(texts, k)
+                band = bands(sketches(flat, offsets))
                 sums = []
                 for seed in (11, 12):
                     total = np.zeros(len(flat) + 1, np.uint64)
                     np.cumsum(mix(flat, seed), out=total[1:])
                     sums.append(total[offsets[1:]] - total[offsets[:-1]])
                 m = len(band)
-                small = (sketch ^ (sketch >> np.uint64(20))).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.start, m), batch.column(1).slice(part.start, m)]
                     + [pa.array(np.diff(offsets), pa.int64())]
                     + [pa.array(s.view(np.int64)) for s in sums]
-                    + [pa.array([row.tobytes() for row in small], pa.binary())]
                     + [pa.ListArray.from_arrays(np.arange(0, m * BANDS + 1, BANDS, dtype=np.int32), pa.array(band.reshape(-1).view(np.int64)))],
-                    names=["doc_id", "tkey", "n", "h1", "h2", "sketch", "bands"],
+                    names=["doc_id", "tkey", "n", "h1", "h2", "bands"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), F.col("text"))
-    return rows.mapInArrow(run, "doc_id long, tkey long, n long, h1 long, h2 long, sketch binary, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, tkey long, n long, h1 long, h2 long, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -151,15 +148,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
         for batch in batches:
-            left, right = bytes_of(batch.column(2)), bytes_of(batch.column(3))
+            right = batch.column(3)
             b_ids = batch.column(1).to_pylist()
-            keep = np.zeros(len(left), bool)
-            for part in slices([len(t) for t in left], BATCH_BYTES):
-                flat, offsets = shingle_sets(left[part], k)
+            keep = np.zeros(batch.num_rows, bool)
+            for part, left in parts(batch.column(2), BATCH_BYTES):
+                flat, offsets = shingle_sets(left, k)
                 for i in range(part.start, part.stop):
                     mine = flat[offsets[i - part.start] : offsets[i - part.start + 1]]
                     if last[0] != b_ids[i]:
-                        last = (b_ids[i], shingle_sets([right[i]], k)[0])
+                        last = (b_ids[i], shingle_sets([right[i].as_py().encode()], k)[0])
                     other = last[1]
                     place = np.searchsorted(other, mine)
                     same = int((other[np.minimum(place, len(other) - 1)] == mine).sum()) if len(other) else 0
@@ -172,6 +169,76 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.mapInArrow(run, "a long, b long")
 
 
+def shingle_counts(texts: DataFrame, k: int) -> np.ndarray:
+    """How many sets hold the shingles of each of ``CELLS`` hashed cells."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for _, every in parts(batch.column(0), BATCH_BYTES):
+                np.add.at(total, _cell(shingle_sets(every, k)[0]), 1)
+        for i in range(0, CELLS, CELLS_EACH):
+            if total[i : i + CELLS_EACH].any():
+                yield pa.RecordBatch.from_pydict({"part": pa.array([i // CELLS_EACH], pa.int32()), "n": pa.array([total[i : i + CELLS_EACH].astype("<i8").tobytes()], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, "<i8") for b in table.column("n").to_pylist())
+        return pa.table({"part": table.column("part").slice(0, 1), "n": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(CELLS, np.int64)
+    for part, n in texts.select("text").mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").collect():
+        out[part * CELLS_EACH : (part + 1) * CELLS_EACH] = np.frombuffer(bytes(n), "<i8")
+    return out
+
+
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+
+def early_shingles(texts: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``shingle, rep, label, n, place, short`` for the first shingles of each set, rare ones first.
+
+    Of ``n`` shingles the first ``n - ceil(n * percent / 100) + 1`` meet every set at the threshold;
+    against sets at least as large fewer do (``short``)."""
+    shared = texts.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, every in parts(batch.column(2), BATCH_BYTES):
+                flat, offsets = shingle_sets(every, k)
+                found: list[np.ndarray] = []
+                sizes = []
+                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                    one = flat[a:b]
+                    first = (b - a) - -(-(b - a) * percent // 100) + 1
+                    found.append(one[np.lexsort((one, shared.value[_cell(one)]))[:first]])
+                    sizes.append(len(found[-1]))
+                size = np.asarray(sizes)
+                n = np.repeat(np.diff(offsets), size)
+                place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + 1
+                short = place <= n - -(-2 * percent * n // (100 + percent)) + 1
+                take = pa.array(np.repeat(np.arange(part.start, part.stop), size))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)]
+                    + [pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(short)],
+                    names=["shingle", "rep", "label", "n", "place", "short"],
+                )
+
+    return texts.select("rep", "label", "text").mapInArrow(run, "shingle long, rep long, label long, n int, place int, short boolean")
+
+
+def across(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different labels that may reach the threshold; ``texts``: ``rep, label, text``."""
+    early = stored(early_shingles(texts, shingle_counts(texts, k), k, percent), "early")
+    one = early.select("shingle", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    two = early.where("short").select("shingle", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    fits = F.expr(
+        f"la <> lb AND (na > nb OR na = nb AND a < b) AND nb * 100 >= na * {percent} "
+        f"AND (1 + least(na - pa, nb - pb)) * {100 + percent} >= (na + nb) * {percent}"
+    )
+    return one.join(two, "shingle").where(fits).select("a", "b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label``: for each node of the links the least node it reaches.
 
@@ -218,20 +285,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = stored(confirmed(pairs, texts, k, percent), "confirmed")
     labels = components(links)
 
-    # what the first comparison left apart: pairs across components of one bucket
+    # what the first comparison left apart: documents of buckets with several components
     apart = labelled(members.select("bucket", "rep"), labels)
     mixed = apart.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    own = sig.join(classes.select(F.col("rep").alias("doc_id"), "tkey"), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id"])
-    rest = stored(apart.join(mixed, "bucket"), "apart")
-    size = own.join(rest.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "n", "sketch")
-    rest = rest.join(size.select("rep", "n"), "rep")
-    one = rest.select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    two = rest.select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-    fits = (F.col("la") < F.col("lb")) & (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    more = stored(one.join(two, "bucket").where(fits).select("a", "b").distinct(), "across")
-    more = more.join(size.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(size.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
-    more = more.where(alike("sa", "sb") >= COORDINATES * (percent / 100 - SLACK))
-    extra = stored(confirmed(more, texts, k, percent), "confirmed")
+    rest = apart.join(mixed, "bucket").select("rep", "label").distinct()
+    rest = stored(texts.join(rest.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "label", "text"), "rest")
+    extra = stored(confirmed(across(rest, k, percent), texts, k, percent), "confirmed")
     if not extra.isEmpty():
         labels = components(links.union(extra))
 
@@ -243,7 +302,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def alike(a: str, b: str):
-    """Equal bytes of two sketches."""
-    same = "aggregate(sequence(1, {t}), 0, (n, i) -> n + if(substr({a}, i, 1) = substr({b}, i, 1), 1, 0))"
-    return F.expr(same.format(t=COORDINATES, a=a, b=b))
+def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the documents another one of their group stands for; of rows that
+    repeat an id and a text one stays."""
+    found = near_duplicates(docs, k, percent)
+    tkey = F.xxhash64("text")
+    again = docs.where("doc_id is not null").groupBy("doc_id", tkey.alias("tkey")).count().where("count > 1")
+    gone = found.where("not kept").select("doc_id").distinct().select("doc_id", F.lit(True).alias("gone"))
+    marks = stored(gone.join(again.select("doc_id").distinct().withColumn("again", F.lit(True)), "doc_id", "full_outer"), "decisions")
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    left = row.join(marks, "doc_id", "left").where("gone is null")
+    once = left.where("again").withColumn("tkey", F.xxhash64("row.text")).dropDuplicates(["doc_id", "tkey"]).select("row")
+    return left.where("again is null").select("row").union(once).select("row.*")
