@@ -1,0 +1,360 @@
+"""Fingerprints, surrogates, neighbours, licenses, mixing and URL rules against plain versions."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from carryover.llm import fingerprint, licenses, mixing, multi_index, surrogates, url_filter
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts):
+    """A documents table, three partitions, with columns of clashing names."""
+    rows = [(i, t, "en", "s", len(t or ""), "x", 1) for i, t in texts]
+    return spark.createDataFrame(rows, DOCS + ", score string, range int").repartition(3)
+
+
+# --- fingerprints
+
+
+def test_anchors_are_the_closed_syncmers(spark):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 50, n)) for n in (0, 1, 3, 6, 7, 40, 200)] + ["x" * 100, None]
+    k, s = 6, 2
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("t", F.coalesce("t", F.lit("")))
+    df = fingerprint.with_fingerprint(df, "t", "a", k, s).withColumn("tok", fingerprint.tokens(F.col("t")))
+    df = df.withColumn("h", F.expr(f"if(size(tok) < {s}, array(), transform(sequence(1, size(tok) - {s - 1}), i -> xxhash64(slice(tok, i, {s}))))"))
+    w = k - s + 1
+    df = df.withColumn("runs", F.expr(f"if(size(h) < {w}, array(), transform(sequence(1, size(h) - {w - 1}), i -> hash(slice(h, i, {w}))))"))
+    for r in df.withColumn("whole", F.hash("tok")).collect():
+        n = len(r.tok)
+        if n == 0:
+            assert r.a == []
+        elif n < k:
+            assert r.a == [r.whole]
+        else:
+            picked = [i for i in range(n - k + 1) if min(r.h[i : i + w]) in (r.h[i], r.h[i + w - 1])]
+            assert r.a == [r.runs[i] for i in picked]
+            assert all(b - a <= w for a, b in zip([-1, *picked], [*picked, n - k + 1]))  # none of w runs in a row is without
+
+
+@pytest.mark.parametrize("range_bytes", [16 << 20, 300])
+def test_edited_texts_and_neighbours(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", range_bytes)
+    rng = np.random.default_rng(4)
+    ids = sorted(rng.choice(10**6, 60, replace=False).tolist())
+    texts = {i: " ".join(f"é{v}" for v in rng.integers(0, 10**6, rng.integers(0, 40))) for i in ids}
+    texts[ids[5]], texts[ids[9]], texts[ids[10]] = None, "same text here and now " * 3, "same text here and now " * 3
+    out = {r.doc_id: r for r in fingerprint.edited_fingerprints(docs_of(spark, texts.items())).collect()}
+    assert len(out) == len(ids)
+    for i, after in zip(ids, ids[1:] + ids[:1]):
+        own, then, r = texts[i] or "", texts[after] or "", out[i]
+        half = len(own) // 2
+        assert r.n_chars == len(own) and r.edited_text == own[: len(own) - half] + then[:half]
+        a, b, c = (set(x.split()) for x in (r.fingerprint, r.edited_fingerprint, out[after].fingerprint))
+        likeness = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+        assert r.near_edited == pytest.approx(likeness(a, b)) and r.near_next == pytest.approx(likeness(a, c))
+    assert out[ids[9]].fingerprint == out[ids[10]].fingerprint and out[ids[9]].near_next == 1.0
+
+
+def test_fingerprints_of_odd_tables(spark):
+    one = fingerprint.edited_fingerprints(docs_of(spark, [(3, "abcdef")])).collect()
+    assert [(r.doc_id, r.edited_text) for r in one] == [(3, "abcabc")]
+    odd = fingerprint.edited_fingerprints(docs_of(spark, [(None, "ab"), (1, "cdef"), (1, "cdef"), (2, "")])).collect()
+    assert Counter((r.doc_id, r.edited_text) for r in odd) == Counter([(None, "ac"), (1, "cdcd"), (1, "cd"), (2, "")])
+    assert fingerprint.edited_fingerprints(docs_of(spark, []).limit(0)).count() == 0
+
+
+# --- surrogates
+
+
+def test_surrogates_keep_form_and_identity(spark):
+    texts = {
+        1: "Write to Anna.Berg@Mail.example.com or ANNA.BERG@MAIL.EXAMPLE.COM, call +1 (523) 555-1055 or +1-523-555-1055.",
+        2: "Card 4111 1111 1111 1111 and 4111111111111111, bad card 1234567890123456; host 10.0.0.7, not 1.2.3 or 999.1.1.1.",
+        3: 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" TOKEN = "24BE64439E3E49CF46B2D7C90F3602A3D0B907FF" SSN 123-45-6789',
+        4: "Mrs. Anna Berg met Herr Berg and Mr. John Smith; Dr. SMITH and госпожа Анна Петрова wrote DE89 3704 0044 0532 0130 00.",
+        5: "Nothing private in 4.0, 3.14 or version 2.0 of 2024-01-15. Mr was here.",
+        6: None, 7: "", 8: "same a@b.example.org", 9: "same a@b.example.org again a@b.example.org password: hunter2x9",
+    }
+    rows = list(texts.items()) + [(9, texts[9]), (None, "x 10.0.0.7 y")]
+    docs = docs_of(spark, rows)
+    out_df = surrogates.replace_personal_data(docs)
+    assert out_df.columns == [*docs.columns, "n_replaced"]
+    got = out_df.collect()
+    assert len(got) == len(rows)
+    out = {r.doc_id: r.text for r in got}
+    assert (out[5], out[6], out[7]) == (texts[5], None, "")
+    mails = re.findall(r"(?i)[\w.]+@[\w.]+\.com", out[1])
+    assert len(mails) == 2 and mails[0].lower() == mails[1].lower() != "anna.berg@mail.example.com"
+    assert mails[1].isupper() and re.fullmatch(r"[A-Z][a-z]{3}\.[A-Z][a-z]{3}@[A-Z][a-z]{3}\.[a-z]{7}\.com", mails[0])
+    phones = re.search(r"(\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1-\d{3}-\d{3}-\d{4})", out[1])
+    assert re.sub(r"\D", "", phones[1]) == re.sub(r"\D", "", phones[2]) != "15235551055"
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+    cards = re.search(r"Card (4\d{3} \d{4} \d{4} \d{4}) and (4\d{15}), bad card (1\d{15});", out[2])
+    assert cards[1].replace(" ", "") == cards[2] != "4111111111111111"
+    assert luhn(cards[2]) and not luhn(cards[3]) and not luhn("1234567890123456")
+    host = re.search(r"host (\d+\.\d+\.\d+\.\d+), not 1\.2\.3 or 999\.1\.1\.1", out[2])[1]
+    assert host != "10.0.0.7" and f"x {host} y" == out[None]
+    hexes = re.findall(r'"(\w{40})"', out[3])
+    assert hexes[0].upper() == hexes[1] and hexes[0] != "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and int(hexes[0], 16)
+    assert re.search(r"SSN \d{3}-\d{2}-\d{4}$", out[3]) and "123-45-6789" not in out[3]
+    name = re.match(r"Mrs\. (\w+) (\w+) met Herr (\w+) and Mr\. (\w+) (\w+); Dr\. (\w+) and госпожа (\w+) (\w+) wrote (DE\w\w( \w{4}){4} \w\w)\.", out[4])
+    assert name[2] == name[3] and name[5].upper() == name[6] and name[1].endswith("na") and name[4].endswith("n") and name[4][-2:] != "na"
+    assert re.fullmatch("[А-я]+на", name[7]) and re.fullmatch("[А-я]+", name[8]) and "3704 0044" not in name[9]
+    a = re.search(r"same (\S+)", out[8])[1]
+    assert out[9].startswith(f"same {a} again {a} password: ") and "hunter2x9" not in out[9] and a != "a@b.example.org"
+    assert Counter(r.n_replaced for r in got if r.doc_id == 9) == {3: 2}
+    assert surrogates.replace_personal_data(docs.limit(0)).count() == 0
+
+
+def test_colliding_surrogates_are_drawn_again(spark):
+    ips = [("ip", f"10.0.0.{i}") for i in range(100)]
+    small = [("ssn", f"{a}{b}") for a in range(1, 10) for b in range(10)]  # two digits: all 90 spaces are taken
+    out = surrogates.surrogates(spark.createDataFrame(ips + small, "kind string, entity string")).collect()
+    for kind, entities in (("ip", {e for _, e in ips}), ("ssn", {e for _, e in small})):
+        own = {r.entity: r.surrogate for r in out if r.kind == kind}
+        assert set(own) == entities and len(set(own.values())) == len(entities) and not entities & set(own.values())
+
+
+def test_another_key_draws_other_surrogates(spark):
+    docs = docs_of(spark, [(1, "a@b.example.org")])
+    texts = [surrogates.replace_personal_data(docs, key=k).first().text for k in ("one", "one", "two")]
+    assert texts[0] == texts[1] != texts[2]
+
+
+# --- neighbours
+
+
+def nearest_by_hand(rows, q, top):
+    v = dict(q=q[1])["q"]
+    scored = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(x, v))), i) for i, x in rows if i != q[0])
+    return scored[:top]
+
+
+def test_neighbours_reach_the_exact_ones(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "BLOCK", 300)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 7)) + rng.integers(0, 8, (3000, 1))
+    x[500:1500] = x[500]  # one vector that a third of the rows share
+    rows = [(i, [float(a) for a in np.float32(v)]) for i, v in enumerate(x)]
+    bad = [(100000, None), (100100, [0.0] * 7), (100200, [float("nan")] * 7), (100300, [1.0, None] + [0.0] * 5), (100400, [1.0, 2.0]), (None, [1.0] * 7), (100500, [float("inf")] + [0.0] * 6), (100600, [])]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").repartition(4)
+    out = defaultdict(list)
+    for r in multi_index.neighbours(df.withColumn("score", F.lit("x")), F.col("vec_id") % 100 == 0, top=10).orderBy("query_id", "rank").collect():
+        out[r.query_id].append((r.score, r.vec_id))
+    assert set(out) == set(range(0, 3000, 100))
+    hits = 0
+    for q, got in out.items():
+        wanted = nearest_by_hand(rows, rows[q], 10)
+        assert len(got) == 10 and got == sorted(got)
+        hits += len({i for _, i in wanted} & {i for _, i in got})
+        for s, i in got:
+            assert s == pytest.approx(math.dist(rows[i][1], rows[q][1]), abs=1e-12)
+    assert hits >= 0.9 * 10 * len(out)
+    assert [i for _, i in out[500]] == list(range(501, 511))  # ties to the smaller id
+
+
+def test_neighbours_of_few_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    out = multi_index.neighbours(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in out] == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0)]
+    assert multi_index.neighbours(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_the_walk_goes_by_summed_distance():
+    rng = np.random.default_rng(3)
+    a, b = rng.random(6), rng.random(5)
+    sums = [a[i] + b[j] for i, j in multi_index.walk(a, b)]
+    assert len(sums) == 30 and sums == sorted(sums)
+
+
+# --- licenses
+
+
+def test_license_matches_like_full_containment(spark):
+    rng = random.Random(5)
+    filler = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    texts, templates = {}, licenses.TEMPLATES
+    for i, (name, text) in enumerate(sorted(templates.items())):
+        texts[10 * i] = filler(rng.randrange(80)) + "\n" + text + " " + filler(rng.randrange(80))
+        texts[10 * i + 1] = filler(40) + " " + text.upper().replace(" ", "\n  ") + " " + filler(9)
+        words = text.split()
+        for n in range(2, 6):  # a few words changed
+            w = list(words)
+            for _ in range(n - 1):
+                w[rng.randrange(len(w))] = "changed"
+            texts[10 * i + n] = filler(rng.randrange(60)) + " " + " ".join(w) + " " + filler(5)
+    texts |= {900: None, 901: "", 902: "the license", 903: filler(300), 904: filler(6000) + " " + templates["MIT"]}
+    words_of = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    wanted = {}
+    for i, t in texts.items():
+        w = grams(words_of(t))
+        for name, text in templates.items():
+            g = grams(words_of(text))
+            if len(g & w) >= 0.8 * len(g):
+                wanted[i, name] = len(g & w) / len(g)
+    rows = list(texts.items()) + [(0, texts[0]), (None, templates["MIT-notice"])]
+    out = licenses.scan(docs_of(spark, rows)).collect()
+    got = {(r.doc_id, r.license): r.containment for r in out if r.doc_id is not None}
+    assert got == pytest.approx(wanted) and len(out) == len(got) + 1
+    at = {(r.doc_id, r.license): r.at_word for r in out}
+    assert at[904, "MIT"] == 6000
+    assert licenses.scan(docs_of(spark, []).limit(0)).count() == 0
+    with pytest.raises(ValueError, match="fewer"):
+        licenses.scan(docs_of(spark, rows), {"short": "one two three"})
+
+
+# --- mixing
+
+
+def test_exponents_meet_their_targets():
+    shares = [0.5, 0.3, 0.15, 0.05]
+    t = mixing.exponent_for(shares, target_entropy=0.9)
+    assert mixing.entropy(mixing.weights_at(shares, t)) == pytest.approx(0.9 * math.log(4))
+    t = mixing.exponent_for(shares, max_repeat=2.0)
+    times = mixing.repeats(shares, mixing.weights_at(shares, t), None)
+    assert min(times) == pytest.approx(1) and max(times) == pytest.approx(2)
+    t = mixing.exponent_for(shares, budget=1.0, target_entropy=0.99, max_repeat=1.5)
+    assert max(mixing.repeats(shares, mixing.weights_at(shares, t), 1.0)) == pytest.approx(1.5)
+    with pytest.raises(ValueError, match="repetitions"):
+        mixing.exponent_for(shares, budget=3.0, max_repeat=2.0)
+    assert mixing.exponent_for([0.5, 0.5], max_repeat=1.0) == 1.0
+
+
+def test_mixing_realises_the_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 300)
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        source = "hot" if i % 2 else rng.choice(["a", "b", None])
+        rows.append((i, " ".join(["w"] * int(rng.integers(1, 30))), source))
+    rows += [(1000, "", "a"), (1001, None, "b"), (1002, "w w", "tiny"), (None, "w w w", "a"), (5, rows[5][1], rows[5][2]), (1003, "", "no words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS block", "'y' AS rest", "0 AS blocks")
+    out = mixing.mix_sources(docs, max_repeat=3.0).collect()
+    seen = Counter((r.doc_id, r.text, r.source) for r in out)
+    assert set(seen) == {(i, t, s) for i, t, s in rows}  # nothing is lost
+    totals, given = Counter(), Counter()
+    for i, t, s in rows:
+        totals[s] += len((t or "").split())
+    for r in out:
+        given[r.source] += r.tokens
+    weighed = {s: n for s, n in totals.items() if n}
+    shares = [n / sum(weighed.values()) for n in weighed.values()]
+    times = mixing.repeats(shares, mixing.weights_at(shares, mixing.exponent_for(shares, max_repeat=3.0)), None)
+    for (s, n), r in zip(weighed.items(), times):
+        assert n * r - 60 <= given[s] <= n * r + 1e-3, s  # short of the quota by less than a document (or its repeat)
+    assert seen[1000, "", "a"] == seen[1001, None, "b"] == seen[1003, "", "no words"] == 1
+    epochs = defaultdict(Counter)
+    for r in out:
+        epochs[r.source, r.epoch][r.doc_id, r.text] += 1
+    whole = Counter((i, t) for i, t, s in rows if s == "hot")
+    assert epochs["hot", 0] == whole
+
+
+def test_mixing_within_a_budget_and_odd_tables(spark):
+    rows = [(i, "w " * 10, "a" if i % 4 else "b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix_sources(docs, budget_tokens=1000, target_entropy=1.0).groupBy("source").agg(F.sum("tokens").alias("n")).collect()
+    assert {r.source: r.n for r in out} == {"a": 500, "b": 500}
+    assert mixing.mix_sources(docs.limit(0), max_repeat=2.0).count() == 0
+    assert mixing.mix_sources(docs.where("source = 'a'"), max_repeat=2.0).count() == 150
+
+
+# --- URLs
+
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def by_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fitting = [r for r in RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+    return host, path, max(fitting, key=len, default=None)
+
+
+def test_urls_by_rules_and_by_the_models(spark):
+    rng = random.Random(6)
+    urls = [f"http{rng.choice(['', 's'])}://{rng.choice(['', 'www.', 'M.'])}{rng.choice(['shop', 'news', 'Ads'])}.example.{rng.choice(['net', 'org', 'com'])}/{rng.choice(['en', 'de', 'fr'])}/{rng.randrange(50)}{rng.choice(['', '?a=/fr/', '#x://y'])}" for _ in range(300)]
+    urls += [None, "", "no scheme", "://", "http://net", "http://net/", "http://notnet/", "HTTP://A.ORG/fr/x", "ftp://x.org/frx", "http://a.net?/en/", "x\ny://a.net/z", "a://b://c.net/", "http://É.NET/ü"]
+    rows = list(enumerate(urls)) + [(3, urls[3]), (None, "http://a.org/fr/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' AS html", "1 AS score", "'r' AS host")
+    out = url_filter.judge(pages, RULES).collect()
+    assert Counter((r.page_id, r.host, r.path, r.rule) for r in out) == Counter((i, *by_rule(u)) for i, u in rows)
+    score = score_by_hand([u for _, u in rows])
+    for r in out:
+        u = dict(rows)[r.page_id]
+        if r.rule:
+            assert r.verdict == RULES[r.rule]
+        elif not u:
+            assert (r.verdict, r.score) == ("block", 0)
+        else:
+            assert r.verdict == ("block" if r.score < r.threshold else "allow")
+    held = {(r.url): r.held_out for r in pages.select("url", (F.pmod(F.xxhash64("url", F.lit("held out")), F.lit(5)) == 0).alias("held_out")).collect()}
+    by_hand = score(lambda u: RULES[by_rule(u)[2]] if by_rule(u)[2] and not held[u] else None)
+    for r in out:
+        if dict(rows)[r.page_id]:
+            assert r.score == pytest.approx(by_hand[dict(rows)[r.page_id]], abs=1e-6)
+    assert url_filter.judge(pages.limit(0), RULES).count() == 0
+    assert {r.verdict for r in url_filter.judge(pages.where("url = 'no scheme'"), RULES).collect()} == {"allow"}
+
+
+def score_by_hand(urls):
+    """Witten-Bell models of both classes, one character at a time."""
+
+    def score(label):
+        counts = {c: Counter() for c in ("allow", "block")}
+        grams = {u: [f"\x02\x02\x02\x02{body(u)}\x03"[i : i + 5] for i in range(len(body(u)) + 1)] for u in urls if u}
+        for u in urls:
+            if u and label(u):
+                counts[label(u)].update(g[5 - n :] for g in grams[u] for n in range(1, 6))
+        followers = {c: defaultdict(Counter) for c in counts}
+        for c, own in counts.items():
+            for s, n in own.items():
+                followers[c][s[:-1]][s[-1]] += n
+
+        def chance(c, gram):
+            p = 1 / 256
+            for n in range(1, 6):
+                after = followers[c].get(gram[5 - n : -1])
+                if after:
+                    p = (after[gram[-1]] + len(after) * p) / (sum(after.values()) + len(after))
+            return p
+
+        return {u: sum(math.log(chance("allow", g) / chance("block", g)) for g in gs) / len(gs) for u, gs in grams.items()}
+
+    return score
+
+
+def body(url):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url)
+    return re.sub(r"^[^:/?#]*://", "", lower)
+
+
+def test_thresholds_split_both_classes():
+    assert url_filter.best_threshold([(-3, 0, 5), (-1, 1, 4), (2, 6, 1), (4, 3, 0)]) in [e * url_filter.STEP for e in (0, 1, 2)]
+    assert url_filter.best_threshold([(1, 5, 0)]) == float("-inf")
+
+
+def test_edited_digest_is_of_the_text(spark):
+    from carryover.llm.queries import QUERIES
+
+    out = QUERIES["op9_document_fingerprints"](spark, "/root/testdata/sf0.001")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    got = {r.doc_id: r for r in out.collect()}
+    for r, after in zip(docs, docs[1:] + docs[:1]):
+        half = len(r.text) // 2
+        text = r.text[: len(r.text) - half] + after.text[:half]
+        assert got[r.doc_id].edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
