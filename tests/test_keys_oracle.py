@@ -6,7 +6,7 @@ import decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_module
+from carryover.keys import KEYS, ORACLES
 from conftest import SF001, SF01
 
 TABLES = (
@@ -51,15 +51,15 @@ def duck():
 
 
 def test_every_key_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(KEYS) == set(ORACLES)
 
 
-@pytest.mark.parametrize("key", sorted(entry_module.queries()))
+@pytest.mark.parametrize("key", sorted(KEYS))
 def test_key_matches_oracle(spark, duck, key):
-    df = entry_module.queries()[key](spark, SF01)
+    df = KEYS[key](spark, SF01)
     cols = sorted(df.columns)
     got = sorted(repr(tuple(_norm(r[c]) for c in cols)) for r in df.collect())
-    rel = duck.sql(entry_module.oracle_sql()[key])
+    rel = duck.sql(ORACLES[key])
     ocols = rel.columns
     assert sorted(ocols) == cols
     spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
