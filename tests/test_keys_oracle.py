@@ -71,7 +71,9 @@ def test_key_matches_oracle(spark, duck, key):
 
 
 def test_entry_smoke(spark):
-    df = entry_module.entry(spark)
+    import __spark_entry__
+
+    df = __spark_entry__.entry(spark)
     rows = df.collect()
     assert df.columns == ["tbl", "source_rows", "target_rows", "status"]
     assert {r["status"] for r in rows} == {"success"}
