@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,17 @@ from ..session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, wherever they were started."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

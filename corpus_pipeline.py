@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carryover.llm.common import stored, table
+from carryover.llm.common import on_workers, stored, table
 from carryover.llm.dedup import keep_one_each
 from carryover.llm.language import keep_identified
 from carryover.llm.mixing import mix_sources
@@ -22,6 +22,7 @@ from carryover.llm.surrogates import replace_personal_data
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter go."""
+    on_workers(spark)
     return keep_identified(docs)
 
 
