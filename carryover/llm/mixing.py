@@ -119,6 +119,7 @@ def mix_sources(
         # without a budget no rounding may push a source below one full epoch
         quota = {s: max(n if budget is None else 0, math.floor(n * r + 1e-3)) for (s, n), r in zip(weighed, times)}
     schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("blocks", T.LongType()), T.StructField("full", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("all", T.LongType()), T.StructField("quota", T.LongType())])
+    # one row a source, made here: a hot source's rows need not be brought together to meet it
     plan = spark.createDataFrame(
         [(s, min(MOST_BLOCKS, 1 + n // BLOCK_TOKENS), quota.get(s, 0) // n if n else 0, quota.get(s, 0) % n if n else 0, n, quota.get(s, 0)) for s, n in totals], schema
     )
@@ -126,7 +127,7 @@ def mix_sources(
     turn = F.xxhash64("__row", F.lit(key), F.col("epoch"))
 
     # blocks in the order of each epoch, and where each begins in its source's run
-    dealt = narrow.join(plan, "__source").withColumn("block", block)
+    dealt = narrow.join(F.broadcast(plan), "__source").withColumn("block", block)
     blocks = dealt.groupBy("__source", "block", "full", "rest", "all", "quota").agg(F.sum("tokens").alias("held"))
     epochs = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1), F.lit(0)))))
     order = Window.partitionBy("__source", "epoch").orderBy(F.xxhash64("block", "epoch", F.lit(key)), "block")
@@ -147,7 +148,7 @@ def mix_sources(
     steps = steps.withColumn("upto", F.when(F.col("allowed") == F.col("held"), most).otherwise(F.coalesce("upto", least)))
     steps = stored(steps.select("__source", "block", "epoch", "upto", "slot"), "steps")
 
-    out = rows.join(plan.select("__source", "blocks"), "__source").withColumn("block", block).join(steps, ["__source", "block"])
+    out = rows.join(F.broadcast(plan.select("__source", "blocks")), "__source").withColumn("block", block).join(steps, ["__source", "block"])
     chosen = F.when(F.col("tokens") == 0, F.col("epoch") == 0).otherwise(turn <= F.col("upto"))
     new = [c for c in ("tokens", "epoch", "block", "slot") if c not in docs.columns]
     return out.where(chosen).select("row.*", *new)
