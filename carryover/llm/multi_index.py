@@ -14,8 +14,8 @@ walk length that reaches ``REACH`` of them is taken for all queries.
 At scale: codebooks are fitted on at most ``SAMPLE`` vectors (least id hashes);
 every row is indexed.  The codebooks and the cells' row counts go to the
 tasks: ``2 k`` centroids and ``k * k`` numbers, ``k`` at most ``MOST_CENTROIDS``.
-Queries meet entries in a co-grouped join on (cell, block of entries, block of
-queries): a cell with more than ``BLOCK`` entries or queries is cut into such
+Queries meet entries in a co-grouped join on (slab of cells, block of entries,
+block of queries): a cell with more than ``BLOCK`` entries or queries is cut into such
 blocks at random, so a vector that a third of the rows share fills many tasks,
 not one.  Each block keeps ``top`` neighbours a query before the last shuffle.
 
@@ -198,24 +198,35 @@ class MultiIndex:
         blocks = probes.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")).join(self.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("held")), "cell")
         # one row for each cell of the grid at most: k * k of them
         blocks = F.broadcast(stored(blocks.select("cell", spread("held").alias("e"), spread("asked").alias("q")), "blocks"))
+        # small cells meet in slabs of about a block, so that a query leaves one list a slab, not one a cell
+        slabs = max(1, math.ceil(self.size / BLOCK))
+        slab = F.pmod(F.xxhash64("cell"), F.lit(slabs)).cast("int").alias("slab")
         entries = self.rows.join(blocks, "cell").withColumn("eb", F.pmod(F.xxhash64("vec_id", "vec"), "e").cast("int"))
-        entries = entries.select("cell", "eb", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"), "vec_id", "vec")
+        entries = entries.select(slab, "cell", "eb", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"), "vec_id", "vec")
         asked = probes.join(blocks, "cell").withColumn("qb", F.pmod(F.xxhash64("query_id"), "q").cast("int"))
-        asked = asked.select("cell", F.explode(F.sequence(F.lit(0), F.col("e") - 1)).alias("eb"), "qb", "query_id", "qvec")
+        asked = asked.select(slab, "cell", F.explode(F.sequence(F.lit(0), F.col("e") - 1)).alias("eb"), "qb", "query_id", "qvec")
 
         def rerank(entries: pa.Table, asked: pa.Table) -> pa.Table:
             out: list[list] = [[], [], []]
             if entries.num_rows and asked.num_rows:
-                ids, x = entries.column("vec_id").to_numpy(), matrix(entries.column("vec"), d)
-                for q, v in zip(asked.column("query_id").to_pylist(), matrix(asked.column("qvec"), d)):
-                    score = np.sqrt(((x - v) ** 2).sum(1))
-                    other = np.flatnonzero(ids != q)
-                    s = other[best(score[other], ids[other], top)]
-                    for part, values in zip(out, ([q] * len(s), ids[s], score[s])):
+                entries, asked = entries.sort_by("cell"), asked.sort_by("query_id")
+                ids, x, cell = entries.column("vec_id").to_numpy(), matrix(entries.column("vec"), d), entries.column("cell").to_numpy()
+                wanted, vectors = asked.column("cell").to_numpy(), matrix(asked.column("qvec"), d)
+                low, high = np.searchsorted(cell, wanted), np.searchsorted(cell, wanted, side="right")
+                who = asked.column("query_id").to_numpy()
+                first = np.flatnonzero(np.diff(who, prepend=who[0] - 1))
+                for a, b in zip(first.tolist(), [*first[1:].tolist(), len(who)]):
+                    q = int(who[a])
+                    at = np.concatenate([np.arange(i, j) for i, j in zip(low[a:b].tolist(), high[a:b].tolist())])
+                    at = at[ids[at] != q]
+                    score = np.sqrt(((x[at] - vectors[a]) ** 2).sum(1))
+                    s = best(score, ids[at], top)
+                    score, s = score[s], at[s]
+                    for part, values in zip(out, ([q] * len(s), ids[s], score)):
                         part.extend(values)
             return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
-        near = entries.groupBy("cell", "eb", "qb").cogroup(asked.groupBy("cell", "eb", "qb")).applyInArrow(rerank, "query_id long, vec_id long, score double")
+        near = entries.groupBy("slab", "eb", "qb").cogroup(asked.groupBy("slab", "eb", "qb")).applyInArrow(rerank, "query_id long, vec_id long, score double")
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
         return ranked.select("query_id", "rank", "vec_id", "score")
