@@ -37,17 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pieces_of, stored
-from .textcore import hash_spans, join_texts, parts
+from .textcore import hash_spans, join_texts, parts, release
 
 CAPACITY = 2048
 END_ID = 0
 GROUP_SIZE = 65_536
 #: Chunks whose ids a Python worker remembers; beyond that it starts afresh.
-CACHE_CHUNKS = 2_500_000
+CACHE_CHUNKS = 1_000_000
 #: Where byte-level tokenizers of this family cut a text into words (fixed by them).
 WORDS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of text encoded at once in a task.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
 
 _CACHES: dict[str, "_Chunks"] = {}
 
@@ -82,7 +82,7 @@ class _Chunks:
 
         self.forget()
         self.tokenizer = Tokenizer.from_file(path)
-        spec = json.loads(self.tokenizer.to_str())
+        spec = json.loads(self.tokenizer.to_str())  # a copy, let go below
         if not isinstance(self.tokenizer.pre_tokenizer, ByteLevel) or spec["normalizer"] or spec["model"]["type"] != "BPE":
             raise ValueError("a byte-level BPE tokenizer without normaliser is needed: texts are split at spaces")
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -101,6 +101,8 @@ class _Chunks:
             for token, i in ranks.items():
                 self.width[i] = len(token)
         self.special = [t[:2] for t in special]
+        del spec, ranks, merged, byte_of
+        release()
 
     def forget(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)

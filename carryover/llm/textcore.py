@@ -150,11 +150,15 @@ def parts(column, most: int) -> Iterator[tuple[slice, list[bytes | None]]]:
 
     for part in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most):
         yield part, bytes_of(column.slice(part.start, part.stop - part.start))
-    pa_release()
+    release()
 
 
-def pa_release() -> None:
-    """Hand memory that Arrow keeps for later back to the system: workers live on, idle, beside the JVM."""
+def release() -> None:
+    """Hand memory kept for later back to the system: workers live on, idle, beside the JVM."""
+    import ctypes
+
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
