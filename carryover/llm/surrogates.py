@@ -67,7 +67,7 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "secret": (
-        r"(?<![\p{L}0-9])(?=[A-Za-z_\-]{0,128}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|sk-[A-Za-z0-9]{20,80})(?![\p{L}0-9])"
+        r"(?=[0-9a-fA-Fgs])(?<![\p{L}0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|sk-[A-Za-z0-9]{20,80})(?![\p{L}0-9])"
         r"|(?<=[=:\s\"'])(?=[A-Za-z_\-+/]{0,200}\d)"
         r"(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-+/]{8,200}={0,2}"
     ),
@@ -80,7 +80,8 @@ PATTERNS = {
     "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+){{0,3}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: All kinds but names hold a digit or an at sign, which is quicker to look for.
+#: All kinds but names hold a digit, an at sign or, as a secret may do without, one of these; quicker to look for.
+_LETTERS = r"AKIA|gh[pousr]_|sk-|[a-f]{32}|[A-F]{32}"
 _TOKENS = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "name")
 _DIGIT_KINDS = ("phone", "card", "ssn")
 
@@ -92,7 +93,7 @@ def mentions_of(text: str) -> Column:
 def has_mention(text: str) -> Column:
     """Whether ``mentions_of`` finds any."""
     t = F.col(text)
-    return F.coalesce((t.rlike("[0-9@]") & t.rlike(_TOKENS)) | t.rlike(PATTERNS["name"]), F.lit(False))
+    return F.coalesce(((t.rlike("[0-9@]") | t.rlike(_LETTERS)) & t.rlike(_TOKENS)) | t.rlike(PATTERNS["name"]), F.lit(False))
 
 
 def kind_of(mention: Column) -> Column:

@@ -130,6 +130,16 @@ def test_another_key_draws_other_surrogates(spark):
     assert texts[0] == texts[1] != texts[2]
 
 
+def test_secrets_of_letters_alone_are_replaced(spark):
+    secrets = ["AKIA" + "QWERTYUIOPASDFGH", "ghp_" + "abcdEFGHij" * 3, "sk-" + "qwertyUIOP" * 2, "abcdef" * 6, "ABCDEF" * 6]
+    texts = {i: f"deploy with {s} today" for i, s in enumerate(secrets)} | {10: "key " + secrets[0] + " in room 4", 11: "token = abcdefghijkl"}
+    out = {r.doc_id: r for r in surrogates.replace_personal_data(docs_of(spark, texts.items())).collect()}
+    for i, s in enumerate(secrets):
+        assert out[i].n_replaced == 1 and s not in out[i].text and len(out[i].text) == len(texts[i])
+    assert out[10].n_replaced == 1 and secrets[0] not in out[10].text
+    assert out[11].text == texts[11]  # a value known by its keyword alone holds a digit
+
+
 # --- neighbours
 
 
