@@ -61,23 +61,29 @@ ENDINGS = {
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 _INITIALS = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-#: Kinds in the order in which they are tried at a place of the text.
+#: Secrets known by their form, and by a keyword before them: whole, however long (only a look-behind has bounds).
+_BARE = (
+    r"(?=[0-9a-fA-Fgs])(?<![\p{L}0-9])"
+    r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}0-9])"
+)
+_KEYED = (
+    r"(?<=[=:\s\"'])(?=[A-Za-z_\-+/][A-Za-z_\-+/.]*+\d|\d)"
+    r"(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-+/.]{8,}(?<!\.)={0,2}"
+)
+#: Kinds in the order in which they are tried at a place of the text; a value after a keyword goes
+#: before what only its beginning may look like.
 PATTERNS = {
     "email": r"(?<![\p{L}0-9._%+\-])[\p{L}0-9._%+\-]++@[\p{L}0-9\-]+(?:\.[\p{L}0-9\-]+)*\.\p{L}{2,}",
+    "secret": f"{_KEYED}|{_BARE}",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
-    "secret": (
-        r"(?=[0-9a-fA-Fgs])(?<![\p{L}0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|sk-[A-Za-z0-9]{20,80})(?![\p{L}0-9])"
-        r"|(?<=[=:\s\"'])(?=[A-Za-z_\-+/]{0,200}\d)"
-        r"(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-+/]{8,200}={0,2}"
-    ),
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": (
         r"(?<![\p{L}\d.])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)"
         r"|(?<![\p{L}\d.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\p{L}\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
     ),
     "card": r"(?<![\p{L}\d.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?![\p{L}\d])",
-    "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+){{0,3}}",
+    "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+)*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: All kinds but names hold a digit, an at sign or, as a secret may do without, one of these; quicker to look for.
@@ -100,7 +106,7 @@ def kind_of(mention: Column) -> Column:
     """The kind of a whole mention; a value known by its context alone is a secret."""
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     tried = [k for k in PATTERNS if k != "secret"]
-    first = F.when(whole(PATTERNS["secret"].split("|(?<=[=")[0]), "secret")
+    first = F.when(whole(_BARE), "secret")
     return reduce(lambda w, k: w.when(whole(PATTERNS[k]), k), tried, first).otherwise("secret")
 
 
@@ -199,7 +205,7 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
     tail = F.expr("substr(surrogate, 1 + length(regexp_replace(mention, '[^0-9A-Za-z]', '')))")
     cased = F.expr(
         "CASE WHEN upper(mention) = mention AND lower(mention) <> mention THEN upper(surrogate) WHEN length(surrogate) <> length(mention) THEN surrogate "
-        "ELSE array_join(transform(sequence(1, length(mention)), i -> if(substr(mention, i, 1) <> lower(substr(mention, i, 1)), upper(substr(surrogate, i, 1)), substr(surrogate, i, 1))), '') END"
+        "ELSE array_join(zip_with(split(mention, ''), split(surrogate, ''), (a, b) -> if(a <> lower(a), upper(b), b)), '') END"
     )
     shaped = F.when(F.col("kind").isin(*_DIGIT_KINDS, "iban"), F.concat(poured, tail)).when(F.col("kind") == "ip", F.col("surrogate")).otherwise(cased)
     plain = plain.join(drawn, ["kind", "entity"]).select("mention", shaped.alias("replacement"))

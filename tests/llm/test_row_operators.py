@@ -140,6 +140,29 @@ def test_secrets_of_letters_alone_are_replaced(spark):
     assert out[11].text == texts[11]  # a value known by its keyword alone holds a digit
 
 
+def test_long_secrets_and_names_are_replaced_whole(spark):
+    rng = random.Random(3)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    hexes, alnum = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    jwt = ".".join("eyJ" + draw(alnum + "-_", n) for n in (33, 120, 40)) + "7"
+    secrets = [
+        draw(hexes, 129), draw(hexes, 256), draw(hexes.upper(), 200), "ghp_" + draw(alnum, 90), "sk-" + draw(alnum, 120),
+        draw(hexes, 40000), "token = " + draw(alnum, 300), "token = " + jwt, 'token = "' + "q" * 250 + draw(alnum, 50) + "9",
+        "password: AB12CDEF3456-" + draw(alnum, 9), "Mr Anna Berta Carla Dora Emilia Frieda",
+    ]
+    texts = {i: f"the {s}. Then more" for i, s in enumerate(secrets)}
+    out = {r.doc_id: r for r in surrogates.replace_personal_data(docs_of(spark, texts.items())).collect()}
+    for i, s in enumerate(secrets):
+        was = re.sub(r"^(token = \"?|password: |Mr )", "", s)
+        head = f"the {s[: len(s) - len(was)]}"
+        now = out[i].text.removeprefix(head).removesuffix(". Then more")
+        assert out[i].n_replaced == 1 and out[i].text == f"{head}{now}. Then more"
+        if s.startswith("Mr"):
+            assert len(now.split()) == 6 and not set(now.split()) & set(was.split())
+        else:
+            assert len(now) == len(was) and all(now[j : j + 8] != was[j : j + 8] for j in range(0, len(was) - 8, 8))
+
+
 # --- neighbours
 
 
