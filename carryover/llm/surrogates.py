@@ -2,15 +2,17 @@
 
 Detected: e-mail addresses, IPv4 addresses, phone numbers, card-like numbers,
 national numbers (3-2-4 digits), account numbers (IBAN), secrets (long hex
-strings, key-like values after ``token =`` and the like) and names after a
-title.  A surrogate is drawn from ``sha2(key, kind, entity, attempt)`` and keeps
+strings, key-like values after ``token =`` and the like), names after a title,
+and in the same row every whole-word repeat of such a full name or family name
+that begins with a capital (single letters, which are initials, aside).  A surrogate is drawn from ``sha2(key, kind, entity, attempt)`` and keeps
 what the original shows: length, punctuation and letter case, digits for
 digits, valid octets, the country of an account, the first digit and the
 check-digit validity of a card, top-level domains; names keep title, number
-of words, script (Latin, Cyrillic, Greek) and the gender of the title.
+of words, script (Latin, Cyrillic, Greek) and the gender of the titles a given
+name has in the table (neither, if they differ).
 
 *Coreference*: mentions are reduced to an entity first (digits only, lower
-case, single words of a name), and each entity has one surrogate in the whole
+case, single words of a name without a possessive ending), and each entity has one surrogate in the whole
 table, whatever its spelling.  *Distinctness*: a surrogate must not be drawn
 for two entities of a kind, nor be an entity of the table itself.  Draws that
 collide are drawn again, all but the least entity of each collision, until
@@ -86,9 +88,12 @@ PATTERNS = {
     "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+)*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: The end of a word of a name that is not the name's own.
+_SUFFIX = r"(?:['’][sS]|['’\-]+)$"
 #: All kinds but names hold a digit, an at sign or, as a secret may do without, one of these; quicker to look for.
 _LETTERS = r"AKIA|gh[pousr]_|sk-|[a-f]{32}|[A-F]{32}"
 _TOKENS = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "name")
+_HEAD = rf"^(?:{_TITLE})\.? "
 _DIGIT_KINDS = ("phone", "card", "ssn")
 
 
@@ -102,11 +107,30 @@ def has_mention(text: str) -> Column:
     return F.coalesce(((t.rlike("[0-9@]") | t.rlike(_LETTERS)) & t.rlike(_TOKENS)) | t.rlike(PATTERNS["name"]), F.lit(False))
 
 
+def own_names(hits: str) -> Column:
+    """The full and family names among the mentions ``hits`` of a row, as alternatives of a pattern, the longest first."""
+    name = F.expr(f"transform(filter({hits}, x -> x rlike {_sql('^(?:' + PATTERNS['name'] + ')$')}), x -> lower(regexp_replace(regexp_replace(x, {_sql(_HEAD)}, ''), {_sql(_SUFFIX)}, '')))")
+    each = F.array_distinct(F.flatten(F.transform(name, lambda x: F.array(x, F.substring_index(x, " ", -1)))))
+    ranked = F.array_sort(F.transform(F.filter(each, lambda x: F.length(x) > 1), lambda x: F.struct(-F.length(x), x.alias("name"))))
+    return F.array_join(ranked["name"], "|")
+
+
+def _any_or(own: Column) -> Column:
+    """The pattern of all mentions of a row with the names ``own``."""
+    return F.concat(F.lit(f"{ANY}|(?<!\\p{{L}})(?=\\p{{Lu}})(?iu:"), own, F.lit(")(?!\\p{L})"))
+
+
+def _sql(text: str) -> str:
+    """``text`` as a SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def kind_of(mention: Column) -> Column:
     """The kind of a whole mention; a value known by its context alone is a secret."""
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     tried = [k for k in PATTERNS if k != "secret"]
-    first = F.when(whole(_BARE), "secret")
+    # without a digit or an at sign: a name, with a title or as a repeat without
+    first = F.when(whole(_BARE), "secret").when(mention.rlike(r"^\p{Lu}[\p{L}'’\- ]*+$"), "name")
     return reduce(lambda w, k: w.when(whole(PATTERNS[k]), k), tried, first).otherwise("secret")
 
 
@@ -164,19 +188,24 @@ def luhn(digits: str) -> str:
     return f"pmod(transform(array({digits}), x -> aggregate({each}, CAST(0 AS BIGINT), (a, b) -> a + b))[0], 10)"
 
 
+def _kin(kind: str) -> Column:
+    """A kind without the gender of a given name."""
+    return F.regexp_replace(kind, "_[mfu]$", "_g")
+
+
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, entity, surrogate`` for distinct ``kind, entity``: no surrogate twice in a
-    kind, none that is an entity of that kind."""
+    kind, none that is an entity of that kind, nor for a given name of any gender."""
     entities = stored(entities.select("kind", "entity").distinct(), "entities")
-    taken = entities.select("kind", F.col("entity").alias("surrogate"))
+    taken = entities.select(_kin("kind").alias("kin"), F.col("entity").alias("surrogate"))
     open_, done, attempt = entities, [], 0
     while True:
         seed = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "entity", F.lit(str(attempt))), 256)
         drawn = open_.withColumn("attempt", F.lit(attempt)).withColumn("seed", seed).withColumn("surrogate", _drawn())
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        won = first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "entity", "surrogate")
+        won = first.withColumn("kin", _kin("kind")).join(taken, ["kin", "surrogate"], "left_anti").select("kind", "entity", "surrogate")
         done.append(stored(won, "surrogates"))
-        taken = taken.union(done[-1].select("kind", "surrogate"))
+        taken = taken.union(done[-1].select(_kin("kind"), "surrogate"))
         open_ = stored(open_.join(done[-1], ["kind", "entity"], "left_anti"), "open")
         if open_.isEmpty():
             return reduce(DataFrame.union, done)
@@ -188,14 +217,19 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
     found = stored(mentions.withColumn("kind", kind_of(F.col("mention"))), "mentions")
     plain = found.where("kind <> 'name'").withColumn("entity", _entity())
     title = F.regexp_extract("mention", rf"^({_TITLE})\.? ", 1)
-    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("u")
     script = F.when(F.col("word").rlike(r"^\p{IsCyrillic}"), "cyrillic").when(F.col("word").rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
-    named = found.where("kind = 'name'").withColumn("words", F.split(F.regexp_replace("mention", rf"^(?:{_TITLE})\.? ", ""), " "))
-    words = named.select("mention", gender.alias("gender"), F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
+    named = found.where("kind = 'name'").withColumn("words", F.split(F.regexp_replace("mention", _HEAD, ""), " "))
+    words = named.select("mention", title.alias("title"), F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
     # a word of a name is a given name but for the last, which is the family name
-    words = words.withColumn("kind", F.concat_ws("_", F.lit("name"), script, F.when(F.col("pos") == F.col("n") - 1, "s").otherwise(F.col("gender"))))
+    words = words.withColumn("kin", F.concat_ws("_", F.lit("name"), script, F.when(F.col("pos") == F.col("n") - 1, "s").otherwise("g")))
+    words = words.withColumn("suffix", F.regexp_extract("word", _SUFFIX, 0)).withColumn("word", F.regexp_replace("word", _SUFFIX, ""))
     words = words.withColumn("entity", F.lower("word"))
-    drawn = stored(surrogates(plain.select("kind", "entity").union(words.select("kind", "entity")), key), "drawn")
+    # one gender for each given name, by all its titles
+    male, female = (F.coalesce(F.max(F.col("title").isin(TITLES[g])), F.lit(False)) for g in "mf")
+    gender = F.when(male & ~female, "m").when(female & ~male, "f").otherwise("u")
+    entities = words.groupBy("kin", "entity").agg(gender.alias("gender"))
+    entities = entities.select(F.when(F.col("kin").endswith("_g"), F.regexp_replace("kin", F.lit("g$"), F.col("gender"))).otherwise(F.col("kin")).alias("kind"), "entity")
+    drawn = stored(surrogates(plain.select("kind", "entity").union(entities), key), "drawn")
 
     poured = F.expr(
         "array_join(transform(sequence(1, length(mention)), i -> CASE WHEN substr(mention, i, 1) rlike '[0-9A-Za-z]' AND "
@@ -210,8 +244,10 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
     shaped = F.when(F.col("kind").isin(*_DIGIT_KINDS, "iban"), F.concat(poured, tail)).when(F.col("kind") == "ip", F.col("surrogate")).otherwise(cased)
     plain = plain.join(drawn, ["kind", "entity"]).select("mention", shaped.alias("replacement"))
     word = F.when((F.upper("word") == F.col("word")) & (F.length("word") > 1), F.upper("surrogate")).otherwise(F.initcap("surrogate"))
-    head = F.regexp_extract("mention", rf"^((?:{_TITLE})\.? )", 1)
-    named = words.join(drawn, ["kind", "entity"]).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("pos", word.alias("w")))).alias("ws"))
+    word = F.concat(word, "suffix")
+    head = F.regexp_extract("mention", _HEAD, 0)
+    named = words.join(drawn.withColumn("kin", _kin("kind")), ["kin", "entity"]).groupBy("mention")
+    named = named.agg(F.sort_array(F.collect_list(F.struct("pos", word.alias("w")))).alias("ws"))
     named = named.select("mention", F.concat(head, F.array_join("ws.w", " ")).alias("replacement"))
     return plain.union(named)
 
@@ -221,7 +257,9 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id
     has = has_mention(text)
     clean = docs.where(~has).withColumn("n_replaced", F.lit(0))
     hit = docs.where(has).withColumn("__pii_hits", mentions_of(text)).withColumn("__pii_text", F.xxhash64(text))
-    hit = stored(hit, "mentions")
+    hit = hit.withColumn("__pii_own", own_names("__pii_hits"))
+    again = F.regexp_extract_all(text, F.concat(F.lit("("), _any_or(F.col("__pii_own")), F.lit(")")), F.lit(1))
+    hit = stored(hit.withColumn("__pii_hits", F.when(F.col("__pii_own") == "", F.col("__pii_hits")).otherwise(again)), "mentions")
     each = hit.select(F.col(doc_id).alias("__pii_id"), "__pii_text", F.explode(F.array_distinct("__pii_hits")).alias("mention")).distinct()
     table = stored(rendered(each.select("mention").distinct(), key), "rendered")
     maps = each.join(table, "mention").groupBy("__pii_id", "__pii_text")
@@ -232,6 +270,6 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id
         "array_join(flatten(transform(sequence(0, size(__pii_hits) - 1), "
         "i -> array(__pii_gaps[i], element_at(__pii_map, __pii_hits[i])))), '')"
     )
-    new = both.withColumn("__pii_gaps", F.split(F.col(text), ANY, -1)).withColumn(text, F.concat(parts, F.element_at("__pii_gaps", -1)))
+    new = both.withColumn("__pii_gaps", F.when(F.col("__pii_own") == "", F.split(F.col(text), ANY, -1)).otherwise(F.split(F.col(text), _any_or(F.col("__pii_own")), -1))).withColumn(text, F.concat(parts, F.element_at("__pii_gaps", -1)))
     new = new.withColumn("n_replaced", F.size("__pii_hits"))
     return clean.select(*docs.columns, "n_replaced").union(new.select(*docs.columns, "n_replaced"))

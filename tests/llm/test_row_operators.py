@@ -163,6 +163,28 @@ def test_long_secrets_and_names_are_replaced_whole(spark):
             assert len(now) == len(was) and all(now[j : j + 8] != was[j : j + 8] for j in range(0, len(was) - 8, 8))
 
 
+def test_a_name_has_one_surrogate_whatever_its_title(spark):
+    texts = {
+        1: "Dr John Smith wrote. Later John Smith, SMITH and Smith's friend came; Smithson and a smith did not. See smith@x.example.org.",
+        2: "Mr John Smith and Mrs Anna Berg, Dr Anna Berg; Mr Kim Lee, Mrs Kim Lee, Prof Kim Lee.",
+        3: "Smith and John Smith without a title.",
+        4: "Smith again: Mr. Smith's house and Mr. A. A house. Herr O'Neil-Berg, then O'Neil-Berg. Госпожа Анна Петрова: Петрова, Анна Петрова.",
+    }
+    out = {r.doc_id: r for r in surrogates.replace_personal_data(docs_of(spark, texts.items())).collect()}
+    one = re.fullmatch(r"Dr (\w+) (\w+) wrote\. Later (\w+) (\w+), (\w+) and (\w+)'s friend came; Smithson and a smith did not\. See \w+@\w\.\w+\.org\.", out[1].text)
+    assert one, out[1].text
+    john, smith = one[1], one[2]
+    assert one.groups() == (john, smith, john, smith, smith.upper(), smith) and john != "John" and smith != "Smith"
+    assert out[1].n_replaced == 5
+    two = re.fullmatch(r"Mr (\w+) (\w+) and Mrs (\w+) (\w+), Dr (\w+) (\w+); Mr (\w+) (\w+), Mrs (\w+) (\w+), Prof (\w+) (\w+)\.", out[2].text)
+    assert two.group(1, 2) == (john, smith) and john.endswith("n")  # a man by the other row's title
+    assert two.group(3, 4) == two.group(5, 6) and two[3].endswith("na")
+    assert two.group(7, 8) == two.group(9, 10) == two.group(11, 12) and two[7].endswith("l")
+    assert (out[3].text, out[3].n_replaced) == (texts[3], 0)  # no name was found in this row
+    four = re.fullmatch(r"(\w+) again: Mr\. (\w+)'s house and Mr\. (\w+)\. A house\. Herr (\w+), then (\w+)\. Госпожа (\w+) (\w+): (\w+), (\w+) (\w+)\.", out[4].text)
+    assert four[1] == four[2] == smith and four[4] == four[5] and four[7] == four[8] == four[10] != "Петрова" and four[6] == four[9] != "Анна"
+
+
 # --- neighbours
 
 
