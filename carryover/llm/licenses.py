@@ -2,7 +2,7 @@
 
 Texts are lower-cased words of letters and digits, in shingles of five.  A
 template of ``m`` shingles is cut into parts of ``c`` shingles, ``c`` the greatest of
-``CLASSES`` that is at most ``m``, every ``c / 2``.  A document is cut into windows of
+``CLASSES`` that is at most ``m``, every ``c / 2`` and at its end.  A document is cut into windows of
 ``1.5 c`` shingles every ``c / 2``, so an occurrence of a part lies wholly in a
 window, and their Jaccard similarity is at least 2/3.  Each of ``BANDS`` bands is
 one MinHash value: the two share one with probability
@@ -99,7 +99,7 @@ def template_parts(spark, templates: dict[str, str]) -> tuple[DataFrame, DataFra
     c = F.lit(CLASSES[0])
     for size in CLASSES[1:]:
         c = F.when(F.col("m") >= size, F.lit(size)).otherwise(c)
-    parts = whole.withColumn("class", c).withColumn("at", F.expr("explode(sequence(0, m - class, greatest(1, class DIV 2)))"))
+    parts = whole.withColumn("class", c).withColumn("at", F.expr("explode(array_union(sequence(0, m - class, greatest(1, class DIV 2)), array(m - class)))"))
     parts = parts.withColumn("part", F.expr("slice(h, at + 1, class)"))
     values = F.expr(
         f"CASE WHEN class = 1 THEN part ELSE transform(sequence(1, {BANDS}), j -> array_min(transform(part, x -> xxhash64(x, j)))) END"

@@ -268,6 +268,15 @@ def test_license_matches_like_full_containment(spark):
         licenses.scan(docs_of(spark, rows), {"short": "one two three"})
 
 
+def test_every_shingle_of_a_template_is_in_a_part(spark):
+    templates = dict(licenses.TEMPLATES, odd=" ".join(f"w{i}" for i in range(47 + licenses.SHINGLE - 1)))
+    parts = licenses.template_parts(spark, templates)[1].select("license", "m", "class", "at").distinct().collect()
+    assert {r.license for r in parts} == set(templates) and {(r.m, r["class"]) for r in parts if r.license == "odd"} == {(47, 32)}
+    for name in templates:
+        own = [r for r in parts if r.license == name]
+        assert {i for r in own for i in range(r.at, r.at + r["class"])} == set(range(own[0].m))
+
+
 # --- mixing
 
 
