@@ -193,8 +193,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a language; a null ``lang`` takes the prediction."""
+    """The rows of ``docs`` with a language; a null ``lang`` takes the prediction.
+    If no language could be learned: the rows with a letter, ``lang`` as it is."""
     langs, model = fit(learn(docs.where(~held_out(F.col("doc_id")))))
+    if not langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = predict(docs, langs, model).where(F.col("lang_pred") != UNDETERMINED)
     own = [F.coalesce("row.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns]
     return found.select(*own)

@@ -148,6 +148,15 @@ def test_language_cases(spark):
     assert {r.lang_pred for r in language.identify(docs.selectExpr("doc_id", "text", "cast(null AS string) AS lang")).collect()} == {"und"}
 
 
+def test_nothing_learned_rejects_only_rows_without_a_letter(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    rows = [(held, "the cat and the dog", "en"), (None, "der hund", "de"), (200, "日本語", None), (201, "é", None), (202, "123 !?", None), (203, "", None), (204, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'x' AS score")
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.lang) for r in kept.collect()} == {(held, "en"), (None, "de"), (200, None), (201, None)}
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").where("lang is not null")
