@@ -30,7 +30,8 @@ travel only for representatives that share a band with another.
 Cases: a null or wordless text has an empty set, is linked with nothing and
 kept; a text with fewer words than a shingle has its whole sequence as its
 only element; ties go to the least id; rows that repeat an id and text share
-one class (each is returned); a row with a null id gets the component of its
+one class (each is returned); rows that share an id but not a text are documents of
+their own, decided each for itself (of equal sets under one id the least text hash stays); a row with a null id gets the component of its
 class, if others have its set, joins nothing else and is kept; an empty table gives no rows; other columns are
 not read.
 """
@@ -267,19 +268,30 @@ def labelled(reps: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    return decided(docs, k, percent).drop("tkey")
+
+
+def decided(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with ``tkey``, the hash of the row's text."""
     sig = stored(signatures(docs, k), "signatures")
     key = ["n", "h1", "h2"]
-    classes = sig.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "tkey")).alias("rep"))
-    classes = stored(classes.select(*key, F.col("rep.doc_id").alias("rep"), F.col("rep.tkey").alias("tkey")), "classes")
-
-    reps = sig.join(classes.withColumn("doc_id", F.col("rep")), [*key, "doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
-    exploded = reps.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("rep"))
+    classes = sig.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "tkey")).alias("least"))
+    classes = stored(classes.select(*key, "least.doc_id", "least.tkey", F.col("least.doc_id").alias("rep")), "classes")
+    # of several classes with one least id, all but the first go by a number of their own
+    shared_id = classes.groupBy("doc_id").agg(F.min("tkey").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    namesakes = not shared_id.isEmpty()
+    if namesakes:
+        rep = F.when(F.coalesce(F.col("tkey") != F.col("first"), F.lit(False)), F.xxhash64("doc_id", "tkey")).otherwise(F.col("doc_id"))
+        classes = stored(classes.drop("rep").join(shared_id, "doc_id", "left").select(*key, "doc_id", "tkey", rep.alias("rep")), "classes")
+
+    reps = sig.join(classes, [*key, "doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"])
+    exploded = reps.select(F.explode("bands").alias("bucket"), "rep")
     shared = exploded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top")
     members = stored(exploded.join(shared.select("bucket", "pivot"), "bucket"), "members")
 
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct().join(classes.select(F.col("rep").alias("doc_id"), "tkey"), "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tkey")).join(wanted, ["doc_id", "tkey"], "left_semi")
-    texts = stored(texts.dropDuplicates(["doc_id"]).select("doc_id", "text"), "texts")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "doc_id", "tkey"), "rep")
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tkey")).join(wanted, ["doc_id", "tkey"])
+    texts = stored(texts.dropDuplicates(["doc_id", "tkey"]).select(F.col("rep").alias("doc_id"), "text"), "texts")
 
     pairs = members.where("pivot < rep").groupBy(F.col("rep").alias("a")).agg(F.min("pivot").alias("b"))
     links = stored(confirmed(pairs, texts, k, percent), "confirmed")
@@ -294,23 +306,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if not extra.isEmpty():
         labels = components(links.union(extra))
 
-    final = labelled(classes.select(*key, "rep"), labels)
-    out = sig.select("doc_id", "n", "h1", "h2").join(final.select(*key, "label"), key, "left")
+    final = labelled(classes, labels)
+    if namesakes:
+        least = final.groupBy("label").agg(F.min(F.struct("doc_id", "tkey")).alias("least"))
+        final = final.join(least, "label").withColumn("stands", F.struct("doc_id", "tkey") == F.col("least")).withColumn("label", F.col("least.doc_id"))
+    else:
+        final = final.withColumn("stands", F.col("rep") == F.col("label"))
+    # the text that stands for its component; null in other classes
+    final = final.select(*key, "label", F.when(F.col("stands"), F.col("tkey")).alias("stays"))
+    out = sig.select("doc_id", "tkey", "n", "h1", "h2").join(final, key, "left")
     label = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("label"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    kept = (F.col("n") == 0) | F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("label")) & F.coalesce(F.col("tkey") == F.col("stays"), F.lit(False)))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"), kept.alias("kept"), "tkey")
 
 
 def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents another one of their group stands for; of rows that
     repeat an id and a text one stays."""
-    found = near_duplicates(docs, k, percent)
-    tkey = F.xxhash64("text")
-    again = docs.where("doc_id is not null").groupBy("doc_id", tkey.alias("tkey")).count().where("count > 1")
-    gone = found.where("not kept").select("doc_id").distinct().select("doc_id", F.lit(True).alias("gone"))
-    marks = stored(gone.join(again.select("doc_id").distinct().withColumn("again", F.lit(True)), "doc_id", "full_outer"), "decisions")
-    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    left = row.join(marks, "doc_id", "left").where("gone is null")
-    once = left.where("again").withColumn("tkey", F.xxhash64("row.text")).dropDuplicates(["doc_id", "tkey"]).select("row")
+    found = decided(docs, k, percent)
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey")]
+    again = docs.where("doc_id is not null").groupBy(*own).count().where("count > 1").select("doc_id", "tkey", F.lit(True).alias("again"))
+    gone = found.where("not kept").select("doc_id", "tkey").distinct().withColumn("gone", F.lit(True))
+    marks = stored(gone.join(again, ["doc_id", "tkey"], "full_outer"), "decisions")
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *own)
+    left = row.join(marks, ["doc_id", "tkey"], "left").where("gone is null")
+    once = left.where("again").dropDuplicates(["doc_id", "tkey"]).select("row")
     return left.where("again is null").select("row").union(once).select("row.*")

@@ -225,6 +225,18 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert dedup.near_duplicates(docs.limit(0)).count() == 0 and dedup.keep_one_each(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    texts = [(3, one), (5, one), (5, two), (7, two + " end"), (5, three), (4, three + " end"), (8, one + " end"), (5, two)]
+    out = dedup.decided(docs_of(spark, texts), 5, 80)
+    keys = {r.tkey: r.text for r in docs_of(spark, texts).selectExpr("text", "xxhash64(text) AS tkey").collect()}
+    got = Counter((r.doc_id, keys[r.tkey], r.component_id, r.kept) for r in out.collect())
+    wanted = [(3, one, 3, True), (5, one, 3, False), (8, one + " end", 3, False), (5, two, 5, True), (5, two, 5, True), (7, two + " end", 5, False)]
+    assert got == Counter(wanted + [(5, three, 4, False), (4, three + " end", 4, True)])
+    kept = dedup.keep_one_each(docs_of(spark, texts)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, one), (5, two), (4, three + " end")])
+
+
 def test_sketches_fill_every_coordinate_and_estimate_similarity():
     rng = np.random.default_rng(2)
     universe = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
