@@ -69,6 +69,11 @@ def _cuts(sorted_hashes: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(sorted_hashes, edges), [len(sorted_hashes)]]).astype(np.int64)
 
 
+def _cell_cuts(cells: np.ndarray, segments: int) -> np.ndarray:
+    """``_cuts`` by the cell alone, so a counter goes to one segment from every chunk."""
+    return _cuts(cells << np.uint64(64 - CELL_BITS), segments)
+
+
 def _deltas(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=np.uint64(0))
 
@@ -165,9 +170,8 @@ def remove_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
         name = table.column("chunk")[0].as_py()
         chunk = _Chunk(table, k)
         new, shared = chunk.cells()
-        h = chunk.h1[new]
-        cut = _cuts(h, segments)
-        cell = h >> np.uint64(64 - CELL_BITS)
+        cell = chunk.h1[new] >> np.uint64(64 - CELL_BITS)
+        cut = _cell_cuts(cell, segments)
         return _sent([
             (i, name, int(b - a), _pack(_deltas(cell[a:b])), np.packbits(shared[a:b]).tobytes(), None, None)
             for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a

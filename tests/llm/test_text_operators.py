@@ -287,6 +287,18 @@ def test_repeated_windows_null_ids_and_empty_tables(spark):
     assert substrings.remove_repeats(docs_of(spark, [(1, "x")]).limit(0)).count() == 0
 
 
+def test_a_counter_goes_to_one_segment_from_every_chunk():
+    edge = 2**64 // 3
+    cell = edge >> (64 - substrings.CELL_BITS)
+    below, above = cell << (64 - substrings.CELL_BITS), edge + 5  # two windows of one cell, astride an edge
+    segment = lambda h, cut: int(np.searchsorted(cut(h, 3), 0, "right")) - 1
+    one, two = np.asarray([below], np.uint64), np.asarray([above], np.uint64)
+    assert one >> np.uint64(64 - substrings.CELL_BITS) == two >> np.uint64(64 - substrings.CELL_BITS)
+    assert segment(one, substrings._cuts) != segment(two, substrings._cuts)
+    own = [segment(h >> np.uint64(64 - substrings.CELL_BITS), substrings._cell_cuts) for h in (one, two)]
+    assert own[0] == own[1]
+
+
 def test_packed_integers_come_back():
     for values in ([], [0], [0, 0, 5], [2**64 - 1, 7], list(range(1000))):
         x = np.asarray(values, np.uint64)
