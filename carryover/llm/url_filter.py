@@ -7,7 +7,8 @@ context seen often counts for itself, a rare one leans on its shorter suffix,
 an unseen one is its suffix.  A URL's score is its log-likelihood under the
 accepted model less that under the rejected one, per character.  A fifth of
 the labelled URLs (by hash) is not counted but scored, and the threshold is
-where these are split with the least mean error of both classes.
+where these are split with the least mean error of both classes, or equal
+likelihood (0) if that fifth has no example of a class that has some.
 
 At scale, in DataFrame functions only: one row per character of a URL, added
 up per distinct ``ORDER + 1``-gram before the shuffle; all shorter contexts
@@ -102,8 +103,12 @@ def judge(pages: DataFrame, rules: dict[str, str], page_id: str = "page_id", url
     table = stored(rows.join(summed, "row", "left").withColumn("score", F.round(F.coalesce("score", F.lit(0.0)), 9)), "judged")
 
     bin_ = F.least(F.greatest(F.floor(F.col("score") / STEP), F.lit(-STEPS)), F.lit(STEPS))
-    tuned = table.where("held_out and ruled is not null").groupBy(bin_.alias("bin"))
-    threshold = best_threshold([tuple(r) for r in tuned.agg(F.count_if(F.col("ruled") == "allow"), F.count_if(F.col("ruled") == "block")).collect()])
+    tuned = table.where("ruled is not null").groupBy(bin_.alias("bin"))
+    of = lambda v: F.count_if((F.col("ruled") == v) & F.col("held_out"))
+    bins = [tuple(r) for r in tuned.agg(of("allow"), of("block"), F.count_if(F.col("ruled") == "allow"), F.count_if(F.col("ruled") == "block")).collect()]
+    threshold = best_threshold([b[:3] for b in bins if b[1] or b[2]])
+    if threshold == float("-inf") and any(b[3] for b in bins) and any(b[4] for b in bins):
+        threshold = 0.0  # only the held-out part lacks a class
     blocked = F.col("url").isNull() | (F.col("url") == "") | (F.col("score") < threshold)
     decided = F.coalesce("ruled", F.when(blocked, "block").otherwise("allow"))
     return table.select("page_id", "host", "path", "rule", decided.alias("verdict"), "score", F.lit(threshold).alias("threshold"))

@@ -412,6 +412,20 @@ def test_thresholds_split_both_classes():
     assert url_filter.best_threshold([(1, 5, 0)]) == float("-inf")
 
 
+def test_threshold_without_a_held_out_example_of_a_class(spark):
+    allowed = [f"http://a.org/{i}" for i in range(40)]
+    urls = [*allowed, *[f"http://b.net/spam{i}" for i in range(40)], "http://b.nets/spam7", "http://a.orgs/7"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    pages = pages.withColumn("held", F.pmod(F.xxhash64("url", F.lit("held out")), F.lit(5)) == 0)
+    rules = {"a.org": "allow", "b.net": "block"}
+    no_block = pages.where("not (held and url like '%b.net%')").drop("held")
+    out = url_filter.judge(no_block, rules).collect()
+    assert {r.threshold for r in out} == {0.0}
+    assert {r.page_id: r.verdict for r in out if r.rule is None} == {80: "block", 81: "allow"}
+    only_allow = url_filter.judge(pages.where("url not like '%b.net%'").drop("held"), rules).collect()
+    assert {r.threshold for r in only_allow} == {float("-inf")}
+
+
 def test_edited_digest_is_of_the_text(spark):
     from carryover.llm.queries import QUERIES
 
