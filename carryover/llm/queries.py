@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .common import table
 from .dedup import near_duplicates
 from .fingerprint import edited_fingerprints
@@ -15,8 +16,10 @@ from .licenses import scan
 from .mixing import mix_sources
 from .multi_index import neighbours
 from .packing import pack_documents
+from .resampling import importance_resample
 from .substrings import remove_repeats
 from .surrogates import replace_personal_data
+from .toxicity import toxicity
 from .url_filter import judge
 
 
@@ -72,6 +75,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizer(), public_tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_inverted_multi_index": op2_inverted_multi_index,
@@ -83,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_language_id": op10_language_id,
+    "op11_toxicity": op11_toxicity,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 #: Words of every document, as lists; RE2 reads the class as the operators do.
@@ -132,7 +150,39 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(pos), 0)::BIGINT AS n_re
 FROM w LEFT JOIN lost USING (doc_id)
 """
 
+#: Lists hold the CRC table (made by its rule) and each distinct word's bytes.
+ORACLE_OP12 = """
+WITH crc_table AS MATERIALIZED (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256)) AS i)
+), words AS (
+  SELECT 0 AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), met AS (
+  SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM words)
+), crcs AS (
+  SELECT w, xor(list_reduce([4294967295::BIGINT] || [('0x' || x[2*i-1:2*i])::BIGINT FOR i IN range(1, len(x) // 2 + 1)],
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM met, crc_table
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM words JOIN crcs USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+), weights AS (
+  SELECT id AS doc_id, count(*) AS n_features, sum(gain) AS weight FROM words JOIN crcs USING (w) JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM documents d LEFT JOIN weights USING (doc_id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": ORACLE_OP4,
     "op6_near_dedup": ORACLE_OP6,
+    "op12_importance_resampling": ORACLE_OP12,
 }
