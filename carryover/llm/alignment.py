@@ -15,21 +15,21 @@ same bytes, so each is a rising list of end offsets:
   token's start and end differ by the tokens it overlaps.  Those ranges are the links.
 
 A link is an occurrence of an (A id, B id) pair.  Its count, over all texts, is
-found without any shuffle of links:
+found without a shuffle of texts or links, and with every text encoded once:
 
-1. Texts are dealt at random into chunks of about ``CHUNK_BYTES`` (no key of the
-   data decides, so no hot key can fill one; an over-long text is whole).  A chunk
-   sends its distinct pairs and their numbers, packed, one row for each of
-   ``SEGMENTS`` parts of the B ids.
+1. A task reads its texts in chunks of about ``CHUNK_BYTES`` (an over-long text is whole).  A chunk
+   keeps its distinct pairs as a rising list; each document is stored as places in
+   that list with their numbers, a byte or two each, and the list, with the chunk's
+   sums, in one packed row for each of ``SEGMENTS`` parts of the B ids.
 2. A segment's task reads its rows as a stream and adds them up.  What it holds is
    bounded by the two vocabularies, not by the corpus.
 3. The totals go ahead of the same rows in a second stream of the segment, which
    answers every chunk: the total of each of its pairs, and whether it is the
    highest of its B id.
-4. The chunk aligns its texts again and adds up its answers by document.
+4. Documents meet the answers of their chunk and add them up.
 
-So texts are shuffled once (both passes read that shuffle), and rows sent grow
-in proportion to the input: ``SEGMENTS`` a chunk, however many chunks there are.
+No key of the data decides the chunk, so no hot key can fill one, and the rows sent grow
+in proportion to the input: ``SEGMENTS`` a chunk at most, however many chunks there are.
 
 Cases: a null or empty text, and one whose joined A or B bytes are not the blank and the
 text (a text that holds sentencepiece's own mark), has no tokens: zeros and an empty
@@ -48,12 +48,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, stored, text_bytes
+from .common import stored
 from .textcore import parts
 from .tokens import byte_pairs, sentence_pieces
 
 CHUNK_BYTES = 8 << 20
 BATCH_BYTES = 1 << 20
+#: What a row counts besides its text, so that empty texts fill chunks too.
+ROW_BYTES = 64
 SEGMENTS = 256
 BLOCK = 64
 
@@ -187,14 +189,12 @@ class _Sides:
             rows_b.append(np.asarray(ids_b, np.int64) if fits else none)
         return Aligned(rows_a, rows_b, self.a_width, self.b_width)
 
-    def keys(self, aligned: Aligned, segments: int) -> np.ndarray:
-        """A number for each link's pair: its segment, its B id in the segment, its A id, in this order."""
-        return self.key(aligned.link_a, aligned.link_b, segments)
-
     def key(self, a: np.ndarray, b: np.ndarray, segments: int) -> np.ndarray:
+        """A number for each pair: its segment, its B id in the segment, its A id, in this order."""
         return ((b % segments) * -(-self.most_b // segments) + b // segments) * self.most_a + a
 
-    def segment_span(self, segments: int) -> int:
+    def span(self, segments: int) -> int:
+        """How many numbers a segment has."""
         return -(-self.most_b // segments) * self.most_a
 
 
@@ -215,123 +215,153 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
 
 
 def _add(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two lists of (distinct rising key, count) as one."""
+    """Two lists of (key, count) as one of distinct rising keys."""
     every, code = np.unique(np.concatenate([keys, more]), return_inverse=True)
-    return every, np.bincount(code, np.concatenate([counts, by]), len(every)).astype(np.int64) if _small(counts, by) else _exact(every, code, counts, by)
-
-
-def _small(counts: np.ndarray, by: np.ndarray) -> bool:
-    return int(counts.sum()) + int(by.sum()) < 1 << 53  # sums in doubles are exact
-
-
-def _exact(every: np.ndarray, code: np.ndarray, counts: np.ndarray, by: np.ndarray) -> np.ndarray:
     out = np.zeros(len(every), np.int64)
     np.add.at(out, code, np.concatenate([counts, by]))
-    return out
+    return every, out
 
 
-_ROW = "segment int, chunk long, n int, keys binary, counts binary"
+_COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _ROW_ARROW = pa.schema([("segment", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-_ANSWER = "chunk long, segment int, n int, keys binary, totals binary, best binary"
-_ANSWER_ARROW = pa.schema([("chunk", pa.int64()), ("segment", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("totals", pa.binary()), ("best", pa.binary())])
-_RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+_ROW = "segment int, chunk long, n int, keys binary, counts binary"
+#: Rows of documents (no segment) and of chunks' pairs (the columns of ``_ROW``) in one table.
+_STORED_ARROW = pa.schema([*_ROW_ARROW, ("doc_id", pa.int64()), *((c, pa.int64()) for c in _COUNTS), ("groups_sha256", pa.string()), ("places", pa.binary()), ("times", pa.binary())])
+_STORED = f"{_ROW}, doc_id long, {', '.join(f'{c} long' for c in _COUNTS)}, groups_sha256 string, places binary, times binary"
+_ANSWER_ARROW = pa.schema([("chunk", pa.int64()), ("segment", pa.int32()), ("n", pa.int32()), ("totals", pa.binary()), ("best", pa.binary())])
+_ANSWER = "chunk long, segment int, n int, totals binary, best binary"
+_RESULT_ARROW = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in [*_COUNTS, "n_best", "count_sum"]), ("groups_sha256", pa.string())])
+_RESULT = f"doc_id long, {', '.join(f'{c} long' for c in _COUNTS)}, n_best long, count_sum long, groups_sha256 string"
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(list(zip(*rows)) or [()] * len(schema), schema)], schema=schema)
 
 
-def _one(column) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-
-
-def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, segments: int = SEGMENTS) -> DataFrame:
-    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row of ``docs``."""
-    chunks = pieces_of(text_bytes(docs), CHUNK_BYTES)
-    sizes = _Sides(a_path, b_path)
-    most_a, span = sizes.most_a, sizes.segment_span(segments)
-    del sizes
-    dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(chunks)).cast("long").alias("chunk")
-    )
-
-    def pairs(table: pa.Table) -> pa.Table:
-        sides, name = _Sides(a_path, b_path), table.column("chunk")[0].as_py()
-        keys = counts = np.zeros(0, np.int64)
-        for _, texts in parts(_one(table.column("text")), BATCH_BYTES):
-            found = np.unique(sides.keys(sides.align(texts), segments), return_counts=True)
-            keys, counts = _add(keys, counts, *found)
-        cut = np.searchsorted(keys, np.arange(segments + 1) * span)
-        return _table(
-            [
-                (i, name, int(b - a), _pack(np.diff(keys[a:b] - i * span, prepend=0)), _pack(counts[a:b]))
-                for i, (a, b) in enumerate(zip(cut.tolist(), cut[1:].tolist())) if b > a
-            ],
-            _ROW_ARROW,
-        )
-
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[int, list] = {}
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def settle(segment: int) -> None:
-            rows = waiting.pop(segment)
-            held[segment] = _add(*held.get(segment, none), *map(np.concatenate, zip(*rows)))
-
+class _Chunk:
+    """Documents read so far, until they make a chunk."""
+
+    def __init__(self, sides: _Sides, segments: int):
+        self.sides, self.segments, self.names = sides, segments, _names(sides.most_a, sides.most_b)
+        self.clear()
+
+    def clear(self) -> None:
+        self.bytes, self.rows, self.keys, self.times = 0, [], [], []
+
+    def add(self, ids: list, texts: list[bytes | None]) -> None:
+        x = self.sides.align(texts)
+        every = self.segments * self.sides.span(self.segments)
+        of_text, times = np.unique(x.link_text * every + self.sides.key(x.link_a, x.link_b, self.segments), return_counts=True)
+        size = np.bincount(of_text // every, minlength=len(texts))
+        digests = x.group_digests(self.names, self.sides.most_a, self.sides.most_b)
+        self.rows += zip(ids, np.diff(x.a_first).tolist(), np.diff(x.b_first).tolist(), x.n_groups.tolist(), x.n_links.tolist(), digests, size.tolist())
+        self.keys.append(of_text % every)
+        self.times.append(times)
+        self.bytes += sum(ROW_BYTES + len(t or b"") for t in texts)
+
+    def finish(self, name: int) -> Iterator[pa.RecordBatch]:
+        """The rows of the chunk's documents and of its pairs."""
+        flat, times = np.concatenate(self.keys), np.concatenate(self.times)
+        keys, counts = _add(flat[:0], times[:0], flat, times)
+        place = np.searchsorted(keys, flat)
+        out, at = [], 0
+        for doc_id, n_a, n_b, n_groups, n_links, digest, size in self.rows:
+            own = _pack(np.diff(place[at : at + size], prepend=0)), _pack(times[at : at + size])
+            out.append((None, name, size, None, None, doc_id, n_a, n_b, n_groups, n_links, digest, *own))
+            at += size
+        span = self.sides.span(self.segments)
+        cut = np.searchsorted(keys, np.arange(self.segments + 1) * span).tolist()
+        for i, (a, b) in enumerate(zip(cut, cut[1:])):
+            if b > a:
+                out.append((i, name, b - a, _pack(np.diff(keys[a:b] - i * span, prepend=0)), _pack(counts[a:b]), *[None] * 8))
+        self.clear()
+        return iter(_table(out, _STORED_ARROW).to_batches())
+
+
+def aligned_chunks(docs: DataFrame, a_path: str, b_path: str, segments: int) -> DataFrame:
+    """The columns of ``_STORED``: every text encoded and aligned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk, name = _Chunk(_Sides(a_path, b_path), segments), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for r in batch.to_pylist():
-                rows = waiting.setdefault(r["segment"], [])
-                rows.append((np.cumsum(_unpack(r["keys"], r["n"])), _unpack(r["counts"], r["n"])))
-                if sum(len(k) for k, _ in rows) > max(1 << 16, len(held.get(r["segment"], none)[0])):
-                    settle(r["segment"])
-        for segment in list(waiting):
-            settle(segment)
-        for segment, (keys, counts) in held.items():
-            yield from _table([(segment, None, len(keys), _pack(np.diff(keys, prepend=0)), _pack(counts))], _ROW_ARROW).to_batches()
-
-    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+            ids = batch.column(0).to_pylist()
+            for part, texts in parts(batch.column(1), BATCH_BYTES):
+                chunk.add(ids[part], texts)
+                if chunk.bytes >= CHUNK_BYTES:
+                    yield from chunk.finish(name)
+                    name += 1
+        if chunk.rows:
+            yield from chunk.finish(name)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _STORED)
+
+
+def segment_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of chunks' pairs -> one row for each segment (without a chunk)."""
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    waiting: dict[int, list] = {}
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def settle(segment: int) -> None:
+        held[segment] = _add(*held.get(segment, none), *map(np.concatenate, zip(*waiting.pop(segment))))
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            rows = waiting.setdefault(r["segment"], [])
+            rows.append((np.cumsum(_unpack(r["keys"], r["n"])), _unpack(r["counts"], r["n"])))
+            if sum(len(k) for k, _ in rows) > max(1 << 16, len(held.get(r["segment"], none)[0])):
+                settle(r["segment"])
+    for segment in list(waiting):
+        settle(segment)
+    for segment, (keys, counts) in held.items():
+        yield from _table([(segment, None, len(keys), _pack(np.diff(keys, prepend=0)), _pack(counts))], _ROW_ARROW).to_batches()
+
+
+def segment_answers(most_a: int):
+    """A segment's totals, then its chunks' rows -> an answer to each chunk's row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = counts = highest = None
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 keys = np.cumsum(_unpack(r["keys"], r["n"]))
-                if r["chunk"] is None:  # the segment's totals, ahead of its chunks
-                    counts, b = _unpack(r["counts"], r["n"]), keys // most_a
+                if r["chunk"] is None:
+                    every, counts, b = keys, _unpack(r["counts"], r["n"]), keys // most_a
                     new = np.flatnonzero(np.diff(b, prepend=-1))
-                    held = keys, counts, counts == np.repeat(np.maximum.reduceat(counts, new), np.diff(np.append(new, len(b))))
-                    continue
-                at = np.searchsorted(held[0], keys)
-                out.append((r["chunk"], r["segment"], r["n"], r["keys"], _pack(held[1][at]), np.packbits(held[2][at]).tobytes()))
+                    highest = counts == np.repeat(np.maximum.reduceat(counts, new), np.diff(np.append(new, len(b))))
+                else:
+                    at = np.searchsorted(every, keys)
+                    out.append((r["chunk"], r["segment"], r["n"], _pack(counts[at]), np.packbits(highest[at]).tobytes()))
             if out:
                 yield from _table(out, _ANSWER_ARROW).to_batches()
 
-    def finish(table: pa.Table, back: pa.Table) -> pa.Table:
-        schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + [("groups_sha256", pa.string())])
-        if not table.num_rows:
-            return schema.empty_table()
-        sides = _Sides(a_path, b_path)
-        names = _names(sides.most_a, sides.most_b)
-        rows = sorted(back.to_pylist(), key=lambda r: r["segment"])
-        none = np.zeros(0, np.int64)
-        keys = np.concatenate([none, *(np.cumsum(_unpack(r["keys"], r["n"])) + r["segment"] * span for r in rows)])
-        every = np.concatenate([none, *(_unpack(r["totals"], r["n"]) for r in rows)])
-        best = np.concatenate([none, *(np.unpackbits(np.frombuffer(r["best"], np.uint8), count=r["n"]) for r in rows)])
-        ids, out = _one(table.column("doc_id")), []
-        for part, texts in parts(_one(table.column("text")), BATCH_BYTES):
-            x, n = sides.align(texts), part.stop - part.start
-            at = np.searchsorted(keys, sides.keys(x, segments))
-            summed = np.concatenate([[0], np.cumsum(every[at][np.argsort(x.link_text, kind="stable")])])
-            stop = np.concatenate([[0], np.cumsum(x.n_links)])
-            highest = np.bincount(x.link_text, best[at], n).astype(np.int64)
-            columns = [np.diff(x.a_first), np.diff(x.b_first), x.n_groups, x.n_links, highest, summed[stop[1:]] - summed[stop[:-1]]]
-            digests = x.group_digests(names, sides.most_a, sides.most_b)
-            out.append(pa.Table.from_arrays([ids.slice(part.start, n), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())], schema=schema))
-        return pa.concat_tables(out).combine_chunks()
-
-    by_chunk = dealt.groupBy("chunk")
-    sent = stored(by_chunk.applyInArrow(pairs, _ROW), "pairs")
-    total = sent.repartition(segments, "segment").mapInArrow(totals, _ROW)
-    ahead = total.unionByName(sent).repartition(segments, "segment").sortWithinPartitions("segment", F.col("chunk").isNotNull())
-    answered = ahead.mapInArrow(answers, _ANSWER)
-    return by_chunk.cogroup(answered.groupBy("chunk")).applyInArrow(finish, _RESULT)
+    return run
+
+
+def add_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """A chunk's documents with the sums of their pairs' answers."""
+    rows = sorted(answers.to_pylist(), key=lambda r: r["segment"])
+    none = np.zeros(0, np.int64)
+    totals = np.concatenate([none, *(_unpack(r["totals"], r["n"]) for r in rows)])
+    highest = np.concatenate([none, *(np.unpackbits(np.frombuffer(r["best"], np.uint8), count=r["n"]) for r in rows)])
+    n_best, count_sum = [], []
+    for places, times, n in zip(*(docs.column(c).to_pylist() for c in ("places", "times", "n"))):
+        at, times = np.cumsum(_unpack(places, n)), _unpack(times, n)
+        n_best.append(int((times * highest[at]).sum()))
+        count_sum.append(int((times * totals[at]).sum()))
+    columns = [docs.column("doc_id"), *(docs.column(c) for c in _COUNTS), pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), docs.column("groups_sha256")]
+    return pa.Table.from_arrays(columns, schema=_RESULT_ARROW)
+
+
+def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, segments: int = SEGMENTS) -> DataFrame:
+    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row of ``docs``."""
+    both = stored(aligned_chunks(docs, a_path, b_path, segments), "aligned")
+    pairs = both.where("segment is not null").select([f.name for f in _ROW_ARROW])
+    totals = pairs.repartition(segments, "segment").mapInArrow(segment_totals, _ROW)
+    ahead = totals.unionByName(pairs).repartition(segments, "segment").sortWithinPartitions("segment", F.col("chunk").isNotNull())
+    answers = ahead.mapInArrow(segment_answers(len(byte_pairs(a_path).pieces)), _ANSWER)
+    aligned = both.where("segment is null").select("chunk", "n", "doc_id", *_COUNTS, "groups_sha256", "places", "times")
+    return aligned.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(add_up, _RESULT)
