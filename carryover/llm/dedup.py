@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .textcore import (
-    FOLDED_VALUES,
+    FOLD,
     find_words,
     hash_ngrams,
     hash_spans,
@@ -68,7 +68,7 @@ def shingle_sets(texts: list[bytes | None], k: int) -> tuple[np.ndarray, np.ndar
     """Sorted distinct shingle hashes of every text end to end, and ``n + 1`` offsets."""
     buf, offsets = join_texts(texts)
     starts, ends, first = find_words(buf, offsets)
-    words = hash_spans(buf, starts, ends, FOLDED_VALUES)
+    words = hash_spans(FOLD[buf], starts, ends)[0]
     grams = hash_ngrams(words, k)
     sets = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -324,11 +324,10 @@ def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents another one of their group stands for; of rows that
     repeat an id and a text one stays."""
     found = decided(docs, k, percent)
-    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey")]
-    again = docs.where("doc_id is not null").groupBy(*own).count().where("count > 1").select("doc_id", "tkey", F.lit(True).alias("again"))
-    gone = found.where("not kept").select("doc_id", "tkey").distinct().withColumn("gone", F.lit(True))
-    marks = stored(gone.join(again, ["doc_id", "tkey"], "full_outer"), "decisions")
-    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *own)
-    left = row.join(marks, ["doc_id", "tkey"], "left").where("gone is null")
-    once = left.where("again").dropDuplicates(["doc_id", "tkey"]).select("row")
-    return left.where("again is null").select("row").union(once).select("row.*")
+    gone = found.where("not kept").select("doc_id", "tkey", F.lit(0).cast("long").alias("alone")).distinct()
+    gone = stored(gone, "decisions")  # ``alone`` must be a column, not a constant, for the join to use the rows' partitioning
+    # rows without an id stand alone; the rows of an id and text meet once, and what another document stands for goes
+    alone = F.when(docs["doc_id"].isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)).alias("alone")
+    own = [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tkey"), alone]
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *own)
+    return rows.dropDuplicates(["doc_id", "tkey", "alone"]).join(gone, ["doc_id", "tkey", "alone"], "left_anti").select("row.*")

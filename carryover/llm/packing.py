@@ -26,7 +26,6 @@ starts a new word, and the ids of the parts are joined.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Iterator
 
@@ -37,144 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pieces_of, stored
-from .textcore import hash_spans, join_texts, parts, release
+from .textcore import parts
+from .tokens import byte_pairs
 
 CAPACITY = 2048
 END_ID = 0
 GROUP_SIZE = 65_536
-#: Chunks whose ids a Python worker remembers; beyond that it starts afresh.
-CACHE_CHUNKS = 1_000_000
-#: Where byte-level tokenizers of this family cut a text into words (fixed by them).
-WORDS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of text encoded at once in a task.
 BATCH_BYTES = 2 << 20
 
-_CACHES: dict[str, "_Chunks"] = {}
-
-#: Bytes that may follow a breaking space: not white space and not the first of a wider white space.
-_AFTER = np.ones(256, bool)
-_AFTER[:33] = False
-_AFTER[[0xC2, 0xE1, 0xE2, 0xE3]] = False
-#: One-byte characters that may precede it, and first bytes of two-byte characters that may.
-_BEFORE, _BEFORE2 = np.zeros(256, bool), np.zeros(256, bool)
-_BEFORE[33:128] = True
-_BEFORE2[0xC3:0xE0] = True
-
-
-class _Chunks:
-    """Hash of a chunk of text (a word with the space before it, mostly) -> its ids.
-
-    Sorted arrays instead of a dictionary: about 30 bytes a chunk.
-
-    ``learn`` encodes many new chunks in one call.  The tokenizer file's own
-    vocabulary and merges are handed to ``tiktoken``, which applies the same
-    merges several times faster; whatever that cannot be sure to do alike
-    (a text's first chunk, special tokens) goes to the tokenizer itself.
-    """
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import tiktoken
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        self.forget()
-        self.tokenizer = Tokenizer.from_file(path)
-        spec = json.loads(self.tokenizer.to_str())  # a copy, let go below
-        if not isinstance(self.tokenizer.pre_tokenizer, ByteLevel) or spec["normalizer"] or spec["model"]["type"] != "BPE":
-            raise ValueError("a byte-level BPE tokenizer without normaliser is needed: texts are split at spaces")
-        spell = ByteLevel(add_prefix_space=False, use_regex=False)
-        byte_of = {spell.pre_tokenize_str(c)[0][0][-1]: c.encode()[-1] for c in map(chr, range(256))}
-        byte_of |= {c: b for b, c in zip(sorted(set(range(256)) - set(byte_of.values())), sorted(set(ByteLevel.alphabet()) - set(byte_of)))}
-        special = {t["content"].encode() for t in spec["added_tokens"]}
-        ranks = {}
-        for token, i in spec["model"]["vocab"].items():
-            if token.encode() not in special:
-                ranks[bytes(byte_of[c] for c in token)] = i
-        merged = [ranks[bytes(byte_of[c] for c in "".join(m if isinstance(m, list) else m.split(" ")))] for m in spec["model"]["merges"]]
-        self.fast = None
-        if merged == sorted(merged) and sorted(ranks.values()) == list(range(len(ranks))):  # ids rise with merges
-            self.fast = tiktoken.Encoding("chunks", pat_str=WORDS_PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.width = np.zeros(len(ranks), np.int64)
-            for token, i in ranks.items():
-                self.width[i] = len(token)
-        self.special = [t[:2] for t in special]
-        del spec, ranks, merged, byte_of
-        release()
-
-    def forget(self) -> None:
-        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def alone(self, chunk: bytes) -> np.ndarray:
-        return np.asarray(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, np.uint32)
-
-    def ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end, and each chunk's number of ids."""
-        sure = [self.fast is not None and c[0] == 32 and len(c) > 1 and c[1] > 32 and not any(t in c for t in self.special) for c in chunks]
-        many = b"".join(c for c, s in zip(chunks, sure) if s)
-        ids = np.asarray(self.fast.encode_to_numpy(many.decode(), disallowed_special=()), np.uint32) if many else self.flat[:0]
-        stops = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(c) for c, s in zip(chunks, sure) if s])) + 1 if many else []
-        if all(sure):
-            return ids, np.diff(stops, prepend=0)
-        split = iter(np.split(ids, stops[:-1]))
-        parts = [next(split) if s else self.alone(c) for c, s in zip(chunks, sure)]
-        return np.concatenate(parts), np.asarray([len(x) for x in parts], np.int64)
-
-    def look_up(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Where in ``flat`` the ids of each distinct key begin, and how many they are."""
-        def new() -> np.ndarray:
-            place = np.searchsorted(self.keys, keys)
-            return self.keys[np.minimum(place, len(self.keys) - 1)] != keys if len(self.keys) else np.ones(len(keys), bool)
-
-        fresh = new()
-        if len(self.keys) + fresh.sum() > CACHE_CHUNKS and len(self.keys):
-            self.forget()
-            fresh = new()
-        if fresh.any():
-            ids, size = self.ids_of([raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
-            order = np.argsort(every := np.concatenate([self.keys, keys[fresh]]), kind="stable")
-            self.keys = every[order]
-            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])[order]
-            self.size = np.concatenate([self.size, size])[order]
-            self.flat = np.concatenate([self.flat, ids])
-        place = np.searchsorted(self.keys, keys)
-        return self.at[place], self.size[place]
-
-
-def encode_texts(texts: list[bytes], tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts end to end, equal to the tokenizer's own, and ``n + 1`` offsets."""
-    import pandas as pd
-
-    known = _CACHES.get(tokenizer)
-    if known is None:
-        known = _CACHES[tokenizer] = _Chunks(tokenizer)
-    buf, offsets = join_texts(texts)
-    if not len(buf):
-        return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-    # breaks: texts' first bytes, and single spaces between characters that are surely no white space
-    spaces = np.flatnonzero(buf == 32)
-    spaces = spaces[(spaces >= 2) & (spaces < len(buf) - 1)]
-    before = buf[spaces - 1]
-    spaces = spaces[_AFTER[buf[spaces + 1]] & (_BEFORE[before] | ((before >= 128) & _BEFORE2[buf[spaces - 2]]))]
-    marks = np.zeros(len(buf) + 1, bool)
-    marks[spaces] = True
-    marks[offsets] = True
-    starts = np.flatnonzero(marks[:-1])
-    ends = np.append(starts[1:], len(buf))
-    code, keys = pd.factorize(hash_spans(buf, starts, ends) ^ (ends - starts).astype(np.uint64))
-    example = np.empty(len(keys), np.int64)
-    example[code] = np.arange(len(code))
-    at, size = known.look_up(keys, starts[example], ends[example], buf.tobytes())
-    each = size[code]
-    stop = np.cumsum(each)
-    out = known.flat[np.repeat(at[code] - (stop - each), each) + np.arange(int(stop[-1]))]
-    first = np.searchsorted(starts, offsets)  # chunk index of each text
-    return out, np.concatenate([[0], stop])[first]
-
-
 def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32``."""
     end = np.asarray([end_id], "<u4").tobytes()
@@ -183,11 +53,11 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for part, texts in parts(batch.column(1), BATCH_BYTES):
-                ids, offsets = encode_texts(texts, tokenizer)
                 rows: list[tuple] = []
-                for doc_id, a, b in zip(doc_ids[part], offsets[:-1].tolist(), offsets[1:].tolist()):
-                    raw = ids[a:b].astype("<u4").tobytes() + end
-                    n = b - a + 1
+                for doc_id, text in zip(doc_ids[part], texts):
+                    ids = byte_pairs(tokenizer).encode((text or b"").decode(), special=True)
+                    raw = ids.astype("<u4").tobytes() + end
+                    n = len(ids) + 1
                     at, stop, piece = 0, n % capacity or capacity, 0
                     while at < n:
                         rows.append((doc_id, piece, at, stop - at, zlib.crc32(raw[4 * at : 4 * stop])))

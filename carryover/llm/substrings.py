@@ -13,7 +13,7 @@ Two passes over the windows:
    or more, or not.  Different windows may share a counter, so a count can
    be too high, never too low: no repeated window is lost.
 2. *Exact grouping.*  Only windows estimated repeated are grouped, by a
-   96-bit fingerprint of their words: each chunk sends a fingerprint once
+   96-bit fingerprint of their words (of two independent hashes of each word): each chunk sends a fingerprint once
    with its least document, a segment's task finds the least document of
    all chunks and answers with one bit a fingerprint: the least lies in
    another chunk, or not.
@@ -92,14 +92,14 @@ class _Chunk:
         self.keys = keys[order] if len(order) else keys
         self.buf, self.offsets = join_texts([raw[i] for i in order])
         self.starts, self.ends, self.first = find_words(self.buf, self.offsets)
-        words = hash_spans(self.buf, self.starts, self.ends)
+        words, self.others = hash_spans(self.buf, self.starts, self.ends)
         h1 = hash_ngrams(words, k, seed=1)
         owner = ngram_owner(self.first, k, len(h1))
         self.at = np.flatnonzero(owner >= 0)  # window starts, as word numbers
         h1, self.owner = h1[self.at], owner[self.at]
         self.order = np.argsort(h1, kind="stable")
         self.h1 = h1[self.order]
-        self.words, self.k = words, k
+        self.k = k
 
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
         """For each distinct counter, in order: where its windows begin in ``order``,
@@ -124,7 +124,7 @@ class _Chunk:
 
     def keyed(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Windows ``at``, ordered by fingerprint: window numbers, both hash parts, and group starts."""
-        h2 = hash_ngrams(self.words, self.k, seed=2)[self.at][self.order[at]] >> np.uint64(32)
+        h2 = hash_ngrams(self.others, self.k, seed=2)[self.at][self.order[at]] >> np.uint64(32)
         h1 = self.h1[at]
         order = np.lexsort((h2, h1))
         h1, h2, window = h1[order], h2[order], self.order[at][order]
@@ -163,7 +163,8 @@ def remove_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("long").alias("chunk"),
+        # the row's number too, so that rows that repeat an id and a text do not fill one chunk
+        F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(chunks)).cast("long").alias("chunk"),
     )
 
     def sketch(table: pa.Table) -> pa.Table:

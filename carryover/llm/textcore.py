@@ -1,10 +1,10 @@
 """Vectorised words, word hashes and word n-gram hashes of many texts at once.
 
-Texts of a batch are laid end to end as UTF-8 bytes.  A span's 64-bit hash is
-a polynomial in a fixed odd base over random 64-bit values of its bytes,
-taken from prefix sums, so its cost is a few array passes over the bytes
-whatever the words look like.  Long buffers are hashed a few megabytes at a
-time, cut between spans, so memory does not follow the text length.
+Texts of a batch are laid end to end as UTF-8 bytes.  Equal words of a batch are found by their
+bytes (an Arrow dictionary), and each distinct word is hashed once, to 128 bits
+by XXH3, of which two independent 64-bit halves are handed out.  An n-gram's hash
+takes its words' hashes in one after the other, each through a full mixing step, so
+no arrangement of words cancels out.
 """
 
 from __future__ import annotations
@@ -13,39 +13,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_GROUP_BYTES = 1 << 20
-
-_rng = np.random.default_rng(20240229)
-BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
-#: A-Z count as a-z.
-FOLDED_VALUES = BYTE_VALUES.copy()
-FOLDED_VALUES[65:91] = BYTE_VALUES[97:123]
+#: A-Z as a-z.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """``base ** (0..n-1)`` modulo 2**64, remembered."""
-    have = _POWERS.get(int(base))
-    if have is None or len(have) < n:
-        size = max(1024, 1 << (n - 1).bit_length())
-        have = np.empty(size, np.uint64)
-        have[0], k = 1, 1
-        step = base
-        with np.errstate(over="ignore"):
-            while k < size:
-                have[k : 2 * k] = have[:k] * step
-                step = step * step
-                k *= 2
-        _POWERS[int(base)] = have
-    return have[:n]
-
-
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser: every output bit depends on every input bit."""
     with np.errstate(over="ignore"):
@@ -83,22 +57,18 @@ def find_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """A 64-bit hash of each span ``buf[start:end]``; spans are ordered and disjoint."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    with np.errstate(over="ignore"):
-        while i < len(starts):
-            at = int(starts[i])
-            j = max(i + 1, int(np.searchsorted(ends, at + _GROUP_BYTES, side="right")))
-            n = int(ends[j - 1]) - at
-            sums = np.empty(n + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(values[buf[at : at + n]] * _powers(_BASE, n), out=sums[1:])
-            lo = starts[i:j] - at
-            out[i:j] = (sums[ends[i:j] - at] - sums[lo]) * _powers(_INVERSE, n)[lo]
-            i = j
-    return mix(out)
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each span ``buf[start:end]``, the halves of its XXH3."""
+    import pyarrow as pa
+    from xxhash import xxh3_128_digest
+
+    size = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    data = buf[np.repeat(starts - offsets[:-1], size) + np.arange(offsets[-1])]
+    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+    both = np.frombuffer(b"".join(map(xxh3_128_digest, spans.dictionary.to_pylist())), "<u8").reshape(-1, 2)
+    code = spans.indices.to_numpy(zero_copy_only=False)
+    return both[code, 0], both[code, 1]
 
 
 def hash_ngrams(words: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
@@ -107,14 +77,10 @@ def hash_ngrams(words: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    w = mix(words, seed)
-    with np.errstate(over="ignore"):
-        out = np.zeros(n, np.uint64)
-        factor = np.uint64(1)
-        for j in range(k):
-            out += w[j : j + n] * factor
-            factor = factor * _BASE
-    return mix(out, seed)
+    out = np.full(n, k, np.uint64)
+    for j in range(k):
+        out = mix(out ^ words[j : j + n], seed)
+    return out
 
 
 def ngram_owner(first_word: np.ndarray, k: int, n: int) -> np.ndarray:

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from carryover.llm import dedup, language, packing, substrings, textcore
 from carryover.llm.queries import public_tokenizer
+from carryover.llm.tokens import byte_pairs
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -41,13 +42,40 @@ def test_words_are_those_of_the_pattern(texts):
         assert own == WORD.findall(t or "")
 
 
-def test_equal_words_hash_alike_across_hash_groups(monkeypatch):
-    monkeypatch.setattr(textcore, "_GROUP_BYTES", 16)
+def test_equal_words_hash_alike():
     words = ["alpha", "be", "gamma-delta-epsilon-zeta", "be", "alpha"] * 5
     buf, offsets = textcore.join_texts([" ".join(words).encode()])
     starts, ends, _ = textcore.find_words(buf, offsets)
-    hashes = textcore.hash_spans(buf, starts, ends)
-    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    for hashes in textcore.hash_spans(buf, starts, ends):
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+def thue_morse(n):
+    """A word over a, b and its complement: alike under any polynomial hash modulo a power of two."""
+    bits = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return bits, bits.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_words_alike_under_polynomial_hashes_are_told_apart(spark, n):
+    one, two = thue_morse(n)
+    buf, offsets = textcore.join_texts([f"{one} {two}".encode()])
+    starts, ends, _ = textcore.find_words(buf, offsets)
+    assert all(x[0] != x[1] for x in textcore.hash_spans(buf, starts, ends))
+    rest = " ".join(f"w{i}" for i in range(12))
+    docs = docs_of(spark, [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, one), (4, two)])
+    assert {(r.doc_id, r.n_removed) for r in substrings.remove_repeats(docs).collect()} == {(1, 0), (2, 0), (3, 0), (4, 0)}
+    found = dedup.near_duplicates(docs_of(spark, [(1, one), (2, two), (3, f"{one} a b c d"), (4, f"{two} a b c d")]), k=5).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(i, i, True) for i in (1, 2, 3, 4)}
+
+
+def test_arrangements_of_two_words_hash_apart():
+    """Windows of two words in the arrangements that cancel out in a polynomial."""
+    for k in (4, 8, 13, 16):
+        for seed in (1, 2):
+            pair = np.asarray([11, 2**63 + 7], np.uint64)
+            rows = [pair[[bin(i).count("1") % 2 ^ turned for i in range(k)]] for turned in (0, 1)]
+            assert textcore.hash_ngrams(rows[0], k, seed)[0] != textcore.hash_ngrams(rows[1], k, seed)[0]
 
 
 # --- packing
@@ -62,17 +90,19 @@ def test_ids_are_the_tokenizers(text):
 
     path = public_tokenizer()
     wanted = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    ids, offsets = packing.encode_texts([b"before all", text.encode(), b" after"], path)
-    assert ids[offsets[1] : offsets[2]].tolist() == wanted
+    assert byte_pairs(path).encode(text, special=True).tolist() == wanted
 
 
-def test_cache_may_be_forgotten(monkeypatch):
-    path = public_tokenizer()
-    texts = [t.encode() for t in random_texts(5, 20, 200)]
-    whole = packing.encode_texts(texts, path)[0].tolist()
-    monkeypatch.setattr(packing, "CACHE_CHUNKS", 10)
-    monkeypatch.setattr(packing, "_CACHES", {})
-    assert [i for t in texts for i in packing.encode_texts([t], path)[0].tolist()] == whole
+def test_packed_words_alike_under_polynomial_hashes_keep_their_own_ids(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizer())
+    texts = [(i, f"first {w} last") for i, w in enumerate([*thue_morse(1024), *thue_morse(2048)])]
+    for r in packing.pack_documents(docs_of(spark, texts), public_tokenizer()).collect():
+        ids = [*own.encode(dict(texts)[r.doc_id], add_special_tokens=False).ids, 0]
+        assert r.length == len(ids) and r.ids_crc32 == zlib.crc32(np.asarray(ids, "<u4").tobytes())
 
 
 @settings(max_examples=100, deadline=None)
