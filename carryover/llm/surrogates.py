@@ -12,7 +12,7 @@ of words, script (Latin, Cyrillic, Greek) and the gender of the titles a given
 name has in the table (neither, if they differ).
 
 *Coreference*: mentions are reduced to an entity first (digits only, lower
-case, single words of a name without a possessive ending), and each entity has one surrogate in the whole
+case, secrets as they are unless they are one long hexadecimal number, single words of a name without a possessive ending), and each entity has one surrogate in the whole
 table, whatever its spelling.  *Distinctness*: a surrogate must not be drawn
 for two entities of a kind, nor be an entity of the table itself.  Draws that
 collide are drawn again, all but the least entity of each collision, until
@@ -27,8 +27,9 @@ splits.  Rounds of drawing are written to the shared folder.
 
 Cases: null and empty texts and rows without a mention are returned as they
 are, with 0 replaced; rows that repeat an id and a text are each returned;
-null ids are kept; an empty table gives no rows; all columns of the input are
-kept, whatever their names (``__pii_`` names aside).
+null ids are kept; an empty table gives no rows; very long texts are whole (no pattern needs a
+stack that grows with the text); all columns of the input are kept, whatever their
+names (``__pii_`` names aside): where one is called ``n_replaced`` the count is ``n_replaced_``.
 """
 
 from __future__ import annotations
@@ -75,14 +76,16 @@ _KEYED = (
 #: Kinds in the order in which they are tried at a place of the text; a value after a keyword goes
 #: before what only its beginning may look like.
 PATTERNS = {
-    "email": r"(?<![\p{L}0-9._%+\-])[\p{L}0-9._%+\-]++@[\p{L}0-9\-]+(?:\.[\p{L}0-9\-]+)*\.\p{L}{2,}",
+    # one class for the domain: a repeated group would need a stack frame for each of its labels
+    "email": r"(?<![\p{L}0-9._%+\-])[\p{L}0-9._%+\-]++@(?=[\p{L}0-9\-])[\p{L}0-9.\-]*(?<!\.)\.\p{L}{2,}",
     "secret": f"{_KEYED}|{_BARE}",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": (
         r"(?<![\p{L}\d.])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)"
-        r"|(?<![\p{L}\d.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\p{L}\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
+        r"|(?<![\p{L}\d.])(?:1[ .\-]?)?\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)"
+        r"|(?<![\p{L}\d.\-])(?:(?:1[ .\-])?\d{3}[.\-]\d{3}[.\-]\d{4}|1 \d{3} \d{3} \d{4})(?![\d\-])"
     ),
     "card": r"(?<![\p{L}\d.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?![\p{L}\d])",
     "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]*+(?: \p{{Lu}}[\p{{L}}'’\-]*+)*+",
@@ -94,6 +97,8 @@ _SUFFIX = r"(?:['’][sS]|['’\-]+)$"
 _LETTERS = r"AKIA|gh[pousr]_|sk-|[a-f]{32}|[A-F]{32}"
 _TOKENS = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "name")
 _HEAD = rf"^(?:{_TITLE})\.? "
+#: A secret that is a number, in whichever case its digits are.
+_HEX = "^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"
 _DIGIT_KINDS = ("phone", "card", "ssn")
 
 
@@ -139,6 +144,7 @@ def _entity() -> Column:
     return (
         F.when(kind.isin(*_DIGIT_KINDS), F.regexp_replace(m, r"[^0-9]", ""))
         .when(kind == "iban", F.replace(m, F.lit(" "), F.lit("")))
+        .when((kind == "secret") & ~m.rlike(_HEX), m)
         .otherwise(F.lower(m))
     )
 
@@ -219,7 +225,8 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
     title = F.regexp_extract("mention", rf"^({_TITLE})\.? ", 1)
     script = F.when(F.col("word").rlike(r"^\p{IsCyrillic}"), "cyrillic").when(F.col("word").rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     named = found.where("kind = 'name'").withColumn("words", F.split(F.regexp_replace("mention", _HEAD, ""), " "))
-    words = named.select("mention", title.alias("title"), F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
+    named = named.withColumn("name", F.sha2("mention", 256))  # each word carries this, however long the name is
+    words = named.select("name", title.alias("title"), F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
     # a word of a name is a given name but for the last, which is the family name
     words = words.withColumn("kin", F.concat_ws("_", F.lit("name"), script, F.when(F.col("pos") == F.col("n") - 1, "s").otherwise("g")))
     words = words.withColumn("suffix", F.regexp_extract("word", _SUFFIX, 0)).withColumn("word", F.regexp_replace("word", _SUFFIX, ""))
@@ -241,21 +248,29 @@ def rendered(mentions: DataFrame, key: str = KEY) -> DataFrame:
         "CASE WHEN upper(mention) = mention AND lower(mention) <> mention THEN upper(surrogate) WHEN length(surrogate) <> length(mention) THEN surrogate "
         "ELSE array_join(zip_with(split(mention, ''), split(surrogate, ''), (a, b) -> if(a <> lower(a), upper(b), b)), '') END"
     )
-    shaped = F.when(F.col("kind").isin(*_DIGIT_KINDS, "iban"), F.concat(poured, tail)).when(F.col("kind") == "ip", F.col("surrogate")).otherwise(cased)
+    shaped = F.when(F.col("kind").isin(*_DIGIT_KINDS, "iban"), F.concat(poured, tail)).when((F.col("kind") == "ip") | ((F.col("kind") == "secret") & ~F.col("mention").rlike(_HEX)), F.col("surrogate")).otherwise(cased)
     plain = plain.join(drawn, ["kind", "entity"]).select("mention", shaped.alias("replacement"))
     word = F.when((F.upper("word") == F.col("word")) & (F.length("word") > 1), F.upper("surrogate")).otherwise(F.initcap("surrogate"))
     word = F.concat(word, "suffix")
     head = F.regexp_extract("mention", _HEAD, 0)
-    named = words.join(drawn.withColumn("kin", _kin("kind")), ["kin", "entity"]).groupBy("mention")
-    named = named.agg(F.sort_array(F.collect_list(F.struct("pos", word.alias("w")))).alias("ws"))
-    named = named.select("mention", F.concat(head, F.array_join("ws.w", " ")).alias("replacement"))
+    spelled = words.join(drawn.withColumn("kin", _kin("kind")), ["kin", "entity"]).groupBy("name")
+    spelled = spelled.agg(F.sort_array(F.collect_list(F.struct("pos", word.alias("w")))).alias("ws"))
+    named = named.join(spelled, "name").select("mention", F.concat(head, F.array_join("ws.w", " ")).alias("replacement"))
     return plain.union(named)
 
 
+def count_name(docs: DataFrame) -> str:
+    """The column of the number of mentions replaced: ``n_replaced``, with underscores if the input has one."""
+    name, taken = "n_replaced", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def replace_personal_data(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with surrogates in its text and ``n_replaced``, the mentions replaced."""
     has = has_mention(text)
-    clean = docs.where(~has).withColumn("n_replaced", F.lit(0))
+    clean = docs.where(~has).withColumn("__pii_n", F.lit(0))
     hit = docs.where(has).withColumn("__pii_hits", mentions_of(text)).withColumn("__pii_text", F.xxhash64(text))
     hit = hit.withColumn("__pii_own", own_names("__pii_hits"))
     again = F.regexp_extract_all(text, F.concat(F.lit("("), _any_or(F.col("__pii_own")), F.lit(")")), F.lit(1))
@@ -271,5 +286,6 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id
         "i -> array(__pii_gaps[i], element_at(__pii_map, __pii_hits[i])))), '')"
     )
     new = both.withColumn("__pii_gaps", F.when(F.col("__pii_own") == "", F.split(F.col(text), ANY, -1)).otherwise(F.split(F.col(text), _any_or(F.col("__pii_own")), -1))).withColumn(text, F.concat(parts, F.element_at("__pii_gaps", -1)))
-    new = new.withColumn("n_replaced", F.size("__pii_hits"))
-    return clean.select(*docs.columns, "n_replaced").union(new.select(*docs.columns, "n_replaced"))
+    new = new.withColumn("__pii_n", F.size("__pii_hits"))
+    out = [*(F.col(f"`{c}`") for c in docs.columns), F.col("__pii_n").alias(count_name(docs))]
+    return clean.select(*out).union(new.select(*out))

@@ -436,3 +436,92 @@ def test_edited_digest_is_of_the_text(spark):
         half = len(r.text) // 2
         text = r.text[: len(r.text) - half] + after.text[:half]
         assert got[r.doc_id].edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- personal data: long texts, clashing names, and a plain version
+
+
+@pytest.mark.parametrize("text", [
+    "mail x@" + "a." * 200_000 + "com", "x@" + "a" * 400_000, "x@y." * 100_000, "a@b-" * 100_000, "1-" * 300_000, "+1 " * 200_000, "4111 " * 100_000,
+    "Mr A" + " Bb" * 30_000, "AKIA" * 100_000, "0123456789abcdef" * 60_000, "token = " + "a1." * 150_000, "DE12 " * 100_000, "1.2.3." * 100_000, "Mr " * 20_000, "é" * 400_000,
+])
+def test_patterns_stand_very_long_texts(spark, text):
+    docs = docs_of(spark, [(1, text), (2, "write to a@b.example.org")])
+    out = {r.doc_id: r.text for r in surrogates.replace_personal_data(docs).collect()}
+    assert out[2] != "write to a@b.example.org" and len(text) / 2 <= len(out[1]) <= 3 * len(text)
+
+
+def test_a_column_called_n_replaced_is_kept(spark, scratch):
+    docs = spark.createDataFrame([(1, "a@b.example.org", 77), (2, "nothing", 78)], "doc_id long, text string, N_replaced int")
+    out = surrogates.replace_personal_data(docs)
+    out.write.parquet(scratch("clash"))
+    assert out.columns == ["doc_id", "text", "N_replaced", "n_replaced_"]
+    assert {tuple(r[i] for i in (0, 2, 3)) for r in out.collect()} == {(1, 77, 1), (2, 78, 0)}
+
+
+def test_national_phones_and_secrets_by_case(spark):
+    texts = {
+        1: "call +1 555 123 4567, 1-555-123-4567, 1 555 123 4567, 1.555.123.4567 or 1 (555) 123-4567",
+        2: "token = Abcdefgh12345678 token = abcdefgh12345678 token = ABCDEFGH12345678",
+        3: "a@b.com.123 c@d.org...thanks",
+    }
+    out = {r.doc_id: r.text for r in surrogates.replace_personal_data(docs_of(spark, texts.items())).collect()}
+    phones = re.split(r", | or |call ", out[1])[1:]
+    assert len(phones) == 5 and len({re.sub(r"\D", "", p) for p in phones}) == 1 and "5551234567" not in re.sub(r"\D", "", out[1])
+    secrets = re.findall(r"= (\w{16})", out[2])
+    assert len(set(secrets)) == 3 and not set(secrets) & set(re.findall(r"= (\w{16})", texts[2]))
+    assert re.fullmatch(r"[a-z]@[a-z]\.com\.123 [a-z]@[a-z]\.org\.\.\.thanks", out[3]) and "a@b" not in out[3] and "c@d" not in out[3]
+
+
+def test_surrogates_of_a_whole_table_by_a_plain_version(spark):
+    """Mentions found by plain Python; every text is its gaps with one surrogate an entity, distinct and not of the table."""
+    import regex
+
+    any_ = regex.compile(surrogates.ANY)
+    head, suffix = regex.compile(surrogates._HEAD), regex.compile(surrogates._SUFFIX)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: r.text for r in table.collect()}
+    out = {r.doc_id: (r.text, r.n_replaced) for r in surrogates.replace_personal_data(table).select("doc_id", "text", "n_replaced").collect()}
+    assert out.keys() == rows.keys()
+
+    def kind_and_entity(m):
+        for kind, pattern in surrogates.PATTERNS.items():
+            if kind != "secret" and regex.fullmatch(pattern, m):
+                if kind in surrogates._DIGIT_KINDS:
+                    return kind, regex.sub(r"\D", "", m)
+                return kind, m.replace(" ", "") if kind == "iban" else m.lower()
+        return "secret", m.lower() if regex.match(surrogates._HEX, m) else m
+
+    pairs, n_mentions = {}, 0
+    for doc_id, text in rows.items():
+        hits = list(any_.finditer(text or ""))
+        words = sorted({x for h in hits if regex.fullmatch(surrogates.PATTERNS["name"], h.group())
+                        for full in [suffix.sub("", head.sub("", h.group())).lower()] for x in (full, full.split(" ")[-1]) if len(x) > 1}, key=lambda x: (-len(x), x))
+        if words:
+            hits = list(regex.finditer(surrogates.ANY + r"|(?<!\p{L})(?=\p{Lu})(?i:" + "|".join(words) + r")(?!\p{L})", text))
+        new, n = out[doc_id]
+        assert n == len(hits)
+        if not hits:
+            assert new == text
+            continue
+        n_mentions += n
+        edges = [0, *(e for h in hits for e in h.span()), len(text)]
+        gaps = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
+        match = regex.fullmatch("(.*?)".join(regex.escape(g) for g in gaps), new, regex.DOTALL)
+        assert match, (doc_id, new[:300])
+        for hit, to in zip(hits, match.groups()):
+            m = hit.group()
+            if words and (regex.fullmatch(surrogates.PATTERNS["name"], m) or m.lower() in words):
+                before, after = (suffix.sub("", head.sub("", x)).lower().split(" ") for x in (m, to))
+                assert len(before) == len(after)
+                for i, (x, y) in enumerate(zip(before, after)):
+                    pairs.setdefault(("family" if i == len(before) - 1 else "given", suffix.sub("", x)), set()).add(suffix.sub("", y))
+            else:
+                kind, entity = kind_and_entity(m)
+                new_kind, surrogate = kind_and_entity(to) if kind != "secret" else ("secret", to.lower() if regex.match(surrogates._HEX, m) else to)
+                assert new_kind == kind or kind in surrogates._DIGIT_KINDS, (m, to)
+                pairs.setdefault((kind, entity), set()).add(regex.sub(r"\D", "", to) if kind in surrogates._DIGIT_KINDS else surrogate)
+    assert n_mentions > 50 and all(len(s) == 1 for s in pairs.values())  # coreference
+    for kind in {k for k, _ in pairs}:
+        own = {e: next(iter(s)) for (k, e), s in pairs.items() if k == kind}
+        assert len(set(own.values())) == len(own) and not set(own) & set(own.values())  # distinctness
