@@ -12,20 +12,24 @@ match by value and keep their relative position.
 The likeness of two fingerprints is the share of common anchors among all
 distinct anchors of both (Jaccard); two empty texts are alike (1).
 
-At scale: one exchange of the texts by ranges of ``doc_id`` brings every
-document beside its successor; range bounds are quantiles of the ids (one
-value a partition).  The first row of a range also travels to the range
-before it, so no neighbour is missed.  All else is per row.
+At scale: one exchange of the texts, by ranges of their order, brings every document
+beside its successor, one range a task.  The order is ``doc_id``, then a hash of the text, then a
+hash of the row's place, so an id or a text that a third of the rows share is many ranges
+too.  The bounds are rows of a sample (by hash, ``SAMPLE_EACH`` a range), cut into ranges of about
+``RANGE_BYTES``; a row finds its range among them in two steps of a square root each.  A range's
+first row also travels to the range before it, so no neighbour is missed.  All else is per row.
 
 Cases: a null text is empty; an empty or blank text has no anchors and an
 empty fingerprint; a text of fewer than ``k`` tokens has one anchor, its
-whole token sequence; rows that repeat an id stand beside each other in the
-order of their texts; null ids come first; a table of one row is its own next
+whole token sequence; rows that repeat an id stand beside each other, equal
+texts together; null ids come first; a table of one row is its own next
 document; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,7 @@ from .common import pieces_of
 K, S = 6, 2
 MAX_WORD = 24
 RANGE_BYTES = 16 << 20
+SAMPLE_EACH = 40
 
 
 def tokens(text: Column) -> Column:
@@ -74,24 +79,52 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = K, s: int = S
     return df.withColumn("__tokens", tokens(F.col(text))).withColumn(name, F.expr(anchors("__tokens", k, s))).drop("__tokens")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Every row's ``next_text``: the text of the next row by ``(doc_id, text)``, after the last the first."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.min("doc_id").alias("lo"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    n = pieces_of(size["b"], RANGE_BYTES)
-    shares = [i / n for i in range(1, n)]
-    bounds = rows.agg(F.percentile_approx("doc_id", shares, 10_000).alias("q")).first()["q"] if shares else []
-    bounds = sorted(set(bounds or []) - {size["lo"]})
-    last = len(bounds)
-    # a row's range: the number of bounds up to its id; the bounds are ids, so each is its range's least id
-    nth = F.expr(f"size(filter(array({', '.join(map(str, bounds))}), b -> b <= coalesce(doc_id, {size['lo'] or 0})))") if bounds else F.lit(0)
-    own = rows.withColumn("range", nth.cast("int")).withColumn("place", F.lit(0))
-    firsts = rows.where(F.col("doc_id").isin(bounds)).groupBy("doc_id").agg(F.min("text").alias("text")) if bounds else rows.limit(0)
-    firsts = firsts.withColumn("range", nth.cast("int") - 1).withColumn("place", F.lit(1))
-    head = rows.where(F.col("doc_id").isNull() if size["nulls"] else F.col("doc_id") == F.lit(size["lo"]))
-    head = head.groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("range", F.lit(last)).withColumn("place", F.lit(2))
-    dealt = own.unionByName(firsts).unionByName(head).repartition(last + 1, "range")
-    return dealt, Window.partitionBy("range").orderBy(F.col("place") == 2, F.col("doc_id").asc_nulls_first(), "place", "text")
+def _place(*columns: Column) -> Column:
+    """Numbers as one string in the same order."""
+    return F.concat(*[F.lpad(F.hex(c.bitwiseXOR(F.lit(-(2**63)))), 16, "0") for c in columns])
+
+
+def _cut(sample: list[tuple[str, int]], n: int) -> list[str]:
+    """Keys that cut the sample of (key, bytes) into ``n`` ranges of about equal bytes."""
+    share, total, out = sum(size for _, size in sample) / n, 0, []
+    for key, size in sorted(sample):
+        if total >= share * (len(out) + 1) and len(out) < n - 1:
+            out.append(key)
+        total += size
+    return out
+
+
+def _range(bounds: list[str]) -> Column:
+    """How many of the sorted bounds are not above the column ``key``."""
+    if not bounds:
+        return F.lit(0)
+    width = math.isqrt(len(bounds)) + 1
+    blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    up_to = "size(filter(split({of}, ','), b -> b <= key))"
+    block = up_to.format(of="'" + ",".join(x[0] for x in blocks) + "'")
+    inner = up_to.format(of="split('" + ";".join(",".join(x) for x in blocks) + "', ';')[block - 1]")
+    return F.expr(f"transform(array({block}), block -> if(block = 0, 0, (block - 1) * {width} + {inner}))[0]")
+
+
+def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
+    """Rows dealt by ranges of their order, and the window in which a row's successor follows it.
+
+    Rows with ``place = 0`` are the documents, the others copies of ranges' first rows."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.xxhash64("row"))
+    has, id_ = F.when(F.col("doc_id").isNull(), F.lit("0")).otherwise(F.lit("1")), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    rows = rows.withColumn("key", F.concat(has, _place(id_, F.col("tie"), F.col("row"))))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"), F.min("key").alias("first")).first()
+    n = pieces_of(size["bytes"], RANGE_BYTES)
+    every = max(1, size["n"] // (SAMPLE_EACH * n))
+    sample = rows.where(F.pmod("row", F.lit(every)) == 0).select("key", F.octet_length("text") + 1).collect() if n > 1 else []
+    bounds = [b for b in _cut([tuple(r) for r in sample], n) if b != size["first"]]
+    own = rows.withColumn("range", _range(bounds).cast("int")).withColumn("place", F.lit(0))
+    first = F.col("key").isin(bounds) if bounds else F.lit(False)  # a bound is the first row of its range
+    firsts = own.where(first).withColumn("range", F.col("range") - 1).withColumn("place", F.lit(1))
+    head = rows.where(F.col("key") == size["first"]).limit(1).withColumn("range", F.lit(len(bounds))).withColumn("place", F.lit(2))
+    dealt = own.unionByName(firsts).unionByName(head).repartitionById(len(bounds) + 1, "range")
+    return dealt, Window.partitionBy("range").orderBy(F.col("place") == 2, F.col("doc_id").asc_nulls_first(), "tie", "row", "place")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
