@@ -49,7 +49,7 @@ def cmd_migrate(args: argparse.Namespace) -> int:
             targets=cfg.targets, parallelism=args.parallelism, scheduler_pool=cfg.pool,
         ).collect()
         if parsed is not None:
-            run = run_checks(spark, parsed, parallelism=args.parallelism, scheduler_pool=cfg.pool)
+            run = run_checks(spark, parsed, parallelism=args.parallelism, scheduler_pool=cfg.pool, fuse=args.fuse)
             checks = run.report.collect()
     finally:
         spark.stop()
@@ -94,7 +94,7 @@ def cmd_verify(args: argparse.Namespace) -> int:
     spark = _session(cfg)
     try:
         try:
-            run = run_check_file(spark, args.checks, parallelism=args.parallelism)
+            run = run_check_file(spark, args.checks, parallelism=args.parallelism, fuse=args.fuse)
         except (OSError, UnicodeDecodeError) as exc:
             print(f"cannot read check file {args.checks}: {exc}")
             return 1
@@ -181,6 +181,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("-c", "--config", default="config.yaml")
     m.add_argument("-t", "--tables", default=None, help="comma-separated subset of tables")
     m.add_argument("--parallelism", type=int, default=4, help="tables (and checks) in flight at once")
+    m.add_argument("--fuse", action="store_true", help="answer the plain assertions of a table by one scan of it")
     m.add_argument("-q", "--checks", default=None, help="check file to run afterwards in the same session")
     m.add_argument("--json", action="store_true", help="one JSON object per report row")
     m.set_defaults(func=cmd_migrate)
@@ -188,6 +189,7 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("-c", "--config", default="config.yaml")
     v.add_argument("-q", "--checks", required=True)
     v.add_argument("--parallelism", type=int, default=4, help="checks in flight at once")
+    v.add_argument("--fuse", action="store_true", help="answer the plain assertions of a table by one scan of it")
     v.add_argument("--json", action="store_true", help="one JSON object per check")
     v.set_defaults(func=cmd_verify)
     c = sub.add_parser("validate", help="check a config file (no Spark)")

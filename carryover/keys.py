@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import (
+    append_once,
+    difference,
     export_partitioned,
     fingerprint_pair,
     infer_layout,
     layout_rows,
+    limit_rows,
     load_overwrite,
     partition_stats,
     register_files,
@@ -137,6 +140,16 @@ def limit_rows_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.lineitem").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def limit_rows_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 in parallel: ``lineitem`` in eight files, capped by quotas of its files; rows kept and rows not of the table."""
+    path = scratch_path(spark, "capped")
+    _read(spark, sf_dir, "lineitem").repartition(8).write.parquet(path)
+    files = spark.read.parquet(path)
+    capped = limit_rows(files, SAMPLE_ROWS, parallel=True)
+    foreign = capped.exceptAll(files).agg(F.count("*").alias("n_foreign"))
+    return capped.agg(F.count("*").alias("n_rows")).crossJoin(foreign)
+
+
 def tag_partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4+K7: constant ``ds`` column, exported by ``ds`` and read back."""
     orders = _read(spark, sf_dir, "orders")
@@ -204,6 +217,27 @@ def write_replace_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select(*customer.columns)
 
 
+def write_replace_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2/K6: ``lineitem`` by return flag, replaced twice by pointing the table at new versions of its files."""
+    df = _read(spark, sf_dir, "lineitem")
+    db, _ = scratch_database(spark, "pointer")
+    write_table(df.where("l_returnflag <> 'N'"), f"{db}.lineitem", "create", partition_by=["l_returnflag"])
+    write_table(df.where("l_returnflag <> 'A'"), f"{db}.lineitem", "replace", partition_by=["l_returnflag"], staged="pointer")
+    write_table(df, f"{db}.lineitem", "replace", partition_by=["l_returnflag"], staged="pointer")
+    return spark.table(f"{db}.lineitem").select(*df.columns)
+
+
+def append_once_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/O2: ``orders`` loaded in two loads by status, each tried twice; every row once."""
+    df = _read(spark, sf_dir, "orders")
+    db, _ = scratch_database(spark, "once")
+    write_table(df.limit(0), f"{db}.orders", "create", partition_by=["o_orderstatus"])
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    for load, rows in (("filled", df.where(first)), ("rest", df.where(~first)), ("filled", df.where(first)), ("rest", df.where(~first))):
+        append_once(rows, f"{db}.orders", load)
+    return spark.table(f"{db}.orders").select(*df.columns)
+
+
 def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: create ``nation``, append ``nation`` again."""
     db, _ = scratch_database(spark, "append")
@@ -367,6 +401,40 @@ def run_checks_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.report.select("position", "label", "kind", "status")
 
 
+FUSED_TEXT = """
+-- ASSERT: orders not empty
+SELECT count(*) > 0 AS ok FROM {orders}
+
+-- ASSERT: orders have statuses
+SELECT count(DISTINCT o_orderstatus) BETWEEN 1 AND 5 FROM {orders}
+
+-- ASSERT: filled orders
+SELECT count(*) > 0 AS ok FROM {orders} WHERE o_orderstatus = 'F'
+
+-- ASSERT: no negative total
+SELECT count(*) FILTER (WHERE o_totalprice < 0) = 0 FROM {orders}
+
+-- ASSERT: dear orders
+SELECT count(*) > 100000000 AS ok FROM {orders} WHERE o_totalprice > 1000
+
+-- ASSERT: items outnumber orders
+SELECT (SELECT count(*) FROM {lineitem}) > (SELECT count(*) FROM {orders}) AS ok
+
+-- ASSERT: quantities add up
+SELECT sum(l_quantity) > 0 AND min(l_discount) >= 0 FROM {lineitem}
+
+-- ASSERT: returned items
+SELECT count(*) > 0 AS ok FROM {lineitem} WHERE l_returnflag = 'R'
+"""
+
+
+def fused_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight assertions over copies of two tables, answered by one scan of each."""
+    names = {n: _copy(spark, _read(spark, sf_dir, n), n)[0] for n in ("orders", "lineitem")}
+    run = run_checks(spark, parse_checks(FUSED_TEXT.format(**names)), fuse=True)
+    return run.report.select("position", "label", "status")
+
+
 # --- validation and batch ----------------------------------------------------
 
 BATCH_TABLES = ("lineitem", "orders", "customer")
@@ -415,13 +483,24 @@ def content_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "tbl string, source_rows bigint, target_rows bigint, same_content boolean")
 
 
+def content_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6: rows lost, changed and doubled between ``lineitem`` and a partitioned copy, by descending fingerprints."""
+    df = _read(spark, sf_dir, "lineitem")
+    k, returned = F.col("l_orderkey") % 97, F.col("l_returnflag") == "R"
+    tax = F.when((k == 2) & returned, F.lit(9.5)).otherwise(F.col("l_tax"))
+    other = df.where((k != 1) | ~returned).withColumn("l_tax", tax).unionByName(df.where((k == 3) & returned))
+    table, _ = _copy(spark, other, "lineitem", partition_by=["l_returnflag"])
+    return difference(df, spark.table(table), ["l_returnflag"])
+
+
 def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + V6: events by day without 2024-01-15, then that day appended; ``target_rows`` is the whole table."""
     db, _ = scratch_database(spark, "apday")
     events = _read(spark, sf_dir, "events").withColumn("ds", F.to_date("ts"))
-    write_table(events.where(F.col("ds") != F.lit(PRUNE_DS).cast("date")), f"{db}.events", "create", partition_by=["ds"])
+    of_day = F.col("ds").eqNullSafe(F.lit(PRUNE_DS).cast("date"))
+    write_table(events.where(~of_day), f"{db}.events", "create", partition_by=["ds"])
     day = scratch_path(spark, "day")
-    events.where(F.col("ds") == F.lit(PRUNE_DS).cast("date")).write.parquet(day)
+    events.where(of_day).write.parquet(day)
     report = run_migration(
         spark, ParquetSource(), [day], MigrationOptions(database=db, mode="append"), targets={day: "events"}
     )
@@ -534,6 +613,11 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "register_report": register_report,
     "stage_tables": stage_tables_key,
     "stage_exports": stage_exports_key,
+    "fused_checks": fused_checks,
+    "write_replace_pointer": write_replace_pointer,
+    "append_once": append_once_key,
+    "limit_rows_parallel": limit_rows_parallel,
+    "content_difference": content_difference,
 }
 
 _EVENTS_DS = "SELECT *, CAST(ts AS DATE) AS ds FROM events"
@@ -663,4 +747,24 @@ ORACLES: dict[str, str] = {
         f"UNION ALL SELECT 'customer', '{REPLICA_DS[0]}', count(*) FROM customer "
         f"UNION ALL SELECT 'customer', '{REPLICA_DS[1]}', count(*) FROM customer"
     ),
+    "fused_checks": (
+        "SELECT CAST(1 AS INTEGER) AS position, 'orders not empty' AS label, CASE WHEN (SELECT count(*) > 0 FROM orders) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(2 AS INTEGER) AS position, 'orders have statuses' AS label, CASE WHEN (SELECT count(DISTINCT o_orderstatus) BETWEEN 1 AND 5 FROM orders) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(3 AS INTEGER) AS position, 'filled orders' AS label, CASE WHEN (SELECT count(*) > 0 FROM orders WHERE o_orderstatus = 'F') THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(4 AS INTEGER) AS position, 'no negative total' AS label, CASE WHEN (SELECT count(*) = 0 FROM orders WHERE o_totalprice < 0) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(5 AS INTEGER) AS position, 'dear orders' AS label, CASE WHEN (SELECT count(*) > 100000000 FROM orders WHERE o_totalprice > 1000) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(6 AS INTEGER) AS position, 'items outnumber orders' AS label, CASE WHEN (SELECT count(*) FROM lineitem) > (SELECT count(*) FROM orders) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(7 AS INTEGER) AS position, 'quantities add up' AS label, CASE WHEN (SELECT sum(l_quantity) > 0 AND min(l_discount) >= 0 FROM lineitem) THEN 'passed' ELSE 'failed' END AS status UNION ALL "
+        "SELECT CAST(8 AS INTEGER) AS position, 'returned items' AS label, CASE WHEN (SELECT count(*) > 0 FROM lineitem WHERE l_returnflag = 'R') THEN 'passed' ELSE 'failed' END AS status"
+    ),
+    "write_replace_pointer": "SELECT * FROM lineitem",
+    "append_once": "SELECT * FROM orders",
+    "limit_rows_parallel": "SELECT CASE WHEN count(*) < 10000 THEN count(*) ELSE 10000 END AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM lineitem",
+    "content_difference": (
+        "WITH other AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 2 AND l_returnflag = 'R' THEN 9.5::DOUBLE ELSE l_tax END AS l_tax) "
+        "FROM lineitem WHERE l_orderkey % 97 <> 1 OR l_returnflag <> 'R' "
+        "UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 97 = 3 AND l_returnflag = 'R') "
+        "SELECT 'left' AS side, * FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM other) "
+        "UNION ALL SELECT 'right', * FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM lineitem)"
+    ),
 }

@@ -1,5 +1,7 @@
 """Data operators: shaping, writing, registering, validating, file statistics."""
 
+from .difference import difference
+from .once import Appended, append_once
 from .register import Layout, Registered, add_files_sql, create_table_sql, infer_layout, layout_rows, register_files
 from .stats import file_stats, partition_stats
 from .transforms import limit_rows, prepare_for_write, replicate_partitions, tag_partition
@@ -19,14 +21,17 @@ from .write import (
 
 __all__ = [
     "MODES",
+    "Appended",
     "Exported",
     "Layout",
     "Registered",
     "Written",
     "add_files_sql",
+    "append_once",
     "compare",
     "count_rows",
     "create_table_sql",
+    "difference",
     "ensure_namespace",
     "export_partitioned",
     "file_stats",

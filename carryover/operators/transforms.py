@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import sql_col
@@ -84,23 +84,59 @@ def prepare_for_write(
     return df
 
 
-def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str | Column] | None = None) -> DataFrame:
+#: Files named in the filter of a parallel cap; a cap that keeps more files is joined to them.
+MOST_FILES = 10_000
+
+
+def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str | Column] | None = None, *, parallel: bool = False) -> DataFrame:
     """At most ``max_rows`` rows; 0 keeps all.
 
     A plain limit keeps *some* rows (which ones is not defined, and may
-    differ between runs).  Give ``order_by`` for a repeatable cap: Spark
-    then plans a top-k (each task keeps its best ``max_rows``, one task
+    differ between runs), and all of them pass one task.  Give ``order_by`` for a
+    repeatable cap: Spark then plans a top-k (each task keeps its best ``max_rows``, one task
     merges them), never a full sort.
+
+    ``parallel=True`` caps a plain read of Parquet files without that one task: a count of
+    the rows of each file (footers only), their running sum, and each file's quota; files
+    in the order of their names are kept whole until the cap, of the last one its first
+    rows, the others are not opened.  Exactly ``max_rows`` rows, the same ones each time, in as many tasks
+    as their files have.  Anything but a read (filters, joins, other formats) gets the plain limit.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0")
     if max_rows == 0:
         return df
     if order_by:
-        df = df.orderBy(*order_by)
+        return df.orderBy(*order_by).limit(int(max_rows))
+    if parallel and _plain_parquet(df):
+        return _first_files(df, int(max_rows))
     return df.limit(int(max_rows))
 
 
+def _plain_parquet(df: DataFrame) -> bool:
+    """Whether ``df`` is a read of Parquet files, with or without some of its columns."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project" and all(plan.projectList().apply(i).nodeName() == "AttributeReference" for i in range(plan.projectList().size())):
+        plan = plan.child()
+    return plan.nodeName().startswith("LogicalRelation") and plan.toString().strip().endswith("parquet")
+
+
+def _first_files(df: DataFrame, max_rows: int) -> DataFrame:
+    counts = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
+    kept = counts.withColumn("quota", F.lit(max_rows) - F.coalesce(before, F.lit(0))).where("quota > 0")
+    path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    named = kept.limit(MOST_FILES + 1).collect()
+    if len(named) > MOST_FILES:
+        row = df.select("*", path.alias("__path"), at.alias("__at")).join(kept.select(F.col("path").alias("__path"), "quota"), "__path")
+        return row.where("__at < quota").select(*[sql_col(c) for c in df.columns])
+    last = [r for r in named if r["quota"] < r["n"]]
+    out = df.where(path.isin([r["path"] for r in named]))
+    for r in last:  # one file at most
+        out = out.where((path != r["path"]) | (at < r["quota"]))
+    return out
+
+
 def tag_partition(df: DataFrame, column: str, value: object) -> DataFrame:
     """T4: add (or replace) a constant column, e.g. ``ds = '2024-01-15'``."""
     return df.withColumn(column, F.lit(value)).withMetadata(column, {KNOWN_VALUES: 1})

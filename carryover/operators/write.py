@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_col, sql_string
 from .transforms import prepare_for_write
 from .validate import combine, fingerprint_exprs
+from .versions import can_point, point_to
 
 MODES = ("create", "replace", "append")
 V1_FORMATS = frozenset({"parquet", "orc", "csv", "json", "avro", "text", "hive"})
@@ -175,7 +176,7 @@ def write_table(
     fingerprint: bool = False,
     options: dict[str, str] | None = None,
     target_info: TableInfo | None = None,
-    staged: bool = True,
+    staged: bool | str = True,
     cluster: str = "rebalance",
 ) -> Written:
     """K1 create, K2 replace, K3 append (T1, T2 applied on the way).
@@ -205,9 +206,14 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; one of {', '.join(MODES)}")
     spark = df.sparkSession
-    if staged and mode != "create":
+    if staged and mode == "replace":
         restore_replaced(spark, table)
     if staged and mode == "replace" and is_v1_target(spark, table, fmt) and table_exists(spark, table):
+        if staged == "pointer":
+            info = describe_table(spark, table)
+            if info.provider == fmt and can_point(df, info, table, partition_by):
+                return _pointer_replace(df, table, info, fmt=fmt, repartition=repartition, options=options, cluster=cluster,
+                                        input_partition_columns=input_partition_columns, fingerprint=fingerprint)
         return _staged_replace(df, table, fmt=fmt, partition_by=partition_by, repartition=repartition,
                                input_partition_columns=input_partition_columns, fingerprint=fingerprint,
                                options=options, cluster=cluster)
@@ -270,10 +276,30 @@ def write_table(
     return Written(table=table, mode=mode, rows=rows, fingerprint=fp, partition_by=partition_by)
 
 
+def _pointer_replace(df: DataFrame, table: str, info: TableInfo, *, fmt, repartition, options, cluster, input_partition_columns, fingerprint) -> Written:
+    """Write a new version of the files, then point the table at it."""
+    parts = info.partition_columns
+    prepared = prepare_for_write(df, repartition=repartition, partition_by=parts, input_partition_columns=input_partition_columns, cluster=cluster)
+    observed, obs = _observed(prepared, fingerprint, None, parts)
+
+    def write(rows: DataFrame, path: str) -> None:
+        writer = rows.write.format(fmt).options(**(options or {}))
+        (writer.partitionBy(*parts) if parts else writer).save(path)
+
+    point_to(observed, table, info, write)
+    metrics = obs.get
+    return Written(table, "replace", int(metrics.get("rows") or 0), combine(metrics) if fingerprint else None, tuple(parts))
+
+
+#: Set on a table while a staged replace has it aside.
+REPLACED = "carryover.replaced"
+
+
 def restore_replaced(spark: SparkSession, table: str) -> bool:
     """Put back the old table of a staged replace that died between its two renames.
 
-    Only if the name has no table and there is exactly one ``name__replaced_*`` beside it."""
+    Only if the name has no table and there is exactly one ``name__replaced_<8 hex>`` beside it
+    that the library itself put aside (its property names the same tag): no other table is taken."""
     parts = split_ref(table)
     if catalog_of(spark, table) != "spark_catalog" or table_exists(spark, table):
         return False
@@ -281,14 +307,25 @@ def restore_replaced(spark: SparkSession, table: str) -> bool:
     space = f" IN {quote_ident(parts[-2])}" if len(parts) > 1 else ""
     if space and not spark.catalog.databaseExists(quote_ident(parts[-2])):
         return False
-    left = spark.sql(f"SHOW TABLES{space} LIKE {sql_string(parts[-1].lower() + '__replaced_*')}").collect()
+    left = []
+    for row in spark.sql(f"SHOW TABLES{space} LIKE {sql_string(parts[-1].lower() + '__replaced_*')}").collect():
+        tag = re.fullmatch(re.escape(parts[-1].lower()) + "__replaced_([0-9a-f]{8})", row["tableName"].lower())
+        name = ".".join(quote_ident(p) for p in [*parts[:-1], row["tableName"]])
+        if tag and _property(spark, name, REPLACED) == tag[1]:
+            left.append(name)
     if len(left) != 1:
         return False
-    backup = ".".join(quote_ident(p) for p in [*parts[:-1], left[0]["tableName"]])
-    spark.sql(f"ALTER TABLE {backup} RENAME TO {'.'.join(quote_ident(p) for p in parts)}")
+    target = ".".join(quote_ident(p) for p in parts)
+    spark.sql(f"ALTER TABLE {left[0]} RENAME TO {target}")
+    spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ({sql_string(REPLACED)})")
     return True
 
 
+def _property(spark: SparkSession, ref: str, key: str) -> str | None:
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ref}").collect()}
+    return found.get(key)
+
+
 def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
     """Write beside the target, then swap by renames."""
     spark = df.sparkSession
@@ -309,11 +346,13 @@ def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({sql_string(REPLACED)} = {sql_string(tag)})")
     spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
     try:
         spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
     except Exception:
         spark.sql(f"ALTER TABLE {backup} RENAME TO {target}")  # put the old table back
+        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ({sql_string(REPLACED)})")
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
     try:
@@ -327,7 +366,8 @@ def _staged_replace(df: DataFrame, table: str, **kwargs) -> Written:
 def load_overwrite(df: DataFrame, table: str, max_rows: int = 0, *, fmt: str = "parquet") -> int:
     """K6: (re)load a table with overwrite, creating its database first; returns the table's rows.
 
-    Mirrors the staging loader: optional row cap (T3), overwrite, recount.
+    Mirrors the staging loader: optional row cap (T3), overwrite, recount.  A table that is there is
+    replaced with its old rows kept until the new ones are written (``staged="pointer"``), so a failed load loses nothing.
     """
     from .transforms import limit_rows
 
@@ -335,7 +375,8 @@ def load_overwrite(df: DataFrame, table: str, max_rows: int = 0, *, fmt: str = "
     ns = namespace_of(table)
     if ns:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
-    limit_rows(df, max_rows).write.mode("overwrite").format(fmt).saveAsTable(quote_ref(table))
+    mode = "replace" if table_exists(spark, table) else "create"
+    write_table(limit_rows(df, max_rows), table, mode, fmt=fmt, staged="pointer")
     return int(spark.table(quote_ref(table)).count())
 
 

@@ -12,9 +12,13 @@ An assertion (V2) passes when the first column of its first row is true
 (booleans; non-zero numbers).  No rows, NULL, false, 0, a string, or an
 error fail it.  Only the first row is judged; a second row is noted.
 An information query (V3) passes if it runs to its end: all its rows are
-computed on the executors, then a bounded sample of them is fetched for
+computed on the executors, once (they are kept on the executors' disks for as long as
+the check takes), then a bounded sample of them is fetched for
 display, and its DataFrame is handed back.
 
+``run_checks(fuse=True)`` answers all plain assertions over a table by one scan
+(:mod:`.fuse`); the report is the same.
+
 The statements themselves are Spark SQL, so every check runs as Spark
 jobs over the tables it names; the driver sees at most two rows of an
 assertion and ``sample_rows`` rows of an information query.
@@ -27,7 +31,8 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.names import quote_ref, split_ref, sql_string
@@ -109,6 +114,29 @@ def _error_text(exc: BaseException) -> str:
     return str(exc).strip() or type(exc).__name__
 
 
+def _judged(head: list) -> tuple[str, str]:
+    """Status and detail of an assertion by its first rows (two at most)."""
+    if not head:
+        ok, detail = False, "query returned no rows"
+    else:
+        ok, detail = judge(head[0][0])
+        if not ok:
+            detail = f"{detail}; first row {head[0].asDict()!r}"
+        if len(head) > 1:
+            detail = (detail + "; " if detail else "") + "more than one row, first judged"
+    return ("passed" if ok else "failed"), detail
+
+
+def _run_once(df: DataFrame, sample_rows: int) -> list[dict]:
+    """Compute all rows on the executors, in one run, and fetch a sample of them."""
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        kept.write.format("noop").mode("overwrite").save()
+        return [r.asDict() for r in kept.take(sample_rows)]
+    finally:
+        kept.unpersist()
+
+
 def _run_one(spark: SparkSession, i: int, check: Check, sample_rows: int) -> tuple[tuple, DataFrame | None, list | None]:
     label = check.assert_msg or f"Query #{i}"
     kind = "assert" if check.is_assertion else "info"
@@ -116,20 +144,9 @@ def _run_one(spark: SparkSession, i: int, check: Check, sample_rows: int) -> tup
     try:
         df = spark.sql(check.sql)
         if check.is_assertion:
-            head = df.take(2)
-            if not head:
-                ok, detail = False, "query returned no rows"
-            else:
-                ok, detail = judge(head[0][0])
-                if not ok:
-                    detail = f"{detail}; first row {head[0].asDict()!r}"
-                if len(head) > 1:
-                    detail = (detail + "; " if detail else "") + "more than one row, first judged"
-            status = "passed" if ok else "failed"
+            status, detail = _judged(df.take(2))
         else:
-            # the whole query runs on the executors; the sample is only what is shown of it
-            df.write.format("noop").mode("overwrite").save()
-            sample = [r.asDict() for r in df.take(sample_rows)]
+            sample = _run_once(df, sample_rows)
             info_df = df
             status, detail = "passed", ""
     except Exception as exc:  # noqa: BLE001 - a failing check must not stop the run
@@ -137,6 +154,42 @@ def _run_one(spark: SparkSession, i: int, check: Check, sample_rows: int) -> tup
     return (i, label, kind, status, detail or None), info_df, sample
 
 
+def _run_fused(spark: SparkSession, checks: Sequence[Check], each) -> dict[int, tuple]:
+    """Results by position (from 1) of the assertions that one scan a table can answer."""
+    from .fuse import fuse
+
+    fused = fuse(spark, [c.sql if c.is_assertion else None for c in checks])
+
+    def scan(key: tuple[str, ...]):
+        try:
+            return fused.queries[key].first()
+        except Exception:  # noqa: BLE001 - some expression failed: its checks run alone
+            return None
+
+    rows = dict(zip(fused.queries, each(scan, list(fused.queries), lambda key: f"{'.'.join(key)}, all assertions")))
+    rows = {key: row for key, row in rows.items() if row is not None}
+    ready = [i for i in fused.plain if fused.tables_of(i) <= rows.keys()]
+    if not ready:
+        return {}
+    answers = fused.answers(spark, rows)
+
+    try:  # all expressions over the one row of answers at once
+        values = answers.selectExpr(*(fused.expression(i) for i in ready)).first()
+        heads = {i: Row(fused.plain[i].name)(value) for i, value in zip(ready, values)}
+    except Exception:  # noqa: BLE001 - some expression failed: its check runs alone
+        heads = {}
+        for i in ready:
+            try:
+                heads[i] = answers.selectExpr(fused.expression(i)).first()
+            except Exception:  # noqa: BLE001
+                continue
+    out = {}
+    for i, head in heads.items():
+        status, detail = _judged([head])
+        out[i + 1] = ((i + 1, checks[i].assert_msg or f"Query #{i + 1}", "assert", status, detail or None), None, None)
+    return out
+
+
 def run_checks(
     spark: SparkSession,
     checks: Sequence[Check],
@@ -144,6 +197,7 @@ def run_checks(
     sample_rows: int = 20,
     parallelism: int = 1,
     scheduler_pool: str | None = None,
+    fuse: bool = False,
 ) -> CheckRun:
     """V1: run each check with ``spark.sql``; one report row per check, in file order.
 
@@ -151,23 +205,27 @@ def run_checks(
     and ``error`` (the statement did not run).  Errors count as failures.
     Checks are independent queries, so ``parallelism > 1`` runs that many
     at once from driver threads (each a Spark job over its tables).
+    ``fuse=True`` first answers the plain assertions of each table by one scan of it.
     """
     from ..jobs import labelled
 
-    def one(item: tuple[int, Check]):
-        i, check = item
-        with labelled(spark, f"carryover check {i}: {check.assert_msg or 'information query'}", scheduler_pool):
-            return _run_one(spark, i, check, sample_rows)
+    def each(run, items: list, label) -> list:
+        def one(item):
+            with labelled(spark, f"carryover check {label(item)}", scheduler_pool):
+                return run(item)
 
-    items = list(enumerate(checks, 1))
-    if parallelism > 1 and len(items) > 1:
-        from concurrent.futures import ThreadPoolExecutor
+        if parallelism > 1 and len(items) > 1:
+            from concurrent.futures import ThreadPoolExecutor
 
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(one, items))
-    else:
-        results = [one(item) for item in items]
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                return list(pool.map(one, items))
+        return [one(item) for item in items]
 
+    done = _run_fused(spark, checks, each) if fuse else {}
+    alone = [(i, c) for i, c in enumerate(checks, 1) if i not in done]
+    ran = each(lambda item: _run_one(spark, *item, sample_rows), alone, lambda item: f"{item[0]}: {item[1].assert_msg or 'information query'}")
+    done |= dict(zip([i for i, _ in alone], ran))
+    results = [done[i] for i in sorted(done)]
     rows = [r for r, _, _ in results]
     info = {r[1]: df for r, df, _ in results if df is not None}
     samples = {r[1]: s for r, _, s in results if s is not None}

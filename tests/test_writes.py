@@ -278,6 +278,7 @@ def test_replace_is_staged_by_default_and_a_lost_table_comes_back(spark, db):
         write_table(bad, f"{db}.safe", "replace")
     assert spark.table(f"{db}.safe").count() == 25
     # a driver that died between the renames: the name has no table, the old one lies beside it
+    spark.sql(f"ALTER TABLE {db}.safe SET TBLPROPERTIES ('carryover.replaced' = '0a0b0c0d')")
     spark.sql(f"ALTER TABLE {db}.safe RENAME TO {db}.safe__replaced_0a0b0c0d")
     with pytest.raises(Exception):
         write_table(bad, f"{db}.safe", "replace")
@@ -350,3 +351,100 @@ def test_failed_create_leaves_nothing_and_can_be_rerun(spark, db):
         write_table(bad, f"{db}.retry", "create")
     assert not spark.catalog.tableExists(f"{db}.retry")
     assert write_table(nation, f"{db}.retry", "create").rows == 25
+
+
+def test_tables_of_others_are_not_taken_for_replaced_ones(spark, db):
+    from carryover.operators.write import restore_replaced
+
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    for name in ("mine__replaced_old", "mine__replaced_0a0b0c0d", "mine__replaced_00000000"):
+        write_table(nation, f"{db}.{name}", "create")
+    spark.sql(f"ALTER TABLE {db}.mine__replaced_00000000 SET TBLPROPERTIES ('carryover.replaced' = '11111111')")
+    assert not restore_replaced(spark, f"{db}.mine")
+    for mode in ("append", "replace"):
+        if mode == "append":
+            with pytest.raises(ValueError, match="does not exist"):
+                write_table(nation.limit(2), f"{db}.mine", mode)
+        else:
+            write_table(nation.limit(2), f"{db}.mine", mode)
+    assert spark.table(f"{db}.mine").count() == 2 and spark.table(f"{db}.mine__replaced_old").count() == 25
+    # one that a replace did put aside is still no target of an append
+    spark.sql(f"ALTER TABLE {db}.mine__replaced_00000000 SET TBLPROPERTIES ('carryover.replaced' = '00000000')")
+    spark.sql(f"DROP TABLE {db}.mine")
+    with pytest.raises(ValueError, match="does not exist"):
+        write_table(nation, f"{db}.mine", "append")
+    assert restore_replaced(spark, f"{db}.mine") and spark.table(f"{db}.mine").count() == 25
+
+
+def _folders(spark, db, name):
+    import os
+
+    from carryover.operators.write import describe_table
+
+    home = os.path.dirname(describe_table(spark, f"{db}.{name}").location.replace("file:", ""))
+    return sorted(f for f in os.listdir(home) if f == name or f.startswith(f"{name}__v_"))
+
+
+@pytest.mark.parametrize("parts", [[], ["o_orderstatus"], ["o_orderstatus", "o_orderpriority"]])
+def test_pointer_replace_switches_versions(spark, db, parts):
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    blank = F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    first = orders.withColumn("o_orderstatus", F.concat(F.col("o_orderstatus"), F.lit(" a/b='x'%")))
+    write_table(first, f"{db}.ptr", "create", partition_by=parts)
+    renames = []
+    real = spark.sql
+
+    def watched(text, *args, **kwargs):
+        renames.append(text) if "RENAME" in text else None
+        return real(text, *args, **kwargs)
+
+    spark.sql = watched
+    try:
+        second = orders.withColumn("o_orderstatus", blank)
+        done = write_table(second, f"{db}.ptr", "replace", partition_by=parts, staged="pointer", fingerprint=True)
+    finally:
+        del spark.sql
+    assert not renames and done.rows == second.count()
+    got = spark.table(f"{db}.ptr").select(*orders.columns)
+    assert got.exceptAll(second).isEmpty() and second.exceptAll(got).isEmpty()
+    assert len(_folders(spark, db, "ptr")) == 1  # the old version is gone
+    if parts:
+        values = {r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.ptr").collect()}
+        assert len(values) == second.select(*parts).distinct().count()
+    # from its own rows; then a failure that leaves it alone
+    write_table(spark.table(f"{db}.ptr").where("o_orderkey % 2 = 0").select(*orders.columns), f"{db}.ptr", "replace", staged="pointer")
+    half = second.where("o_orderkey % 2 = 0").count()
+    assert spark.table(f"{db}.ptr").count() == half
+    bad = second.withColumn("o_custkey", F.expr("assert_true(o_custkey < 0)").cast("long"))
+    with pytest.raises(Exception):
+        write_table(bad, f"{db}.ptr", "replace", staged="pointer")
+    assert spark.table(f"{db}.ptr").count() == half and len(_folders(spark, db, "ptr")) == 1
+    write_table(second, f"{db}.ptr", "append")
+    assert spark.table(f"{db}.ptr").count() == half + second.count()
+
+
+def test_pointer_replace_of_other_columns_and_of_registered_files(spark, db, scratch):
+    import os
+
+    nation, region = (spark.read.parquet(f"{SF001}/{n}.parquet") for n in ("nation", "region"))
+    write_table(nation, f"{db}.shape", "create")
+    assert write_table(region, f"{db}.shape", "replace", staged="pointer").rows == 5  # by renames
+    assert spark.table(f"{db}.shape").columns == region.columns
+    path = scratch("registered")
+    nation.write.parquet(path)
+    spark.sql(f"CREATE TABLE {db}.outside USING parquet LOCATION '{path}'")
+    write_table(nation.limit(3), f"{db}.outside", "replace", staged="pointer")
+    assert spark.table(f"{db}.outside").count() == 3
+    assert spark.read.parquet(path).count() == 25 and os.path.isdir(path.replace("file:", ""))  # not ours to remove
+
+
+def test_a_failed_load_keeps_the_old_rows(spark, db):
+    from carryover.operators import load_overwrite
+
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    assert load_overwrite(nation, f"{db}.loaded") == 25
+    with pytest.raises(Exception):
+        load_overwrite(nation.withColumn("n_nationkey", F.expr("assert_true(n_nationkey < 0)").cast("int")), f"{db}.loaded")
+    assert spark.table(f"{db}.loaded").count() == 25
+    assert load_overwrite(nation.where("n_nationkey < 4"), f"{db}.loaded") == 4
+    assert load_overwrite(nation.select("n_name"), f"{db}.loaded") == 25
