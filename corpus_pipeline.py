@@ -8,6 +8,8 @@ it again, so a lost executor costs at most the stage at hand.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +19,11 @@ from carryover.llm.language import keep_identified
 from carryover.llm.mixing import mix_sources
 from carryover.llm.packing import pack_documents
 from carryover.llm.queries import public_tokenizer
-from carryover.llm.surrogates import replace_personal_data
+from carryover.llm.surrogates import count_name, replace_personal_data
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter go."""
-    on_workers(spark)
     return keep_identified(docs)
 
 
@@ -33,10 +34,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates for personal data; ``n_chars`` follows the text."""
-    new = replace_personal_data(docs)
+    new, n_replaced = replace_personal_data(docs), count_name(docs)
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        new = new.withColumn("n_chars", F.when(F.col("n_replaced") > 0, length).otherwise(F.col("n_chars")))
+        new = new.withColumn("n_chars", F.when(F.col(n_replaced) > 0, length).otherwise(F.col("n_chars")))
     return new.select(*docs.columns)
 
 
@@ -50,12 +51,23 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizer())
 
 
+def _stage(work):
+    """A stage that may be the first of a session: its workers can import the package."""
+
+    @functools.wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        on_workers(spark)
+        return work(spark, docs, sf_dir)
+
+    return stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("pii", personal_data),
-    ("mixing", mixing),
-    ("packing", packing),
+    ("language_id", _stage(language_id)),
+    ("near_dedup", _stage(near_dedup)),
+    ("pii", _stage(personal_data)),
+    ("mixing", _stage(mixing)),
+    ("packing", _stage(packing)),
 ]
 
 #: Tokenising, sketches and keyed draws have no SQL form; tests hold the stages against plain versions.
