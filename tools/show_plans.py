@@ -14,10 +14,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from carryover.operators import export_partitioned, fingerprint_exprs, file_stats, prepare_for_write, register_files  # noqa: E402
+from carryover.operators import difference, export_partitioned, fingerprint_exprs, file_stats, limit_rows, prepare_for_write, register_files  # noqa: E402
 from carryover.operators.validate import _slice_sums  # noqa: E402
 from carryover.operators.write import _observed  # noqa: E402
 from carryover.plans.checks import count_equal_sql  # noqa: E402
+from carryover.plans.fuse import fuse  # noqa: E402
 from carryover.session import local_session, scratch_database, scratch_path  # noqa: E402
 
 
@@ -47,6 +48,8 @@ def main() -> None:
     ev.write.partitionBy("ds").saveAsTable(f"{db}.events_by_day")
     from carryover.plans.batch import touched_rows
 
+    capped = scratch_path(spark, "capped")
+    li.repartition(8).write.parquet(capped)
     one_day = ev.where("ds = '2024-01-15'")
     touched = touched_rows(one_day, spark.table(f"{db}.events_by_day"), ["ds"])
     sections = [
@@ -75,6 +78,14 @@ def main() -> None:
          file_stats(spark.table(f"{db}.events"), ["event_id"], ["ds"])),
         ("Check: source and target counts as two scalar subqueries",
          spark.sql(count_equal_sql(f"{db}.lineitem", f"{db}.lineitem"))),
+        ("Fused checks: four assertions, one scan of the table",
+         fuse(spark, [f"SELECT count(*) > 0 FROM {db}.lineitem", f"SELECT count(*) > 0 FROM {db}.lineitem WHERE l_returnflag = 'R'",
+                      f"SELECT min(l_discount) >= 0 FROM {db}.lineitem", f"SELECT (SELECT count(*) FROM {db}.lineitem) > 5 AS ok"]).queries.popitem()[1]),
+        ("Fused checks, all filtered: partitions that no call concerns are pruned",
+         fuse(spark, [f"SELECT count(*) > 0 FROM {db}.events_by_day WHERE ds = '2024-01-{d}'" for d in (15, 16)]).queries.popitem()[1]),
+        ("Parallel row cap: named files, the last one by its row index, no limit", limit_rows(spark.read.parquet(capped), 10_000, parallel=True)),
+        ("Difference: rows of unequal buckets of unequal partitions, then exceptAll both ways",
+         difference(li.withColumn("l_tax", F.when(F.col("l_orderkey") == 7, F.lit(9.0)).otherwise(F.col("l_tax"))), spark.table(f"{db}.lineitem"), ["l_returnflag"])),
     ]
     print("# Physical plans of the main operations\n")
     print(f"Generated by `tools/show_plans.py` on `{sf}` (local mode, AQE on; plans before AQE re-planning).\n")
