@@ -37,9 +37,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import pieces_of, stored
 
 SAMPLE = 40_000
+#: Queries whose walks are one task's.
+WALKS = 200
 MOST_CENTROIDS = 512
 BLOCK = 4096
 TRIALS = 128
@@ -193,7 +195,10 @@ class MultiIndex:
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cells, pa.int32())], names=["query_id", "qvec", "cell"])
 
-        probes = stored(queries.select("query_id", "qvec").mapInArrow(probe, "query_id long, qvec array<double>, cell int"), "probes")
+        # walks are long work on short rows: dealt by number, not by bytes
+        queries = stored(queries.select("query_id", "qvec"), "queries")
+        queries = queries.repartition(pieces_of(queries.count(), WALKS), "query_id")
+        probes = stored(queries.mapInArrow(probe, "query_id long, qvec array<double>, cell int"), "probes")
         spread = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
         blocks = probes.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")).join(self.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("held")), "cell")
         # one row for each cell of the grid at most: k * k of them
