@@ -65,7 +65,12 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
             "hive", metastore_uri=hive["metastore_uri"], database=hive.get("database") or src.get("database") or "default"
         )
     else:
-        source = get_source(kind, database=src.get("database") or "default", merge_schema=src.get("merge_schema", False))
+        source = get_source(
+            kind,
+            database=src.get("database") or "default",
+            merge_schema=src.get("merge_schema", False),
+            reconcile=src.get("reconcile", False),
+        )
 
     tgt = _block(raw, "target")
     catalog_kind = tgt.get("catalog_type")

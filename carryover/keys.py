@@ -130,6 +130,26 @@ def scan_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, root, merge_schema=True).select(*orders.columns)
 
 
+def scan_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` in files of three layouts, copied as one table of common types.
+
+    Customers are ``int``, ``bigint`` and text, totals ``double`` and
+    ``float``, and status ``P`` lacks the priority (``mergeSchema`` fails on such a tree).
+    """
+    orders = _read(spark, sf_dir, "orders")
+    root = scratch_path(spark, "layouts")
+    status = F.coalesce(F.col("o_orderstatus"), F.lit(""))
+    rest = orders.where(~status.isin("F", "P"))
+    filled = orders.where(status == "F").withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    filled.write.parquet(f"{root}/part=1")
+    rest.withColumn("o_custkey", F.col("o_custkey").cast("string")).write.parquet(f"{root}/part=2")
+    partial = orders.where(status == "P").withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
+    partial.drop("o_orderpriority").write.parquet(f"{root}/part=3")
+    db, _ = scratch_database(spark, "rec")
+    run_migration(spark, ParquetSource(reconcile=True), [root], MigrationOptions(database=db), targets={root: "orders"})
+    return spark.table(f"{db}.orders").select(*orders.columns)
+
+
 # --- transforms ------------------------------------------------------------
 
 
@@ -618,6 +638,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_once": append_once_key,
     "limit_rows_parallel": limit_rows_parallel,
     "content_difference": content_difference,
+    "scan_reconciled": scan_reconciled,
 }
 
 _EVENTS_DS = "SELECT *, CAST(ts AS DATE) AS ds FROM events"
@@ -759,6 +780,11 @@ ORACLES: dict[str, str] = {
     ),
     "write_replace_pointer": "SELECT * FROM lineitem",
     "append_once": "SELECT * FROM orders",
+    "scan_reconciled": (
+        "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'P' THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) ELSE o_totalprice END AS o_totalprice, "
+        "o_orderdate, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"
+    ),
     "limit_rows_parallel": "SELECT CASE WHEN count(*) < 10000 THEN count(*) ELSE 10000 END AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM lineitem",
     "content_difference": (
         "WITH other AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 2 AND l_returnflag = 'R' THEN 9.5::DOUBLE ELSE l_tax END AS l_tax) "

@@ -108,6 +108,8 @@ def select_tables(configured: Sequence[str], requested: str | Sequence[str] | No
 def _source_partition_columns(spark: SparkSession, source: Source, ref: str) -> list[str] | None:
     if isinstance(source, CatalogSource):
         return table_partition_columns(spark, source.resolve(ref))
+    if isinstance(source, ParquetSource) and source.reconcile:
+        return None  # read as one plan per layout; asking mergeSchema could fail
     if isinstance(source, ParquetSource):
         return list(infer_layout(spark, ref, merge_schema=source.merge_schema).partition_columns)
     return None
@@ -150,6 +152,8 @@ def migrate_table(
     if options.mode == "register":
         if not isinstance(source, ParquetSource):
             raise ValueError("register needs Parquet paths, not catalog tables")
+        if source.reconcile:
+            raise ValueError("register rewrites nothing: files of different types cannot be one table; copy them")
         reg = register_files(
             spark,
             ref,

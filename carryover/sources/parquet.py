@@ -21,9 +21,11 @@ from ..functions.names import path_stem, path_table_name, quote_ident, target_ta
 
 @dataclass(frozen=True)
 class ParquetSource:
-    """Reads Parquet paths.  ``merge_schema`` reconciles files whose columns differ."""
+    """Reads Parquet paths.  ``merge_schema`` adds columns that some files lack; ``reconcile``
+    (a folder) also brings columns of different types to a common one (:mod:`.reconcile`)."""
 
     merge_schema: bool = False
+    reconcile: bool = False
     kind: str = "parquet"
 
     def session_settings(self) -> dict[str, str]:  # S8: Parquet is built in
@@ -36,6 +38,10 @@ class ParquetSource:
         return target_table_name(path_table_name(ref))
 
     def read(self, spark: SparkSession, ref: str) -> DataFrame:  # S3
+        if self.reconcile:
+            from .reconcile import read_reconciled
+
+            return read_reconciled(spark, ref)
         return read_parquet(spark, ref, merge_schema=self.merge_schema)
 
 

@@ -35,5 +35,7 @@ def get_source(kind: str, **options: object) -> Source:
     if kind == "catalog":
         return CatalogSource(database=str(options.get("database") or "default"))
     if kind == "parquet":
-        return ParquetSource(merge_schema=flag(options.get("merge_schema", False)))
+        return ParquetSource(
+            merge_schema=flag(options.get("merge_schema", False)), reconcile=flag(options.get("reconcile", False))
+        )
     raise ValueError(f"unknown source kind {kind!r}; supported: {', '.join(KINDS)}")
