@@ -38,7 +38,7 @@ class RunConfig:
 
 MIGRATION_KEYS = frozenset({
     "write_mode", "repartition", "partition_by", "register_partition_columns", "verify",
-    "staged_replace", "cluster", "writer_options", "targets", "scheduler_pool",
+    "staged_replace", "cluster", "writer_options", "targets", "scheduler_pool", "register_incremental",
 })
 
 
@@ -124,6 +124,7 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         verify=mig.get("verify", "count"),
         staged_replace=flag(mig.get("staged_replace", True)),
         cluster=mig.get("cluster") or "rebalance",
+        incremental=flag(mig.get("register_incremental", False)),
         writer_options={str(k): str(v) for k, v in _block(mig, "writer_options").items()},
     )
     options.validate()

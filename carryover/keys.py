@@ -26,9 +26,11 @@ from .operators import (
     partition_stats,
     register_files,
     replicate_partitions,
+    sync_partitions,
     tag_partition,
     write_table,
 )
+from .operators.versions import delete_folder
 from .plans.batch import MigrationOptions, run_migration, select_tables, summarize
 from .plans.staging import stage_exports, stage_tables
 from .plans.checks import (
@@ -309,6 +311,22 @@ def register_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.events")
 
 
+def register_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` registered without 2024-01-15 and with a day too many, then synced by difference."""
+    events = _events_with_ds(spark, sf_dir)
+    path, table = scratch_path(spark, "events_live"), f"{scratch_database(spark, 'live')[0]}.events"
+    day = F.col("ds").eqNullSafe(PRUNE_DS)
+    export_partitioned(events.where(~day).withColumn("ds", F.coalesce("ds", F.lit("2000-01-01"))), path, ["ds"])
+    export_partitioned(events.where(day).withColumn("ds", F.lit("2099-01-01")), path, ["ds"])
+    register_files(spark, path, table, incremental=True, count=False)
+    export_partitioned(events.where(day), path, ["ds"])
+    delete_folder(spark, f"{path}/ds=2099-01-01")
+    found = sync_partitions(spark, table)
+    if found.statements > 2:
+        raise RuntimeError(f"more than the difference was told to the catalog: {found}")
+    return spark.table(table)
+
+
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count one ``ds`` of the registered table (one directory read)."""
     table = _registered_events(spark, sf_dir)
@@ -639,6 +657,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "limit_rows_parallel": limit_rows_parallel,
     "content_difference": content_difference,
     "scan_reconciled": scan_reconciled,
+    "register_incremental": register_incremental,
 }
 
 _EVENTS_DS = "SELECT *, CAST(ts AS DATE) AS ds FROM events"
@@ -780,6 +799,7 @@ ORACLES: dict[str, str] = {
     ),
     "write_replace_pointer": "SELECT * FROM lineitem",
     "append_once": "SELECT * FROM orders",
+    "register_incremental": "SELECT *, CAST(coalesce(ts, TIMESTAMP '2000-01-01') AS DATE) AS ds FROM events",
     "scan_reconciled": (
         "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
         "CASE WHEN o_orderstatus = 'P' THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) ELSE o_totalprice END AS o_totalprice, "

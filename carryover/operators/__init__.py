@@ -4,6 +4,7 @@ from .difference import difference
 from .once import Appended, append_once
 from .register import Layout, Registered, add_files_sql, create_table_sql, infer_layout, layout_rows, register_files
 from .stats import file_stats, partition_stats
+from .sync import Synced, sync_partitions
 from .transforms import limit_rows, prepare_for_write, replicate_partitions, tag_partition
 from .validate import compare, count_rows, fingerprint, fingerprint_exprs, fingerprint_pair, subtract_fingerprint
 from .write import (
@@ -25,6 +26,7 @@ __all__ = [
     "Exported",
     "Layout",
     "Registered",
+    "Synced",
     "Written",
     "add_files_sql",
     "append_once",
@@ -48,6 +50,7 @@ __all__ = [
     "register_files",
     "replicate_partitions",
     "subtract_fingerprint",
+    "sync_partitions",
     "table_exists",
     "table_partition_columns",
     "tag_partition",

@@ -17,7 +17,8 @@ Steps, all metadata work except the two counts:
      ``MSCK REPAIR TABLE … SYNC PARTITIONS`` adds the directories as
      partitions (and drops vanished ones on a re-run, so it is idempotent).
      Such a table is *live*: files added later to a known partition show
-     after ``REFRESH TABLE``, a new partition after another repair.
+     after ``REFRESH TABLE``, a new partition after another repair.  ``incremental=True``
+     adds and drops only what changed (:mod:`.sync`).
    * a V2 catalog (Iceberg): the catalog's ``add_files`` procedure, as in
      the reference; the table then holds a fixed file list.
 
@@ -38,6 +39,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from ..functions.names import quote_ident, quote_ref, split_ref, sql_string
 from ..sources.parquet import file_schema, qualified_path, read_parquet
+from .sync import Synced, sync_partitions
 from .validate import count_pair
 from .write import catalog_of, ensure_namespace, namespace_of, same_location, table_exists, table_location
 
@@ -165,6 +167,7 @@ class Registered:
     rows_before: int
     adds: bool = False  # a V2 table: registering adds to the rows it had
     files: DataFrame | None = None  # the registered files, read through the layout's listing
+    synced: Synced | None = None  # what an incremental registration changed
 
     @property
     def status(self) -> str:
@@ -188,6 +191,7 @@ def register_files(
     merge_schema: bool = False,
     fmt: str | None = None,
     count: bool = True,
+    incremental: bool = False,
 ) -> Registered:
     """K4: make the Parquet files under ``path`` queryable as ``table`` without copying them.
 
@@ -196,6 +200,9 @@ def register_files(
     discovered layout is used.  An existing table must have the same
     columns, otherwise the call fails instead of silently keeping it.
 
+    ``incremental``: a session table's partitions are compared with the tree and
+    only the difference is told to the catalog, instead of a repair of the whole table.
+
     The same tree again: a session table keeps its rows (the repair is
     idempotent), a V2 catalog's procedure rejects files it already holds.
     """
@@ -225,9 +232,12 @@ def register_files(
         if count:
             rows_before = int(spark.table(quote_ref(table)).count())
 
+    synced = None
     if v1:
         spark.sql(create_table_sql(table, layout, fmt="parquet", location=path))
-        if layout.partition_columns:
+        if incremental:
+            synced = sync_partitions(spark, table, path)
+        elif layout.partition_columns:
             spark.sql(f"MSCK REPAIR TABLE {quote_ref(table)} SYNC PARTITIONS")
         else:
             spark.sql(f"REFRESH TABLE {quote_ref(table)}")
@@ -248,4 +258,5 @@ def register_files(
         rows_before=rows_before,
         adds=not v1,
         files=files,
+        synced=synced,
     )

@@ -74,6 +74,7 @@ class MigrationOptions:
     verify: str = "count"
     writer_options: Mapping[str, str] = field(default_factory=dict)
     staged_replace: bool = True  # session-catalog replace through a staging table (see write_table)
+    incremental: bool = False  # register: tell the catalog only what changed (see register_files)
     cluster: str = "rebalance"  # partitioned writes: "rebalance" (few files) or "none" (no shuffle)
 
     def validate(self) -> None:
@@ -161,6 +162,7 @@ def migrate_table(
             partition_columns=options.register_partition_columns,
             merge_schema=source.merge_schema,
             fmt=None if options.catalog == "spark_catalog" else options.fmt,
+            incremental=options.incremental,
         )
         status, error = compare(reg.source_rows, reg.compared_rows)
         if options.verify == "content" and status == "success" and not (reg.adds and reg.rows_before):
