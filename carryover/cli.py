@@ -47,6 +47,7 @@ def cmd_migrate(args: argparse.Namespace) -> int:
         rows = run_migration(
             spark, cfg.source, tables, cfg.options,
             targets=cfg.targets, parallelism=args.parallelism, scheduler_pool=cfg.pool,
+            timeout=cfg.timeout, retries=cfg.retries, longest_first=cfg.longest_first,
         ).collect()
         if parsed is not None:
             run = run_checks(spark, parsed, parallelism=args.parallelism, scheduler_pool=cfg.pool, fuse=args.fuse)

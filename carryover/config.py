@@ -34,11 +34,15 @@ class RunConfig:
     extra: Mapping[str, Any] = field(default_factory=dict)
     targets: Mapping[str, str] = field(default_factory=dict)  # table -> explicit target name
     pool: str | None = None  # FAIR scheduler pool of the batch's jobs
+    timeout: float | None = None  # seconds a table may take
+    retries: int = 0
+    longest_first: bool = False
 
 
 MIGRATION_KEYS = frozenset({
     "write_mode", "repartition", "partition_by", "register_partition_columns", "verify",
     "staged_replace", "cluster", "writer_options", "targets", "scheduler_pool", "register_incremental",
+    "timeout", "retries", "longest_first",
 })
 
 
@@ -141,6 +145,9 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
         catalog_kind=catalog_kind,
         targets={str(k): str(v) for k, v in _block(mig, "targets").items()},
         pool=mig.get("scheduler_pool"),
+        timeout=float(mig["timeout"]) if mig.get("timeout") else None,
+        retries=int(mig.get("retries") or 0),
+        longest_first=flag(mig.get("longest_first", False)),
     )
 
 

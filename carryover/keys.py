@@ -560,6 +560,42 @@ def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _Slowed(ParquetSource):
+    """Reads ``customer`` through a step that takes a minute a task."""
+
+    def read(self, spark: SparkSession, ref: str) -> DataFrame:
+        df = super().read(spark, ref)
+        if "customer" not in ref:
+            return df
+
+        def slowly(batches):  # nested, so that it travels by value
+            import time
+
+            time.sleep(60)
+            yield from batches
+
+        return df.mapInPandas(slowly, df.schema)
+
+
+def migrate_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: four tables at once, largest first, the slow one cancelled at its deadline; the rest land, it leaves no table."""
+    db, _ = scratch_database(spark, "late")
+    refs = _batch_refs(sf_dir, ("customer", "orders", "nation", "lineitem"))
+    limits = {refs[0]: 2.0}
+    report = run_migration(
+        spark, _Slowed(), refs, MigrationOptions(database=db), parallelism=4, timeout=limits, longest_first=True
+    )
+    name = F.element_at(F.split("target", "[.]"), -1)
+    tables = spark.sql(f"SHOW TABLES IN {db}").select(F.col("tableName"))
+    left = report.join(tables, F.replace(name, F.lit("`"), F.lit("")) == F.col("tableName"), "left")
+    return left.select(
+        F.replace(name, F.lit("`"), F.lit("")).alias("name"),
+        "status",
+        "target_rows",
+        F.col("tableName").isNotNull().alias("has_table"),
+    )
+
+
 def migrate_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: three tables configured, two asked for (with an empty name in the list)."""
     db, _ = scratch_database(spark, "subset")
@@ -658,6 +694,7 @@ KEYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_difference": content_difference,
     "scan_reconciled": scan_reconciled,
     "register_incremental": register_incremental,
+    "migrate_deadline": migrate_deadline,
 }
 
 _EVENTS_DS = "SELECT *, CAST(ts AS DATE) AS ds FROM events"
@@ -800,6 +837,12 @@ ORACLES: dict[str, str] = {
     "write_replace_pointer": "SELECT * FROM lineitem",
     "append_once": "SELECT * FROM orders",
     "register_incremental": "SELECT *, CAST(coalesce(ts, TIMESTAMP '2000-01-01') AS DATE) AS ds FROM events",
+    "migrate_deadline": (
+        "SELECT 'customer' AS name, 'timed out' AS status, CAST(NULL AS BIGINT) AS target_rows, false AS has_table "
+        "UNION ALL SELECT 'orders', 'success', count(*), true FROM orders "
+        "UNION ALL SELECT 'nation', 'success', count(*), true FROM nation "
+        "UNION ALL SELECT 'lineitem', 'success', count(*), true FROM lineitem"
+    ),
     "scan_reconciled": (
         "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
         "CASE WHEN o_orderstatus = 'P' THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) ELSE o_totalprice END AS o_totalprice, "

@@ -13,11 +13,15 @@ written.  One failing table is recorded and the rest go on.  With
 ``parallelism > 1`` the tables are submitted from driver threads, so
 their Spark jobs share the cluster (use the FAIR scheduler to interleave
 them); each thread only submits jobs, all data work stays on executors.
+A table may have a deadline (its jobs are cancelled by their tag, the others
+go on) and be tried again after an error that may pass; ``longest_first`` submits
+the largest inputs first, so that the batch does not end waiting for one of them.
 The report is one row per table.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.names import quote_ident, quote_ref, split_ref
-from ..jobs import labelled
+from ..jobs import DeadlineExceeded, deadline, labelled, may_pass
 from ..operators.register import infer_layout, register_files
 from ..operators.validate import compare, fingerprint, fingerprint_pair, subtract_fingerprint
 from ..operators.transforms import CLUSTER
@@ -282,6 +286,41 @@ def plan_targets(
     return out
 
 
+def input_bytes(spark: SparkSession, source: Source, ref: str) -> int:
+    """Spark's estimate of a ref's size (file sizes, or the catalog's statistics); 0 if it cannot be read."""
+    try:
+        plan = source.read(spark, ref)._jdf.queryExecution().optimizedPlan()
+        return int(str(plan.stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - the table's own try reports what is wrong with it
+        return 0
+
+
+def _tried(
+    spark: SparkSession, source: Source, ref: str, options: MigrationOptions, target: str, retries: int
+) -> dict[str, object]:
+    """One table, tried again after errors that may pass.  A failed create leaves no table of its own."""
+    own = options.mode == "create" and not table_exists(spark, target)
+    wait = 1.0
+    while True:
+        try:
+            return migrate_table(spark, source, ref, options, target_name=split_ref(target)[-1])
+        except Exception as exc:
+            if own and "ALREADY_EXISTS" not in str(exc):  # else another session made it meanwhile
+                spark.sql(f"DROP TABLE IF EXISTS {quote_ref(target)}")
+            if retries <= 0 or options.mode == "append" or not may_pass(exc):
+                raise
+        retries -= 1
+        time.sleep(wait)
+        wait *= 2
+
+
+def _timed_out(spark: SparkSession, ref: str, target: str, mode: str, exc: DeadlineExceeded) -> dict[str, object]:
+    row = _failed(ref, target, mode, exc) | {"status": "timed out"}
+    if mode in ("append", "replace") and table_exists(spark, target):
+        row["target_rows"] = int(spark.table(quote_ref(target)).count())
+    return row
+
+
 def run_migration(
     spark: SparkSession,
     source: Source,
@@ -291,15 +330,29 @@ def run_migration(
     targets: Mapping[str, str] | None = None,
     parallelism: int = 1,
     scheduler_pool: str | None = None,
+    timeout: float | Mapping[str, float] | None = None,
+    retries: int = 0,
+    longest_first: bool = False,
 ) -> DataFrame:
     """O2: migrate every ref; one row per ref in the report, in input order.
 
     ``parallelism`` tables are in flight at once (driver threads submitting
     jobs); ``scheduler_pool`` names the FAIR pool their jobs run in.
+
+    ``timeout``: seconds a table may take (one number, or one per ref), all its tries
+    together.  A table cancelled for it has status ``timed out``; a create leaves no
+    table behind.  If an append or replace had landed before its check was cancelled,
+    ``target_rows`` says what is there.  ``retries``: further tries after an error that may pass
+    (:func:`carryover.jobs.may_pass`), each after twice the wait; an
+    append is never tried twice (use ``append_once``).  ``longest_first``: submit by
+    size of input, largest first (Spark's estimate: file sizes).
     """
     options.validate()
+    if retries < 0:
+        raise ValueError("retries must be >= 0")
     refs = [r for r in refs if r and r.strip()]
     planned = plan_targets(source, refs, options, targets)
+    limits = timeout if isinstance(timeout, Mapping) else dict.fromkeys(refs, timeout)
 
     def one(item: tuple[str, str | BaseException]) -> dict[str, object]:
         ref, t = item
@@ -307,15 +360,23 @@ def run_migration(
             return _failed(ref, None, options.mode, t)
         try:
             with labelled(spark, f"carryover {options.mode} {ref} -> {t}", scheduler_pool):
-                return migrate_table(spark, source, ref, options, target_name=split_ref(t)[-1])
+                with deadline(spark, limits.get(ref)):
+                    return _tried(spark, source, ref, options, t, retries)
+        except DeadlineExceeded as exc:
+            return _timed_out(spark, ref, t, options.mode, exc)
         except Exception as exc:  # noqa: BLE001 - isolate the failure, go on with the rest
             return _failed(ref, t, options.mode, exc)
 
+    order = list(range(len(planned)))
+    if longest_first:
+        sizes = [input_bytes(spark, source, ref) if isinstance(t, str) else 0 for ref, t in planned]
+        order.sort(key=lambda i: -sizes[i])
     if parallelism > 1 and len(planned) > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(one, planned))
+            done = list(pool.map(one, [planned[i] for i in order]))
     else:
-        rows = [one(item) for item in planned]
+        done = [one(planned[i]) for i in order]
+    rows = [row for _, row in sorted(zip(order, done), key=lambda p: p[0])]
     return spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields) for r in rows], REPORT_SCHEMA)
 
 
