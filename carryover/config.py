@@ -74,6 +74,8 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
             database=src.get("database") or "default",
             merge_schema=src.get("merge_schema", False),
             reconcile=src.get("reconcile", False),
+            columns=src.get("columns"),
+            split_bytes=src.get("split_bytes"),
         )
 
     tgt = _block(raw, "target")

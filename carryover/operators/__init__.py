@@ -3,6 +3,14 @@
 from .difference import difference
 from .once import Appended, append_once
 from .register import Layout, Registered, add_files_sql, create_table_sql, infer_layout, layout_rows, register_files
+from .sketches import (
+    compact_statistics,
+    estimates,
+    merge_sketches,
+    partition_sketches,
+    read_statistics,
+    record_statistics,
+)
 from .stats import file_stats, partition_stats
 from .sync import Synced, sync_partitions
 from .transforms import limit_rows, prepare_for_write, replicate_partitions, tag_partition
@@ -30,11 +38,13 @@ __all__ = [
     "Written",
     "add_files_sql",
     "append_once",
+    "compact_statistics",
     "compare",
     "count_rows",
     "create_table_sql",
     "difference",
     "ensure_namespace",
+    "estimates",
     "export_partitioned",
     "file_stats",
     "fingerprint",
@@ -45,8 +55,12 @@ __all__ = [
     "layout_rows",
     "limit_rows",
     "load_overwrite",
+    "merge_sketches",
+    "partition_sketches",
     "partition_stats",
     "prepare_for_write",
+    "read_statistics",
+    "record_statistics",
     "register_files",
     "replicate_partitions",
     "subtract_fingerprint",

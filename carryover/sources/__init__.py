@@ -1,5 +1,6 @@
 """Sources: catalog tables and Parquet paths."""
 
+from .arrow_files import ArrowSource, register_arrow_files
 from .base import Source
 from .catalog import CatalogSource
 from .parquet import ParquetSource, file_schema, path_relation, qualified_path, read_parquet, scan_path_sql
@@ -8,6 +9,7 @@ from .registry import get_source
 from .storage import s3a_settings
 
 __all__ = [
+    "ArrowSource",
     "CatalogSource",
     "ParquetSource",
     "SchemaConflict",
@@ -19,6 +21,7 @@ __all__ = [
     "qualified_path",
     "read_parquet",
     "read_reconciled",
+    "register_arrow_files",
     "s3a_settings",
     "scan_path_sql",
 ]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from .arrow_files import SPLIT_BYTES, ArrowSource
 from .base import Source
 from .catalog import CatalogSource
 from .parquet import ParquetSource
 
-KINDS = ("hive", "catalog", "parquet")
+KINDS = ("hive", "catalog", "parquet", "arrow")
 
 
 def flag(value: object) -> bool:
@@ -38,4 +39,10 @@ def get_source(kind: str, **options: object) -> Source:
         return ParquetSource(
             merge_schema=flag(options.get("merge_schema", False)), reconcile=flag(options.get("reconcile", False))
         )
+    if kind == "arrow":
+        columns = options.get("columns") or ()
+        return ArrowSource(
+            columns=tuple(str(c) for c in columns),  # type: ignore[attr-defined]
+            split_bytes=int(options.get("split_bytes") or SPLIT_BYTES),  # type: ignore[call-overload]
+        )
     raise ValueError(f"unknown source kind {kind!r}; supported: {', '.join(KINDS)}")
