@@ -28,6 +28,7 @@ from .operators import (
     record_statistics,
     register_files,
     replicate_partitions,
+    rows_not_in,
     sync_partitions,
     tag_partition,
     write_table,
@@ -184,7 +185,7 @@ def limit_rows_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
     _read(spark, sf_dir, "lineitem").repartition(8).write.parquet(path)
     files = spark.read.parquet(path)
     capped = limit_rows(files, SAMPLE_ROWS, parallel=True)
-    foreign = capped.exceptAll(files).agg(F.count("*").alias("n_foreign"))
+    foreign = rows_not_in(capped, files).agg(F.count("*").alias("n_foreign"))
     return capped.agg(F.count("*").alias("n_rows")).crossJoin(foreign)
 
 

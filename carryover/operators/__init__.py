@@ -1,6 +1,6 @@
 """Data operators: shaping, writing, registering, validating, file statistics."""
 
-from .difference import difference
+from .difference import difference, rows_not_in
 from .once import Appended, append_once
 from .register import Layout, Registered, add_files_sql, create_table_sql, infer_layout, layout_rows, register_files
 from .sketches import (
@@ -63,6 +63,7 @@ __all__ = [
     "record_statistics",
     "register_files",
     "replicate_partitions",
+    "rows_not_in",
     "subtract_fingerprint",
     "sync_partitions",
     "table_exists",

@@ -53,6 +53,15 @@ def _only(df: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(named, same, "left_semi")
 
 
+def rows_not_in(few: DataFrame, many: DataFrame) -> DataFrame:
+    """``few.exceptAll(many)`` where ``few`` holds a bounded number of rows, such as a capped read.
+
+    ``few`` is broadcast, and of ``many`` only the rows equal to one of its rows are grouped: no task holds
+    more different rows than ``few`` has, and ``many`` is not shuffled.
+    """
+    return few.exceptAll(_only(many.select(*map(sql_col, few.columns)), F.broadcast(few), few.columns))
+
+
 def difference(left: DataFrame, right: DataFrame, partition_columns: Sequence[str] = ()) -> DataFrame:
     """``side`` (``left`` or ``right``) and the columns of ``left``: rows one side has more often
     than the other, as often as it has them more.

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from carryover.operators import append_once, difference, limit_rows, once, write_table
+from carryover.keys import limit_rows_parallel
+from carryover.operators import append_once, difference, limit_rows, once, rows_not_in, write_table
 from conftest import SF001
 
 
@@ -134,6 +135,40 @@ def test_other_inputs_get_the_plain_limit(spark, scratch):
     assert limit_rows(df.select("o_custkey", "o_orderkey"), 20, parallel=True).count() == 20
 
 
+def _shuffled(node):
+    """Rows that the exchanges of an executed plan have written."""
+    kind = node.nodeName()
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "Exchange" else 0
+    kids = node.children()
+    below = [kids.apply(i) for i in range(kids.size())]
+    if kind == "AdaptiveSparkPlan":
+        below = [node.executedPlan()]
+    elif kind.endswith("QueryStage"):
+        below = [node.plan()]
+    return own + sum(map(_shuffled, below))
+
+
+def test_the_check_of_a_parallel_cap_shuffles_the_capped_rows_only(spark, scratch):
+    root = scratch("items")
+    spark.range(60_000).selectExpr("if(id % 7 = 0, null, id) AS l_orderkey", "id / 7 AS l_tax").write.parquet(f"{root}/lineitem.parquet")
+    counted = limit_rows_parallel(spark, root)
+    assert [tuple(r) for r in counted.collect()] == [(10_000, 0)]
+    assert 0 < _shuffled(counted._jdf.queryExecution().executedPlan()) < 25_000
+
+
+def test_rows_not_in_equals_except_all(spark):
+    nan = float("nan")
+    schema = "`a b` long, x double, t string"
+    few = [(1, 0.5, "p")] * 3 + [(1, None, None)] * 2 + [(None, None, None), (2, nan, "q"), (3, -0.0, "r"), (4, 1.0, "s"), (4, 1.0, "s")]
+    many = [(1, 0.5, "p")] * 2 + [(1, None, None)] * 5 + [(2, nan, "q"), (3, 0.0, "r"), (4, 1.0, "t"), (None, 1.0, None)] + [(9, 9.0, "z")] * 50
+    few, many = (spark.createDataFrame(rows, schema) for rows in (few, many))
+    wanted = few.exceptAll(many)
+    for other in (many, many.select("t", "x", "a b")):
+        found = rows_not_in(few, other)
+        assert found.count() == wanted.count() == 4 and _same(found, wanted)
+    assert _same(rows_not_in(few, many.limit(0)), few) and rows_not_in(few.limit(0), many).isEmpty()
+
+
 # --- difference
 
 
